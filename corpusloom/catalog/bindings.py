@@ -15,6 +15,7 @@ from corpusloom.catalog.base import s_distinct, s_tags
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import render as R
 from corpusloom.functions import text as T
+from corpusloom.sources.storage import spread_small_input
 
 STYLES = ["Minimalism", "Dark", "Luxury"]
 PRODUCTS = ["form_flow", "dashboard", "portfolio", "landing_page"]
@@ -28,8 +29,12 @@ REGIONS = {
 }
 
 
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small_input(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def nth(items: list[str], i: Column) -> Column:

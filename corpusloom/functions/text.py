@@ -72,29 +72,30 @@ def alnum_tokens(c: Column) -> Column:
 
 
 def _windows(tokens: Column, n: int, join) -> Column:
-    """Apply ``join`` to each run of ``n`` neighbouring tokens.
+    """Fold each run of ``n`` neighbouring tokens with ``join``.
 
-    ``tokens`` should be a plain column: it is read inside the lambda.
+    Shifted slices are zipped, so no lambda reads the token array itself:
+    wherever the optimizer moves the expression, the work stays linear.
     """
-    heads = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0)))
-    return F.transform(heads, lambda x, i: join(x, *[F.get(tokens, i + k) for k in range(1, n)]))
+    m = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+    out = F.slice(tokens, F.lit(1), m)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(tokens, F.lit(k + 1), m), join)
+    return out
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    if n == 1:
-        return tokens
-    return _windows(tokens, n, lambda *w: F.concat_ws(" ", *w))
+    return _windows(tokens, n, lambda a, b: F.concat_ws(" ", a, b))
 
 
 def ngram_hashes(tokens: Column, n: int) -> Column:
     """64-bit hash of each n-gram: what set operations at scale run on."""
-    return _windows(tokens, n, lambda *w: F.xxhash64(*w))
+    return _windows(F.transform(tokens, lambda t: F.xxhash64(t)), n, lambda a, b: F.xxhash64(a, b))
 
 
 def char_ngram_hashes(text: Column, n: int) -> Column:
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - F.lit(n - 1), F.lit(1)))
-    grams = F.transform(starts, lambda i: F.xxhash64(F.substring(text, i, F.lit(n))))
-    return F.when(F.length(text) < n, F.array().cast("array<bigint>")).otherwise(grams)
+    chars = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
+    return ngram_hashes(F.filter(chars, lambda c: c != ""), n)
 
 
 def strip_framing(c: Column) -> Column:

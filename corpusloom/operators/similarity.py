@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
+from corpusloom.sources.storage import materialized
 
 _MATCH_CHUNK = 4_000_000
 
@@ -33,13 +34,13 @@ def word_shingles(df: DataFrame, id_col: str, group: str, text: str, tokens: str
     """(id, grp, sh, n): sorted distinct n-gram hashes of each row."""
     toks = T.space_tokens(T.normalize_key(F.col(text))) if tokens == "space" else T.alnum_tokens(F.col(text))
     rows = df.select(F.col(id_col).alias("id"), F.col(group).alias("grp"), toks.alias("tok"))
-    rows = rows.select("id", "grp", F.array_sort(F.array_distinct(T.ngram_hashes(F.col("tok"), n))).alias("sh"))
+    rows = rows.select("id", "grp", F.sort_array(F.array_distinct(T.ngram_hashes(F.col("tok"), n))).alias("sh"))
     return rows.select("id", "grp", "sh", F.size("sh").alias("n"))
 
 
 def char_shingles(df: DataFrame, id_col: str, text: str, n: int = 3) -> DataFrame:
     rows = df.select(F.col(id_col).alias("id"), T.normalize_key(F.col(text)).alias("txt"))
-    rows = rows.select("id", F.array_sort(F.array_distinct(T.char_ngram_hashes(F.col("txt"), n))).alias("sh"))
+    rows = rows.select("id", F.sort_array(F.array_distinct(T.char_ngram_hashes(F.col("txt"), n))).alias("sh"))
     return rows.select("id", F.lit(0).alias("grp"), "sh", F.size("sh").alias("n"))
 
 
@@ -47,13 +48,13 @@ def fold_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Fold rows with the same set in the same group.
 
     Returns (members: id, grp, key, n; classes: key, grp, sh, n, copies).  The
-    arrays are never shuffled by the grouping: it counts narrow rows, and the
-    representative's array is joined back.
+    sets are written once, because every later step reads them.  The grouping
+    counts narrow rows; the representative's array is joined back.
     """
-    keyed = sets.withColumn("key", F.xxhash64("grp", "sh"))
+    keyed = materialized(sets.withColumn("key", F.xxhash64("grp", "sh")), "shingles")
     narrow = keyed.select("id", "grp", "key", "n")
     counted = narrow.groupBy("grp", "key").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    classes = keyed.filter("n > 0").join(counted, ["grp", "key", "id"]).select("key", "grp", "sh", "n", "copies")
+    classes = keyed.join(counted, ["grp", "key", "id"]).select("key", "grp", "sh", "n", "copies")
     return narrow, classes
 
 
@@ -108,7 +109,8 @@ def overlap_matrix(left: pd.Series, right: pd.Series) -> np.ndarray:
 
 def _jaccard(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     inter = overlap_matrix(a["sh"], b["sh"]).astype(np.float64)
-    return inter / (a["n"].to_numpy()[:, None] + b["n"].to_numpy()[None, :] - inter)
+    union = a["n"].to_numpy()[:, None] + b["n"].to_numpy()[None, :] - inter
+    return inter / np.maximum(union, 1.0)
 
 
 def _best_and_sum(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -207,14 +209,15 @@ def max_peer_similarity(
         classes.select("grp", "key", "n", "copies")
         .join(frequent.select("key", "grp", F.size("fs").alias("nf")), ["grp", "key"], "left")
         .join(by_index, "key", "left")
-        .select("grp", "key", "copies", F.coalesce("best", F.lit(0.0)).alias("best"),
-                (F.coalesce("nf", F.lit(0)) / F.col("n")).alias("bound"))
+        .select("grp", "key", "copies", "n", F.coalesce("best", F.lit(0.0)).alias("best"),
+                (F.coalesce("nf", F.lit(0)) / F.greatest(F.col("n"), F.lit(1))).alias("bound"))
     )
     unsettled = status.filter((F.col("copies") == 1) & (F.col("best") < F.col("bound")))
     scanned = _block_scan(classes, unsettled, block_rows).select("key", F.col("best").alias("scan"))
     final = status.join(scanned, "key", "left").select(
         "grp", "key",
-        F.when(F.col("copies") > 1, F.lit(1.0)).otherwise(F.greatest("best", F.coalesce("scan", F.lit(0.0)))).alias("sim"),
+        F.when((F.col("copies") > 1) & (F.col("n") > 0), F.lit(1.0))
+        .otherwise(F.greatest("best", F.coalesce("scan", F.lit(0.0)))).alias("sim"),
     )
     return members.join(final, ["grp", "key"], "left").select("id", F.coalesce("sim", F.lit(0.0)).alias("sim"))
 
@@ -234,16 +237,14 @@ def peer_profile(
 
     members, classes = fold_copies(word_shingles(df, id_col, group, text, tokens, n))
     scan = _block_scan(classes, None, block_rows)
-    per_class = classes.select("grp", "key", "copies").join(scan, "key", "left")
+    per_class = classes.select("grp", "key", "n", "copies").join(scan, "key", "left")
     sizes = members.groupBy("grp").agg(F.count("*").alias("rows"))
-    empties = members.filter("n = 0").groupBy("grp").agg(F.count("*").alias("w")).select(
-        "grp", "w", F.lit(0.0).alias("mx"), F.lit(0.0).alias("sm")
-    )
+    full = F.col("n") > 0  # rows without a shingle have similarity 0 to everything
     weighted = per_class.select(
         "grp", F.col("copies").alias("w"),
-        F.when(F.col("copies") > 1, F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("mx"),
-        (F.coalesce("total", F.lit(0.0)) + F.col("copies") - 1).alias("sm"),
-    ).unionByName(empties)
+        F.when(full & (F.col("copies") > 1), F.lit(1.0)).otherwise(F.coalesce("best", F.lit(0.0))).alias("mx"),
+        F.when(full, F.coalesce("total", F.lit(0.0)) + F.col("copies") - 1).otherwise(F.lit(0.0)).alias("sm"),
+    )
     weighted = weighted.join(sizes, "grp").select(
         "grp", "w", "rows", T.round_to(F.col("mx"), 9).alias("mx"),
         T.round_to(F.when(F.col("rows") > 1, F.col("sm") / (F.col("rows") - 1)).otherwise(0.0), 9).alias("mn"),
@@ -324,7 +325,7 @@ def minhash_bands(classes: DataFrame, permutations: int = 128, bands: int = 16,
                     }
                 )
 
-    return classes.select("key", "sh").mapInPandas(kernel, "key long, band int, bucket long")
+    return classes.filter(F.size("sh") > 0).select("key", "sh").mapInPandas(kernel, "key long, band int, bucket long")
 
 
 def near_duplicate_edges(
@@ -348,14 +349,6 @@ def near_duplicate_edges(
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the cluster names."""
-    from corpusloom.sources.storage import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(key, comp): smallest key reachable over undirected edges.
 
@@ -364,7 +357,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     (node, minimum) row per node, so the neighbours of a hub are never gathered
     in one place and a skewed join side can be split.
     """
-    cur = checkpointed(edges.select("a", "b").filter("a <> b").distinct())
+    cur = materialized(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     if cur.isEmpty():
         return cur.select(F.col("a").alias("key"), F.col("b").alias("comp"))
 
@@ -386,7 +379,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                                       F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b").filter("a <> b").distinct()
         )
-        nxt = checkpointed(small)
+        nxt = materialized(small, "edges")
         same = nxt.join(cur, ["a", "b"], "left_anti").isEmpty() and cur.join(nxt, ["a", "b"], "left_anti").isEmpty()
         cur = nxt
         if same:
@@ -407,7 +400,6 @@ def near_duplicates(
     Kept is the best score, then the smallest id.
     """
     members, classes = fold_copies(char_shingles(df, id_col, text))
-    classes = checkpointed(classes)
     comps = connected_components(near_duplicate_edges(classes, threshold, permutations, bands))
     scores = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score"))
     grouped = (

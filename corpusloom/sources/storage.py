@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
 
@@ -19,10 +19,26 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared folder and read back.
+
+    Cuts lineage and saves recomputation where one result feeds several
+    branches; as a table it survives lost executors and allows column pruning.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on input that arrives in fewer partitions than there are cores.
+
+    Text work is CPU bound, and a small file is one scan task.  Input that is
+    already split widely enough is left alone: no shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -21,7 +21,7 @@ def session(cpus: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("corpusloom-check")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
