@@ -1 +1,151 @@
+"""SRC and SNK: sources, sinks and round trips through files."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusloom.catalog import bindings as B
+from corpusloom.catalog.base import query, s_hash, s_words
+from corpusloom.functions import text as T
+from corpusloom.sources import files, grids, pools
+from corpusloom.sources.storage import new_folder
+
+# --- SRC ---------------------------------------------------------------------------------
+
+
+def grid(spark, sf):
+    """Scenes as a sparse sheet: title and header rows, L1 on the first row of each block, a total row."""
+    s = B.scenes(spark, sf)
+    order = s.groupBy("l1_scene").agg(F.min("idx").alias("first"))
+    rows = s.join(order, "l1_scene").select(
+        (F.col("first") * 100 + F.floor(F.col("idx") / 5) + 10).cast("long").alias("row_id"),
+        F.array(
+            F.when(F.col("idx") == F.col("first"), F.concat(F.lit(" "), "l1_scene")).otherwise(""),
+            F.col("l2_scene_raw"), F.format_number(F.col("target_count") * 100, 0),
+        ).alias("cells"),
+    )
+    fixed = spark.createDataFrame(
+        [(1, ["需求表", "", ""]), (2, ["一级场景 ", "二级场景", "预计数量"]), (3, ["一级场景", "二级场景", ""]), (999999, ["合计", "总计", "1"])],
+        "row_id long, cells array<string>",
+    )
+    return fixed.unionByName(rows)
+
+
+@query("src01_grid_to_taxonomy", f"""WITH {B.SCN}, f AS (SELECT l1_scene, min(idx) AS first FROM scn GROUP BY 1)
+SELECT (first * 100 + idx // 5 + 10)::BIGINT AS source_row_id, l1_scene, l2_scene_label, array_to_string(l2_scene_examples, '|') AS examples, array_to_string(candidates, '|') AS candidates,
+  (target_count * 100)::DOUBLE AS target_count FROM scn JOIN f USING (l1_scene)""")
+def src01(spark, sf):
+    out = grids.taxonomy_from_grid(grid(spark, sf))
+    return out.select(
+        "source_row_id", "l1_scene", "l2_scene_label", F.array_join("l2_scene_examples", "|").alias("examples"),
+        F.array_join("candidates", "|").alias("candidates"), "target_count",
+    )
+
+
+def staged_records(spark, sf):
+    """documents as JSON lines in which some lines are cut off, failed or blank."""
+    i = F.col("doc_id")
+    rec = F.to_json(F.struct(
+        i.cast("string").alias("id"), F.when(i % 4 != 0, F.col("lang")).otherwise("").alias("l1_scene"), F.col("source").alias("l2_scene_label"),
+        F.when(i % 5 != 0, F.lit("k")).alias("corpus_l2_key"), F.when(i % 9 == 0, "  \n").otherwise(F.col("text")).alias("query_text"),
+        F.when(i % 3 != 0, F.col("n_chars")).alias("word_count"), F.when(i % 11 == 0, "TIMEOUT").alias("error"),
+    ))
+    line = F.when(i % 10 == 0, F.concat(F.lit('{"id": '), F.substring(rec, 8, 40))).otherwise(rec)
+    path = new_folder(spark, "lines")
+    B.table(spark, sf, "documents").select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("src02_read_json_lines", """SELECT doc_id::VARCHAR AS id, CASE WHEN doc_id % 4 = 0 OR lang = '' THEN '(unknown)' ELSE lang END AS l1_scene, source AS l2_scene_label,
+  CASE WHEN doc_id % 5 = 0 THEN '(unknown)' ELSE 'k' END AS corpus_l2_key, '(none)' AS corpus_persona_id, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE n_chars END AS word_count, md5(text) AS text_md5
+FROM documents WHERE doc_id % 10 <> 0 AND doc_id % 9 <> 0 AND doc_id % 11 <> 0""")
+def src02(spark, sf):
+    rows = files.read_records(spark, staged_records(spark, sf))
+    return rows.select("id", "l1_scene", "l2_scene_label", "corpus_l2_key", "corpus_persona_id", "word_count", F.md5("query_text").alias("text_md5"))
+
+
+RUNS = [("run_a", "v1", "click"), ("run_b", "v2", "web"), ("run_c", "v3", "mobile")]
+
+
+@query("src03_union_of_runs", f"""WITH {B.EREC}, r AS (SELECT *, id % 3 AS m FROM erec WHERE error IS NULL)
+SELECT id::VARCHAR AS id, 'v' || (m + 1) AS version, CASE WHEN id % 2 = 0 THEN platform ELSE (['click', 'web', 'mobile'])[1 + m] END AS platform FROM r""")
+def src03(spark, sf):
+    r = B.run_records(spark, sf)
+    own = F.when(F.col("id") % 2 == 0, F.col("platform"))
+    rows = r.select(F.col("id").cast("string").alias("id"), "query_text", "error", "word_count", own.alias("platform"), B.nth([d for d, _, _ in RUNS], F.col("id") % 3).alias("run"))
+    root = new_folder(spark, "runs")
+    for d, _, _ in RUNS:
+        files.write_json_lines(rows.filter(F.col("run") == d).drop("run"), f"{root}/{d}")
+    return files.read_runs(spark, RUNS, root).select("id", "version", "platform")
+
+
+@query("src04_nested_pool", f"WITH {B.POOL} SELECT l2, l2 || ' full' AS l2full, topic, row_number() OVER (PARTITION BY l2 ORDER BY pos) - 1 AS pos FROM pool")
+def src04(spark, sf):
+    cells = B.pool(spark, sf).groupBy("l2").agg(F.sort_array(F.collect_list(F.struct("pos", "topic"))).alias("t"))
+    cell = F.struct(F.concat("l2", F.lit(" full")).alias("l2full"), F.transform("t", lambda x: x["topic"]).alias("topics"))
+    nested = cells.select(F.to_json(F.map_from_arrays(F.array("l2"), F.array(cell))).alias("json"))
+    return pools.explode_pool(nested, "json")
+
+
+@query("src05_first_human_turn", r"""WITH f AS (SELECT conv_id, coalesce(arg_min(text, turn) FILTER (WHERE role = 'user'), arg_min(text, turn)) AS t FROM conversations WHERE text <> '' GROUP BY 1)
+SELECT 'conv_' || CASE WHEN conv_id < 10000 THEN lpad(conv_id::VARCHAR, 4, '0') ELSE conv_id::VARCHAR END AS id, 'conv' AS source, md5(regexp_replace(t, '^\s+|\s+$', '', 'g')) AS text_md5 FROM f""")
+def src05(spark, sf):
+    first = pools.first_turn(B.table(spark, sf, "conversations"), "conv_id", "turn", "role", "text")
+    return pools.as_samples(first, "conv", "conv_id", F.col("text")).select("id", "source", F.md5("text").alias("text_md5"))
+
+
+@query("src06_batch_outputs", f"""WITH {B.EREC}, {B.OUTS} SELECT id, CASE WHEN id % 4 = 0 AND query_text <> '' THEN 'later text for ' || id ELSE query_text END AS query_text FROM outs""")
+def src06(spark, sf):
+    """Two rounds of batch files; the later file wins."""
+    outs = B.batch_outputs(spark, sf)
+    later = outs.filter("id % 4 = 0 and trim(query_text) <> ''").select("id", F.concat(F.lit(" later text for "), F.col("id").cast("string")).alias("query_text"))
+    root = new_folder(spark, "batches")
+    for name, part in (("round_1", outs), ("round_2", later)):
+        packed = files.pack_batches(part.withColumn("platform", F.lit("web")), ["platform"], "id", 50)
+        files.write_batches(packed, ["platform"], ["id", "query_text"], f"{root}/{name}")
+    return files.read_batch_outputs(spark, root, "id long, query_text string")
+
+
+# --- SNK -----------------------------------------------------------------------------------
+
+
+@query("snk01_json_lines_round_trip", "SELECT event_id AS id, event_type AS platform, value, props FROM events")
+def snk01(spark, sf):
+    path = new_folder(spark, "jsonl")
+    rows = B.table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("platform"), "value", "props")
+    files.write_json_lines(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+@query("snk02_csv_round_trip", r"""SELECT doc_id::VARCHAR AS id, md5(regexp_replace('Prefix: ' || regexp_replace(text, '^\s+|\s+$', '', 'g'), '\r\n|\n|\r', ' ', 'g')) AS prompt_md5 FROM documents""")
+def snk02(spark, sf):
+    path = new_folder(spark, "csv")
+    files.write_csv(files.csv_projection(B.table(spark, sf, "documents"), "doc_id", "text", "Prefix:"), path)
+    return files.read_csv(spark, path, "id string, prompt string").select("id", F.md5("prompt").alias("prompt_md5"))
+
+
+@query("snk03_upsert_tables", f"""WITH {B.REC}, u AS (SELECT id, created_at, 'old' AS batch, target_complexity FROM rec WHERE id % 3 <> 0 AND id % 2 <> 0 UNION ALL SELECT id, '2024-02-01', 'new', 'complex' FROM rec WHERE id % 2 = 0),
+n AS (SELECT count(*) AS c FROM rec WHERE id % 2 = 0)
+SELECT 'queries' AS tbl, id::VARCHAR AS id, created_at, batch AS detail FROM u
+UNION ALL SELECT 'generation_runs', 'run_' || substr(sha1('2024-02-01:' || c || ':persona-fallback'), 1, 10), '2024-02-01', c::VARCHAR FROM n""")
+def snk03(spark, sf):
+    r = B.records(spark, sf).select("id", "created_at", F.lit("old").alias("batch"), "target_complexity")
+    incoming = r.filter("id % 2 = 0").withColumn("created_at", F.lit("2024-02-01")).withColumn("batch", F.lit("new")).withColumn("target_complexity", F.lit("complex"))
+    path = new_folder(spark, "queries")
+    files.save_table(files.upsert(r.filter("id % 3 <> 0"), incoming, "id"), path, ["batch"])
+    stored = spark.read.parquet(path)
+    log = files.run_log_row(incoming, "persona-fallback", F.col("created_at"))
+    return stored.select(F.lit("queries").alias("tbl"), F.col("id").cast("string").alias("id"), "created_at", F.col("batch").alias("detail")).unionByName(
+        log.select(F.lit("generation_runs").alias("tbl"), "id", "created_at", F.col("total_generated").cast("string").alias("detail"))
+    )
+
+
+@query("snk04_ordered_view", f"WITH {B.REC} SELECT id, created_at, target_complexity, product_type FROM rec")
+def snk04(spark, sf):
+    r = B.records(spark, sf).select("id", "created_at", "target_complexity", "product_type")
+    return files.ordered_view(r, "created_at", "id")
+
+
+@query("snk05_pack_batches", f"""WITH {B.REC}, n AS (SELECT id, l1, row_number() OVER (PARTITION BY l1 ORDER BY id) - 1 AS i FROM rec) SELECT id, l1, i // 25 + 1 AS batch, i % 25 AS slot FROM n""")
+def snk05(spark, sf):
+    return files.pack_batches(B.records(spark, sf).select("id", "l1"), ["l1"], "id", 25, span=500)

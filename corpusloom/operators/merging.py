@@ -179,9 +179,8 @@ def matrix_cells(cells: DataFrame, rows: str, cols: str, topics: str, overrides:
 
 def ablation_grid(scenes: DataFrame, methods: list[str], samples: int) -> DataFrame:
     """scene x method x sample as two fixed fan-outs."""
-    return scenes.withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods]))).withColumn(
-        "sample", F.explode(F.sequence(F.lit(1), F.lit(samples))).cast("long")
-    )
+    grid = scenes.withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
+    return grid.withColumn("sample", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(samples).cast("long"))))
 
 
 def rewrite_in_plan_order(existing: DataFrame, fresh: DataFrame, plan: DataFrame, id_col: str, order: str) -> DataFrame:
