@@ -1 +1,100 @@
+"""EM and ST: embeddings and incremental operators."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusloom.catalog import bindings as B
+from corpusloom.catalog.base import query, s_ratio, s_round
+from corpusloom.functions import text as T
+from corpusloom.operators import vectors as V
+from corpusloom.sources.storage import new_folder
+from corpusloom.streaming import incremental as I
+
+
+def emb(spark, sf):
+    return B.table(spark, sf, "embeddings").withColumn("label", F.col("label").cast("long"))
+
+
+def rounded(vec, digits=6):
+    return F.array_join(F.transform(vec, lambda x: F.format_number(T.round_to(x, digits), digits)), "|")
+
+
+UNIT = """un AS (SELECT vec_id, label::BIGINT AS label, list_transform(embedding, lambda x: x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)))) AS u FROM embeddings)"""
+
+
+@query("em01_l2_normalize", f"WITH {UNIT}, c AS (SELECT vec_id, generate_subscripts(u, 1) AS pos, unnest(u) AS v FROM un) SELECT vec_id, pos, {s_round('v', 6)} AS v FROM c")
+def em01(spark, sf):
+    cells = emb(spark, sf).select("vec_id", F.posexplode(V.l2_normalize(F.col("embedding"))).alias("p", "v"))
+    return cells.select("vec_id", (F.col("p") + 1).cast("long").alias("pos"), T.round_to(F.col("v"), 6).alias("v"))
+
+
+@query("em02_mean_pool", f"""WITH c AS (SELECT label::BIGINT AS label, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings WHERE vec_id % 5 <> 0)
+SELECT label, pos, {s_round('avg(v)', 6)} AS m, count(*) AS rows FROM c GROUP BY 1, 2""")
+def em02(spark, sf):
+    pooled = V.mean_pool(emb(spark, sf), "label", "embedding", F.col("vec_id") % 5 != 0)
+    cells = pooled.select("label", "rows", F.posexplode("mean").alias("p", "m"))
+    return cells.select("label", (F.col("p") + 1).cast("long").alias("pos"), T.round_to(F.col("m"), 6).alias("m"), "rows")
+
+
+@query("em03_pca")
+def em03(spark, sf):
+    pcs = V.project(emb(spark, sf), "vec_id", "embedding", 3)
+    return pcs.select("vec_id", *[F.abs(F.get("pcs", F.lit(i))).alias(f"pc{i + 1}") for i in range(3)])
+
+
+@query("em04_min_max_rescale", f"""WITH v AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, 5e0 AS flat FROM embeddings), b AS (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM v)
+SELECT vec_id, {s_round('2 * (x - lx) / (hx - lx) - 1', 4)} AS x, {s_round('2 * (y - ly) / (hy - ly) - 1', 4)} AS y, -1e0 AS flat FROM v, b""")
+def em04(spark, sf):
+    v = emb(spark, sf).select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"), F.lit(5.0).alias("flat"))
+    return V.min_max_rescale(v, ["x", "y", "flat"])
+
+
+STRUCT = f"""{UNIT}, uc AS (SELECT label, generate_subscripts(u, 1) AS pos, unnest(u) AS v FROM un), mc AS (SELECT label, pos, avg(v) AS m FROM uc GROUP BY 1, 2), ml AS (SELECT label, list(m ORDER BY pos) AS m FROM mc GROUP BY 1),
+ce AS (SELECT label, list_transform(m, lambda x: x / sqrt(list_sum(list_transform(m, lambda y: y * y)))) AS c FROM ml),
+si AS (SELECT un.vec_id, un.label, ce.label AS cl, list_sum(list_transform(range(1, len(u) + 1), lambda i: u[i] * c[i])) AS sim FROM un, ce),
+st AS (SELECT vec_id, label, max(sim) FILTER (WHERE cl = label) AS own_sim, max(sim) FILTER (WHERE cl <> label) AS other_sim, arg_max(cl, sim) FILTER (WHERE cl <> label) AS other_label FROM si GROUP BY 1, 2)"""
+
+
+@query("em05_label_structure", f"WITH {STRUCT} SELECT vec_id, label, {s_round('own_sim', 5)} AS own_sim, {s_round('other_sim', 5)} AS other_sim, other_label FROM st")
+def em05(spark, sf):
+    s = V.label_structure(emb(spark, sf), "vec_id", "label", "embedding")
+    return s.select("vec_id", "label", T.round_to(F.col("own_sim"), 5).alias("own_sim"), T.round_to(F.col("other_sim"), 5).alias("other_sim"), "other_label")
+
+
+@query("em05_label_purity", f"WITH {STRUCT} SELECT label, count(*) AS rows, {s_round('avg(own_sim)', 5)} AS mean_own, {s_round('avg(other_sim)', 5)} AS mean_other, {s_ratio('count(*) FILTER (WHERE own_sim > other_sim)', 'count(*)')} AS share_own_nearest FROM st GROUP BY 1")
+def em05_purity(spark, sf):
+    return V.label_purity(emb(spark, sf), "vec_id", "label", "embedding")
+
+
+@query("em06_label_distribution", "SELECT CASE WHEN label % 4 = 0 THEN '—' ELSE label::VARCHAR END AS label, count(*) AS n FROM embeddings GROUP BY 1")
+def em06(spark, sf):
+    label = F.when(F.col("label") % 4 != 0, F.col("label").cast("string"))
+    return emb(spark, sf).groupBy(F.coalesce(label, F.lit("—")).alias("label")).agg(F.count("*").alias("n"))
+
+
+def stream_of(spark, sf, name):
+    """A given table as a file stream."""
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+@query("st01_append_once", "SELECT event_id AS id, event_type AS platform, value FROM events")
+def st01(spark, sf):
+    """Every third event is replayed; each id is stored once."""
+    e = stream_of(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("platform"), "value", F.col("ts").cast("timestamp").alias("ts"))
+    copies = F.when(F.col("id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    replayed = e.withColumn("copy", F.explode(copies)).drop("copy")
+    root = new_folder(spark, "stream")
+    I.append_finished(replayed, "id", "ts", f"{root}/out", f"{root}/checkpoint", "40 days")
+    return spark.read.parquet(f"{root}/out").select("id", "platform", "value")
+
+
+@query("st02_running_usage", f"WITH {B.USAGE} SELECT * FROM usg")
+def st02(spark, sf):
+    li = stream_of(spark, sf, "lineitem").select("l_partkey")
+    p = B.table(spark, sf, "part").select("p_partkey", "p_brand")
+    used = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_brand").alias("l2"), F.col("l_partkey").cast("string").alias("topic"))
+    root = new_folder(spark, "usage")
+    I.track_usage(used, "l2", "topic", f"{root}/out", f"{root}/checkpoint")
+    return I.current_usage(spark, f"{root}/out")

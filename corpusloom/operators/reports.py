@@ -285,7 +285,7 @@ def update_usage(state: DataFrame, records: DataFrame, l2: str, topic: str) -> D
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: list[str]) -> DataFrame:
-    wide = df.groupBy(row).pivot(col, values).agg(F.count("*"))
+    wide = df.groupBy(row).pivot(col, values).agg(F.count(F.lit(1)))
     return wide.select(row, *[F.coalesce(F.col(v), F.lit(0)).alias(v) for v in values])
 
 
