@@ -118,7 +118,9 @@ def allocate(scenes: DataFrame, total: Column | int, flat: bool = True, missing_
     goal = F.lit(total) if isinstance(total, int) else total
     rows = scenes.withColumn("_w", weight).withColumn("_goal", goal)
     rows = rows.withColumn("_sum", F.sum("_w").over(everything))
-    rows = rows.withColumn("_raw", F.col("_w") / F.when(F.col("_sum") == 0, 1.0).otherwise(F.col("_sum")) * F.col("_goal"))
+    share = F.col("_w") / F.when(F.col("_sum") == 0, 1.0).otherwise(F.col("_sum")) * F.col("_goal")
+    # nine digits: equal shares stay ties whatever the order of the sum was
+    rows = rows.withColumn("_raw", T.round_to(share, 9))
     rows = rows.withColumn("_floor", F.floor("_raw"))
     rank = F.row_number().over(Window.orderBy(F.desc(F.col("_raw") - F.col("_floor")), "idx"))
     left = F.col("_goal") - F.sum("_floor").over(everything)
