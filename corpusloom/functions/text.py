@@ -255,13 +255,13 @@ def translate_label(c: Column, table=fv.LABEL_TRANSLATIONS, empty: str = "the pr
     return F.when(text == "", F.lit(empty)).otherwise(text)
 
 
-def _swap_noun(c: Column, noun: str, new: str) -> Column:
-    """Replace a whole word, once per spelling: UPPER, Capitalised, anything else."""
-    upper = any_word([noun.upper()], ignore_case=False)
-    capital = NOT_AFTER_WORD + noun[0].upper() + "(?i:" + noun[1:] + ")" + NOT_BEFORE_WORD
-    c = F.regexp_replace(c, upper, new.upper())
-    c = F.regexp_replace(c, capital, new.capitalize())
-    return F.regexp_replace(c, any_word([noun]), new)
+def _swap_nouns(c: Column, nouns: list[str], new: str) -> Column:
+    """Replace whole words, once per spelling: UPPER, Capitalised, anything else."""
+    upper = any_word([n.upper() for n in nouns], ignore_case=False)
+    capital = any_word([n[0].upper() + "(?i:" + n[1:] + ")" for n in nouns], ignore_case=False)
+    for pattern, word in ((upper, new.upper()), (capital, new.capitalize()), (any_word(nouns), new)):
+        c = F.regexp_replace(c, pattern, word)
+    return c
 
 
 def rewrite_scope(c: Column) -> Column:
@@ -272,10 +272,8 @@ def rewrite_scope(c: Column) -> Column:
     )
     c = F.regexp_replace(or_empty(c), sized, "")
     c = F.regexp_replace(c, "[ \t]+", " ")
-    for noun in fv.PAGE_NOUNS:
-        c = _swap_noun(c, noun, "app")
-    for noun in fv.TOOL_NOUNS:
-        c = _swap_noun(c, noun, "tool")
+    c = _swap_nouns(c, fv.PAGE_NOUNS, "app")
+    c = _swap_nouns(c, fv.TOOL_NOUNS, "tool")
     c = F.regexp_replace(c, NOT_AFTER_WORD + f"a{WS}+app" + NOT_BEFORE_WORD, "an app")
     c = F.regexp_replace(c, NOT_AFTER_WORD + f"an{WS}+tool" + NOT_BEFORE_WORD, "a tool")
     return trim_ws(c)

@@ -13,7 +13,8 @@ copies of any size is one row in all the work that follows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -61,6 +62,45 @@ def fold_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- block kernel ----------------------------------------------------------------
 
 
+def _map_groups(df: DataFrame, keys: list[str], kernel: Callable[[pd.DataFrame], dict], schema: str) -> DataFrame:
+    """Run ``kernel`` on each run of equal keys.
+
+    Groups are many and small, so they are streamed in sorted partitions
+    instead of being handed to Python one by one.  Held in memory: one Arrow
+    batch and the group that is still open.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        held_key = None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            cols = [pdf[k].to_numpy() for k in keys]
+            new = np.ones(len(pdf), dtype=bool)
+            new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in cols])
+            starts = np.append(np.flatnonzero(new), len(pdf))
+            out = []
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                key = tuple(c[a] for c in cols)
+                if held and key != held_key:
+                    out.append(kernel(pd.concat(held) if len(held) > 1 else held[0]))
+                    held = []
+                held_key = key
+                held.append(pdf.iloc[a:b])
+            yield from _stacked(out)
+        if held:
+            yield from _stacked([kernel(pd.concat(held) if len(held) > 1 else held[0])])
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def _stacked(parts: list[dict]) -> Iterator[pd.DataFrame]:
+    full = [p for p in parts if p]
+    if full:
+        yield pd.DataFrame({k: np.concatenate([p[k] for p in full]) for k in full[0]})
+
+
 def _block_pairs(classes: DataFrame, block_rows: int) -> DataFrame:
     """Replicate each class to the block pairs it takes part in.
 
@@ -102,7 +142,7 @@ def overlap_matrix(left: pd.Series, right: pd.Series) -> np.ndarray:
         c = cnt[start:stop]
         within = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
         cols = ri[np.repeat(lo[start:stop], c) + within]
-        np.add.at(out, np.repeat(li[start:stop], c) * width + cols, 1)
+        out += np.bincount(np.repeat(li[start:stop], c) * width + cols, minlength=len(out))
         start = stop
     return out.reshape(len(left), width)
 
@@ -113,29 +153,29 @@ def _jaccard(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     return inter / np.maximum(union, 1.0)
 
 
-def _best_and_sum(pdf: pd.DataFrame) -> pd.DataFrame:
+def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
+    lo, hi = pdf["lo"].iat[0], pdf["hi"].iat[0]
+    if lo == hi:
+        return pdf, pdf, True
+    first = (pdf["blk"] == lo).to_numpy()
+    return pdf[first], pdf[~first], False
+
+
+def _best_and_sum(pdf: pd.DataFrame) -> dict:
     """Per class: largest similarity to, and copy-weighted sum over, other classes.
 
     ``probe`` marks classes that want an answer; the others are only compared to.
     """
-    same = pdf["lo"].iat[0] == pdf["hi"].iat[0]
-    a = pdf[pdf["blk"] == pdf["lo"].iat[0]]
-    b = a if same else pdf[pdf["blk"] == pdf["hi"].iat[0]]
-    if not len(a) or not len(b):
-        return pd.DataFrame({"key": [], "best": [], "total": []})
+    a, b, same = _sides(pdf)
     out = []
     for left, right in ((a, b),) if same else ((a, b), (b, a)):
-        asked = left[left["probe"]]
-        if not len(asked):
+        asked = left[left["probe"].to_numpy()]
+        if not len(asked) or not len(right):
             continue
         sim = _jaccard(asked, right)
         sim[asked["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = 0.0
-        out.append(
-            pd.DataFrame(
-                {"key": asked["key"].to_numpy(), "best": sim.max(axis=1), "total": sim @ right["copies"].to_numpy()}
-            )
-        )
-    return pd.concat(out) if out else pd.DataFrame({"key": [], "best": [], "total": []})
+        out.append((asked["key"].to_numpy(), sim.max(axis=1), sim @ right["copies"].to_numpy()))
+    return {n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("key", "best", "total"))} if out else {}
 
 
 def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -> DataFrame:
@@ -150,8 +190,7 @@ def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -
         flagged = _block_pairs(kept, block_rows).join(marks, ["key", "grp"], "left")
         flagged = flagged.withColumn("probe", F.coalesce("probe", F.lit(False)))
     return (
-        flagged.groupBy("grp", "lo", "hi")
-        .applyInPandas(_best_and_sum, "key long, best double, total double")
+        _map_groups(flagged, ["grp", "lo", "hi"], _best_and_sum, "key long, best double, total double")
         .groupBy("key")
         .agg(F.max("best").alias("best"), F.sum("total").alias("total"))
     )
@@ -162,18 +201,38 @@ def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -
 
 def max_peer_similarity(
     df: DataFrame, id_col: str, group: str, text: str, tokens: str = "space", n: int = 3,
-    rare: int = 64, block_rows: int = 512,
+    rare: int = 64, block_rows: int = 512, direct_rows: int = 2048,
 ) -> DataFrame:
     """(id, sim): largest n-gram Jaccard of each row to another row of its group.
 
-    Exact.  1. Copies score 1.  2. Shingles that occur in at most ``rare``
-    classes of the group find partners through an inverted index; partners are
-    verified on whole sets.  3. A partner the index cannot see shares frequent
+    Exact.  Copies score 1.  Groups of up to ``direct_rows`` classes are compared
+    in blocks: linear in the number of rows for a bounded group.  Larger groups
+    go through an inverted index first and send to blocks only the rows it
+    cannot settle.
+    """
+    members, classes = fold_copies(word_shingles(df, id_col, group, text, tokens, n))
+    sizes = classes.groupBy("grp").agg(F.count("*").alias("m"))
+    large = sizes.filter(F.col("m") > direct_rows).select("grp")
+    found = _block_scan(classes.join(large, "grp", "left_anti"), None, block_rows).select("key", F.col("best").alias("sim"))
+    if not large.isEmpty():
+        found = found.unionByName(_indexed_best(classes.join(large, "grp", "left_semi"), rare, block_rows))
+    copied = (F.col("copies") > 1) & (F.col("n") > 0)
+    final = classes.select("grp", "key", "n", "copies").join(found, "key", "left").select(
+        "grp", "key", F.when(copied, F.lit(1.0)).otherwise(F.coalesce("sim", F.lit(0.0))).alias("sim")
+    )
+    return members.join(final, ["grp", "key"], "left").select("id", F.coalesce("sim", F.lit(0.0)).alias("sim"))
+
+
+def _indexed_best(classes: DataFrame, rare: int, block_rows: int) -> DataFrame:
+    """(key, sim): largest similarity of each class to another class of its group.
+
+    1. Shingles that occur in at most ``rare`` classes of the group find
+    partners through an inverted index: bounded lists, so at most rare / 2
+    pairs per occurrence.  2. A partner the index cannot see shares frequent
     shingles only, so its similarity is at most (frequent shingles) / n.  Rows
     whose best partner is below that bound are compared with their group in
     blocks; for all others the index answer is already the maximum.
     """
-    members, classes = fold_copies(word_shingles(df, id_col, group, text, tokens, n))
     occ = classes.select("grp", "key", "n", F.explode("sh").alias("s"))
     freq = occ.groupBy("grp", "s").agg(F.count("*").alias("df"))
 
@@ -209,17 +268,12 @@ def max_peer_similarity(
         classes.select("grp", "key", "n", "copies")
         .join(frequent.select("key", "grp", F.size("fs").alias("nf")), ["grp", "key"], "left")
         .join(by_index, "key", "left")
-        .select("grp", "key", "copies", "n", F.coalesce("best", F.lit(0.0)).alias("best"),
+        .select("grp", "key", "copies", F.coalesce("best", F.lit(0.0)).alias("best"),
                 (F.coalesce("nf", F.lit(0)) / F.greatest(F.col("n"), F.lit(1))).alias("bound"))
     )
     unsettled = status.filter((F.col("copies") == 1) & (F.col("best") < F.col("bound")))
     scanned = _block_scan(classes, unsettled, block_rows).select("key", F.col("best").alias("scan"))
-    final = status.join(scanned, "key", "left").select(
-        "grp", "key",
-        F.when((F.col("copies") > 1) & (F.col("n") > 0), F.lit(1.0))
-        .otherwise(F.greatest("best", F.coalesce("scan", F.lit(0.0)))).alias("sim"),
-    )
-    return members.join(final, ["grp", "key"], "left").select("id", F.coalesce("sim", F.lit(0.0)).alias("sim"))
+    return status.join(scanned, "key", "left").select("key", F.greatest("best", F.coalesce("scan", F.lit(0.0))).alias("sim"))
 
 
 # --- peer profile ---------------------------------------------------------------------
@@ -267,14 +321,12 @@ def peer_profile(
 # --- near-duplicate groups -----------------------------------------------------------
 
 
-def _forest_edges(threshold: float):
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+def _forest_edges(threshold: float) -> Callable[[pd.DataFrame], dict]:
+    def kernel(pdf: pd.DataFrame) -> dict:
         """Edges of a spanning forest of the verified pairs of one block pair."""
-        same = pdf["lo"].iat[0] == pdf["hi"].iat[0]
-        a = pdf[pdf["blk"] == pdf["lo"].iat[0]]
-        b = a if same else pdf[pdf["blk"] == pdf["hi"].iat[0]]
-        if not len(a) or not len(b):
-            return pd.DataFrame({"a": [], "b": []})
+        a, b, _ = _sides(pdf)
+        if not len(a) or not len(b) or len(pdf) < 2:
+            return {}
         ii, jj = np.nonzero(_jaccard(a, b) >= threshold)
         ka, kb = a["key"].to_numpy(), b["key"].to_numpy()
         parent: dict[int, int] = {}
@@ -286,18 +338,21 @@ def _forest_edges(threshold: float):
             return x
 
         edges = []
-        for x, y in zip(ka[ii], kb[jj], strict=True):
+        for x, y in zip(ka[ii].tolist(), kb[jj].tolist(), strict=True):
             rx, ry = root(x), root(y)
             if rx != ry:
                 parent[max(rx, ry)] = min(rx, ry)
                 edges.append((min(x, y), max(x, y)))
-        return pd.DataFrame(edges, columns=["a", "b"])
+        if not edges:
+            return {}
+        found = np.array(edges, dtype=np.int64)
+        return {"a": found[:, 0], "b": found[:, 1]}
 
     return kernel
 
 
 def minhash_bands(classes: DataFrame, permutations: int = 128, bands: int = 16, seed: int = 7) -> DataFrame:
-    """(key, band, bucket): ``bands`` hashes of ``permutations / bands`` min-hashes each."""
+    """(key, n, band, bucket): ``bands`` hashes of ``permutations / bands`` min-hashes each."""
     rows = permutations // bands
     rng = np.random.default_rng(seed)
     mult = rng.integers(1, 2**61, size=permutations, dtype=np.uint64) | np.uint64(1)
@@ -312,20 +367,19 @@ def minhash_bands(classes: DataFrame, permutations: int = 128, bands: int = 16,
                     values = np.asarray(sh, dtype=np.int64).view(np.uint64)
                     low = np.full(permutations, np.iinfo(np.uint64).max, dtype=np.uint64)
                     for at in range(0, len(values), 4096):
-                        mixed = values[at : at + 4096, None] * mult + add
-                        mixed ^= mixed >> np.uint64(31)
-                        low = np.minimum(low, (mixed * mult).min(axis=0))
+                        low = np.minimum(low, (values[at : at + 4096, None] * mult + add).min(axis=0))
                     keys.append((low.reshape(bands, rows) * fold).sum(axis=1, dtype=np.uint64))
                 flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
                 yield pd.DataFrame(
                     {
                         "key": np.repeat(pdf["key"].to_numpy(), bands),
+                        "n": np.repeat(pdf["n"].to_numpy(), bands),
                         "band": np.tile(np.arange(bands, dtype=np.int32), len(pdf)),
                         "bucket": flat.view(np.int64),
                     }
                 )
 
-    return classes.filter(F.size("sh") > 0).select("key", "sh").mapInPandas(kernel, "key long, band int, bucket long")
+    return classes.filter(F.size("sh") > 0).select("key", "n", "sh").mapInPandas(kernel, "key long, n int, band int, bucket long")
 
 
 def near_duplicate_edges(
@@ -333,20 +387,22 @@ def near_duplicate_edges(
 ) -> DataFrame:
     """Verified edges (a, b) that connect classes with Jaccard >= threshold.
 
-    Min-hash bands propose buckets; every pair inside a bucket is verified on
-    whole sets in blocks, and a block pair returns a spanning forest, so a
-    bucket of k near-copies gives O(k) edges per block instead of k^2 pairs.
+    Min-hash bands propose buckets.  Jaccard >= t needs sizes within a factor t,
+    so a bucket is cut by logarithmic size class (each row joins its own class
+    and the next): no qualifying pair is lost and most false company is.  Every
+    pair of what remains is verified on whole sets in blocks, and a block pair
+    returns a spanning forest, so k near-copies give O(k) edges per block.
     """
-    banded = minhash_bands(classes, permutations, bands)
-    crowded = banded.groupBy("band", "bucket").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
-    placed = banded.join(crowded, ["band", "bucket"]).select("key", F.xxhash64("band", "bucket").alias("grp"))
-    work = placed.join(classes.select("key", "sh", "n", "copies"), "key")
-    return (
-        _block_pairs(work, block_rows)
-        .groupBy("grp", "lo", "hi")
-        .applyInPandas(_forest_edges(threshold), "a long, b long")
-        .distinct()
+    width = -math.log(threshold - 1e-9)
+    size_class = F.floor(F.log(F.col("n").cast("double")) / width)
+    banded = minhash_bands(classes, permutations, bands).select(
+        "key", F.explode(F.array(size_class, size_class + 1)).alias("cls"), "band", "bucket"
     )
+    banded = materialized(banded.select("key", F.xxhash64("band", "bucket", "cls").alias("grp")), "bands")
+    crowded = banded.groupBy("grp").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
+    work = banded.join(crowded, "grp").join(classes.select("key", "sh", "n", "copies"), "key")
+    pairs = _block_pairs(work, block_rows)
+    return _map_groups(pairs, ["grp", "lo", "hi"], _forest_edges(threshold), "a long, b long").distinct()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
