@@ -111,9 +111,8 @@ def _block_pairs(classes: DataFrame, block_rows: int) -> DataFrame:
     placed = classes.join(sizes, "grp").withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("oth")
     return placed.select("*", other).select(
-        "key", "grp", "sh", "n", "copies", "blk",
-        F.least("blk", "oth").alias("lo"), F.greatest("blk", "oth").alias("hi"),
-    )
+        *classes.columns, "blk", F.least("blk", "oth").alias("lo"), F.greatest("blk", "oth").alias("hi")
+    )
 
 
 def _flat(sets: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -327,7 +326,10 @@ def _forest_edges(threshold: float) -> Callable[[pd.DataFrame], dict]:
         a, b, _ = _sides(pdf)
         if not len(a) or not len(b) or len(pdf) < 2:
             return {}
-        ii, jj = np.nonzero(_jaccard(a, b) >= threshold)
+        near = _jaccard(a, b) >= threshold
+        if "comp" in pdf:  # rows that are connected already need no edge
+            near &= a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None, :]
+        ii, jj = np.nonzero(near)
         ka, kb = a["key"].to_numpy(), b["key"].to_numpy()
         parent: dict[int, int] = {}
 
@@ -382,27 +384,55 @@ def minhash_bands(classes: DataFrame, permutations: int = 128, bands: int = 16,
     return classes.filter(F.size("sh") > 0).select("key", "n", "sh").mapInPandas(kernel, "key long, n int, band int, bucket long")
 
 
-def near_duplicate_edges(
-    classes: DataFrame, threshold: float, permutations: int = 128, bands: int = 16, block_rows: int = 256
-) -> DataFrame:
-    """Verified edges (a, b) that connect classes with Jaccard >= threshold.
+def duplicate_cells(classes: DataFrame, threshold: float, permutations: int = 128, bands: int = 16) -> DataFrame:
+    """(key, grp): cells whose members may be near-duplicates.
 
-    Min-hash bands propose buckets.  Jaccard >= t needs sizes within a factor t,
-    so a bucket is cut by logarithmic size class (each row joins its own class
-    and the next): no qualifying pair is lost and most false company is.  Every
-    pair of what remains is verified on whole sets in blocks, and a block pair
-    returns a spanning forest, so k near-copies give O(k) edges per block.
+    A cell is a min-hash bucket cut by logarithmic size class.  Jaccard >= t
+    needs sizes within a factor t, so each row joins its own class and the
+    next: no qualifying pair of a bucket is lost, most false company is.
     """
     width = -math.log(threshold - 1e-9)
     size_class = F.floor(F.log(F.col("n").cast("double")) / width)
     banded = minhash_bands(classes, permutations, bands).select(
         "key", F.explode(F.array(size_class, size_class + 1)).alias("cls"), "band", "bucket"
     )
-    banded = materialized(banded.select("key", F.xxhash64("band", "bucket", "cls").alias("grp")), "bands")
-    crowded = banded.groupBy("grp").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
-    work = banded.join(crowded, "grp").join(classes.select("key", "sh", "n", "copies"), "key")
-    pairs = _block_pairs(work, block_rows)
-    return _map_groups(pairs, ["grp", "lo", "hi"], _forest_edges(threshold), "a long, b long").distinct()
+    return banded.select("key", F.xxhash64("band", "bucket", "cls").alias("grp"))
+
+
+def near_duplicate_components(
+    classes: DataFrame, threshold: float, permutations: int = 128, bands: int = 16, block_rows: int = 256
+) -> DataFrame:
+    """(key, comp): components of classes connected by verified Jaccard >= threshold.
+
+    1. Each cell is split into blocks of bounded size; its pivot (smallest key)
+    joins every block, and all pairs inside a block are verified on whole sets.
+    This is linear in the cell, and complete for cells of one block.
+    2. A larger cell whose members are one component by now can add nothing: a
+    crowd of near-copies ends here.  Only cells that still hold several
+    components compare their blocks with each other, and only across components.
+    A block returns a spanning forest, never its pairs.
+    """
+    cells = materialized(duplicate_cells(classes, threshold, permutations, bands), "cells")
+    crowded = cells.groupBy("grp").agg(F.count("*").alias("m"), F.min("key").alias("pivot")).filter("m > 1")
+    sets = classes.select("key", "sh", "n")
+    blocks = F.ceil(F.col("m") / F.lit(block_rows))
+    home = F.pmod(F.xxhash64("key"), blocks)
+    joins = F.when(F.col("key") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(home))
+    placed = cells.join(crowded, "grp").select("key", "grp", F.explode(joins).alias("blk"))
+    work = placed.join(sets, "key").withColumn("lo", F.col("blk")).withColumn("hi", F.col("blk"))
+    kernel, group = _forest_edges(threshold), ["grp", "lo", "hi"]
+    edges = materialized(_map_groups(work, group, kernel, "a long, b long").distinct(), "edges")
+    comps = connected_components(edges)
+
+    large = crowded.filter(F.col("m") > block_rows).select("grp")
+    if large.isEmpty():
+        return comps
+    members = cells.join(large, "grp").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    mixed = members.groupBy("grp").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
+    rest = members.join(mixed, "grp", "left_semi").join(sets, "key")
+    across = _map_groups(_block_pairs(rest, block_rows).filter("lo <> hi"), group, kernel, "a long, b long").distinct()
+    across = materialized(across, "edges")
+    return comps if across.isEmpty() else connected_components(edges.unionByName(across))
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -420,6 +450,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     def low(nodes: DataFrame) -> DataFrame:
         return nodes.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
+    def fingerprint(e: DataFrame):
+        return e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
+
+    state = fingerprint(cur)
     for _ in range(max_rounds):
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             cur.select(F.col("b").alias("u"), F.col("a").alias("v"))
@@ -436,9 +470,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .select("e.a", "e.b").filter("a <> b").distinct()
         )
         nxt = materialized(small, "edges")
-        same = nxt.join(cur, ["a", "b"], "left_anti").isEmpty() and cur.join(nxt, ["a", "b"], "left_anti").isEmpty()
+        before, state = state, fingerprint(nxt)
         cur = nxt
-        if same:
+        if state == before:
             break
     else:
         raise RuntimeError("components did not settle")
@@ -449,14 +483,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def near_duplicates(
     df: DataFrame, id_col: str, text: str, score: str, threshold: float = fv.NEAR_DUPLICATE_JACCARD,
-    permutations: int = 128, bands: int = 16,
+    permutations: int = 128, bands: int = 16, block_rows: int = 256,
 ) -> DataFrame:
     """(id, keep_id): members of each near-duplicate group and the row it keeps.
 
     Kept is the best score, then the smallest id.
     """
     members, classes = fold_copies(char_shingles(df, id_col, text))
-    comps = connected_components(near_duplicate_edges(classes, threshold, permutations, bands))
+    comps = near_duplicate_components(classes, threshold, permutations, bands, block_rows)
     scores = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score"))
     grouped = (
         members.join(comps, "key", "left")

@@ -2,7 +2,6 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusloom.operators import ranking as K
 from corpusloom.operators import similarity as S
@@ -136,10 +135,29 @@ def test_overlap_matrix_chunks(monkeypatch):
     assert S.overlap_matrix(a, b).tolist() == [[2, 0], [0, 0], [2, 0]]
 
 
-def test_edges_only_connect_similar_rows(spark):
-    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
-    df = spark.createDataFrame([(1, text), (2, text + " phi"), (3, text[::-1])], "id long, text string")
-    _, classes = S.fold_copies(S.char_shingles(df, "id", "text"))
-    edges = S.near_duplicate_edges(classes, 0.85)
-    assert edges.count() == 1
-    assert edges.agg(F.count_if(F.col("a") < F.col("b"))).first()[0] == 1
+def char_grams(t):
+    return {t[i : i + 3] for i in range(len(t) - 2)}
+
+
+@pytest.mark.parametrize("block_rows", [4, 256])
+def test_crowded_cells_match_brute_force(spark, block_rows):
+    """Many near-copies of two long texts, bridged and not, in blocks far smaller than the crowd."""
+    rng = random.Random(11)
+    alphabet = "abcdefghijklmnopqrstuvwxyz "
+    seeds = ["".join(rng.choice(alphabet) for _ in range(900)) for _ in range(3)]
+    rows = []
+    for i in range(60):
+        t = list(" ".join(seeds[i % 3].split()))
+        for _ in range(rng.randint(0, 14)):
+            t[rng.randrange(len(t))] = rng.choice(alphabet.strip())
+        rows.append((i, " ".join("".join(t).split()), 0.0))
+    df = spark.createDataFrame(rows, "id long, text string, score double")
+    got = {r["id"]: r["keep_id"] for r in S.near_duplicates(df, "id", "text", "score", block_rows=block_rows).collect()}
+    sets = {i: char_grams(t) for i, t, _ in rows}
+    comp = {i: i for i in sets}
+    for _ in sets:
+        for a, b in itertools.combinations(sets, 2):
+            if comp[a] != comp[b] and jac(sets[a], sets[b]) >= 0.85:
+                low, high = sorted((comp[a], comp[b]))
+                comp = {k: low if v == high else v for k, v in comp.items()}
+    assert got == comp
