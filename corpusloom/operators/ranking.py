@@ -104,6 +104,23 @@ def floor_quantiles(
     return picked.groupBy(*by).agg(*out)
 
 
+def profile_by_value(folded: DataFrame, by: list[str], value: str, weight: str, probs: dict[str, float], aggs: list[Column]) -> DataFrame:
+    """Floor-index quantiles and other aggregates of (value, weight) rows in one pass.
+
+    For values with few distinct levels (word counts): the window sees one row
+    per level.
+    """
+    total = F.sum(weight).over(Window.partitionBy(*by))
+    upto = F.sum(weight).over(Window.partitionBy(*by).orderBy(value))
+    rows = folded.withColumn("_n", total).withColumn("_upto", upto)
+
+    def at(p: float) -> Column:
+        i = _index_of(F.col("_n"), p)
+        return F.max(F.when((i < F.col("_upto")) & (i >= F.col("_upto") - F.col(weight)), F.col(value)))
+
+    return rows.groupBy(*by).agg(*[at(p).alias(name) for name, p in probs.items()], *aggs)
+
+
 def upper_median(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
     """``sorted[floor(n/2)]`` per group."""
     return floor_quantiles(df, by, value, {name: 0.5})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
-from corpusloom.operators.ranking import floor_quantiles, top_k
+from corpusloom.operators.ranking import profile_by_value, top_k
 
 
 def _label(c: str, blank: str | None) -> Column:
@@ -73,12 +73,15 @@ def complexity_stats(df: DataFrame, target: str, text: str, score: str, passed:
         _label(target, "unknown").alias("complexity"), T.word_count(F.col(text)).alias("words"),
         F.coalesce(F.col(score), F.lit(0.0)).alias("score"), ok.alias("ok"),
     )
-    base = rows.groupBy("complexity").agg(
-        F.count_if("ok").alias("passed"), F.count_if(~F.col("ok")).alias("failed"), F.count("*").alias("total"),
-        T.round_to(F.avg("score"), 2).alias("avg_score"), F.min("words").alias("wc_min"), F.max("words").alias("wc_max"),
-    )
-    base = base.withColumn("pass_pct", T.round_to(F.col("passed") * 100 / F.col("total"), 1))
-    return base.join(floor_quantiles(rows, ["complexity"], "words", {"wc_p50": 0.5}), "complexity")
+    folded = rows.groupBy("complexity", "words").agg(
+        F.count("*").alias("w"), F.count_if("ok").alias("p"), F.sum("score").alias("s")
+    )
+    aggs = [
+        F.sum("p").alias("passed"), (F.sum("w") - F.sum("p")).alias("failed"), F.sum("w").alias("total"),
+        T.round_to(F.sum("s") / F.sum("w"), 2).alias("avg_score"), F.min("words").alias("wc_min"), F.max("words").alias("wc_max"),
+        T.round_to(F.sum("p") * 100 / F.sum("w"), 1).alias("pass_pct"),
+    ]
+    return profile_by_value(folded, ["complexity"], "words", "w", {"wc_p50": 0.5}, aggs)
 
 
 def pass_by_dimension(df: DataFrame, style: str, l1: str, passed: str, persona_source: str) -> DataFrame:

@@ -413,7 +413,11 @@ def near_duplicate_components(
     A block returns a spanning forest, never its pairs.
     """
     cells = materialized(duplicate_cells(classes, threshold, permutations, bands), "cells")
-    crowded = cells.groupBy("grp").agg(F.count("*").alias("m"), F.min("key").alias("pivot")).filter("m > 1")
+    members_of = cells.groupBy("grp").agg(
+        F.count("*").alias("m"), F.min("key").alias("pivot"), F.bit_xor(F.xxhash64("key")).alias("sig")
+    )
+    # near-copies share many bands: cells with the same members are verified once
+    crowded = members_of.filter("m > 1").groupBy("m", "pivot", "sig").agg(F.min("grp").alias("grp")).select("grp", "m", "pivot")
     sets = classes.select("key", "sh", "n")
     blocks = F.ceil(F.col("m") / F.lit(block_rows))
     home = F.pmod(F.xxhash64("key"), blocks)
