@@ -26,6 +26,8 @@ from corpusloom.functions import text as T
 from corpusloom.sources.storage import materialized
 
 _MATCH_CHUNK = 4_000_000
+_DENSE_FROM = 500_000
+_DENSE_COLUMNS = 4096
 
 
 # --- shingle sets ----------------------------------------------------------------
@@ -132,6 +134,8 @@ def overlap_matrix(left: pd.Series, right: pd.Series) -> np.ndarray:
     hit = hi > lo
     li, lo, cnt = li[hit], lo[hit], (hi - lo)[hit]
     width = len(right)
+    if cnt.sum() > _DENSE_FROM:
+        return _dense_overlap(lv[hit], li, rv, ri, len(left), width)
     out = np.zeros(len(left) * width, dtype=np.int64)
     ends = np.cumsum(cnt)
     start = 0
@@ -146,6 +150,26 @@ def overlap_matrix(left: pd.Series, right: pd.Series) -> np.ndarray:
     return out.reshape(len(left), width)
 
 
+def _dense_overlap(lv: np.ndarray, li: np.ndarray, rv: np.ndarray, ri: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Many matches: products of 0/1 matrices over slices of the shared values (counts stay exact in float32)."""
+    order = np.argsort(lv, kind="stable")
+    lv, li = lv[order], li[order]
+    shared = np.unique(lv)
+    out = np.zeros((height, width), dtype=np.float64)
+    for at in range(0, len(shared), _DENSE_COLUMNS):
+        part = shared[at : at + _DENSE_COLUMNS]
+        sides = []
+        for values, rows, n in ((lv, li, height), (rv, ri, width)):
+            a, b = np.searchsorted(values, part[0], "left"), np.searchsorted(values, part[-1], "right")
+            col = np.searchsorted(part, values[a:b])
+            known = part[col] == values[a:b]
+            m = np.zeros((n, len(part)), dtype=np.float32)
+            m[rows[a:b][known], col[known]] = 1.0
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
 def _jaccard(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     inter = overlap_matrix(a["sh"], b["sh"]).astype(np.float64)
     union = a["n"].to_numpy()[:, None] + b["n"].to_numpy()[None, :] - inter

@@ -125,14 +125,22 @@ def test_result_is_independent_of_partition_count(spark, corpus):
     assert len(list(itertools.groupby(a))) == len(corpus)
 
 
-def test_overlap_matrix_chunks(monkeypatch):
+@pytest.mark.parametrize("dense_from", [0, 10**9])
+def test_overlap_matrix_chunks(monkeypatch, dense_from):
     import numpy as np
     import pandas as pd
 
     monkeypatch.setattr(S, "_MATCH_CHUNK", 3)
+    monkeypatch.setattr(S, "_DENSE_FROM", dense_from)
+    monkeypatch.setattr(S, "_DENSE_COLUMNS", 2)
     a = pd.Series([np.array([1, 2, 3]), np.array([], dtype=np.int64), np.array([3, 9])])
     b = pd.Series([np.array([2, 3, 9]), np.array([5])])
     assert S.overlap_matrix(a, b).tolist() == [[2, 0], [0, 0], [2, 0]]
+    rng = np.random.default_rng(0)
+    left = pd.Series([np.unique(rng.integers(-50, 50, 30)) for _ in range(9)])
+    right = pd.Series([np.unique(rng.integers(-50, 50, 30)) for _ in range(7)])
+    want = [[len(set(x) & set(y)) for y in right] for x in left]
+    assert S.overlap_matrix(left, right).tolist() == want
 
 
 def char_grams(t):
