@@ -120,7 +120,7 @@ def exact_top_k(
     part, nor do rows without an id; of several rows with one id the smallest
     vector counts; queries only meet vectors of their own length; a query with
     fewer than k candidates gets all of them; an empty table gives an empty result.
-    Scores beyond a long are held at its ends.
+    Scores beyond a long are held at its ends, where they tie.
     """
     spark = df.sparkSession
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
