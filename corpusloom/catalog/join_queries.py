@@ -127,7 +127,7 @@ def jn10(spark, sf):
     return both.select("id", "target_complexity", F.coalesce("query_variant", F.lit("anchor")).alias("variant"))
 
 
-RUN_NAMES = ["click", "view", "purchase"]
+RUN_NAMES = ["click", "view", "purchase", "login", "error"]
 
 
 @query("jn11_side_by_side_runs", """SELECT user_id, """ + ", ".join(f"coalesce(max(event_id::VARCHAR) FILTER (WHERE event_type = '{r}'), '(missing)') AS {r}" for r in RUN_NAMES) + " FROM events GROUP BY 1")
@@ -135,11 +135,11 @@ def jn11(spark, sf):
     return M.side_by_side(B.table(spark, sf, "events"), "user_id", "event_type", RUN_NAMES, "event_id")
 
 
-@query("jn12_matrix_cells", """WITH c AS (SELECT c_nationkey AS u, c_mktsegment AS t, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY 1, 2)
+@query("jn12_matrix_cells", """WITH c AS (SELECT c_nationkey AS u, c_mktsegment AS t, count(*) AS n FROM customer GROUP BY 1, 2)
 SELECT u, t, n, CASE WHEN u % 4 = 0 AND t IN ('BUILDING', 'MACHINERY') THEN 'curator' WHEN t = 'BUILDING' THEN 'planner' WHEN t = 'HOUSEHOLD' THEN 'operator' ELSE 'maker' END AS persona,
   row_number() OVER (ORDER BY u, t) AS cell_no FROM (SELECT u::BIGINT AS u, t, n FROM c WHERE n % 3 <> 0)""")
 def jn12(spark, sf):
-    c = B.table(spark, sf, "customer").filter("c_acctbal > 0").groupBy(F.col("c_nationkey").cast("long").alias("u"), F.col("c_mktsegment").alias("t")).agg(F.count("*").alias("n"))
+    c = B.table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("long").alias("u"), F.col("c_mktsegment").alias("t")).agg(F.count("*").alias("n"))
     cells = c.withColumn("topics", F.when(F.col("n") % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.col("t"))))
     n = B.table(spark, sf, "nation").filter("n_nationkey % 4 = 0")
     overrides = n.select(F.col("n_nationkey").cast("long").alias("u"), F.explode(F.array(F.lit("BUILDING"), F.lit("MACHINERY"))).alias("t"), F.lit("curator").alias("persona"))

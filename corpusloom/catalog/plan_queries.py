@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import bindings as B
 from corpusloom.catalog.base import query, s_distinct, s_hash, s_list, s_round, s_tags
-from corpusloom.catalog.text_queries import CAND_SQL, extra_ctes
+from corpusloom.catalog.text_queries import CAND_SQL, extra_ctes, s_lens_text
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
 from corpusloom.plans import sampling as S
@@ -208,24 +208,27 @@ def pl10(spark, sf):
     return plan.select("id", "application_type", "application_type_source", "product_type", "target_complexity", "design_style", "persona_seed")
 
 
-@query("pl10_candidate_records")
+@query("pl10_candidate_records", f"""WITH {B.SCN}, {FIVE_K}, {s_lens_text("(SELECT id, target_complexity AS lv, application_type AS app, product_type AS pt, NULLIF(design_style, 'free') AS st, l1_scene || ' ' || l2_scene_label || ' ' || application_type AS x, scene_id, i, target_complexity FROM ft)")}
+SELECT id, lens.name AS lens, 'persona_' || substr(sha1(id || ':' || substr(sha1(scene_id || ':' || app || ':' || pt || ':' || lv || ':' || i), 1, 10)), 1, 10) AS persona_id,
+  'User of ' || regexp_replace(app, '应用$', '') AS persona_title, query_text, length(query_text) AS query_length FROM lt""")
 def pl10_records(spark, sf):
     s = P.allocate(B.scenes(spark, sf), total_of(), missing_weight=1.0)
     return P.candidate_records(P.candidate_plan(s, "allocated")).select("id", "lens", "persona_id", "persona_title", "query_text", "query_length")
 
 
 # small parts are the pool (topic = name), larger parts are offered; names repeat a lot
-NAMED_POOL = "np AS (SELECT p_brand AS l2, p_name AS topic, p_partkey AS pos FROM part WHERE p_size <= 10 AND p_brand <> 'Brand#7')"
+NAMED_POOL = "np AS (SELECT p_brand AS l2, p_name AS topic, p_partkey AS pos FROM part WHERE p_size <= 10 AND p_brand NOT IN ('Brand#7', 'Brand#9'))"
 OFFER = "fr AS (SELECT p_brand AS l2, '  ' || upper(p_name) || '!' AS topic, p_partkey AS pos FROM part WHERE p_size > 10)"
-MERGE = f"""{NAMED_POOL}, {OFFER}, fk AS (SELECT l2, trim(topic) AS topic, pos, trim(regexp_replace(lower(topic), '[^a-z0-9一-鿿]+', ' ', 'g')) AS nk FROM fr WHERE l2 IN (SELECT l2 FROM np)),
+MERGE = f"""{NAMED_POOL}, {OFFER}, fk AS (SELECT l2, trim(topic) AS topic, pos, trim(regexp_replace(lower(topic), '[^a-z0-9一-鿿]+', ' ', 'g')) AS nk FROM fr WHERE l2 = 'Brand#9' OR l2 IN (SELECT l2 FROM np)),
 f1 AS (SELECT *, row_number() OVER (PARTITION BY l2, nk ORDER BY pos) AS r FROM fk), f2 AS (SELECT * FROM f1 WHERE r = 1 AND (l2, nk) NOT IN (SELECT (l2, trim(regexp_replace(lower(topic), '[^a-z0-9一-鿿]+', ' ', 'g'))) FROM np)),
-f3 AS (SELECT *, row_number() OVER (PARTITION BY l2 ORDER BY pos) AS rk FROM f2), rm AS (SELECT l2, greatest(0, 40 - count(*)) AS room FROM np GROUP BY 1),
+f3 AS (SELECT *, row_number() OVER (PARTITION BY l2 ORDER BY pos) AS rk FROM f2), rm AS (SELECT l2, greatest(0, 40 - count(*)) AS room FROM np GROUP BY 1 UNION ALL SELECT 'Brand#9', 40),
 mg AS (SELECT l2, topic, pos, 'pool' AS origin FROM np UNION ALL SELECT f3.l2, topic, pos + 1099511627776, 'new' FROM f3 JOIN rm USING (l2) WHERE rk <= room)"""
 
 
 def named_pool(spark, sf):
     p = B.table(spark, sf, "part")
-    pool = p.filter("p_size <= 10 and p_brand <> 'Brand#7'").select(F.col("p_brand").alias("l2"), F.col("p_name").alias("topic"), F.col("p_partkey").alias("pos"))
+    pool = p.filter("p_size <= 10 and p_brand not in ('Brand#7', 'Brand#9')").select(F.col("p_brand").alias("l2"), F.col("p_name").alias("topic"), F.col("p_partkey").alias("pos"))
+    pool = pool.unionByName(pool.select(F.lit("Brand#9").alias("l2"), F.lit(None).cast("string").alias("topic"), F.lit(None).cast("long").alias("pos")).limit(1))
     fresh = p.filter("p_size > 10").select(F.col("p_brand").alias("l2"), F.concat(F.lit("  "), F.upper("p_name"), F.lit("!")).alias("topic"), F.col("p_partkey").alias("pos"))
     return pool, fresh
 
@@ -235,14 +238,28 @@ def pl11(spark, sf):
     return O.merge_topics(*named_pool(spark, sf), 40)
 
 
-@query("pl11_merge_counts", f"WITH {MERGE}, o AS (SELECT l2, count(*) AS offered FROM fr GROUP BY 1), a AS (SELECT l2, count(*) FILTER (WHERE origin = 'new') AS added, count(*) AS pool_now FROM mg GROUP BY 1) SELECT l2, coalesce(offered, 0) AS offered, added, pool_now, coalesce(offered, 0) - added AS not_added FROM a LEFT JOIN o USING (l2)")
+# every offered topic in order: added if its key is new, dropped if not, unread once the cell is full
+@query("pl11_merge_counts", f"""WITH RECURSIVE {MERGE}, cell AS (SELECT l2, count(*) AS own FROM np GROUP BY 1 UNION ALL SELECT 'Brand#9', 0),
+o AS (SELECT fk.l2, pos, nk, own, (l2, nk) IN (SELECT (l2, trim(regexp_replace(lower(topic), '[^a-z0-9一-鿿]+', ' ', 'g'))) FROM np)
+    OR row_number() OVER (PARTITION BY l2, nk ORDER BY pos) > 1 AS dup FROM fk JOIN cell USING (l2)),
+r AS (SELECT *, own + coalesce(sum(CASE WHEN dup THEN 0 ELSE 1 END) OVER (PARTITION BY l2 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM o),
+a AS (SELECT l2, count(*) AS offered, count(*) FILTER (WHERE before < 40 AND NOT dup) AS added, count(*) FILTER (WHERE before < 40 AND dup) AS dropped,
+    count(*) FILTER (WHERE before >= 40) AS beyond_cap FROM r GROUP BY 1)
+SELECT l2, coalesce(offered, 0) AS offered, coalesce(added, 0) AS added, own + coalesce(added, 0) AS pool_now, coalesce(dropped, 0) AS dropped, coalesce(beyond_cap, 0) AS beyond_cap FROM cell LEFT JOIN a USING (l2)""")
 def pl11_counts(spark, sf):
     pool, fresh = named_pool(spark, sf)
-    return O.merge_counts(pool, fresh, O.merge_topics(pool, fresh, 40))
+    return O.merge_counts(pool, fresh, O.merge_topics(pool, fresh, 40), 40)
+
+
+@query("pl11_fill_to_target", f"""WITH {NAMED_POOL}, {OFFER}, bt2 AS (SELECT l2, topic, pos, 'pool' AS origin FROM np
+  UNION ALL SELECT l2, trim(topic), pos + 1099511627776, 'new' FROM fr WHERE (l2 = 'Brand#9' OR l2 IN (SELECT l2 FROM np)) AND (l2, lower(trim(topic))) NOT IN (SELECT (l2, lower(topic)) FROM np)),
+n AS (SELECT *, row_number() OVER (PARTITION BY l2 ORDER BY pos) AS rank FROM bt2) SELECT l2, topic, pos, origin, rank FROM n WHERE rank <= 40""")
+def pl11_fill(spark, sf):
+    return O.fill_to_target(*named_pool(spark, sf), 40)
 
 
 def topic_arrays(df):
-    return df.groupBy("l2").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
+    return df.filter("topic is not null").groupBy("l2").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
 
 
 @query("pl12_extend_topic_arrays", f"WITH {NAMED_POOL}, {OFFER}, a AS (SELECT l2, list_sort(list_distinct(list(topic))) AS t FROM np GROUP BY 1), b AS (SELECT l2, list_sort(list_distinct(list(topic))) AS t FROM fr WHERE l2 <> 'Brand#3' GROUP BY 1) SELECT l2, array_to_string(a.t || coalesce(b.t, []), '|') AS topics FROM a LEFT JOIN b USING (l2)")
@@ -252,16 +269,25 @@ def pl12(spark, sf):
     return out.select("l2", F.array_join("topics", "|").alias("topics"))
 
 
-@query("pl13_gap_worklist", f"WITH {B.POOL}, c AS (SELECT l2, count(*) AS current FROM pool GROUP BY 1) SELECT l2, current, 40 - current AS need FROM c WHERE current < 40")
+def with_empty_cells(spark, sf):
+    """The pool, and regions as cells without topics."""
+    pool = B.pool(spark, sf).select("l2", "topic", "pos")
+    return pool.unionByName(B.table(spark, sf, "region").select(F.col("r_name").alias("l2"), F.lit(None).cast("string").alias("topic"), F.lit(None).cast("long").alias("pos")))
+
+
+CELLS = f"{B.POOL}, c AS (SELECT l2, count(*) AS current, list(topic ORDER BY pos) AS t FROM pool GROUP BY 1 UNION ALL SELECT r_name, 0, [] FROM region)"
+
+
+@query("pl13_gap_worklist", f"WITH {CELLS} SELECT l2, current, 40 - current AS need FROM c WHERE current < 40")
 def pl13(spark, sf):
-    return O.gap_worklist(B.pool(spark, sf), 40)
+    return O.gap_worklist(with_empty_cells(spark, sf), 40)
 
 
-@query("pl13_expansion_prompts", f"""WITH {B.POOL}, c AS (SELECT l2, count(*) AS current, list(topic ORDER BY pos) AS t FROM pool GROUP BY 1)
-SELECT l2, 'web' AS platform, current, 40 - current AS need, md5('Add ' || (40 - current) || ' new web topics to the scene ' || l2 || '.' || chr(10) || 'Topics that exist already:' || chr(10) || array_to_string(list_transform(t, lambda x, i: i || '. ' || x), chr(10)) || chr(10)
+@query("pl13_expansion_prompts", f"""WITH {CELLS}
+SELECT l2, 'web' AS platform, current, 40 - current AS need, md5('Add ' || (40 - current) || ' new web topics to the scene ' || l2 || '.' || chr(10) || 'Topics that exist already:' || chr(10) || CASE WHEN current = 0 THEN '(none yet)' ELSE array_to_string(list_transform(t, lambda x, i: i || '. ' || x), chr(10)) END || chr(10)
   || 'Answer with a JSON array of ' || (40 - current) || ' strings.') AS prompt_md5 FROM c WHERE current < 40""")
 def pl13_prompts(spark, sf):
-    return O.expansion_prompts(B.pool(spark, sf), 40, "web").select("l2", "platform", "current", "need", F.md5("prompt").alias("prompt_md5"))
+    return O.expansion_prompts(with_empty_cells(spark, sf), 40, "web").select("l2", "platform", "current", "need", F.md5("prompt").alias("prompt_md5"))
 
 
 @query("pl14_seeded_sample", "SELECT doc_id, source FROM documents ORDER BY sha1('s1:' || doc_id), doc_id LIMIT 100")
@@ -299,7 +325,8 @@ def pl17(spark, sf):
     return joint(spark, sf).select("g", "o", T.round_to(F.col("weight"), 9).alias("weight"))
 
 
-@query("pl17_weighted_draws", f"""WITH {JOINT}, c AS (SELECT g, o, sum(weight) OVER (ORDER BY g, o) AS hi, weight FROM j), b AS (SELECT g, o, {s_round('hi - weight', 9)} AS lo, {s_round('hi', 9)} AS hi FROM c),
+@query("pl17_weighted_draws", f"""WITH {JOINT}, c AS (SELECT g, o, sum(w) OVER (ORDER BY g, o)::DOUBLE / sum(w) OVER ()::DOUBLE AS hi, sum(w) OVER (ORDER BY g, o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)::DOUBLE / sum(w) OVER ()::DOUBLE AS lo FROM (SELECT g, o, w1 * w2 * w3 AS w FROM f)),
+b AS (SELECT g, o, coalesce(lo, 0e0) AS lo, hi FROM c),
 d AS (SELECT o_orderkey AS draw, {s_hash("'d1:' || o_orderkey")} / 4294967296e0 AS u FROM orders) SELECT draw, g, o FROM d JOIN b ON u >= lo AND u < hi""")
 def pl17_draws(spark, sf):
     draws = B.table(spark, sf, "orders").select(F.col("o_orderkey").alias("draw"))

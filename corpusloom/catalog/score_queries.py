@@ -8,11 +8,13 @@ from corpusloom.catalog import bindings as B
 from corpusloom.catalog.base import query, s_any_word, s_clean, s_count, s_ratio, s_round, s_tokens, s_words
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
+from corpusloom.catalog.placing import placed
 from corpusloom.operators import lexical as L
 from corpusloom.operators import ranking as K
 from corpusloom.operators import reports as A
 from corpusloom.operators import scoring as Q
 from corpusloom.operators import similarity as S
+from corpusloom.sources import files
 
 
 def docs(spark, sf):
@@ -282,9 +284,9 @@ def so03(spark, sf):
     return B.table(spark, sf, "part").groupBy("p_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p_name").limit(12)
 
 
-@query("so04_newest_first", f"WITH {B.REC} SELECT created_at, id FROM rec ORDER BY created_at DESC, id LIMIT 50")
+@query("so04_newest_first", f"WITH {B.REC} SELECT created_at, id, row_number() OVER (ORDER BY created_at DESC, id) AS place FROM rec")
 def so04(spark, sf):
-    return B.records(spark, sf).select("created_at", "id").orderBy(F.desc("created_at"), "id").limit(50)
+    return placed(files.ordered_view(B.records(spark, sf).select("created_at", "id"), "created_at", "id"))
 
 
 @query("so05_set_operations", """WITH a AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'P'), c AS (SELECT c_custkey AS k FROM customer)

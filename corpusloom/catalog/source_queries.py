@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog import bindings as B
 from corpusloom.catalog.base import query, s_hash, s_words
+from corpusloom.catalog.placing import placed
 from corpusloom.functions import text as T
 from corpusloom.sources import files, grids, pools
 from corpusloom.sources.storage import new_folder
@@ -79,12 +80,18 @@ def src03(spark, sf):
     return files.read_runs(spark, RUNS, root).select("id", "version", "platform")
 
 
-@query("src04_nested_pool", f"WITH {B.POOL} SELECT l2, l2 || ' full' AS l2full, topic, row_number() OVER (PARTITION BY l2 ORDER BY pos) - 1 AS pos FROM pool")
+@query("src04_nested_pool", f"""WITH {B.POOL} SELECT l2, l2 || ' full' AS l2full, topic, row_number() OVER (PARTITION BY l2 ORDER BY pos) - 1 AS pos FROM pool
+UNION ALL SELECT r_name, r_name || ' full', '(none)', -1 FROM region""")
 def src04(spark, sf):
+    """Brands with their parts, and regions as cells whose topic list is empty or missing."""
     cells = B.pool(spark, sf).groupBy("l2").agg(F.sort_array(F.collect_list(F.struct("pos", "topic"))).alias("t"))
-    cell = F.struct(F.concat("l2", F.lit(" full")).alias("l2full"), F.transform("t", lambda x: x["topic"]).alias("topics"))
+    cells = cells.select("l2", F.transform("t", lambda x: x["topic"]).alias("topics"))
+    none = F.when(F.col("r_regionkey") % 2 == 0, F.array().cast("array<string>"))
+    cells = cells.unionByName(B.table(spark, sf, "region").select(F.col("r_name").alias("l2"), none.alias("topics")))
+    cell = F.struct(F.concat("l2", F.lit(" full")).alias("l2full"), "topics")
     nested = cells.select(F.to_json(F.map_from_arrays(F.array("l2"), F.array(cell))).alias("json"))
-    return pools.explode_pool(nested, "json")
+    out = pools.explode_pool(nested, "json")
+    return out.select("l2", "l2full", F.coalesce("topic", F.lit("(none)")).alias("topic"), F.coalesce("pos", F.lit(-1).cast("long")).alias("pos"))
 
 
 @query("src05_first_human_turn", r"""WITH f AS (SELECT conv_id, coalesce(arg_min(text, turn) FILTER (WHERE role = 'user'), arg_min(text, turn)) AS t FROM conversations WHERE text <> '' GROUP BY 1)
@@ -96,13 +103,19 @@ def src05(spark, sf):
 
 @query("src06_batch_outputs", f"""WITH {B.EREC}, {B.OUTS} SELECT id, CASE WHEN id % 4 = 0 AND query_text <> '' THEN 'later text for ' || id ELSE query_text END AS query_text FROM outs""")
 def src06(spark, sf):
-    """Two rounds of batch files; the later file wins."""
+    """Two rounds of batch files; the later file wins, and in a file the later row.  One file is no array."""
     outs = B.batch_outputs(spark, sf)
+    stale = outs.filter("id % 3 = 0").select("id", F.lit("stale").alias("query_text"))
     later = outs.filter("id % 4 = 0 and trim(query_text) <> ''").select("id", F.concat(F.lit(" later text for "), F.col("id").cast("string")).alias("query_text"))
     root = new_folder(spark, "batches")
     for name, part in (("round_1", outs), ("round_2", later)):
         packed = files.pack_batches(part.withColumn("platform", F.lit("web")), ["platform"], "id", 50)
-        files.write_batches(packed, ["platform"], ["id", "query_text"], f"{root}/{name}")
+        twice = packed.join(stale.select("id", F.lit(True).alias("s")), "id", "left")
+        both = F.when(F.col("s") & F.lit(name == "round_1"), F.array(F.lit("stale"), F.col("query_text"))).otherwise(F.array("query_text"))
+        rows = twice.select("id", "platform", "batch", F.col("slot").alias("own"), F.posexplode(both).alias("n", "query_text"))
+        rows = rows.withColumn("slot", F.col("own") * 2 + F.col("n"))
+        files.write_batches(rows, ["platform"], ["id", "query_text"], f"{root}/{name}")
+    spark.createDataFrame([("[{broken",)], "value string").write.text(f"{root}/round_0")
     return files.read_batch_outputs(spark, root, "id long, query_text string")
 
 
@@ -124,26 +137,45 @@ def snk02(spark, sf):
     return files.read_csv(spark, path, "id string, prompt string").select("id", F.md5("prompt").alias("prompt_md5"))
 
 
-@query("snk03_upsert_tables", f"""WITH {B.REC}, u AS (SELECT id, created_at, 'old' AS batch, target_complexity FROM rec WHERE id % 3 <> 0 AND id % 2 <> 0 UNION ALL SELECT id, '2024-02-01', 'new', 'complex' FROM rec WHERE id % 2 = 0),
-n AS (SELECT count(*) AS c FROM rec WHERE id % 2 = 0)
+@query("snk03_upsert_tables", f"""WITH {B.REC}, {B.SCN}, u AS (SELECT id, created_at, 'old' AS batch FROM rec WHERE id % 3 <> 0 AND id % 2 <> 0
+  UNION ALL SELECT id, '2024-02-01', CASE WHEN id % 10 = 0 THEN 'again' ELSE 'new' END FROM rec WHERE id % 2 = 0),
+n AS (SELECT count(*) FILTER (WHERE id % 2 = 0) + count(*) FILTER (WHERE id % 10 = 0) AS c FROM rec)
 SELECT 'queries' AS tbl, id::VARCHAR AS id, created_at, batch AS detail FROM u
-UNION ALL SELECT 'generation_runs', 'run_' || substr(sha1('2024-02-01:' || c || ':persona-fallback'), 1, 10), '2024-02-01', c::VARCHAR FROM n""")
+UNION ALL SELECT 'generation_runs', 'run_' || substr(sha1('2024-02-01:' || c || ':persona-fallback'), 1, 10), '2024-02-01', c::VARCHAR FROM n
+UNION ALL SELECT 'generation_runs', 'run_first', '2024-01-01', '0'
+UNION ALL SELECT 'imported_requirements', id, CASE WHEN idx % 2 = 0 THEN '2024-02-01' ELSE '2024-01-01' END,
+  l2_scene_label || '/' || CASE WHEN idx % 2 = 1 THEN target_count WHEN idx % 4 = 0 THEN target_count + 2 ELSE target_count + 1 END FROM scn""")
 def snk03(spark, sf):
-    r = B.records(spark, sf).select("id", "created_at", F.lit("old").alias("batch"), "target_complexity")
-    incoming = r.filter("id % 2 = 0").withColumn("created_at", F.lit("2024-02-01")).withColumn("batch", F.lit("new")).withColumn("target_complexity", F.lit("complex"))
-    path = new_folder(spark, "queries")
-    files.save_table(files.upsert(r.filter("id % 3 <> 0"), incoming, "id"), path, ["batch"])
-    stored = spark.read.parquet(path)
-    log = files.run_log_row(incoming, "persona-fallback", F.col("created_at"))
-    return stored.select(F.lit("queries").alias("tbl"), F.col("id").cast("string").alias("id"), "created_at", F.col("batch").alias("detail")).unionByName(
-        log.select(F.lit("generation_runs").alias("tbl"), "id", "created_at", F.col("total_generated").cast("string").alias("detail"))
+    """A load over stored tables; some ids come twice in it, and the last row wins."""
+    r = B.records(spark, sf).select("id", "created_at", F.lit("old").alias("batch"))
+    fresh = r.filter("id % 2 = 0").select("id", F.lit("2024-02-01").alias("created_at"))
+    queries = fresh.select("*", F.lit("new").alias("batch"), F.col("id").alias("n")).unionByName(
+        fresh.filter("id % 10 = 0").select("*", F.lit("again").alias("batch"), (F.col("id") + 10_000_000).alias("n"))
     )
+    s = B.scenes(spark, sf).select("id", F.lit("2024-01-01").alias("created_at"), "l2_scene_label", "target_count", "idx")
+    even = s.filter("idx % 2 = 0").withColumn("created_at", F.lit("2024-02-01"))
+    scenes = even.withColumn("target_count", F.col("target_count") + 1).withColumn("n", F.col("idx")).unionByName(
+        even.filter("idx % 4 = 0").withColumn("target_count", F.col("target_count") + 2).withColumn("n", F.col("idx") + 1000)
+    )
+    runs = spark.createDataFrame([("run_first", "seed", 0, 0, "2024-01-01")], "id string, mode string, total_planned long, total_generated long, created_at string")
+    stored = {"queries": r.filter("id % 3 <> 0 or id % 2 = 0"), "imported_requirements": s, "generation_runs": runs}
+    loaded = files.load_tables(stored, scenes.drop("idx"), queries, "persona-fallback", F.col("created_at"), "n")
+    root = new_folder(spark, "warehouse")
+    for name, df in loaded.items():
+        files.save_table(df, f"{root}/{name}", ["created_at"] if name == "queries" else None)
+    read = lambda name: spark.read.parquet(f"{root}/{name}").withColumn("tbl", F.lit(name)).withColumn("created_at", F.col("created_at").cast("string"))
+    req = F.concat_ws("/", "l2_scene_label", F.col("target_count").cast("string"))
+    return (
+        read("queries").select("tbl", F.col("id").cast("string").alias("id"), "created_at", F.col("batch").alias("detail"))
+        .unionByName(read("generation_runs").select("tbl", "id", "created_at", F.col("total_generated").cast("string").alias("detail")))
+        .unionByName(read("imported_requirements").select("tbl", "id", "created_at", req.alias("detail")))
+    )
 
 
-@query("snk04_ordered_view", f"WITH {B.REC} SELECT id, created_at, target_complexity, product_type FROM rec")
+@query("snk04_ordered_view", f"WITH {B.REC} SELECT id, created_at, target_complexity, product_type, row_number() OVER (ORDER BY created_at DESC, id) AS place FROM rec")
 def snk04(spark, sf):
     r = B.records(spark, sf).select("id", "created_at", "target_complexity", "product_type")
-    return files.ordered_view(r, "created_at", "id")
+    return placed(files.ordered_view(r, "created_at", "id"))
 
 
 @query("snk05_pack_batches", f"""WITH {B.REC}, n AS (SELECT id, l1, row_number() OVER (PARTITION BY l1 ORDER BY id) - 1 AS i FROM rec) SELECT id, l1, i // 25 + 1 AS batch, i % 25 AS slot FROM n""")

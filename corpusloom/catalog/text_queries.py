@@ -215,28 +215,41 @@ def fn15(spark, sf):
 
 
 def s_pick(slot: str, offset: int) -> str:
-    return f"({s_list(R.SLOTS[slot])})[1 + {s_hash(f"id || ':{offset}'")} % {len(R.SLOTS[slot])}]"
+    return f"({s_list(R.SLOTS[slot])})[1 + {s_hash(f"seed || ':{offset}'")} % {len(R.SLOTS[slot])}]"
 
 
-def s_module(offset: int) -> str:
-    return f"mods[1 + {s_hash(f"id || ':{offset}'")} % len(mods)]"
+def s_part(name: str, offset: int) -> str:
+    return f"lens.{name}[1 + {s_hash(f"seed || ':{offset}'")} % len(lens.{name})]"
 
 
-HEAD_SQL = f"""({s_pick('opening', 1)} || ' a ' || pt || ' for ' || app || ': ' || {s_pick('need', 2)} || '.')"""
-MID_SQL = f"""({HEAD_SQL} || ' It has a ' || {s_module(3)} || ' and ' || {s_pick('priority', 4)} || '. ' || {s_pick('device', 5)})"""
-LENS_SQL = "CASE " + " ".join(f"WHEN {s_contains('x', w)} THEN {{'n': '{n}', 'm': {s_list(m)}}}" for w, n, m in R.LENSES) + f" ELSE {{'n': '{R.DEFAULT_LENS[0]}', 'm': {s_list(R.DEFAULT_LENS[1])}}} END"
+def s_lens(name: str, parts) -> str:
+    return f"{{'name': '{name}', " + ", ".join(f"'{p}': {s_list(x)}" for p, x in zip(R.LENS_PARTS, parts, strict=True)) + "}"
 
 
-@query("fn16_combinatorial_text", f"""WITH {B.SCN}, t AS (SELECT id, idx, candidates[1] AS app, 'dashboard' AS pt, (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv,
-  l1_scene || ' ' || l2_scene_label || ' ' || candidates[1] AS x FROM scn), l AS (SELECT *, {LENS_SQL} AS lens FROM t), m AS (SELECT *, lens.m AS mods FROM l)
-SELECT id, lens.n AS lens, CASE lv WHEN 'vague' THEN {HEAD_SQL} || ' ' || {s_pick('ending', 3)} WHEN 'medium' THEN {MID_SQL}
-  ELSE {MID_SQL} || ' Also a ' || {s_module(6)} || ', then a ' || {s_module(7)} || '. I care about ' || {s_pick('priority', 8)} || '. ' || {s_pick('ending', 9)} END AS query_text FROM m""")
+LENS_SQL = "CASE " + " ".join(f"WHEN {s_contains('x', w)} THEN {s_lens(n, R.LENSES[n])}" for n, w in fv.LENS_KEYWORDS) + f" ELSE {s_lens(*R.DEFAULT_LENS)} END"
+
+
+def s_lens_text(t: str) -> str:
+    """CTEs that add ``lens`` and ``query_text`` to ``t`` (id, lv, app, pt, st, x)."""
+    return f"""ls AS (SELECT *, {LENS_SQL} AS lens, id || ':' || app || ':' || pt || ':' || coalesce(st, 'unspecified') AS seed,
+    coalesce('Use a ' || st || ' look.', 'Any look will do.') AS look FROM {t}),
+lt AS (SELECT *, CASE lv
+  WHEN 'vague' THEN {s_pick('opening', 1)} || ' a ' || pt || ' for ' || app || ': ' || {s_pick('need', 2)} || '. ' || look || ' ' || {s_pick('ending', 3)} || ' ' || {s_pick('first_step', 4)}
+  WHEN 'medium' THEN 'I am making a ' || pt || ' for ' || app || ' so that ' || {s_pick('aim', 1)} || '. It needs a ' || {s_part('modules', 4)} || ' and a ' || {s_part('modules', 5)} || ', and ' || {s_part('interactions', 6)}
+    || ' should be easy. ' || look || ' ' || {s_pick('device', 2)} || ' ' || {s_pick('priority', 7)}
+  ELSE 'I want a ' || pt || ' of ' || app || ' for ' || {s_part('audiences', 1)} || '; above all, ' || {s_part('goals', 2)} || '. Split it into ' || {s_part('modules', 3)} || ', ' || {s_part('modules', 4)} || ' and ' || {s_part('modules', 5)}
+    || '. Think of ' || {s_part('interactions', 6)} || ' and ' || {s_part('interactions', 7)} || '; answer the states ' || {s_part('states', 8)} || ' and ' || {s_part('states', 9)} || '. ' || look || ' ' || {s_pick('density', 10)} || '. '
+    || {s_pick('extra', 11)} || ' ' || {s_pick('late', 12)} || ' It must work on a phone.' END AS query_text FROM ls)"""
+
+
+@query("fn16_combinatorial_text", f"""WITH {B.SCN}, t AS (SELECT id, idx, candidates[1] AS app, CASE WHEN idx % 2 = 0 THEN 'dashboard' ELSE 'form_flow' END AS pt, CASE WHEN idx % 5 > 0 THEN 'Dark' END AS st,
+  (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv, l1_scene || ' ' || l2_scene_label || ' ' || candidates[1] AS x FROM scn), {s_lens_text('t')} SELECT id, lens.name AS lens, query_text FROM lt""")
 def fn16(spark, sf):
     app = F.get("candidates", F.lit(0))
-    lens, mods = R.scene_lens(F.concat_ws(" ", "l1_scene", "l2_scene_label", app))
-    rows = B.scenes(spark, sf).select("id", "idx", app.alias("app"), lens.alias("lens"), mods.alias("mods"))
+    rows = B.scenes(spark, sf).select("id", "idx", app.alias("app"), R.scene_lens(F.concat_ws(" ", "l1_scene", "l2_scene_label", app)).alias("lens"))
     lv = B.nth(fv.COMPLEXITY_LEVELS, F.col("idx") % 3)
-    return rows.select("id", "lens", R.combinatorial_text(F.col("id"), lv, F.col("app"), F.lit("dashboard"), F.col("mods")).alias("query_text"))
+    product, style = F.when(F.col("idx") % 2 == 0, "dashboard").otherwise("form_flow"), F.when(F.col("idx") % 5 > 0, "Dark")
+    return rows.select("id", F.col("lens.name").alias("lens"), R.combinatorial_text(F.col("id"), lv, F.col("app"), product, style, F.col("lens")).alias("query_text"))
 
 
 def s_app_name(x: str) -> str:
@@ -311,7 +324,8 @@ def fn22(spark, sf):
 
 
 def s_kw(x: str, tags: list[str]) -> str:
-    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN contains({x}, '{t.lower()}') THEN '{t}' END" for t in tags) + "], lambda v: v IS NOT NULL), '|')"
+    spoken = lambda t: f"contains(replace({x}, '_', ' '), '{t.lower().replace('_', ' ')}')" if "_" in t else f"contains({x}, '{t.lower()}')"
+    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {spoken(t)} THEN '{t}' END" for t in tags) + "], lambda v: v IS NOT NULL), '|')"
 
 
 @query("fn23_multi_label_tags", f"""WITH t AS (SELECT page_id, lower(html) AS h FROM pages) SELECT page_id, {s_kw('h', fv.COMPONENT_TAGS)} AS components, {s_kw('h', fv.TECH_TAGS)} AS tech_stack,
@@ -359,10 +373,15 @@ def fn26(spark, sf):
     return r.filter(G.relevant(F.col("quality_score") / 5, some(3), some(5), F.col("text"))).select("id", "quality_score")
 
 
-@query("fn27_regenerate_flags", r"""WITH t AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '好的，' WHEN 1 THEN '作为一个设计师角色，' WHEN 2 THEN '非常好看 ' ELSE '' END || text AS x FROM documents)
-SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(x, '作为一个.*角色') THEN 'role_play' END, CASE WHEN regexp_matches(x, '^(好的|当然|我理解)') THEN 'assistant_opening' END,
+FN27_LEADS = ["好的，", "作为一个设计师角色，", "非常好看 ", "我来扮演 ", "根据以上提示词，", "这是训练数据 ", "当然，很漂亮。", "角色作为一个"]
+
+
+@query("fn27_regenerate_flags", f"""WITH t AS (SELECT doc_id, CASE WHEN doc_id % 10 = 8 THEN '请帮我做一个短页面' WHEN doc_id % 10 = 9 THEN text ELSE ({s_list(FN27_LEADS)})[1 + doc_id % 10] || text END AS x FROM documents)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(x, '作为一个.*角色') THEN 'role_play' END, CASE WHEN regexp_matches(x, '我来扮演') THEN 'acting' END,
+  CASE WHEN regexp_matches(x, '根据.*提示词') THEN 'prompt_leak' END, CASE WHEN regexp_matches(x, '^(好的|当然|我理解)') THEN 'assistant_opening' END, CASE WHEN contains(x, '训练数据') THEN 'training_data' END,
+  CASE WHEN x LIKE '请帮我做一个%' AND len(x) <= 22 THEN 'vague_one_liner' END,
   CASE WHEN regexp_matches(x, '(非常|很|极其|特别)+(美观|好看|漂亮)') THEN 'generic_adjective' END], lambda v: v IS NOT NULL), '|') AS rules FROM t""")
 def fn27(spark, sf):
-    i = F.col("doc_id") % 6
-    lead = F.when(i == 0, "好的，").when(i == 1, "作为一个设计师角色，").when(i == 2, "非常好看 ").otherwise("")
-    return docs(spark, sf).select("doc_id", F.array_join(G.regenerate_rules(F.concat(lead, F.col("text"))), "|").alias("rules"))
+    i = F.col("doc_id") % 10
+    text = F.when(i == 8, "请帮我做一个短页面").when(i == 9, F.col("text")).otherwise(F.concat(B.nth([*FN27_LEADS, "", ""], i), F.col("text")))
+    return docs(spark, sf).select("doc_id", F.array_join(G.regenerate_rules(text), "|").alias("rules"))

@@ -43,6 +43,30 @@ def em03(spark, sf):
     return pcs.select("vec_id", *[F.abs(F.get("pcs", F.lit(i))).alias(f"pc{i + 1}") for i in range(3)])
 
 
+@query("em03_pca_laws", """WITH c AS (SELECT vec_id, generate_subscripts(embedding, 1) AS pos, unnest(embedding)::DOUBLE AS v FROM embeddings)
+SELECT 'trace' AS law, floor((SELECT sum(s) FROM (SELECT var_samp(v) AS s FROM c GROUP BY pos)) * 1e6 + 0.5) / 1e6 AS value
+UNION ALL SELECT 'largest_mean', 0e0 UNION ALL SELECT 'largest_correlation', 0e0 UNION ALL SELECT 'out_of_order', 0e0 UNION ALL SELECT 'first_three_differ', 0e0""")
+def em03_laws(spark, sf):
+    """What defines the scores: variances sum to the trace and fall, scores are centred and uncorrelated, k = 3 is a prefix."""
+    e = emb(spark, sf).select("vec_id", "embedding")
+    d = len(e.first().embedding)
+    cells = V.project(e, "vec_id", "embedding", d).select("vec_id", F.posexplode("pcs").alias("p", "v"))
+    three = V.project(e, "vec_id", "embedding", 3).select("vec_id", F.posexplode("pcs").alias("p", "w"))
+    per = cells.groupBy("p").agg(F.var_samp("v").alias("s"), F.avg("v").alias("m"))
+    zero = lambda c: T.round_to(c, 6)
+    law = lambda df, name, c: df.agg(c.alias("value")).select(F.lit(name).alias("law"), "value")
+    nearby = cells.join(cells.filter("p < 8").select("vec_id", F.col("p").alias("q"), F.col("v").alias("w")), "vec_id").filter("p < q")
+    corr = nearby.groupBy("p", "q").agg(F.corr("v", "w").alias("r"))
+    steps = per.join(per.select((F.col("p") - 1).alias("p"), F.col("s").alias("next")), "p")
+    same = cells.join(three, ["vec_id", "p"])
+    return (
+        law(per, "trace", zero(F.sum("s"))).unionByName(law(per, "largest_mean", zero(F.max(F.abs("m")))))
+        .unionByName(law(corr, "largest_correlation", zero(F.max(F.abs("r")))))
+        .unionByName(law(steps, "out_of_order", F.sum(F.when(F.col("next") > F.col("s") + 1e-12, 1.0).otherwise(0.0))))
+        .unionByName(law(same, "first_three_differ", zero(F.max(F.abs(F.abs("v") - F.abs("w"))))))
+    )
+
+
 @query("em04_min_max_rescale", f"""WITH v AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, 5e0 AS flat FROM embeddings), b AS (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM v)
 SELECT vec_id, {s_round('2 * (x - lx) / (hx - lx) - 1', 4)} AS x, {s_round('2 * (y - ly) / (hy - ly) - 1', 4)} AS y, -1e0 AS flat FROM v, b""")
 def em04(spark, sf):
@@ -81,12 +105,14 @@ def stream_of(spark, sf, name):
 
 @query("st01_append_once", "SELECT event_id AS id, event_type AS platform, value FROM events")
 def st01(spark, sf):
-    """Every third event is replayed; each id is stored once."""
-    e = stream_of(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("platform"), "value", F.col("ts").cast("timestamp").alias("ts"))
-    copies = F.when(F.col("id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    replayed = e.withColumn("copy", F.explode(copies)).drop("copy")
+    """Events come in two runs, the later ones first; every third is replayed in both.  Each id is stored once."""
+    e = B.table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("platform"), "value", F.col("ts").cast("timestamp").alias("ts"))
+    early, replayed = F.dayofmonth("ts") <= 15, F.col("id") % 3 == 0
     root = new_folder(spark, "stream")
-    I.append_finished(replayed, "id", "ts", f"{root}/out", f"{root}/checkpoint", "40 days")
+    for part in (e.filter(~early).unionByName(e.filter(~early & replayed)), e.filter(early | replayed)):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(e.schema).parquet(f"{root}/in")
+        I.append_finished(stream, "id", "ts", f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("id", "platform", "value")
 
 
@@ -98,3 +124,18 @@ def st02(spark, sf):
     root = new_folder(spark, "usage")
     I.track_usage(used, "l2", "topic", f"{root}/out", f"{root}/checkpoint")
     return I.current_usage(spark, f"{root}/out")
+
+
+@query("st02_usage_snapshot", f"WITH {B.USAGE} SELECT * FROM usg")
+def st02_snapshot(spark, sf):
+    """Usage in two runs, folded into a snapshot after each."""
+    p = B.table(spark, sf, "part").select("p_partkey", "p_brand")
+    li = B.table(spark, sf, "lineitem").select("l_partkey", "l_linenumber")
+    root = new_folder(spark, "usage")
+    for n, part in enumerate((li.filter("l_linenumber <= 3"), li.filter("l_linenumber > 3"))):
+        part.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(li.schema).parquet(f"{root}/in").join(p, F.col("l_partkey") == F.col("p_partkey"))
+        used = stream.select(F.col("p_brand").alias("l2"), F.col("l_partkey").cast("string").alias("topic"))
+        I.track_usage(used, "l2", "topic", f"{root}/out", f"{root}/checkpoint")
+        out = I.compact_usage(spark, f"{root}/out", f"{root}/snapshot_{n}", f"{root}/snapshot_{n - 1}" if n else None)
+    return out

@@ -267,11 +267,13 @@ TOOL_NOUNS = ["feature", "widget"]
 
 # --- fixed values: word-frequency stop words -----------------------------------------
 
-STOP_WORDS = (
-    "with and for the a an of in on at to by from as or via per its is are be has have this that each all no not "
-    "can new after before into over through up out get go add set use make take view app mode tool screen page panel "
-    "card flow list form data log type level time date step"
-).split()
+STOP_WORDS = [
+    "with", "and", "for", "the", "a", "an", "of", "in", "on", "at", "to", "by", "from", "as", "or", "via", "per",
+    "its", "is", "are", "be", "has", "have", "this", "that", "each", "all", "no", "not", "can", "new", "after",
+    "before", "into", "over", "through", "up", "out", "get", "go", "add", "set", "use", "make", "take", "view", "app",
+    "mode", "tool", "screen", "page", "panel", "card", "flow", "list", "form", "data", "log", "type", "level", "time",
+    "date", "step",
+]
 
 # --- fixed values: pre-filter and regenerate rules ---------------------------------------
 
@@ -297,13 +299,17 @@ REGENERATE_PATTERNS = [
 COMPONENT_TAGS = [
     "navbar", "sidebar", "card", "table", "chart", "form", "input", "button", "modal", "tabs", "carousel",
     "dropdown", "tooltip", "toast", "avatar", "badge", "pagination", "calendar", "timeline", "progress",
-    "skeleton", "hero", "footer", "kanban", "map",
+    "skeleton", "empty_state", "hero", "footer", "search_bar", "data_grid", "kanban", "rich_text_editor", "image_upload",
+    "video_player", "map",
 ]
 TECH_TAGS = [
-    "React", "Vue", "Angular", "Next.js", "Nuxt", "Svelte", "TypeScript", "JavaScript", "Tailwind", "SCSS",
+    "React", "Vue", "Angular", "Next.js", "Nuxt", "Svelte", "TypeScript", "JavaScript", "Tailwind", "CSS Modules", "SCSS",
     "Framer Motion", "GSAP", "Three.js", "D3.js", "Shadcn", "Radix", "MUI", "Ant Design", "Chakra UI",
 ]
-INTERACTION_TAGS = ["click", "hover", "drag", "scroll", "animation", "filter", "search", "gestures"]
+INTERACTION_TAGS = [
+    "click", "hover", "drag", "scroll", "animation", "form_submit", "real_time_update", "filter_sort", "search", "multi_step",
+    "infinite_scroll", "keyboard_shortcut", "gestures",
+]
 DATA_VIZ_WORDS = ["chart", "graph", "plot", "statistics", "图表"]
 RESPONSIVE_WORDS = ["responsive", "mobile", "移动端", "响应式"]
 STYLE_NAMES = [
@@ -311,6 +317,17 @@ STYLE_NAMES = [
     "Cyberpunk", "Luxury", "Vibrant",
 ]
 
+# --- fixed values: keywords of the scene lenses, first match wins -------------------------
+
+LENS_KEYWORDS = [
+    ("story", ["深度研究展示", "品牌", "传记", "历史", "科普", "作品集", "相册", "故事"]),
+    ("search", ["搜索", "筛选", "排序", "选择", "查找"]),
+    ("planning", ["任务", "待办", "进度", "打卡", "习惯", "提醒", "计划"]),
+    ("tracking", ["健康", "运动", "睡眠", "饮食", "冥想", "服药"]),
+    ("making", ["图片", "海报", "模板", "内容创作", "编辑", "播放"]),
+    ("buying", ["商品", "购物", "订单", "物流"]),
+]
+
 # --- fixed values: thresholds ------------------------------------------------------------
 
 PASS_SCORE = 2.8

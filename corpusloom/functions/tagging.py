@@ -29,9 +29,10 @@ def prefilter_reason(c: Column, min_len: int = 30, max_len: int = 600, min_cjk:
 
 
 def keyword_tags(c: Column, tags: list[str]) -> Column:
-    """Tags whose name occurs in the text, any case, in table order."""
+    """Tags whose name occurs in the text, any case, in table order; ``a_b`` is also found as ``a b``."""
     low = F.lower(T.or_empty(c))
-    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t.lower())), F.lit(t)) for t in tags]))
+    forms = lambda t: list(dict.fromkeys([t.lower(), t.lower().replace("_", " ")]))
+    return F.array_compact(F.array(*[F.when(T.contains_any(low, forms(t)), F.lit(t)) for t in tags]))
 
 
 def mentions(c: Column, words: list[str]) -> Column:

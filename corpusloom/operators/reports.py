@@ -221,7 +221,7 @@ def pool_capacity(pool: DataFrame, records: DataFrame, target: int, l2: str = "l
     in-pool topics.
     """
     distinct_pool = pool.select("l2", "topic").distinct()
-    sizes = distinct_pool.groupBy("l2").agg(F.count("*").alias("pool_size"))
+    sizes = distinct_pool.groupBy("l2").agg(F.count("topic").alias("pool_size"))
     used = _usage(records, l2, topic, []).join(distinct_pool.withColumn("inp", F.lit(1)), ["l2", "topic"], "left")
     agg = used.groupBy("l2").agg(F.sum("uses").alias("cum"), F.count("inp").alias("dis"))
     return sizes.join(agg, "l2", "left").select(
@@ -241,7 +241,7 @@ def pool_capacity_totals(capacity: DataFrame, target: int) -> DataFrame:
 
 def pool_consumption(pool: DataFrame, records: DataFrame, platform: str, topic: str) -> DataFrame:
     """Per platform: in/off-pool topics and uses, coverage, reuse histogram, mean in-pool reuse."""
-    topics = pool.select(F.col("topic")).distinct()
+    topics = pool.select(F.col("topic")).filter("topic IS NOT NULL").distinct()
     size = topics.agg(F.count("*")).scalar()
     used = records.groupBy(F.col(platform).alias("platform"), F.col(topic).alias("topic")).agg(F.count("*").alias("uses"))
     used = used.join(topics.withColumn("inp", F.lit(True)), "topic", "left").withColumn("inp", F.coalesce("inp", F.lit(False)))
@@ -259,10 +259,10 @@ def pool_consumption(pool: DataFrame, records: DataFrame, platform: str, topic:
 
 def pool_depletion(pool: DataFrame, records: DataFrame, l2: str, topic: str) -> DataFrame:
     """Per L2: distinct in-pool topics used, their uses, coverage."""
-    cells = pool.select("l2", "topic").distinct()
+    cells = pool.select("l2", "topic").distinct()  # a null topic marks an empty cell
     joined = cells.join(_usage(records, l2, topic, []), ["l2", "topic"], "left")
     return joined.groupBy("l2").agg(
-        F.count("*").alias("pool_size"), F.count("uses").alias("distinct_used"), F.coalesce(F.sum("uses"), F.lit(0)).alias("uses")
+        F.count("topic").alias("pool_size"), F.count("uses").alias("distinct_used"), F.coalesce(F.sum("uses"), F.lit(0)).alias("uses")
     ).withColumn("coverage", T.ratio(F.col("distinct_used"), F.col("pool_size")))
 
 
@@ -274,7 +274,7 @@ def top_reused(pool: DataFrame, records: DataFrame, platform: str, topic: str, k
 
 
 def pool_size_stats(pool: DataFrame) -> DataFrame:
-    per = pool.groupBy("l2").agg(F.count("*").alias("c"))
+    per = pool.groupBy("l2").agg(F.count("topic").alias("c"))
     return per.agg(
         F.count("*").alias("l2_count"), F.sum("c").alias("total_topics"), F.min("c").alias("min_topics"),
         F.max("c").alias("max_topics"), T.round_to(F.avg("c"), 4).alias("avg_topics"),

@@ -463,7 +463,7 @@ def near_duplicate_components(
     return comps if across.isEmpty() else connected_components(edges.unionByName(across))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(key, comp): smallest key reachable over undirected edges.
 
     Alternates large-star and small-star steps; the number of rounds grows with
@@ -482,7 +482,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
 
     state = fingerprint(cur)
-    for _ in range(max_rounds):
+    while True:
         both = cur.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             cur.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
@@ -502,8 +502,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         cur = nxt
         if state == before:
             break
-    else:
-        raise RuntimeError("components did not settle")
     comps = cur.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("comp"))
     roots = comps.select(F.col("comp").alias("key"), "comp").distinct()
     return comps.unionByName(roots)
@@ -515,14 +513,15 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, keep_id): members of each near-duplicate group and the row it keeps.
 
-    Kept is the best score, then the smallest id.
+    Kept is the best score, then the smallest id.  Texts too short for a shingle
+    have equal (empty) sets, so they form one group.
     """
     members, classes = fold_copies(char_shingles(df, id_col, text))
     comps = near_duplicate_components(classes, threshold, permutations, bands, block_rows)
     scores = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score"))
     grouped = (
         members.join(comps, "key", "left")
-        .withColumn("comp", F.when(F.col("n") == 0, F.xxhash64("id")).otherwise(F.coalesce("comp", "key")))
+        .withColumn("comp", F.coalesce("comp", "key"))
         .join(scores, "id")
         .select("id", "comp", "score")
     )

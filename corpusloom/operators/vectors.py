@@ -52,15 +52,16 @@ def min_max_rescale(df: DataFrame, columns: list[str], digits: int = 4) -> DataF
     return out
 
 
-def label_structure(df: DataFrame, id_col: str, label: str, vec: str, centroid_blocks: int = 1) -> DataFrame:
+def label_structure(df: DataFrame, id_col: str, label: str, vec: str, per_block: int = 256) -> DataFrame:
     """Cosine of each vector to its own and to the nearest other label centroid.
 
-    Centroids are packed into ``centroid_blocks`` array rows and met by an equi
-    join on the block number, so Spark broadcasts them when they are small and
-    shuffles them when there are many labels.
+    Centroids are packed into array rows of about ``per_block`` and met by an equi
+    join on the block number, so no row grows with the number of labels; Spark
+    broadcasts them when they are small and shuffles them when there are many.
     """
     unit = df.select(id_col, label, l2_normalize(F.col(vec)).alias("u"))
     cents = mean_pool(unit, label, "u").select(F.col(label).alias("l"), l2_normalize(F.col("mean")).alias("c"))
+    centroid_blocks = max(-(-df.select(label).distinct().count() // per_block), 1)
     packed = cents.groupBy(F.pmod(F.xxhash64("l"), F.lit(centroid_blocks)).alias("blk")).agg(
         F.collect_list(F.struct("l", "c")).alias("cents")
     )
@@ -71,7 +72,7 @@ def label_structure(df: DataFrame, id_col: str, label: str, vec: str, centroid_b
     own = F.array_max(F.transform(F.filter("sims", lambda s: s["l"] == F.col(label)), lambda s: s["sim"]))
     other = F.array_max(F.filter("sims", lambda s: s["l"] != F.col(label)))
     sims = sims.select(id_col, label, own.alias("own"), other.alias("other"))
-    best = sims.groupBy(id_col, label).agg(F.max("own").alias("own"), F.max("other").alias("other")) if centroid_blocks > 1 else sims
+    best = sims.groupBy(id_col, label).agg(F.max("own").alias("own"), F.max("other").alias("other"))
     return best.select(
         id_col, label, F.col("own").alias("own_sim"), F.col("other.sim").alias("other_sim"), F.col("other.l").alias("other_label")
     )

@@ -44,23 +44,27 @@ def joint_weights(rows: DataFrame, factors: list[str], name: str = "weight") ->
     return raw.withColumn(name, F.col("_p") / total).drop("_p")
 
 
-def weighted_draws(combos: DataFrame, group: str, order: str, weight: str, draws: DataFrame, seed: str, cells: int = 1024) -> DataFrame:
+def weighted_draws(combos: DataFrame, group: str, order: str, weight: str, draws: DataFrame, seed: str, cells: int = 1 << 14) -> DataFrame:
     """Draw with replacement: one combination per row of ``draws`` (draw id).
 
-    Each combination owns an interval of [0, 1).  Intervals and draws meet on
-    the unit cell they touch, an equi join: no range comparison of all with all.
-    Cumulative weights are summed per group and offset by the groups before.
+    Each combination owns an interval of [0, 1), from its cumulative weight to
+    where the next one starts, in full double precision: no interval is rounded
+    away or widened.  Intervals and draws meet on the unit cell they touch, an equi
+    join: no range comparison of all with all.  Cumulative weights are summed per
+    group and offset by the groups before.
     """
     per_group = combos.groupBy(group).agg(F.sum(weight).alias("_gw"))
     before = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     starts = per_group.select(group, F.coalesce(F.sum("_gw").over(before), F.lit(0.0)).alias("_g0"))
+    starts = starts.withColumn("_g1", F.lead("_g0").over(Window.orderBy(group)))
     total = combos.agg(F.sum(weight)).scalar()
-    upto = F.sum(weight).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    placed = combos.withColumn("_in", upto).join(starts, group)
-    placed = placed.withColumn("hi", T.round_to((F.col("_g0") + F.col("_in")) / total, 9))
-    placed = placed.withColumn("lo", T.round_to((F.col("_g0") + F.col("_in") - F.col(weight)) / total, 9))
+    inside = Window.partitionBy(group).orderBy(order)
+    upto = F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    placed = combos.withColumn("_in", F.coalesce(upto, F.lit(0.0))).join(starts, group)
+    placed = placed.withColumn("lo", (F.col("_g0") + F.col("_in")) / total)
+    placed = placed.withColumn("hi", F.coalesce(F.lead("lo").over(inside), F.col("_g1") / total, F.lit(1.0)))
     touched = F.sequence(F.floor(F.col("lo") * cells), F.least(F.lit(cells - 1).cast("long"), F.floor(F.col("hi") * cells)))
-    placed = placed.filter(F.col("hi") > F.col("lo")).withColumn("_cell", F.explode(touched)).drop("_in", "_g0")
+    placed = placed.filter(F.col("hi") > F.col("lo")).withColumn("_cell", F.explode(touched)).drop("_in", "_g0", "_g1")
     u = T.unit_hash(F.concat(F.lit(seed), F.lit(":"), F.col("draw").cast("string")))
     thrown = draws.select("draw", u.alias("u")).withColumn("_cell", F.floor(F.col("u") * cells))
     hit = (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))

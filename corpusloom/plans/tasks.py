@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import render as R
 from corpusloom.functions import text as T
+from corpusloom.sources.storage import materialized
 
 CHUNK = 50_000
 LEVELS = fv.COMPLEXITY_LEVELS
@@ -49,14 +50,31 @@ def seed_count(target: Column, minimum: int = 3, maximum: int = 9, fraction: flo
     return F.when(t == 0, F.lit(minimum)).otherwise(n).cast("long")
 
 
+def _ruled(sources: DataFrame, expand: bool = False) -> DataFrame:
+    """(_src, pts, sty): products and styles of each distinct source text.
+
+    The keyword rules are long expressions.  They run once per text over a small
+    written table, so that they are not repeated inside other expressions.
+    """
+    src = F.col("_src")
+    texts = materialized(sources, "sources")
+    pts = materialized(texts.select("_src", R.infer_products(src).alias("p0"), R.infer_styles(src).alias("s0")), "rules")
+    if not expand:
+        return pts.select("_src", F.col("p0").alias("pts"), F.col("s0").alias("sty"))
+    return materialized(
+        pts.select("_src", R.expand_products(src, F.col("p0")).alias("pts"), R.expand_styles(src, F.col("s0")).alias("sty")), "rules"
+    )
+
+
 def _dress(tasks: DataFrame, style, style_group: str, seed_group: str, plan_type: str) -> DataFrame:
     """Product type, style and persona seed of tasks that have application_type and ``group``."""
     tasks = tasks.withColumn("_src", F.concat_ws(" ", "l1_scene", "l2_scene_label", "application_type"))
-    tasks = tasks.withColumn("_pts", R.infer_products(F.col("_src")))
+    tasks = tasks.join(_ruled(tasks.select("_src").distinct()), "_src")
+    look = T.cyclic(F.col("sty"), F.col(style_group)) if style == "auto" else R.resolve_style(style, F.col(style_group), F.col("_src"))
     return tasks.select(
         "*",
-        T.cyclic(F.col("_pts"), F.col("group")).alias("product_type"),
-        R.resolve_style(style, F.col(style_group), F.col("_src")).alias("design_style"),
+        T.cyclic(F.col("pts"), F.col("group")).alias("product_type"),
+        look.alias("design_style"),
         T.short_hash(F.concat_ws(":", "scene_id", "application_type", F.col(seed_group).cast("string"))).alias("persona_seed"),
         F.lit(False).alias("constrained"),
         F.lit(plan_type).alias("plan_type"),
@@ -198,14 +216,22 @@ def first_scene_per_l1(scenes: DataFrame, exclude: list[str], k: int) -> DataFra
 
 
 def candidate_plan(scenes: DataFrame, count: str) -> DataFrame:
-    """Cycle expanded candidates, products and styles; complexity by (i + source row)."""
-    rows = scenes.withColumn(
-        "cands", R.candidate_names(F.col("l1_scene"), F.col("l2_scene_label"), F.col("l2_scene_examples"), F.col("candidates"))
-    )
-    rows = _named(fan_out(rows, count)).withColumn("cand", T.cyclic(F.col("cands"), F.col("i")))
+    """Cycle expanded candidates, products and styles; complexity by (i + source row).
+
+    Products and styles depend on scene and candidate only, so the rules run once
+    for each of those, not once for each task.
+    """
+    names = R.candidate_names(F.col("l1_scene"), F.col("l2_scene_label"), F.col("l2_scene_examples"), F.col("candidates"))
+    cands = materialized(scenes.select("id", "l1_scene", "l2_scene_label", names.alias("cands")), "candidates")
+    per = cands.select("id", "l1_scene", "l2_scene_label", F.posexplode("cands").alias("k", "cand"))
+    per = per.select("id", "k", "cand", F.concat_ws(" ", "l1_scene", "l2_scene_label", "cand.name").alias("_src"))
+    ruled = _ruled(per.select("_src").distinct(), expand=True)
+    per = per.join(ruled, "_src").select("id", "k", F.struct("cand.name", "cand.source", "pts", "sty").alias("c"))
+    listed = per.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("k", "c"))).alias("dressed"))
+    rows = scenes.join(listed, "id", "left")
+    rows = _named(fan_out(rows, count)).withColumn("cand", F.get("dressed", F.pmod(F.col("i"), F.size("dressed")).cast("int"))["c"]).drop("dressed")
     rows = rows.withColumn("application_type", F.col("cand.name")).withColumn("application_type_source", F.col("cand.source"))
-    rows = rows.withColumn("_src", F.concat_ws(" ", "l1_scene", "l2_scene_label", "application_type"))
-    rows = rows.withColumn("_pts", R.expand_products(F.col("_src"))).withColumn("_sty", R.expand_styles(F.col("_src")))
+    rows = rows.withColumn("_pts", F.col("cand.pts")).withColumn("_sty", F.col("cand.sty"))
     rows = rows.select(
         "*",
         F.concat(F.lit("q5k_"), "scene_id", F.lit("_"), pad(F.col("i") + 1, 4)).alias("id"),
@@ -226,11 +252,12 @@ def candidate_records(tasks: DataFrame) -> DataFrame:
         "p", R.persona_struct(F.col("id"), F.col("persona_seed"), F.col("target_complexity"), F.col("application_type"), F.col("l2_scene_label"))
     )
     source = F.concat_ws(" ", "l1_scene", "l2_scene_label", "application_type")
-    lens, modules = R.scene_lens(source)
-    rows = rows.withColumn("lens", lens).withColumn("modules", modules)
-    text = R.combinatorial_text(F.col("id"), F.col("target_complexity"), F.col("application_type"), F.col("product_type"), F.col("modules"))
+    rows = rows.withColumn("_lens", R.scene_lens(source))
+    text = R.combinatorial_text(
+        F.col("id"), F.col("target_complexity"), F.col("application_type"), F.col("product_type"), F.col("design_style"), F.col("_lens")
+    )
     rows = rows.withColumn("query_text", text)
-    return rows.select(*tasks.columns, "lens", "p.persona_id", "p.persona_title", "p.persona_source", "query_text",
+    return rows.select(*tasks.columns, F.col("_lens.name").alias("lens"), "p.persona_id", "p.persona_title", "p.persona_source", "query_text",
                        F.length("query_text").cast("long").alias("query_length"))
 
 

@@ -71,11 +71,16 @@ def corpus_plan(
     return P._dress(rows, style, "group", "group", "corpus_seed").select(*P.TASK_COLUMNS, "corpus_topic", "corpus_l2_key")
 
 
+#: New topics are placed after all pool topics.
+NEW_BASE = 1 << 40
+
+
 def merge_topics(pool: DataFrame, fresh: DataFrame, cap: int) -> DataFrame:
     """Add new topics per L2: normalised de-duplication, order kept, at most ``cap`` topics.
 
-    ``fresh``: (l2, topic, pos).  Only L2 keys of the pool are taken.  Adds
-    ``origin`` ('pool' or 'new').  Pool topics are never dropped.
+    ``fresh``: (l2, topic, pos).  Only L2 keys of the pool are taken, those of
+    empty cells (topic null) too.  Adds ``origin`` ('pool' or 'new').  Pool topics
+    are never dropped; a cell that stays empty keeps its null row.
     """
     known = pool.select("l2").distinct()
     new = fresh.filter(T.or_empty(T.trim_ws(F.col("topic"))) != "").join(known, "l2", "left_semi")
@@ -84,24 +89,55 @@ def merge_topics(pool: DataFrame, fresh: DataFrame, cap: int) -> DataFrame:
     once = new.groupBy("l2", "nk").agg(F.min_by(F.struct("topic", "pos"), "pos").alias("t"))
     taken = pool.select("l2", T.dedup_key(F.col("topic")).alias("nk")).distinct()
     once = once.join(taken, ["l2", "nk"], "left_anti").select("l2", "t.topic", "t.pos")
-    room = pool.groupBy("l2").agg(F.greatest(F.lit(0).cast("long"), F.lit(cap) - F.count("*")).alias("room"))
+    room = pool.groupBy("l2").agg(F.greatest(F.lit(0).cast("long"), F.lit(cap) - F.count("topic")).alias("room"))
     # at most ``cap`` new topics can be taken, so the limit prunes before the shuffle
     ranked = top_k(once, ["l2"], [F.asc("pos")], cap, "rk").join(room, "l2").filter(F.col("rk") <= F.col("room"))
-    return pool.select("l2", "topic", F.col("pos").cast("long").alias("pos"), F.lit("pool").alias("origin")).unionByName(
-        ranked.select("l2", "topic", (F.col("pos") + F.lit(1 << 40)).alias("pos"), F.lit("new").alias("origin"))
+    filled = ranked.select("l2").distinct()
+    empty = pool.filter("topic IS NULL").join(filled, "l2", "left_anti")
+    kept = pool.filter("topic IS NOT NULL").unionByName(empty)
+    return kept.select("l2", "topic", F.col("pos").cast("long").alias("pos"), F.lit("pool").alias("origin")).unionByName(
+        ranked.select("l2", "topic", (F.col("pos") + F.lit(NEW_BASE)).alias("pos"), F.lit("new").alias("origin"))
     )
 
 
-def merge_counts(pool: DataFrame, fresh: DataFrame, merged: DataFrame) -> DataFrame:
-    """Per L2: offered, added and not added topics."""
-    offered = fresh.groupBy("l2").agg(F.count("*").alias("offered"))
-    added = merged.groupBy("l2").agg(F.count_if(F.col("origin") == "new").alias("added"), F.count("*").alias("pool_now"))
-    return added.join(offered, "l2", "left").select(
-        "l2", F.coalesce("offered", F.lit(0)).alias("offered"), "added", "pool_now",
-        (F.coalesce("offered", F.lit(0)) - F.col("added")).alias("not_added"),
+def merge_counts(pool: DataFrame, fresh: DataFrame, merged: DataFrame, cap: int) -> DataFrame:
+    """Per L2: offered, added, duplicates dropped before the cap was reached, and rows beyond it.
+
+    Offered topics are read in order until the cell is full: up to there a topic is
+    added or, if its normalised form is known, dropped.  Blank topics are not offered.
+    """
+    given = fresh.filter(T.or_empty(T.trim_ws(F.col("topic"))) != "")
+    offered = given.groupBy("l2").agg(F.count("*").alias("offered"))
+    new_pos = F.when(F.col("origin") == "new", F.col("pos") - F.lit(NEW_BASE))
+    cells = merged.groupBy("l2").agg(F.count_if(F.col("origin") == "new").alias("added"), F.count("topic").alias("pool_now"), F.max(new_pos).alias("last"))
+    started = F.col("pool_now") - F.col("added") < cap
+    full = cells.withColumn("last", F.when(~started, -1).when(F.col("pool_now") >= cap, F.col("last")))
+    # a cell that never fills is read to its end
+    read = given.join(full.select("l2", "last"), "l2").filter(F.col("last").isNull() | (F.col("pos") <= F.col("last")))
+    seen = read.groupBy("l2").agg(F.count("*").alias("read"))
+    none = F.lit(0).cast("long")
+    return full.join(offered, "l2", "left").join(seen, "l2", "left").select(
+        "l2", F.coalesce("offered", none).alias("offered"), "added", "pool_now", (F.coalesce("read", none) - F.col("added")).alias("dropped"),
+        (F.coalesce("offered", none) - F.coalesce("read", none)).alias("beyond_cap"),
     )
 
 
+def fill_to_target(pool: DataFrame, fresh: DataFrame, target: int) -> DataFrame:
+    """Append offered topics that differ from the cell's in lower case, then cut the cell to ``target``.
+
+    Unlike ``merge_topics`` repeats among the offered topics stay, and a cell over
+    the target loses its last topics.
+    """
+    known = pool.select("l2").distinct()
+    low = lambda c: F.lower(c)
+    taken = pool.filter("topic IS NOT NULL").select("l2", low(F.col("topic")).alias("low")).distinct()
+    new = fresh.filter(T.or_empty(T.trim_ws(F.col("topic"))) != "").join(known, "l2", "left_semi")
+    new = new.select("l2", T.trim_ws(F.col("topic")).alias("topic"), (F.col("pos") + F.lit(NEW_BASE)).alias("pos")).withColumn("low", low(F.col("topic")))
+    new = new.join(taken, ["l2", "low"], "left_anti").select("l2", "topic", "pos", F.lit("new").alias("origin"))
+    own = pool.filter("topic IS NOT NULL").select("l2", "topic", F.col("pos").cast("long").alias("pos"), F.lit("pool").alias("origin"))
+    return top_k(own.unionByName(new), ["l2"], [F.asc("pos")], target, "rank")
+
+
 def extend_arrays(base: DataFrame, extra: DataFrame, key: str, topics: str) -> DataFrame:
     """Base topics followed by extra ones per key; keys only in ``extra`` are ignored."""
     more = extra.select(key, F.col(topics).alias("_more"))
@@ -111,7 +147,7 @@ def extend_arrays(base: DataFrame, extra: DataFrame, key: str, topics: str) -> D
 
 def gap_worklist(pool: DataFrame, target: int) -> DataFrame:
     """Cells below the target and how many topics they need."""
-    sizes = pool.groupBy("l2").agg(F.count("*").alias("current"))
+    sizes = pool.groupBy("l2").agg(F.count("topic").alias("current"))
     return sizes.filter(F.col("current") < target).withColumn("need", F.lit(target).cast("long") - F.col("current"))
 
 
@@ -121,7 +157,7 @@ def expansion_prompts(pool: DataFrame, target: int, platform: str) -> DataFrame:
     A prompt holds the cell's topics, of which there are fewer than ``target``.
     """
     need = gap_worklist(pool, target)
-    listed = pool.join(need.select("l2"), "l2", "left_semi").groupBy("l2").agg(F.sort_array(F.collect_list(F.struct("pos", "topic"))).alias("t"))
+    listed = pool.join(need.select("l2"), "l2", "left_semi").groupBy("l2").agg(F.sort_array(F.collect_list(F.when(F.col("topic").isNotNull(), F.struct("pos", "topic")))).alias("t"))
     rows = need.join(listed, "l2").select(
         "l2", "current", "need", F.lit(platform).alias("platform"), R.numbered(F.transform("t", lambda x: x["topic"])).alias("existing")
     )

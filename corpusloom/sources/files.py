@@ -88,17 +88,43 @@ def write_batches(packed: DataFrame, by: list[str], payload: list[str], path: st
 
 
 def read_batch_outputs(spark: SparkSession, path: str, schema: str, id_col: str = "id", text: str = "query_text") -> DataFrame:
-    """All output arrays; blank texts dropped, text trimmed, the last file wins per id."""
-    raw = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    rows = raw.select("*", F.col("_metadata.file_path").alias("_file"))
+    """All output arrays; blank texts dropped, text trimmed; per id the last row of the last file wins.
+
+    A file is one batch, so it may be read whole; one that is no JSON array is skipped.
+    """
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    parsed = F.from_json("value", f"array<struct<{', '.join(f.strip().replace(' ', ': ', 1) for f in schema.split(','))}>>")
+    rows = files.select(F.col("_metadata.file_path").alias("_file"), F.posexplode(parsed).alias("_row", "r")).select("r.*", "_file", "_row")
+    names = [c for c in rows.columns if c not in (id_col, "_file", "_row")]
     rows = rows.filter(F.col(id_col).isNotNull() & (T.or_empty(F.col(text)) != "")).withColumn(text, T.trim_ws(F.col(text)))
-    return rows.groupBy(id_col).agg(F.max_by(F.struct(*[c for c in raw.columns if c != id_col]), "_file").alias("r")).select(id_col, "r.*")
+    last = F.max_by(F.struct(*names), F.struct("_file", "_row"))
+    return rows.groupBy(id_col).agg(last.alias("r")).select(id_col, "r.*")
+
+
+def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
+    """Insert or replace by primary key: incoming rows win, and of several the last by ``order``.
+
+    ``order`` is a column of ``incoming`` (its load order); it is not stored.
+    """
+    none = F.lit(None).cast(incoming.schema[order].dataType)
+    both = existing.withColumns({"_seq": F.lit(0), order: none}).unionByName(incoming.withColumn("_seq", F.lit(1)), allowMissingColumns=True)
+    return first_per_key(both, [key], [F.desc("_seq"), F.desc(order)]).drop("_seq", order)
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Insert or replace by primary key: incoming rows win."""
-    both = existing.withColumn("_seq", F.lit(0)).unionByName(incoming.withColumn("_seq", F.lit(1)), allowMissingColumns=True)
-    return first_per_key(both, [key], [F.desc("_seq")]).drop("_seq")
+def load_tables(
+    stored: dict[str, DataFrame], scenes: DataFrame, queries: DataFrame, mode: str, at: Column, order: str
+) -> dict[str, DataFrame]:
+    """One load: requirements and queries upserted by id, and a row in the run log.
+
+    ``stored`` holds ``imported_requirements``, ``queries`` and ``generation_runs``;
+    ``scenes`` and ``queries`` carry their load order in ``order``.
+    """
+    log = run_log_row(queries, mode, at)
+    return {
+        "imported_requirements": upsert(stored["imported_requirements"], scenes, "id", order),
+        "queries": upsert(stored["queries"], queries, "id", order),
+        "generation_runs": upsert(stored["generation_runs"], log.withColumn(order, F.lit(0).cast("long")), "id", order),
+    }
 
 
 def run_log_row(queries: DataFrame, mode: str, at: Column) -> DataFrame:

@@ -12,9 +12,13 @@ POOL_SCHEMA = "map<string, struct<l2full string, topics array<string>>>"
 
 
 def explode_pool(df: DataFrame, json_col: str) -> DataFrame:
-    """``{l2: {l2full, topics[]}}`` -> (l2, l2full, topic, pos)."""
+    """``{l2: {l2full, topics[]}}`` -> (l2, l2full, topic, pos).
+
+    A cell without topics is one row whose topic is null; the operators on pools
+    count it as a cell of size 0.
+    """
     cells = df.select(F.explode(F.from_json(json_col, POOL_SCHEMA)).alias("l2", "cell"))
-    return cells.select("l2", "cell.l2full", F.posexplode("cell.topics").alias("pos", "topic")).select(
+    return cells.select("l2", "cell.l2full", F.posexplode_outer("cell.topics").alias("pos", "topic")).select(
         "l2", "l2full", "topic", F.col("pos").cast("long").alias("pos")
     )
 

@@ -8,11 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+SPREAD_KEY = "corpusloom.minInputPartitions"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see; a temporary one only where none is set."""
+    """The folder all executors see; a temporary one only on a local master where none is set."""
     named = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    if not named and not local:
+        raise RuntimeError(f"set {KEY} to a folder that the driver and all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set(KEY, named)
@@ -35,10 +39,13 @@ def materialized(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on input that arrives in fewer partitions than there are cores.
+    """Deal input that arrives in few partitions over more of them.
 
-    Text work is CPU bound, and a small file is one scan task.  Input that is
-    already split widely enough is left alone: no shuffle at scale.
+    Text work is CPU bound, and a small file is one scan task.  How many is set by
+    ``corpusloom.minInputPartitions``; unset, it is the cores of a local master and
+    nothing on a cluster, so that no large table is shuffled for having few splits.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    context = df.sparkSession.sparkContext
+    named = df.sparkSession.conf.get(SPREAD_KEY, None)
+    least = int(named) if named else context.defaultParallelism if context.master.startswith("local[") else 0
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least, key)

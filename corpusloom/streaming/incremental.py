@@ -11,15 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.operators.ranking import first_per_key
 
 
-def append_finished(stream: DataFrame, id_col: str, ts: str, out: str, checkpoint: str, delay: str = "2 days") -> None:
-    """Append each finished record once; replays inside the watermark are dropped."""
-    once = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_col])
-    query = (
-        once.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
+def append_finished(stream: DataFrame, id_col: str, ts: str, out: str, checkpoint: str) -> None:
+    """Append each finished record once, whenever it comes; of several in a batch the earliest by ``ts``.
+
+    A batch keeps its first row of each id, leaves out ids that other batches have
+    stored, and overwrites the folder of its own number: a repeated batch changes
+    nothing, and a late row that is not stored yet is not lost.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        stored = batch.sparkSession.read.parquet(out).filter(F.col("batch") != batch_id).select(id_col)
+        once = first_per_key(batch, [id_col], [F.asc(ts)])
+        once.join(stored, id_col, "left_anti").select(*schema.names).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -41,3 +51,20 @@ def track_usage(stream: DataFrame, l2: str, topic: str, out: str, checkpoint: st
 def current_usage(spark: SparkSession, out: str) -> DataFrame:
     """Latest count of each key over all batches (counts only grow)."""
     return spark.read.parquet(out).groupBy("l2", "topic").agg(F.max_by("uses", "batch").alias("uses"))
+
+
+def compact_usage(spark: SparkSession, out: str, snapshot: str, earlier: str | None = None) -> DataFrame:
+    """Fold all batches so far into ``snapshot`` and return it.
+
+    A snapshot holds the number of the last batch in it (``upto``).  Given the
+    ``earlier`` snapshot, only the batches after it are read again.
+    """
+    rows = spark.read.parquet(out).select("l2", "topic", "uses", F.col("batch").cast("long").alias("batch"))
+    if earlier is not None:
+        before = spark.read.parquet(earlier)
+        upto = before.agg(F.max("upto")).first()[0]
+        rows = rows.filter(F.col("batch") > F.lit(upto)).unionByName(before.select("l2", "topic", "uses", F.lit(upto).alias("batch")))
+    newest = rows.agg(F.max("batch")).first()[0]
+    folded = rows.groupBy("l2", "topic").agg(F.max_by("uses", "batch").alias("uses"))
+    folded.withColumn("upto", F.lit(newest).cast("long")).write.mode("overwrite").parquet(snapshot)
+    return spark.read.parquet(snapshot).select("l2", "topic", "uses")
