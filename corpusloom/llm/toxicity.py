@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -107,9 +108,10 @@ def choose_words(sample: DataFrame, labels: list[str], most: int, least_docs: in
     return [r.word for r in best.filter(F.col("z") >= z_least).orderBy(F.desc("z"), "word").limit(most).collect()]
 
 
-def presence(rows: list[set[str]], vocabulary: list[str]) -> np.ndarray:
+def presence(rows: Iterable[set[str]], count: int, vocabulary: list[str]) -> np.ndarray:
+    """Which words of the vocabulary stand in each of ``count`` documents; holds one document's words at a time."""
     place = {w: i for i, w in enumerate(vocabulary)}
-    out = np.zeros((len(rows), len(vocabulary)), np.float64)
+    out = np.zeros((count, len(vocabulary)), np.float64)
     known = place.keys()
     for i, r in enumerate(rows):
         for w in known & r:
@@ -151,7 +153,7 @@ def train(
         return chain
     y = np.asarray([[-1 if r[c] is None else r[c] for c in columns] for r in rows])
     groups = np.asarray([r.h for r in rows], np.int64) >> 1
-    held = fit_chain(presence([set(r.w) for r in rows], chain.vocabulary), y, groups, chain, folds)
+    held = fit_chain(presence((set(r.w) for r in rows), len(rows), chain.vocabulary), y, groups, chain, folds)
     c = chain.categories.index(verdict)
     chain.threshold = lowest_threshold(held[y[:, c] >= 0, c], y[y[:, c] >= 0, c], precision)
     return chain
@@ -179,7 +181,7 @@ def score(df: DataFrame, chain: Chain, verdict: str, text: str = "text") -> Data
 
     @F.pandas_udf("array<double>")
     def run(texts: pd.Series) -> pd.Series:
-        x = presence([words_of(t or "") for t in texts], chain.vocabulary)
+        x = presence((words_of(t or "") for t in texts), len(texts), chain.vocabulary)
         return pd.Series(list(chain.score(x)))
 
     kept = [c for c in df.columns if c not in (*names, "rejected")]
