@@ -79,17 +79,18 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "line")
     firsts = chunks.groupBy("h").agg(F.count("*").alias("c"), F.min(place).alias("first")).filter("c > 1").select("h", "first")
     again = chunks.join(firsts, "h").select("id", "th", F.struct("line", "n", "h", (place == F.col("first")).alias("keep")).alias("o"))
-    marked = materialized(again.distinct().groupBy("id", "th").agg(F.collect_list("o").alias("o")), "repeats")
-    same = [F.col("d.id").eqNullSafe(F.col("m.id")), F.col("d.th") == F.col("m.th")]
-    holders = docs.distinct().alias("d").join(marked.alias("m"), same[0] & same[1])
+    marked = materialized(again.groupBy("id", "th").agg(F.collect_set("o").alias("o")), "repeats")
+    same = F.col("d.id").eqNullSafe(F.col("m.id")) & (F.col("d.th") == F.col("m.th"))
+    holders = docs.alias("d").join(marked.alias("m"), same)
     lines = F.split(F.col("d.t"), "\n", -1)
     texts = holders.select(F.col("d.id"), F.col("d.th"), lines.alias("ls"), F.explode("o").alias("o")).select(
         "id", "th", "o.*", F.array_join(F.slice("ls", F.col("o.line") + 1, F.col("o.n")), "\n").alias("bytes")
     )
     texts = materialized(texts, "repeat-texts")
-    kept = texts.filter("keep").select("h", F.col("bytes").alias("first_bytes"))
+    # rows that agree in id and text hold the same first chunk
+    kept = texts.filter("keep").select("h", F.col("bytes").alias("first_bytes")).dropDuplicates(["h"])
     gone = texts.filter("NOT keep").join(kept, "h").filter("bytes = first_bytes")
-    return gone.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("line", "n"))).alias("removed"))
+    return gone.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("line", "n"))).alias("removed"))
 
 
 def drop_repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str = "n_chars", **options) -> DataFrame:
@@ -107,7 +108,8 @@ def drop_repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     kept = [c for c in df.columns if c != "removed"]
     gone = materialized(repeated_chunks(df, doc_id, text, **options), "removed").select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("removed").alias("_gone"))
     rows = df.select(F.struct(*kept).alias("row"), F.col(doc_id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"))
-    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    # a merge join at every size: what has gone has no bound that would let it be broadcast
+    joined = rows.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
     lines = F.split(F.col(f"row.{text}"), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.exists("_gone", lambda g: (i >= g["line"]) & (i < g["line"] + g["n"])))
     new = {text: F.when(F.col("_gone").isNull(), F.col(f"row.{text}")).otherwise(F.array_join(left, "\n"))}
