@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
@@ -16,8 +18,12 @@ from corpusloom.sources.storage import materialized
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; the memory is emptied when full.
-_REMEMBERED = 200_000
+_REMEMBERED = 400_000
 _LONGEST_REMEMBERED = 64
+#: Signs that are neither letters, numbers nor white space, without the apostrophe.
+_SIGNS = ".,;:!?#$%&*)"
+#: Beyond Latin, and the dotted capital I: here lower-casing may depend on who does it.
+_OTHER_CASE = re.compile("[\u0130\u0180-\U0010ffff]")
 
 
 def tokenizer_path() -> str:
@@ -27,35 +33,63 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+#: Byte-level vocabularies write a byte as a sign of its own: itself if it prints, else the next one from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SIGNS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 class WordIds:
     """Ids of whole texts, as little-endian unsigned 32-bit numbers.
 
-    This tokenizer drops white space and never merges across it, so a text's ids
-    are those of its parts between spaces and line feeds, and a part that comes
-    again needs no second run.  ``tests`` hold this against whole texts.
+    This tokenizer drops white space, lower-cases, and never merges across white
+    space or between a word and the signs after it.  So a text's ids are those of
+    its parts, and a part that comes again needs no second run; parts are told
+    apart without case, where lower-casing is the same everywhere, and without the
+    signs at their end.  ``tests`` hold this against whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
         self.known: dict[str, bytes] = {"": b""}
-
-    def part(self, word: str) -> bytes:
-        ids = np.asarray(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self.lowered = False
+
+    def run(self, word: str) -> bytes:
+        if self.lowered and word.isalpha():  # one run of letters in its normal form: only the merges are left to do
+            found = [t.id for t in self.merge(word.encode().decode("latin-1").translate(_BYTE_SIGNS))]
+        else:
+            found = self.encode(word, add_special_tokens=False).ids
+        ids = pack_ids(f"<{len(found)}I", *found)
         if len(word) <= _LONGEST_REMEMBERED:
             if len(self.known) >= _REMEMBERED:
                 self.known = {"": b""}
             self.known[word] = ids
         return ids
 
+    def part(self, word: str) -> bytes:
+        base = word.rstrip(_SIGNS)
+        if len(base) == len(word) or not base or not base[-1].lower()[-1].isalnum():
+            return self.run(word)
+        signs = word[len(base) :]
+        head, tail = self.known.get(base), self.known.get(signs)
+        return (self.run(base) if head is None else head) + (self.run(signs) if tail is None else tail)
+
     def text(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        get = self.known.get
+        if "<|" in text:  # may be a special token, whose case counts
+            return np.asarray(self.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.lowered = text.isascii() or not _OTHER_CASE.search(text)
+        if self.lowered:
+            text = text.lower()
+        get, part = self.known.get, self.part
         out = []
-        for w in words:
+        for w in text.replace("\n", " ").split(" "):
             ids = get(w)
-            out.append(self.part(w) if ids is None else ids)
+            if ids is None:
+                ids = part(w)
+                get = self.known.get
+            out.append(ids)
         return b"".join(out)
 
 

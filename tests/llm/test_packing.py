@@ -47,7 +47,11 @@ def test_ids_by_parts_are_ids_of_the_whole():
     for _ in range(2000):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30)))
         assert np.frombuffer(words.text(text), "<u4").tolist() == words.encode(text, add_special_tokens=False).ids, repr(text)
-    for text in ("ΑΣ ΑΣ", "a<|endoftext|> b", "it's DON'T  x", " lead trail ", "a" * 500):
+    latin = "".join(chr(c) for c in range(0x20, 0x180))
+    for _ in range(2000):
+        text = "".join(rng.choice(latin) for _ in range(rng.randint(0, 12))) + rng.choice(["", ".", " "]) + "".join(rng.choice("aeßéñťŉĳ ,") for _ in range(9))
+        assert np.frombuffer(words.text(text), "<u4").tolist() == words.encode(text, add_special_tokens=False).ids, repr(text)
+    for text in ("ΑΣ ΑΣ", "É, È. ÀB!? c'S. it's, $x$ a,b. (x) «y». 3. ½. e\u0301, ...", "<|ENDOFTEXT|> <|endoftext|>.", "İ. I.", "a<|endoftext|> b", "it's DON'T  x", " lead trail ", "a" * 500):
         assert np.frombuffer(words.text(text), "<u4").tolist() == words.encode(text, add_special_tokens=False).ids
 
 
