@@ -128,6 +128,12 @@ def ag12(spark, sf):
     return A.uniqueness_summary(B.records(spark, sf), "text", "application_type", "scene")
 
 
+@query("ag12_run_summary", f"""WITH {B.REC}, {B.SCN} SELECT count(*) AS total_prompts, count(DISTINCT text) AS unique_prompts, count(DISTINCT application_type) AS application_types,
+  (SELECT sum(target_count)::DOUBLE FROM scn) AS target_sum, {s_ratio('count(DISTINCT text)', 'count(*)', 4)} AS unique_ratio FROM rec""")
+def ag12_run(spark, sf):
+    return A.run_summary(B.records(spark, sf), B.scenes(spark, sf), "text", "application_type", "target_count")
+
+
 CAP = f"""{B.POOL}, {B.USAGE}, ps AS (SELECT l2, count(*) AS pool_size FROM pool GROUP BY 1),
 pu AS (SELECT usg.l2, sum(uses)::BIGINT AS cum, count(pool.topic) AS dis FROM usg LEFT JOIN pool ON pool.l2 = usg.l2 AND pool.topic = usg.topic GROUP BY 1),
 cap AS (SELECT ps.l2, pool_size, coalesce(cum, 0) AS cum_queries, coalesce(dis, 0) AS distinct_used, {s_ratio('coalesce(cum, 0)', 'coalesce(dis, 0)', 2)} AS reuse_avg, greatest(0, 45 - pool_size) AS gap FROM ps LEFT JOIN pu USING (l2))"""
@@ -143,6 +149,24 @@ def ag13_totals(spark, sf):
     return A.pool_capacity_totals(A.pool_capacity(B.pool(spark, sf), B.topic_records(spark, sf), 45), 45)
 
 
+# two platforms, each with its own pool: parts of even and of odd size
+BOTH = f"""{B.POOL}, pf AS (SELECT CASE WHEN p_size % 2 = 0 THEN 'web' ELSE 'mobile' END AS platform, p_brand AS l2, p_partkey::VARCHAR AS topic FROM part WHERE p_size <= 25),
+uf AS (SELECT CASE WHEN l_linenumber % 2 = 0 THEN 'web' ELSE 'mobile' END AS platform, p_brand AS l2, l_partkey::VARCHAR AS topic, count(*) AS uses FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+ps AS (SELECT platform, l2, count(*) AS pool_size FROM pf GROUP BY ALL), pu AS (SELECT uf.platform, uf.l2, sum(uses) AS cum FROM uf GROUP BY ALL),
+cp AS (SELECT platform, l2, pool_size, coalesce(cum, 0) AS cum, greatest(0, 45 - pool_size) AS gap FROM ps LEFT JOIN pu USING (platform, l2))"""
+
+
+@query("ag13_capacity_by_platform", f"""WITH {BOTH} SELECT platform, count(*) AS l2_count, sum(pool_size)::BIGINT AS current_topics, count(*) * 45 AS target_topics, sum(gap)::BIGINT AS total_gap,
+  count(*) FILTER (WHERE cum > pool_size) AS over_subscribed FROM cp GROUP BY 1""")
+def ag13_platforms(spark, sf):
+    part = B.table(spark, sf, "part")
+    side = lambda c: F.when(c % 2 == 0, "web").otherwise("mobile").alias("platform")
+    pool = part.filter("p_size <= 25").select(side(F.col("p_size")), F.col("p_brand").alias("l2"), F.col("p_partkey").cast("string").alias("topic"))
+    used = B.table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    used = used.select(side(F.col("l_linenumber")), F.col("p_brand").alias("l2"), F.col("p_partkey").cast("string").alias("topic"))
+    return A.pool_capacity_totals(A.pool_capacity(pool, used, 45, by=("platform",)), 45, ("platform",))
+
+
 @query("ag14_pool_consumption", f"""WITH {B.POOL}, {B.TREC}, u AS (SELECT platform, topic, count(*) AS uses FROM trec GROUP BY 1, 2), p AS (SELECT DISTINCT topic FROM pool),
 f AS (SELECT u.*, p.topic IS NOT NULL AS inp, (SELECT count(*) FROM p) AS ps FROM u LEFT JOIN p USING (topic))
 SELECT platform, count(*) FILTER (WHERE inp) AS in_pool_distinct, count(*) FILTER (WHERE NOT inp) AS off_pool_distinct, (sum(uses) FILTER (WHERE inp))::BIGINT AS in_pool_uses, (sum(uses) FILTER (WHERE NOT inp))::BIGINT AS off_pool_uses,
@@ -172,6 +196,17 @@ def ag17(spark, sf):
     return A.crosstab(B.run_records(spark, sf), "version", "platform", PLATFORMS)
 
 
+@query("ag17_persona_by_l1", f"WITH {B.REC} SELECT coalesce(persona_title, '(none)') AS persona_title, l1, count(*) AS n FROM rec GROUP BY 1, 2")
+def ag17_persona(spark, sf):
+    return A.pair_counts(B.records(spark, sf), "persona_title", "l1")
+
+
+@query("ag17_counts_by_platform", f"""WITH {B.REC}, c AS (SELECT product_type, 'l1' AS dimension, l1 AS value FROM rec UNION ALL SELECT product_type, 'complexity', target_complexity FROM rec
+  UNION ALL SELECT product_type, 'persona', coalesce(persona_title, '(none)') FROM rec) SELECT product_type, dimension, value, count(*) AS n FROM c GROUP BY ALL""")
+def ag17_platforms(spark, sf):
+    return A.counts_by(B.records(spark, sf), "product_type", {"l1": "l1", "complexity": "target_complexity", "persona": "persona_title"})
+
+
 @query("ag18_pool_size_stats", f"WITH {B.POOL}, c AS (SELECT count(*) AS c FROM pool GROUP BY l2) SELECT count(*) AS l2_count, sum(c)::BIGINT AS total_topics, min(c) AS min_topics, max(c) AS max_topics, {s_round('avg(c)', 4)} AS avg_topics FROM c")
 def ag18(spark, sf):
     return A.pool_size_stats(B.pool(spark, sf))

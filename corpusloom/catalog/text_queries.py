@@ -152,16 +152,27 @@ def s_scope(x: str) -> str:
 _SIZED = rf"regexp_replace(regexp_replace(x, '(?i)\b(?:little|small|tiny|mini)\s+(page|screen|view|section|module|feature|widget)\b', '\1', 'g'), '[ \t]+', ' ', 'g')"
 
 
+def scoped(spark, sf):
+    i = F.col("doc_id") % 4
+    lead = F.when(i == 0, "Build a small page with a widget. ").when(i == 1, "A TINY Screen and an mini feature: ").when(i == 2, "SECTION view ").otherwise("")
+    return docs(spark, sf).select("doc_id", F.concat(lead, F.col("text"), F.lit(" one more Module")).alias("x")).withColumn("y", T.rewrite_scope(F.col("x")))
+
+
 @query("fn12_scope_rewrite", rf"""WITH t AS (SELECT doc_id, {SCOPED} AS x FROM documents), r AS (SELECT doc_id, x, {s_scope(_SIZED)} AS y FROM t),
 f AS (SELECT doc_id, x, regexp_replace(regexp_replace(regexp_replace(y, '\ba\s+app\b', 'an app', 'g'), '\ban\s+tool\b', 'a tool', 'g'), '^\s+|\s+$', '', 'g') AS y FROM r)
 SELECT doc_id, md5(y) AS text_md5, x <> y AS changed, {s_words('x')} AS words_before, {s_words('y')} AS words_after FROM f""")
 def fn12(spark, sf):
-    i = F.col("doc_id") % 4
-    lead = F.when(i == 0, "Build a small page with a widget. ").when(i == 1, "A TINY Screen and an mini feature: ").when(i == 2, "SECTION view ").otherwise("")
-    rows = docs(spark, sf).select("doc_id", F.concat(lead, F.col("text"), F.lit(" one more Module")).alias("x")).withColumn("y", T.rewrite_scope(F.col("x")))
+    rows = scoped(spark, sf)
     return rows.select("doc_id", F.md5("y").alias("text_md5"), (F.col("x") != F.col("y")).alias("changed"), T.word_count(F.col("x")).alias("words_before"), T.word_count(F.col("y")).alias("words_after"))
 
 
+@query("fn12_rewrite_summary", rf"""WITH t AS (SELECT doc_id, {SCOPED} AS x FROM documents), r AS (SELECT doc_id, x, {s_scope(_SIZED)} AS y FROM t),
+f AS (SELECT doc_id, x, regexp_replace(regexp_replace(regexp_replace(y, '\ba\s+app\b', 'an app', 'g'), '\ban\s+tool\b', 'a tool', 'g'), '^\s+|\s+$', '', 'g') AS y FROM r)
+SELECT count(*) AS rows, count(*) FILTER (WHERE x <> y) AS changed, {s_round(f"avg({s_words('x')})", 2)} AS mean_words_before, {s_round(f"avg({s_words('y')})", 2)} AS mean_words_after FROM f""")
+def fn12_summary(spark, sf):
+    return scoped(spark, sf).agg(*T.rewrite_summary(F.col("x"), F.col("y")))
+
+
 def s_line(template: str) -> str:
     parts = R._FIELD.split(template)
     out = [f"'{p.replace(chr(39), chr(39) * 2)}'" if k % 2 == 0 else f"{p}::VARCHAR" for k, p in enumerate(parts) if k % 2 or p]
@@ -199,19 +210,20 @@ def fn14(spark, sf):
     return B.scenes(spark, sf).select("id", R.persona_struct(F.col("id"), seed, lv, app, F.col("l2_scene_label")).alias("p")).select("id", "p.*")
 
 
-MEDIUM_SQL = """'Build a tidy interface for ' || l2_scene_label || '.' || coalesce(' Use a ' || st || ' look.', '') || ' I need a clear main section and one quick filter, and everything should be easy to scan on any device.'"""
+MEDIUM_SQL = """'Build a tidy ' || coalesce(pl, 'interface') || ' for ' || l2_scene_label || '.' || coalesce(' Use a ' || st || ' look.', '') || ' I need a clear main section and one quick filter, and everything should be easy to scan on any device.'"""
 
 
-@query("fn15_text_by_complexity", f"""WITH {B.SCN}, t AS (SELECT *, CASE WHEN idx % 2 = 0 THEN 'Dark' END AS st, (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv FROM scn)
-SELECT id, CASE lv WHEN 'vague' THEN 'I want something for ' || l2_scene_label || '. Keep it simple.' WHEN 'medium' THEN {MEDIUM_SQL}
+@query("fn15_text_by_complexity", f"""WITH {B.SCN}, t AS (SELECT *, CASE WHEN idx % 2 = 0 THEN 'Dark' END AS st, CASE WHEN idx % 5 < 2 THEN 'dashboard' END AS pl, (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv FROM scn)
+SELECT id, CASE lv WHEN 'vague' THEN 'I want ' || coalesce('a ' || pl, 'something') || ' for ' || l2_scene_label || '. Keep it simple.' WHEN 'medium' THEN {MEDIUM_SQL}
   ELSE {MEDIUM_SQL} || ' Navigation and detail views matter to me as well.' || chr(10) || chr(10) || 'Key requirements:' || chr(10) || '1. Explain the value at the top.' || chr(10)
     || '2. Split the content into clear modules.' || chr(10) || '3. Cover empty state, hover and tap feedback.' || chr(10) || '4. Keep it responsive on small screens.' END AS query_text,
-  'I want something for ' || l2_scene_label || ' that is clear and easy to scan.' AS baseline FROM t""")
+  'I want ' || coalesce('a ' || pl, 'something') || ' for ' || l2_scene_label || ' that is clear and easy to scan.' AS baseline FROM t""")
 def fn15(spark, sf):
-    style = F.when(F.col("idx") % 2 == 0, "Dark")
+    """Two in five tasks are bound to a product."""
+    style, product = F.when(F.col("idx") % 2 == 0, "Dark"), F.when(F.col("idx") % 5 < 2, "dashboard")
     lv = B.nth(fv.COMPLEXITY_LEVELS, F.col("idx") % 3)
     label = F.col("l2_scene_label")
-    return B.scenes(spark, sf).select("id", R.text_by_complexity(lv, label, style).alias("query_text"), R.baseline_text(label).alias("baseline"))
+    return B.scenes(spark, sf).select("id", R.text_by_complexity(lv, label, style, product).alias("query_text"), R.baseline_text(label, product).alias("baseline"))
 
 
 def s_pick(slot: str, offset: int) -> str:

@@ -264,6 +264,13 @@ def _swap_nouns(c: Column, nouns: list[str], new: str) -> Column:
     return c
 
 
+def rewrite_summary(before: Column, after: Column) -> list[Column]:
+    """Aggregates of a rewrite: rows, changed rows, mean words before and after."""
+    mean = lambda c: F.floor(F.coalesce(F.avg(word_count(c)), F.lit(0.0)) * 100 + 0.5) / 100
+    changed = F.count_if(~before.eqNullSafe(after))
+    return [F.count("*").alias("rows"), changed.alias("changed"), mean(before).alias("mean_words_before"), mean(after).alias("mean_words_after")]
+
+
 def rewrite_scope(c: Column) -> Column:
     """Lift page- and feature-level wording to app/tool level and fix articles."""
     nouns = fv.PAGE_NOUNS + fv.TOOL_NOUNS

@@ -207,6 +207,32 @@ def uniqueness_summary(df: DataFrame, text: str, app_type: str, source: str) ->
     )
 
 
+def run_summary(records: DataFrame, scenes: DataFrame, text: str, app_type: str, target: str) -> DataFrame:
+    """One row: prompts, unique prompts and their ratio, the sum of scene targets, distinct application types."""
+    rows = records.select(F.xxhash64(text).alias("h1"), F.md5(text).alias("h2"), F.col(app_type).alias("a"))
+    texts = rows.groupBy("h1", "h2").agg(F.count("*").alias("c")).agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("total_prompts"), F.count("*").alias("unique_prompts")
+    )
+    apps = rows.select("a").distinct().agg(F.count("a").alias("application_types"))
+    wanted = scenes.agg(F.coalesce(F.sum(F.coalesce(F.col(target).cast("double"), F.lit(0.0))), F.lit(0.0)).alias("target_sum"))
+    one = lambda df: df.withColumn("_one", F.lit(1))
+    joined = one(texts).join(one(apps), "_one").join(one(wanted), "_one").drop("_one")
+    return joined.withColumn("unique_ratio", T.ratio(F.col("unique_prompts"), F.col("total_prompts"), 4))
+
+
+def pair_counts(df: DataFrame, first: str, second: str, missing: str = "(none)") -> DataFrame:
+    """Rows per (first, second), missing values by name."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(c) for c in (first, second)]
+    return df.select(*named).groupBy(first, second).agg(F.count("*").alias("n"))
+
+
+def counts_by(df: DataFrame, group: str, columns: dict[str, str], missing: str = "(none)") -> DataFrame:
+    """(group, dimension, value, n): value counts of several columns per group, in one pass."""
+    cells = F.array(*[F.struct(F.lit(k).alias("dimension"), F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("value")) for k, c in columns.items()])
+    rows = df.select(F.coalesce(F.col(group).cast("string"), F.lit(missing)).alias(group), F.explode(cells).alias("c"))
+    return rows.groupBy(group, "c.dimension", "c.value").agg(F.count("*").alias("n"))
+
+
 # --- topic pools -------------------------------------------------------------------
 
 
@@ -214,25 +240,26 @@ def _usage(records: DataFrame, l2: str, topic: str, extra: list[str]) -> DataFra
     return records.groupBy(*extra, F.col(l2).alias("l2"), F.col(topic).alias("topic")).agg(F.count("*").alias("uses"))
 
 
-def pool_capacity(pool: DataFrame, records: DataFrame, target: int, l2: str = "l2", topic: str = "topic") -> DataFrame:
-    """Per L2: pool size, cumulative queries, distinct in-pool topics used, mean reuse, gap.
+def pool_capacity(pool: DataFrame, records: DataFrame, target: int, l2: str = "l2", topic: str = "topic", by: tuple[str, ...] = ()) -> DataFrame:
+    """Per L2 (and the columns ``by`` of both sides, such as the platform): pool size, cumulative queries, distinct in-pool topics used, mean reuse, gap.
 
     Mean reuse divides all queries of the L2 (off-pool ones too) by the distinct
     in-pool topics.
     """
-    distinct_pool = pool.select("l2", "topic").distinct()
-    sizes = distinct_pool.groupBy("l2").agg(F.count("topic").alias("pool_size"))
-    used = _usage(records, l2, topic, []).join(distinct_pool.withColumn("inp", F.lit(1)), ["l2", "topic"], "left")
-    agg = used.groupBy("l2").agg(F.sum("uses").alias("cum"), F.count("inp").alias("dis"))
-    return sizes.join(agg, "l2", "left").select(
-        "l2", "pool_size", F.coalesce("cum", F.lit(0)).alias("cum_queries"), F.coalesce("dis", F.lit(0)).alias("distinct_used"),
+    keys = [*by, "l2"]
+    distinct_pool = pool.select(*keys, "topic").distinct()
+    sizes = distinct_pool.groupBy(*keys).agg(F.count("topic").alias("pool_size"))
+    used = _usage(records, l2, topic, list(by)).join(distinct_pool.withColumn("inp", F.lit(1)), [*keys, "topic"], "left")
+    agg = used.groupBy(*keys).agg(F.sum("uses").alias("cum"), F.count("inp").alias("dis"))
+    return sizes.join(agg, keys, "left").select(
+        *keys, "pool_size", F.coalesce("cum", F.lit(0)).alias("cum_queries"), F.coalesce("dis", F.lit(0)).alias("distinct_used"),
         T.ratio(F.coalesce("cum", F.lit(0)), F.coalesce("dis", F.lit(0)), 2).alias("reuse_avg"),
         F.greatest(F.lit(0).cast("long"), F.lit(target) - F.col("pool_size")).alias("gap"),
     ).orderBy(F.desc("reuse_avg"), "l2")
 
 
-def pool_capacity_totals(capacity: DataFrame, target: int) -> DataFrame:
-    return capacity.agg(
+def pool_capacity_totals(capacity: DataFrame, target: int, by: tuple[str, ...] = ()) -> DataFrame:
+    return capacity.groupBy(*by).agg(
         F.count("*").alias("l2_count"), F.sum("pool_size").alias("current_topics"),
         (F.count("*") * target).alias("target_topics"), F.sum("gap").alias("total_gap"),
         F.count_if(F.col("cum_queries") > F.col("pool_size")).alias("over_subscribed"),
