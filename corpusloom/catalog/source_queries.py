@@ -180,4 +180,4 @@ def snk04(spark, sf):
 
 @query("snk05_pack_batches", f"""WITH {B.REC}, n AS (SELECT id, l1, row_number() OVER (PARTITION BY l1 ORDER BY id) - 1 AS i FROM rec) SELECT id, l1, i // 25 + 1 AS batch, i % 25 AS slot FROM n""")
 def snk05(spark, sf):
-    return files.pack_batches(B.records(spark, sf).select("id", "l1"), ["l1"], "id", 25, span=500)
+    return files.pack_batches(B.records(spark, sf).select("id", "l1"), ["l1"], "id", 25)

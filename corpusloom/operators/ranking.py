@@ -21,18 +21,33 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return top_k(df, keys, order, 1, "_first").drop("_first")
 
 
+def range_of(df: DataFrame, order: str, ranges: int) -> Column:
+    """The number of the range a value falls in; ranges hold about equally many rows.
+
+    Borders are approximate quantiles of the column itself, so neither sparse ids
+    nor one far value empties or fills a range; at most ``ranges`` borders reach the
+    driver.  Equal values share a range.
+    """
+    shares = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
+    borders = df.agg(F.percentile_approx(order, shares, 10 * ranges).alias("b")).first()[0] if ranges > 1 else None
+    if not borders:
+        return F.lit(0)
+    table = F.array(*[F.lit(b) for b in sorted(set(borders))])
+    return F.size(F.filter(table, lambda b: b < F.col(order)))
+
+
 def running_index(
-    df: DataFrame, by: list[str], order: str, span: int = 100_000, name: str = "idx", start: int = 1,
+    df: DataFrame, by: list[str], order: str, ranges: int = 64, name: str = "idx", start: int = 1,
     coarse: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Number rows 1..n within ``by`` in the order of (``coarse``, integral ``order``).
+    """Number rows 1..n within ``by`` in the order of (``coarse``, ``order``).
 
-    The order column is cut into ranges of ``span`` values.  Rows per range are
-    counted (map-side combined), prefix sums over the ranges give each range
+    The order column is cut into ``ranges`` by its own quantiles.  Rows per range
+    are counted (map-side combined), prefix sums over the ranges give each range
     its offset, and only rows of one range are ranked together: a group that
     holds most of the data still spreads over many tasks.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(order) / F.lit(span)))
+    ranged = df.withColumn("_range", range_of(df, order, ranges))
     keys = [*by, *coarse, "_range"]
     counts = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy(*coarse, "_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -45,9 +60,9 @@ def running_index(
     )
 
 
-def forward_fill(df: DataFrame, order: str, column: str, span: int = 100_000) -> DataFrame:
+def forward_fill(df: DataFrame, order: str, column: str, ranges: int = 64) -> DataFrame:
     """Fill nulls of ``column`` with the last value before them, range by range."""
-    ranged = df.withColumn("_range", F.floor(F.col(order) / F.lit(span)))
+    ranged = df.withColumn("_range", range_of(df, order, ranges))
     marks = ranged.groupBy("_range").agg(F.max_by(column, F.when(F.col(column).isNotNull(), F.col(order))).alias("_last"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     carried = marks.select("_range", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
@@ -66,19 +81,12 @@ def floor_quantiles(
     """``sorted[min(n-1, floor(n*p))]`` per group and probability.
 
     Values are first folded to (value, count), so repeated values cost nothing.
-    With ``buckets`` > 1 (for continuous values) the value range is cut into
-    equal buckets; only buckets that contain a wanted index are ranked.
+    With ``buckets`` > 1 (for continuous values) the values are cut into buckets by
+    their own quantiles; only buckets that contain a wanted index are ranked.
     """
     w = F.lit(1) if weight is None else F.col(weight)
     folded = df.groupBy(*by, value).agg(F.sum(w).alias("_c"))
-    if buckets > 1:
-        ends = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        spread = F.when(F.col("_hi") > F.col("_lo"), (F.col(value) - F.col("_lo")) / (F.col("_hi") - F.col("_lo")))
-        folded = folded.join(ends, by).withColumn(
-            "_b", F.least(F.lit(buckets - 1), F.floor(F.coalesce(spread, F.lit(0.0)) * buckets)).cast("int")
-        ).drop("_lo", "_hi")
-    else:
-        folded = folded.withColumn("_b", F.lit(0))
+    folded = folded.withColumn("_b", range_of(df, value, buckets))
     in_group = Window.partitionBy(*by)
     marks = (
         folded.groupBy(*by, "_b")

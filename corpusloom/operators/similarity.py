@@ -52,13 +52,20 @@ def fold_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Returns (members: id, grp, key, n; classes: key, grp, sh, n, copies).  The
     sets are written once, because every later step reads them.  The grouping
-    counts narrow rows; the representative's array is joined back.
+    counts narrow rows; the representative's array is joined back.  Two hashes and
+    the size tell sets apart; a class is then numbered, so later steps on ``key``
+    cannot take one class for another.
     """
-    keyed = materialized(sets.withColumn("key", F.xxhash64("grp", "sh")), "shingles")
-    narrow = keyed.select("id", "grp", "key", "n")
-    counted = narrow.groupBy("grp", "key").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    classes = keyed.join(counted, ["grp", "key", "id"]).select("key", "grp", "sh", "n", "copies")
-    return narrow, classes
+    two = [F.xxhash64("grp", "sh").alias("h1"), F.xxhash64(F.lit(1), "sh", "grp").alias("h2")]
+    keyed = materialized(sets.select("*", *two), "shingles")
+    same = ["grp", "h1", "h2", "n"]
+    counted = keyed.groupBy(*same).agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    counted = materialized(counted.withColumn("key", F.monotonically_increasing_id()), "classes")
+    names = counted.select(*[F.col(c).alias(f"c_{c}") for c in same], F.col("id").alias("c_id"), "copies", "key")
+    of = [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in same]
+    joined = keyed.join(names, of[0] & of[1] & of[2] & of[3])
+    classes = joined.filter(F.col("id") == F.col("c_id")).select("key", "grp", "sh", "n", "copies")
+    return joined.select("id", "grp", "key", "n"), classes
 
 
 # --- block kernel ----------------------------------------------------------------
@@ -201,17 +208,35 @@ def _best_and_sum(pdf: pd.DataFrame) -> dict:
     return {n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("key", "best", "total"))} if out else {}
 
 
+def _best_at_home(pdf: pd.DataFrame) -> dict:
+    """Like ``_best_and_sum`` for one block: probes, its own and visiting ones, against the classes at home in it."""
+    home = pdf[(pdf["blk"] == pdf["at"]).to_numpy()]
+    asked = pdf[pdf["probe"].to_numpy()]
+    if not len(asked) or not len(home):
+        return {}
+    sim = _jaccard(asked, home)
+    sim[asked["key"].to_numpy()[:, None] == home["key"].to_numpy()[None, :]] = 0.0
+    return {"key": asked["key"].to_numpy(), "best": sim.max(axis=1), "total": sim @ home["copies"].to_numpy()}
+
+
 def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -> DataFrame:
     """(key, best, total) of each probed class against all classes of its group."""
     if probes is None:
         flagged = _block_pairs(classes, block_rows).withColumn("probe", F.lit(True))
     else:
         marks = probes.select("key", "grp", F.lit(True).alias("probe"))
-        # groups without an open probe are not replicated at all
+        # groups without an open probe stay out; in the others only probes visit the blocks, the rest stays home
         open_groups = marks.select("grp").distinct()
         kept = classes.join(open_groups, "grp", "left_semi")
-        flagged = _block_pairs(kept, block_rows).join(marks, ["key", "grp"], "left")
-        flagged = flagged.withColumn("probe", F.coalesce("probe", F.lit(False)))
+        sizes = kept.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("blocks"))
+        placed = kept.join(sizes, "grp").join(marks, ["key", "grp"], "left").withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        stops = F.when(F.col("probe"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("blk"))
+        visits = placed.withColumn("probe", F.coalesce("probe", F.lit(False))).withColumn("at", F.explode(stops))
+        return (
+            _map_groups(visits.drop("blocks"), ["grp", "at"], _best_at_home, "key long, best double, total double")
+            .groupBy("key")
+            .agg(F.max("best").alias("best"), F.sum("total").alias("total"))
+        )
     return (
         _map_groups(flagged, ["grp", "lo", "hi"], _best_and_sum, "key long, best double, total double")
         .groupBy("key")

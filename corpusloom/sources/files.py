@@ -65,9 +65,9 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", False).csv(path)
 
 
-def pack_batches(df: DataFrame, by: list[str], order: str, size: int, span: int = 100_000) -> DataFrame:
+def pack_batches(df: DataFrame, by: list[str], order: str, size: int, ranges: int = 64) -> DataFrame:
     """Number rows into fixed-size batches per group: (…, batch, slot)."""
-    numbered = running_index(df, by, order, span=span, name="_i", start=0)
+    numbered = running_index(df, by, order, ranges=ranges, name="_i", start=0)
     return (
         numbered.withColumn("batch", F.floor(F.col("_i") / size).cast("long") + 1)
         .withColumn("slot", F.col("_i") % size)

@@ -108,13 +108,13 @@ def test_floor_quantiles_on_integer_boundaries(spark):
 def test_running_index_and_forward_fill_do_not_depend_on_ranges(spark, span):
     rows = [("hot" if i % 10 else "cold", i * 3, None if i % 4 else f"v{i}") for i in range(100)]
     df = spark.createDataFrame(rows, "g string, k long, v string").repartition(5)
-    got = sorted((r["g"], r["k"], r["idx"]) for r in K.running_index(df, ["g"], "k", span=span).collect())
+    got = sorted((r["g"], r["k"], r["idx"]) for r in K.running_index(df, ["g"], "k", ranges=span).collect())
     want = []
     for g in ("cold", "hot"):
         ks = sorted(k for h, k, _ in rows if h == g)
         want += [(g, k, i + 1) for i, k in enumerate(ks)]
     assert got == want
-    filled = {r["k"]: r["v"] for r in K.forward_fill(df, "k", "v", span=span).collect()}
+    filled = {r["k"]: r["v"] for r in K.forward_fill(df, "k", "v", ranges=span).collect()}
     assert all(filled[i * 3] == f"v{i // 4 * 4}" for i in range(100))
 
 
