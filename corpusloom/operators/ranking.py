@@ -32,8 +32,10 @@ def range_of(df: DataFrame, order: str, ranges: int) -> Column:
     borders = df.agg(F.percentile_approx(order, shares, 10 * ranges).alias("b")).first()[0] if ranges > 1 else None
     if not borders:
         return F.lit(0)
-    table = F.array(*[F.lit(b) for b in sorted(set(borders))])
-    return F.size(F.filter(table, lambda b: b < F.col(order)))
+    above = [(F.col(order) > F.lit(b)).cast("int") for b in sorted(set(borders))]
+    while len(above) > 1:  # pairwise, so that the sum is not deep
+        above = [a + b for a, b in zip(above[::2], above[1::2], strict=False)] + ([above[-1]] if len(above) % 2 else [])
+    return F.coalesce(above[0], F.lit(0))
 
 
 def running_index(
