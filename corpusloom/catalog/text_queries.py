@@ -372,6 +372,37 @@ def fn24(spark, sf):
     return out.select("event_id", "k", "note", "parse_status")
 
 
+# props as the text of a chat answer, in the shapes that gateways return
+MESSAGE_SHAPES = [
+    ('{"choices": [{"message": {"content": "', '"}}]}'),
+    ('{"choices": [{"text": "', '", "message": {"content": "", "reasoning": "why", "refusal": "no"}}]}'),
+    ('{"choices": [{"reasoning": "late", "message": {"content": [{"type": "text", "text": "', '"}, "plain", {"type": "thinking", "summary": "hm"}, {"type": "image", "text": "x"}, 7]}}]}'),
+    ('{"choices": [{"message": {"content": null, "thinking": "', '", "reasoning_content": "r"}}]}'),
+    ('{"choices": [{"text": "', '"}]}'),
+    ('{"choices": [], "text": "', '"}'),
+    ('{"choices": [{"message": {"content": "', '"'),
+]
+
+
+@query("fn24_message_text", """WITH t AS (SELECT event_id, event_id % 7 AS m, replace(event_type || ' ' || event_id, '"', '') AS x FROM events)
+SELECT event_id, CASE m WHEN 0 THEN x WHEN 1 THEN x || chr(10) || chr(10) || 'why' || chr(10) || chr(10) || 'no' WHEN 2 THEN x || chr(10) || chr(10) || 'plain' || chr(10) || chr(10) || 'hm' || chr(10) || chr(10) || 'late'
+  WHEN 3 THEN 'r' || chr(10) || chr(10) || x WHEN 4 THEN x ELSE '' END AS text FROM t""")
+def fn24_message(spark, sf):
+    x = F.concat_ws(" ", "event_type", F.col("event_id").cast("string"))
+    m = F.col("event_id") % 7
+    payload = F.concat(B.nth([a for a, _ in MESSAGE_SHAPES], m), x, B.nth([b for _, b in MESSAGE_SHAPES], m))
+    return B.table(spark, sf, "events").select("event_id", M.message_text(payload).alias("text"))
+
+
+@query("fn24_parse_arrays", """SELECT event_id, CASE event_id % 3 WHEN 0 THEN event_type || '|' || event_id WHEN 1 THEN event_type ELSE '(none)' END AS items FROM events""")
+def fn24_arrays(spark, sf):
+    e, m = F.col("event_type"), F.col("event_id") % 3
+    answer = F.when(m == 0, F.concat(F.lit('```json\n["'), e, F.lit('", "'), F.col("event_id").cast("string"), F.lit('"]\n```')))
+    answer = answer.when(m == 1, F.concat(F.lit('Here: ["'), e, F.lit('"] as asked.'))).otherwise(F.concat(e, F.lit(" no list")))
+    out = M.parse_arrays(B.table(spark, sf, "events").select("event_id", answer.alias("a")), "a", "items")
+    return out.select("event_id", F.coalesce(F.array_join("items", "|"), F.lit("(none)")).alias("items"))
+
+
 @query("fn25_needs_translation", f"WITH {B.EREC} SELECT id FROM erec WHERE error IS NULL AND query_text <> '' AND id % 3 <> 0")
 def fn25(spark, sf):
     r = B.run_records(spark, sf).withColumn("zh", F.when(F.col("id") % 3 == 0, "zh").otherwise(""))

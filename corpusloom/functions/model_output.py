@@ -96,3 +96,40 @@ def parse_arrays(df: DataFrame, answer: str, name: str) -> DataFrame:
     """The first JSON array of strings in an answer; null when there is none."""
     block = F.regexp_extract(strip_fences(F.col(answer)), r"(?s)\[.*\]", 0)
     return df.withColumn(name, F.from_json(F.when(block != "", block), "array<string>"))
+
+
+# fixed values: where an answer can hold text, in reading order
+TEXT_PARTS = ("text", "output_text")
+THOUGHT_PARTS = ("reasoning", "thinking")
+MESSAGE_KEYS = ("reasoning_content", "reasoning", "thinking", "refusal")
+CHOICE_KEYS = ("reasoning", "reasoning_content")
+
+
+def _string_at(v: Column, path: str) -> Column:
+    """The non-empty string at a path; null if there is none or something else."""
+    found = F.try_variant_get(v, path, "variant")
+    return F.when(F.schema_of_variant(found) == "STRING", F.nullif(F.try_variant_get(v, path, "string"), F.lit("")))
+
+
+def _item_text(item: Column) -> Column:
+    kind = F.try_variant_get(item, "$.type", "string")
+    first = lambda *names: F.coalesce(*[_string_at(item, f"$.{n}") for n in names])
+    return (
+        F.when(F.schema_of_variant(item) == "STRING", _string_at(item, "$"))
+        .when(kind.isin(*TEXT_PARTS), first("text", "content"))
+        .when(kind.isin(*THOUGHT_PARTS), first("text", "summary", "content"))
+    )
+
+
+def message_text(payload: Column) -> Column:
+    """Text of the first choice of a chat answer (JSON): its own text, the message's content or content parts,
+    then reasoning and refusal fields, parted by blank lines; '' if there is none or no JSON."""
+    v = F.try_parse_json(payload)
+    content = "$.choices[0].message.content"
+    parts = F.coalesce(F.try_variant_get(v, content, "array<variant>"), F.array().cast("array<variant>"))
+    single = lambda path: F.array(_string_at(v, path))
+    pieces = F.concat(
+        single("$.choices[0].text"), single(content), F.transform(parts, _item_text),
+        *[single(f"$.choices[0].message.{k}") for k in MESSAGE_KEYS], *[single(f"$.choices[0].{k}") for k in CHOICE_KEYS],
+    )
+    return F.array_join(F.array_compact(pieces), "\n\n")

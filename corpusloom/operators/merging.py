@@ -13,21 +13,25 @@ from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
 
 
-def _substrings(c: Column) -> Column:
-    """All distinct substrings of a short label, the empty one included."""
+def _substrings(c: Column, lengths: list[int]) -> Column:
+    """The distinct substrings of a label that have one of the given lengths."""
     n = F.length(c)
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    per_start = F.transform(
-        starts, lambda i: F.transform(F.sequence(F.lit(0), F.greatest(n - i + 1, F.lit(0))), lambda k: F.substring(c, i, k))
-    )
-    return F.array_distinct(F.flatten(per_start))
+    last = lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(c, i, F.lit(k))))
+    of = [F.coalesce(last(k), F.array().cast("array<string>")) for k in lengths]
+    return F.array_distinct(F.concat(*of)) if of else F.array().cast("array<string>")
+
+
+def _lengths(df: DataFrame, c: str) -> list[int]:
+    """Distinct lengths of a label column: as many as the longest label has characters at most."""
+    return sorted(r[0] for r in df.select(F.length(c)).filter(F.col(c).isNotNull()).distinct().collect())
 
 
 def match_pool_key(scenes: DataFrame, pool_keys: DataFrame, id_col: str, label: str, raw: str, key: str, order: str) -> DataFrame:
     """(id, pool key): exact match first, else containment either way; first key in pool order.
 
-    Containment is an equi join on substrings of the (short) labels and keys,
-    so there is no pairwise comparison of scenes with keys.
+    Containment is an equi join on substrings of the labels and keys that have a
+    length found on the other side, so there is no pairwise comparison of scenes
+    with keys.
     """
     keys = pool_keys.select(F.col(key).alias("k"), F.col(order).cast("long").alias("pos"), T.strip_ordinal(F.col(key)).alias("kn"))
     names = scenes.select(T.strip_ordinal(F.col(label)).alias("ln"), T.strip_ordinal(F.col(raw)).alias("rn")).distinct()
@@ -39,8 +43,8 @@ def match_pool_key(scenes: DataFrame, pool_keys: DataFrame, id_col: str, label:
         .select("ln", "rn", F.lit(0).alias("tier"), pick.alias("hit"))
     )
     labels = names.select("ln").distinct()
-    inside_label = labels.select("ln", F.explode(_substrings(F.col("ln"))).alias("kn")).join(keys, "kn")
-    inside_key = keys.select("k", "pos", F.explode(_substrings(F.col("kn"))).alias("ln")).join(labels, "ln")
+    inside_label = labels.select("ln", F.explode(_substrings(F.col("ln"), _lengths(keys, "kn"))).alias("kn")).join(keys, "kn")
+    inside_key = keys.select("k", "pos", F.explode(_substrings(F.col("kn"), _lengths(labels, "ln"))).alias("ln")).join(labels, "ln")
     near = (
         inside_label.select("ln", pick.alias("hit"))
         .unionByName(inside_key.select("ln", pick.alias("hit")))
@@ -60,7 +64,8 @@ def match_pool_key(scenes: DataFrame, pool_keys: DataFrame, id_col: str, label:
 def lookup_with_default(
     df: DataFrame, table: DataFrame, key1: str, key2: str, map_key: str, map_value: str, default: str, name: str
 ) -> DataFrame:
-    """First hit of two keys in a mapping table, else the default."""
+    """First hit of two keys in a mapping table, else the default; of several values of a key the smallest."""
+    table = table.filter(T.or_empty(F.col(map_value)) != "").groupBy(map_key).agg(F.min(map_value).alias(map_value))
     one = table.select(F.col(map_key).alias(key1), F.col(map_value).alias("_v1"))
     two = table.select(F.col(map_key).alias(key2), F.col(map_value).alias("_v2"))
     return (
@@ -93,13 +98,22 @@ def pending_tasks(plan: DataFrame, done: DataFrame, id_col: str) -> DataFrame:
     return plan.join(done.select(id_col), id_col, "left_anti")
 
 
-def merge_results(records: DataFrame, outputs: DataFrame, id_col: str = "id") -> DataFrame:
+def _one_per_id(df: DataFrame, id_col: str, value: str, order: str | None) -> DataFrame:
+    """The value of each id: the last by ``order``, without one the largest."""
+    last = F.max(value) if order is None else F.max_by(value, F.struct(F.col("_order"), F.col(value)))
+    return df.groupBy(id_col).agg(last.alias(value))
+
+
+def merge_results(records: DataFrame, outputs: DataFrame, id_col: str = "id", order: str | None = None) -> DataFrame:
     """Fill failed records that have an output; all others stay as they are.
 
     ``records``: id, query_text, error, word_count, duration_ms, generator_mode.
-    ``outputs``: id, query_text.  Blank outputs do not count.
+    ``outputs``: id, query_text.  Blank outputs do not count; of several outputs of
+    an id the last by ``order`` does.
     """
-    new = outputs.select(F.col(id_col), T.trim_ws(F.col("query_text")).alias("_new")).filter("_new <> ''")
+    rank = F.lit(0) if order is None else F.col(order)
+    new = outputs.select(F.col(id_col), T.trim_ws(F.col("query_text")).alias("_new"), rank.alias("_order")).filter("_new <> ''")
+    new = _one_per_id(new, id_col, "_new", order)
     joined = records.join(new, id_col, "left")
     hit = F.col("error").isNotNull() & F.col("_new").isNotNull()
     mode = F.when(F.col("error") == "PREP_ONLY_PENDING", "subagent-prep-only").otherwise("subagent-retry")
@@ -114,9 +128,11 @@ def merge_results(records: DataFrame, outputs: DataFrame, id_col: str = "id") ->
     )
 
 
-def merge_translations(records: DataFrame, translations: DataFrame, id_col: str, old: str) -> DataFrame:
-    """Take a new translation for rows without error; an old one is never blanked."""
-    new = translations.select(F.col(id_col), F.col("query_text_zh").alias("_zh")).filter(T.or_empty(F.col("_zh")) != "")
+def merge_translations(records: DataFrame, translations: DataFrame, id_col: str, old: str, order: str | None = None) -> DataFrame:
+    """Take a new translation (the last by ``order``) for rows without error; an old one is never blanked."""
+    rank = F.lit(0) if order is None else F.col(order)
+    new = translations.select(F.col(id_col), F.col("query_text_zh").alias("_zh"), rank.alias("_order")).filter(T.or_empty(F.col("_zh")) != "")
+    new = _one_per_id(new, id_col, "_zh", order)
     joined = records.join(new, id_col, "left")
     ok = F.col("error").isNull()
     return joined.select(

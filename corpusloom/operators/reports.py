@@ -20,14 +20,14 @@ def _label(c: str, blank: str | None) -> Column:
     return F.when(T.or_empty(col) == "", F.lit(blank)).otherwise(col)
 
 
-def grouping_counts(df: DataFrame, dims: dict[str, Column], extra: list[Column] | None = None) -> DataFrame:
+def grouping_counts(df: DataFrame, dims: dict[str, Column], extra: list[Column] | None = None, inputs: tuple[str, ...] = ()) -> DataFrame:
     """(dim, value, n, ...): counts of several dimensions and of all rows in one pass.
 
     GROUPING SETS over narrow dimension columns: partial counts combine before
-    the single shuffle.
+    the single shuffle.  ``extra`` aggregates read the columns named in ``inputs``.
     """
     names = list(dims)
-    flat = df.select(*[c.alias(f"d_{i}") for i, c in enumerate(dims.values())], *[F.col(c) for c in _inputs(extra, df)])
+    flat = df.select(*[c.alias(f"d_{i}") for i, c in enumerate(dims.values())], *[F.col(c) for c in inputs])
     cols = [f"d_{i}" for i in range(len(names))]
     sets = [[F.col(c)] for c in cols] + [[]]
     which = F.lit("total")
@@ -41,13 +41,6 @@ def grouping_counts(df: DataFrame, dims: dict[str, Column], extra: list[Column]
     ).drop(*cols)
 
 
-def _inputs(extra: list[Column] | None, df: DataFrame) -> list[str]:
-    if not extra:
-        return []
-    text = " ".join(str(e) for e in extra)
-    return [c for c in df.columns if c in text]
-
-
 SUMMARY_DIMS = {
     "l1_scene": None, "l2_scene_label": None, "application_type": None, "product_type": None,
     "target_complexity": None, "complexity_level": "unknown", "design_style": "unspecified",
@@ -58,7 +51,7 @@ SUMMARY_DIMS = {
 def corpus_summary(df: DataFrame, dims: dict[str, str | None] = SUMMARY_DIMS, score: str = "quality_score") -> DataFrame:
     """Counts per dimension, total, and mean score (a null score counts as 0)."""
     mean = T.round_to(F.avg(F.coalesce(F.col(score), F.lit(0.0))), 2).alias("mean_score")
-    return grouping_counts(df, {d: _label(d, b) for d, b in dims.items()}, [mean])
+    return grouping_counts(df, {d: _label(d, b) for d, b in dims.items()}, [mean], (score,))
 
 
 def confusion(df: DataFrame, target: str, actual: str) -> DataFrame:
@@ -93,7 +86,7 @@ def pass_by_dimension(df: DataFrame, style: str, l1: str, passed: str, persona_s
     )
     return grouping_counts(
         rows, {"design_style": F.col("style"), "l1_scene": F.col("l1")},
-        [F.count_if("ok").alias("passed"), F.count_if(~F.col("ok")).alias("failed"), F.count_if("fb").alias("fallbacks")],
+        [F.count_if("ok").alias("passed"), F.count_if(~F.col("ok")).alias("failed"), F.count_if("fb").alias("fallbacks")], ("ok", "fb"),
     )
 
 
