@@ -145,7 +145,7 @@ def quota_scenes(spark, sf):
     c = B.table(spark, sf, "customer")
     k = F.col("c_custkey")
     return c.select(
-        F.concat(F.lit("scene_"), P.pad(k, 6)).alias("id"), F.floor(k / 3).alias("idx"), (k % 3).alias("kind"), F.col("c_mktsegment").alias("l1_scene"),
+        F.concat(F.lit("scene_"), P.pad(k, 6)).alias("id"), F.floor(k / 3).alias("idx"), (k % 3).alias("kind"), F.when(k % 4 == 1, "健康管理").when(k % 4 == 3, F.col("c_mktsegment")).alias("l1_scene"),
         F.col("c_name").alias("l2_scene_label"), F.array(F.lit("app a"), F.lit("app b"), F.lit("app c")).alias("candidates"),
         F.when(k % 2 == 0, F.array(*[F.lit(p) for p in PTS])).alias("products"), F.lit(0).alias("target_count"),
     )
@@ -153,22 +153,22 @@ def quota_scenes(spark, sf):
 
 def s_quota(kind: int, steps, plan: str, rotate: bool) -> str:
     parts = []
-    for seq, lv, ap, pt in steps:
+    for n, (seq, lv, ap, pt) in enumerate(steps):
         off = "idx + " if rotate else ""
         parts.append(
-            f"SELECT 'q_' || id || '_' || '{seq:03d}' AS query_id, id AS scene_id, (['app a', 'app b', 'app c'])[{1 + ap % 3}] AS application_type, pts[1 + ({off}{pt}) % len(pts)] AS product_type, ({LEVELS})[1 + ({off}{lv}) % 3] AS target_complexity, '{plan}' AS plan_type FROM qs WHERE kind = {kind}"
+            f"SELECT 'q_' || id || '_' || '{seq:03d}' AS query_id, id AS scene_id, (['app a', 'app b', 'app c'])[{1 + ap % 3}] AS application_type, pts[1 + ({off}{pt}) % len(pts)] AS product_type, ({LEVELS})[1 + ({off}{lv}) % 3] AS target_complexity, (['Dark', 'Luxury', 'Vibrant', 'Material'])[1 + (idx * {len(steps)} + {n}) % 4] AS design_style, substr(sha1(id || ':{seq}:{plan}'), 1, 10) AS persona_seed, '{plan}' AS plan_type FROM qs WHERE kind = {kind}"
         )
     return " UNION ALL ".join(parts)
 
 
-QS = f"qs AS (SELECT 'scene_' || {s_pad('c_custkey', 6)} AS id, c_custkey // 3 AS idx, c_custkey % 3 AS kind, CASE WHEN c_custkey % 2 = 0 THEN {s_list(PTS)} ELSE {s_list(fv.DEFAULT_PRODUCT_TYPES)} END AS pts FROM customer)"
+QS = f"qs AS (SELECT 'scene_' || {s_pad('c_custkey', 6)} AS id, c_custkey // 3 AS idx, c_custkey % 3 AS kind, CASE WHEN c_custkey % 2 = 0 THEN {s_list(PTS)} WHEN c_custkey % 4 = 1 THEN ['dashboard', 'content_blog', 'form_flow'] ELSE ['portfolio', 'dashboard', 'form_flow'] END AS pts FROM customer)"
 
 
 @query("pl07_quota_plan", f"WITH {QS} {s_quota(0, P.SECOND_ROUND, 'expand_r2', True)} UNION ALL {s_quota(1, P.LOW_COVERAGE, 'expand_b', False)} UNION ALL {s_quota(2, P.NEW_DOMAIN, 'expand_c', False)}")
 def pl07(spark, sf):
     q = quota_scenes(spark, sf)
-    plan = P.quota_plan(*[q.filter(F.col("kind") == k) for k in range(3)])
-    return plan.select("query_id", "scene_id", "application_type", "product_type", "target_complexity", "plan_type")
+    plan = P.quota_plan(*[q.filter(F.col("kind") == k) for k in range(3)], styles=["Dark", "Luxury", "Vibrant", "Material"])
+    return plan.select("query_id", "scene_id", "application_type", "product_type", "target_complexity", "design_style", "persona_seed", "plan_type")
 
 
 @query("pl07_duplicate_ids", "SELECT 'q_' || (o_custkey % 100) AS query_id, count(*) AS copies FROM orders GROUP BY 1 HAVING count(*) > 1")

@@ -18,6 +18,24 @@ OPENERS = ["Build a", "Need a", "Create a", "Make a", "(no formal opener)"]
 
 DEFAULT_PRODUCT_TYPES = ["portfolio", "dashboard", "form_flow"]
 
+# --- fixed values: products and styles that quota tasks rotate through ------------
+
+DOMAIN_PRODUCTS = {
+    "实用工具": ["form_flow", "dashboard", "admin_panel"],
+    "健康管理": ["dashboard", "content_blog", "form_flow"],
+    "办公效率": ["admin_panel", "realtime_collab", "dashboard"],
+    "新闻资讯": ["social_feed", "content_blog", "dashboard"],
+    "出行助手": ["booking_service", "search_filter", "landing_page"],
+    "多媒体处理": ["media_player", "portfolio", "admin_panel"],
+    "休闲游戏": ["game_hud", "social_feed", "landing_page"],
+    "美食探店": ["ecommerce_shop", "search_filter", "booking_service"],
+    "购物消费": ["ecommerce_shop", "dashboard", "social_feed"],
+    "教育学习": ["content_blog", "form_flow", "dashboard"],
+    "深度研究展示": ["portfolio", "landing_page", "dashboard"],
+    "交互方式": ["form_flow", "landing_page", "admin_panel"],
+}
+QUOTA_STYLES = ["Dark", "Glassmorphism", "Vibrant", "Minimalism", "Material", "Neumorphism", "Luxury", "Cyberpunk"]
+
 # --- fixed values: keyword -> tag rules (ordered) ------------------------------
 
 APPLICATION_RULES = [

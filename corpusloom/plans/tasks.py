@@ -150,21 +150,37 @@ def allocate(scenes: DataFrame, total: Column | int, flat: bool = True, missing_
 QuotaStep = tuple[int, int, int, int]
 
 
-def quota_part(scenes: DataFrame, steps: list[QuotaStep], plan_type: str, rotate_level: bool, rotate_product: bool) -> DataFrame:
+def domain_products(l1: Column, table: dict[str, list[str]] = fv.DOMAIN_PRODUCTS) -> Column:
+    """The products of a scene's domain, else the default ones."""
+    found = F.array(*[F.lit(p) for p in fv.DEFAULT_PRODUCT_TYPES])
+    for name, products in table.items():
+        found = F.when(l1 == name, F.array(*[F.lit(p) for p in products])).otherwise(found)
+    return found
+
+
+def quota_part(
+    scenes: DataFrame, steps: list[QuotaStep], plan_type: str, rotate_level: bool, rotate_product: bool, styles: list[str] | None = None
+) -> DataFrame:
     """Tasks per scene from (sequence number, level, application, product) offsets.
 
-    With ``rotate_*`` the scene position is added to the offset.
+    With ``rotate_*`` the scene position is added to the offset.  Products are the
+    scene's own (``products``) or those of its domain.  ``styles`` rotate by the
+    task's number in the part, (position x steps + step); without them it is null.
     """
     fields = ("seq", "lv", "ap", "pt")
     offsets = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(fields, s, strict=True)]) for s in steps])
-    rows = _named(scenes).withColumn("_s", F.explode(offsets))
+    rows = _named(scenes).select("*", F.posexplode(offsets).alias("_k", "_s"))
+    turn = F.col("idx") * len(steps) + F.col("_k")
+    style = T.cyclic(F.array(*[F.lit(s) for s in styles]), turn) if styles else F.lit(None).cast("string")
     lv = F.col("_s.lv") + (F.col("idx") if rotate_level else F.lit(0))
     pt = F.col("_s.pt") + (F.col("idx") if rotate_product else F.lit(0))
     return rows.select(
         F.concat(F.lit("q_"), "scene_id", F.lit("_"), pad(F.col("_s.seq"), 3)).alias("query_id"), "scene_id", "l1_scene",
         "l2_scene_label", T.cyclic(F.col("candidates"), F.col("_s.ap")).alias("application_type"),
-        T.cyclic(F.coalesce("products", F.array(*[F.lit(p) for p in fv.DEFAULT_PRODUCT_TYPES])), pt).alias("product_type"),
-        levels_at(lv).alias("target_complexity"), F.lit(plan_type).alias("plan_type"),
+        T.cyclic(F.coalesce("products", domain_products(F.col("l1_scene"))), pt).alias("product_type"),
+        levels_at(lv).alias("target_complexity"), style.alias("design_style"),
+        T.short_hash(F.concat_ws(":", "scene_id", F.col("_s.seq").cast("string"), F.lit(plan_type))).alias("persona_seed"),
+        F.lit(plan_type).alias("plan_type"),
     )
 
 
@@ -173,12 +189,12 @@ LOW_COVERAGE = [(10, 0, 0, 3), (11, 1, 1, 4), (12, 2, 2, 5)]
 NEW_DOMAIN = [(1, 0, 0, 0), (2, 1, 1, 1), (3, 2, 2, 2)]
 
 
-def quota_plan(first: DataFrame, second: DataFrame, third: DataFrame) -> DataFrame:
+def quota_plan(first: DataFrame, second: DataFrame, third: DataFrame, styles: list[str] | None = None) -> DataFrame:
     """Three offset parts in one plan."""
     return (
-        quota_part(first, SECOND_ROUND, "expand_r2", True, True)
-        .unionByName(quota_part(second, LOW_COVERAGE, "expand_b", False, False))
-        .unionByName(quota_part(third, NEW_DOMAIN, "expand_c", False, False))
+        quota_part(first, SECOND_ROUND, "expand_r2", True, True, styles)
+        .unionByName(quota_part(second, LOW_COVERAGE, "expand_b", False, False, styles))
+        .unionByName(quota_part(third, NEW_DOMAIN, "expand_c", False, False, styles))
     )
 
 
