@@ -23,8 +23,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_WRITTEN: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders this process wrote; call it when the results that read them are stored.  Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def materialized(df: DataFrame, label: str) -> DataFrame:

@@ -81,3 +81,14 @@ def test_tiny_weights_keep_their_share(spark):
     combos = spark.createDataFrame([("g", "a", 1.0), ("g", "b", 3e-10), ("g", "c", 3e-10)], "g string, o string, w double")
     placed = S.weighted_draws(combos, "g", "o", "w", spark.range(2000).select(F.col("id").alias("draw")), "s")
     assert placed.count() == 2000
+
+
+def test_scratch_is_deleted_on_request(spark):
+    import os
+
+    from corpusloom.sources import storage
+
+    path = storage.materialized(spark.range(3), "gone").inputFiles()[0]
+    folder = os.path.dirname(path.removeprefix("file://"))
+    assert os.path.isdir(folder)
+    assert storage.clear_scratch(spark) > 0 and not os.path.isdir(folder)
