@@ -144,6 +144,12 @@ def sm02(spark, sf):
     return prof.select("source", "n_pairs", *[T.round_to(F.col(c), 6).alias(c) for c in PEER_COLS])
 
 
+@query("sm02_peer_mean_estimate")
+def sm02_estimate(spark, sf):
+    """Mean similarity in linear time, with its standard error; tests hold it against all pairs."""
+    return S.peer_mean_estimate(docs(spark, sf), "doc_id", "source", "text")
+
+
 @query("sm03_near_duplicates", f"""WITH RECURSIVE d AS (SELECT doc_id AS id, lower({s_clean('text')}) AS c FROM documents),
 g AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(len(c) - 1, 1)), lambda i: c[i:i+2])) AS s FROM d),
 z AS (SELECT id, count(*) AS n FROM g GROUP BY 1),

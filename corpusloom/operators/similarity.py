@@ -366,6 +366,34 @@ def peer_profile(
     )
 
 
+def _min_hash(number: int):
+    return F.array_min(F.transform("sh", lambda s: F.xxhash64(s, F.lit(number))))
+
+
+def peer_mean_estimate(
+    df: DataFrame, id_col: str, group: str, text: str, tokens: str = "alnum", n: int = 3, hashes: int = 64
+) -> DataFrame:
+    """Per group: rows, an estimate of the mean similarity over all pairs, and its standard error.  Linear in the rows.
+
+    Two sets agree in a min-hash with a probability that is their Jaccard
+    similarity.  So the pairs of rows that share a value, c (c - 1) summed over the
+    values of a hash, estimate the sum over all pairs without bias; ``hashes``
+    independent ones give the mean and its error.  Rows without a shingle agree
+    with nothing.  ``peer_profile`` has the exact figures at quadratic cost.
+    """
+    sets = materialized(word_shingles(df, id_col, group, text, tokens, n).select("grp", "sh", "n"), "shingles")
+    values = F.array(*[_min_hash(i) for i in range(hashes)])
+    marks = sets.select("grp", F.when(F.col("n") > 0, values).alias("m"))
+    shared = marks.select("grp", F.posexplode("m").alias("i", "h")).groupBy("grp", "i", "h").agg(F.count("*").alias("c"))
+    per_hash = shared.groupBy("grp", "i").agg(F.sum(F.col("c") * (F.col("c") - 1)).cast("double").alias("pairs"))
+    sizes = sets.groupBy("grp").agg(F.count("*").alias("rows"))
+    share = F.when(F.col("rows") > 1, F.col("pairs") / (F.col("rows") * (F.col("rows") - 1))).otherwise(0.0)
+    rows = sizes.join(per_hash, "grp", "left").groupBy("grp", "rows").agg(
+        F.coalesce(F.avg(share), F.lit(0.0)).alias("mean"), (F.coalesce(F.stddev_samp(share), F.lit(0.0)) / math.sqrt(hashes)).alias("error")
+    )
+    return rows.select(F.col("grp").alias(group), "rows", F.col("mean").alias("mean_similarity"), F.col("error").alias("standard_error"))
+
+
 # --- near-duplicate groups -----------------------------------------------------------
 
 

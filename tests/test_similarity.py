@@ -65,6 +65,15 @@ def test_peer_profile_matches_brute_force(spark, corpus):
             assert abs(r["mean_peer_p50"] - mn[n // 2]) < 1e-7
 
 
+def test_peer_mean_estimate_is_within_its_error(spark, corpus):
+    df = spark.createDataFrame(corpus, "id long, grp string, text string")
+    for r in S.peer_mean_estimate(df, "id", "grp", "text", tokens="space").collect():
+        texts = [grams(t) for _, h, t in corpus if h == r["grp"]]
+        pairs = [jac(a, b) for i, a in enumerate(texts) for b in texts[:i]]
+        exact = sum(pairs) / len(pairs) if pairs else 0.0
+        assert r["rows"] == len(texts) and abs(r["mean_similarity"] - exact) <= 5 * r["standard_error"] + 1e-9
+
+
 def test_near_duplicates_groups_chains_and_copies(spark):
     base = "the quick brown fox jumps over the lazy dog while the cat sleeps on the warm window sill all day long "
     rows = [(i, base * 3, 1.0) for i in range(40)]  # copies
