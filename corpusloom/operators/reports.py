@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
 from corpusloom.operators.ranking import profile_by_value, top_k
+from corpusloom.sources.storage import materialized
 
 
 def _label(c: str, blank: str | None) -> Column:
@@ -172,6 +173,7 @@ def run_comparison(df: DataFrame, run: str, level: str, text: str) -> DataFrame:
         F.col(run).alias("run"), F.col(level).alias("level"), T.word_count(F.col(text)).alias("w"),
         T.lead_fingerprint(F.col(text)).alias("fp"),
     )
+    rows = materialized(rows, "runs")  # narrow; the texts are parsed once
     leads = rows.groupBy("run", "fp").agg(F.count("*").alias("c")).groupBy("run").agg(
         F.count("*").alias("unique_leads"), F.sum("c").alias("total")
     )
@@ -187,6 +189,7 @@ def run_comparison(df: DataFrame, run: str, level: str, text: str) -> DataFrame:
 def uniqueness_summary(df: DataFrame, text: str, app_type: str, source: str) -> DataFrame:
     """Per source and total: rows, unique texts, unique ratio, distinct application types."""
     rows = df.select(F.col(source).alias("s"), F.xxhash64(text).alias("h1"), F.md5(text).alias("h2"), F.col(app_type).alias("a"))
+    rows = materialized(rows, "texts")  # narrow; the texts are hashed once
     texts = rows.groupBy("s", "h1", "h2").agg(F.count("*").alias("c"))
     # a text may occur under several sources: the total folds across them
     whole = texts.groupBy("h1", "h2").agg(F.sum("c").alias("c"))

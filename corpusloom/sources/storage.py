@@ -32,16 +32,27 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete the folders this process wrote; call it when the results that read them are stored.  Returns how many."""
+def clear_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
+    """Delete the folders this process wrote, but for those whose path holds one of ``keep``; returns how many went.
+
+    Call it when the results that read them are stored; ``since`` is a number from ``scratch_mark``.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    for name in _WRITTEN[since:]:
+        if any(k in name for k in keep):
+            continue
+        path = jvm.org.apache.hadoop.fs.Path(name)
         gone += bool(path.getFileSystem(conf).delete(path, True))
+        _WRITTEN.remove(name)
     return gone
 
 
+def scratch_mark() -> int:
+    """How many folders are written so far."""
+    return len(_WRITTEN)
+
+
 def materialized(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back.
 
