@@ -81,14 +81,13 @@ def _plan(
     """Rows of ``row`` (the input's columns) and the words taken; see ``mix_plan``."""
     spark = df.sparkSession
     h = F.xxhash64(F.lit(seed), *key)
-    rows = materialized(
-        df.select(F.struct(*df.columns).alias("row"), F.col(source).alias("source"), size.cast("long").alias("size"), h.alias("h")), "mix"
-    )
-    n = rows.count()
+    # read twice, for the totals and for the rows, and written nowhere: rows may carry whole texts
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(source).alias("source"), size.cast("long").alias("size"), h.alias("h"))
+    n = df.count()
     buckets = max(-(-n // rows_per_bucket), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     spread = rows.withColumn("bucket", F.call_function("div", F.shiftrightunsigned("h", 16), F.lit(max((1 << 48) // buckets, 1))))
 
-    parts = spread.groupBy("source", "bucket").agg(F.sum("size").alias("part"))
+    parts = materialized(spread.groupBy("source", "bucket").agg(F.sum("size").alias("part")), "parts")
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.withColumn("offset", F.coalesce(F.sum("part").over(before), F.lit(0)))
 

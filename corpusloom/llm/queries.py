@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import embed_dedup, line_dedup, mixing, packing, pii, sharding, simhash, topk, toxicity, url_filter
+from corpusloom.sources.storage import materialized
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,7 +114,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", mixing.word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("th")
     )
-    mix = mixing.mix_plan(docs, "source", F.col("words"), [F.col("doc_id"), F.col("th")])
+    mix = mixing.mix_plan(materialized(docs, "sizes"), "source", F.col("words"), [F.col("doc_id"), F.col("th")])
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -157,5 +158,4 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_dedup")
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "fingerprint", "component_id")
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])

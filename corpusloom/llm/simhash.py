@@ -75,8 +75,8 @@ def _cells(codes: DataFrame) -> DataFrame:
     return codes.select("*", F.posexplode(F.array(low, high)).alias("half", "cell"))
 
 
-def _near(bits: int) -> Column:
-    manhattan = F.bit_count(F.col("code").bitwiseXOR(F.col("other_code")))
+def _near(bits: int, code: Column, other_code: Column) -> Column:
+    manhattan = F.bit_count(code.bitwiseXOR(other_code))
     hamming = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
     return (manhattan <= bits) & (hamming <= bits)
 
@@ -100,29 +100,42 @@ def fingerprint_components(classes: DataFrame, bits: int = 3) -> DataFrame:
     cells = _cells(codes)
     pivots = cells.groupBy("half", "cell").agg(F.min(F.struct("fp", "code")).alias("p"))
     pivots = pivots.select("half", "cell", F.col("p.fp").alias("other"), F.col("p.code").alias("other_code"))
-    star = cells.join(pivots, ["half", "cell"]).filter((F.col("fp") > F.col("other")) & _near(bits))
+    star = cells.join(pivots, ["half", "cell"]).filter((F.col("fp") > F.col("other")) & _near(bits, F.col("code"), F.col("other_code")))
     edges = materialized(star.select(F.col("fp").alias("a"), F.col("other").alias("b")).distinct(), "simhash-star")
     comps = connected_components(edges)
 
-    known = materialized(
-        codes.join(comps.withColumnRenamed("key", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "simhash-comps"
-    )
-    here = _cells(known).withColumn("key", F.shiftleft(F.col("half").cast("long"), 32).bitwiseOR(F.col("cell")))
-    there = (
-        _cells(known).select("fp", "code", "comp", "half", F.explode(F.expr(_AROUND)).alias("cell"))
-        .select(
-            F.col("fp").alias("other"), F.col("code").alias("other_code"), F.col("comp").alias("other_comp"),
-            F.shiftleft(F.col("half").cast("long"), 32).bitwiseOR(F.col("cell")).alias("key"),
-        )
-    )
-    apart = (F.col("fp") < F.col("other")) & (F.col("comp") != F.col("other_comp"))
-    found = here.select("fp", "code", "comp", "key").join(there, "key").filter(apart & _near(bits))
-    bridges = found.select(F.col("comp").alias("a"), F.col("other_comp").alias("b")).distinct()
+    # dealt out before it is multiplied; a row carries no more than the fingerprint and, where it is another, the component
+    own = F.nullif(F.coalesce("comp", "fp"), F.col("fp")).alias("comp")
+    known = materialized(classes.select("fp").join(comps.withColumnRenamed("key", "fp"), "fp", "left").select("fp", own), "simhash-comps")
+    known = known.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    cells = _cells(known.withColumn("code", popcount_code(F.col("fp"))))
+    place = F.shiftleft(F.col("half").cast("long"), 32).bitwiseOR(F.col("cell")).alias("place")
+    here = cells.select("fp", "comp", place)
+    there = cells.select(F.col("fp").alias("other"), F.col("comp").alias("other_comp"), "half", F.explode(F.expr(_AROUND)).alias("cell"))
+    there = there.select("other", "other_comp", place)
+    a, b = F.coalesce("comp", "fp"), F.coalesce("other_comp", "other")
+    apart = (F.col("fp") < F.col("other")) & (a != b)
+    found = here.join(there, "place").filter(apart & _near(bits, popcount_code(F.col("fp")), popcount_code(F.col("other"))))
+    bridges = found.select(a.alias("a"), b.alias("b")).distinct()
     return connected_components(edges.unionByName(materialized(bridges, "simhash-bridges")))
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 3, shingle: int = 3) -> DataFrame:
-    """Add ``fingerprint`` (16 hex digits) and ``component_id`` to every row.
+def _grouped(df: DataFrame, carried: list[Column], doc_id: str, text: str, bits: int, shingle: int) -> DataFrame:
+    """(row, id, fp, component_id); ``row`` holds the carried columns.  Texts are read once and written nowhere."""
+    rows = df.select(F.struct(*carried).alias("row"), F.col(doc_id).alias("id"), fingerprints(F.col(text), shingle).alias("fp"))
+    rows = materialized(rows, "simhash")
+    classes = materialized(rows.groupBy("fp").agg(F.min("id").alias("id")), "simhash-classes")
+    comps = classes.join(fingerprint_components(classes, bits).withColumnRenamed("key", "fp"), "fp", "left")
+    comps = comps.withColumn("comp", F.coalesce("comp", "fp"))
+    lowest = comps.groupBy("comp").agg(F.min("id").alias("component_id"))
+    ids = comps.join(lowest, "comp").select("fp", "component_id", F.col("comp").alias("component"))
+    return rows.join(ids, "fp")
+
+
+def near_duplicates(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 3, shingle: int = 3, keep: list[str] | None = None
+) -> DataFrame:
+    """Add ``fingerprint`` (16 hex digits) and ``component_id`` to every row, of its columns those in ``keep``.
 
     Fingerprints at most ``bits`` apart are linked; the component is the smallest
     id reachable over links, the row's own included.  Rows with equal fingerprints
@@ -132,23 +145,28 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", b
     an empty table gives an empty result; columns that carry one of the two result
     names are replaced.
     """
-    kept = [c for c in df.columns if c not in ("fingerprint", "component_id")]
-    rows = materialized(df.select(F.struct(*kept).alias("row"), F.col(doc_id).alias("id"), fingerprints(F.col(text), shingle).alias("fp")), "simhash")
-    classes = materialized(rows.groupBy("fp").agg(F.min("id").alias("id")), "simhash-classes")
-    comps = classes.join(fingerprint_components(classes, bits).withColumnRenamed("key", "fp"), "fp", "left")
-    comps = comps.withColumn("comp", F.coalesce("comp", "fp"))
-    lowest = comps.groupBy("comp").agg(F.min("id").alias("component_id"))
-    ids = comps.join(lowest, "comp").select("fp", "component_id")
+    kept = [c for c in keep or df.columns if c not in ("fingerprint", "component_id")]
+    found = _grouped(df, [F.col(c) for c in kept], doc_id, text, bits, shingle)
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(ids, "fp").select(*[F.col("row")[c].alias(c) for c in kept], fingerprint.alias("fingerprint"), "component_id")
+    return found.select(*[F.col("row")[c].alias(c) for c in kept], fingerprint.alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = 3, shingle: int = 3) -> DataFrame:
-    """One row of each component: the one with the smallest id, and of its repeats any one.
+    """One row of each component: the one with the smallest id, of several with that id the one with the smallest text hash.
 
-    Rows without an id stay only if their whole component has none.
+    A component without any id keeps its row with the smallest text hash.  The
+    choice is made on narrow rows; the rows that stay are then fetched by id and
+    text hash, and repeats of them are dropped where they meet.
     """
-    grouped = near_duplicates(df.select(F.struct(*df.columns).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("body")), "id", "body", bits, shingle)
-    first = grouped.filter(F.col("id").eqNullSafe(F.col("component_id")))
-    named = first.withColumn("group", F.when(F.col("id").isNull(), F.concat(F.lit("#"), F.col("fingerprint"))).otherwise(F.col("id").cast("string")))
-    return named.dropDuplicates(["group"]).select("row.*")
+    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    found = _grouped(df, [body.alias("th")], doc_id, text, bits, shingle)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", F.col("row.th").alias("th"))
+    stays = found.groupBy("component").agg(F.min(order).alias("o")).select(_place(F.col("o.id"), F.col("o.th")).alias("k"), F.col("o.th").alias("th"))
+    rows = df.select(F.struct(*df.columns).alias("row"), _place(F.col(doc_id), body).alias("k"), body.alias("th"))
+    # a merge join at every size: what stays grows with the documents
+    return rows.join(stays.hint("merge"), ["k", "th"], "left_semi").dropDuplicates(["k", "th"]).select("row.*")
+
+
+def _place(id_: Column, th: Column) -> Column:
+    """A key that is never null, for an id that may be."""
+    return F.xxhash64(id_.isNull(), id_, th)
