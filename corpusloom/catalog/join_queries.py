@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import bindings as B
+from corpusloom.catalog.placing import placed
 from corpusloom.catalog.base import query, s_hash, s_strip_ordinal, s_words
 from corpusloom.functions import text as T
 from corpusloom.operators import merging as M
@@ -157,11 +158,13 @@ def jn13(spark, sf):
 
 
 @query("jn14_rewrite_in_plan_order", """SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' OR o_orderstatus = 'P' THEN 1 ELSE 0 END AS src, CASE WHEN o_orderstatus = 'P' THEN 'fresh' ELSE 'old' END AS origin,
-  CASE WHEN o_orderstatus = 'O' THEN -1 ELSE o_orderkey * 7 % 1000 END AS plan_idx FROM orders""")
+  CASE WHEN o_orderstatus = 'O' THEN -1 ELSE o_orderkey * 7 % 1000 END AS plan_idx,
+  row_number() OVER (ORDER BY CASE WHEN o_orderstatus = 'O' THEN -1 ELSE o_orderkey * 7 % 1000 END, o_orderkey) AS place FROM orders""")
 def jn14(spark, sf):
     o = orders(spark, sf)
     plan = o.filter("status in ('F', 'P')").select("id", (F.col("id") * 7 % 1000).alias("plan_idx"))
     existing = o.filter("status <> 'P'").select("id", F.lit("old").alias("origin"))
     fresh = o.filter("status = 'P'").select("id", F.lit("fresh").alias("origin"))
     out = M.rewrite_in_plan_order(existing, fresh, plan, "id", "plan_idx")
-    return out.select("id", F.col("src").cast("long").alias("src"), "origin", F.coalesce("_ord", F.lit(-1)).alias("plan_idx"))
+    out = out.select("id", F.col("src").cast("long").alias("src"), "origin", F.coalesce("_ord", F.lit(-1)).alias("plan_idx"))
+    return placed(out)

@@ -91,6 +91,17 @@ def qs05(spark, sf):
     return rows.select("id", Q.form_bias(F.col("clean"), F.col("product_type")).alias("form_bias_flag"))
 
 
+@query("qs05_form_bias_cjk", rf"""WITH {B.REC}, cl AS (SELECT id, product_type, {s_clean("CASE id % 5 WHEN 0 THEN 'a表单b ' WHEN 1 THEN '表单 ' WHEN 2 THEN 'x填写 ' WHEN 3 THEN '请9步骤z ' ELSE '' END || text")} AS c FROM rec)
+SELECT id, (regexp_matches(c, '(?i)\b(?:form|step \d|step-by-step|wizard|fill (?:in|out)|submit|multi-step)\b') OR regexp_matches(c, '[A-Za-z0-9_](?:填写|表单|步骤)[A-Za-z0-9_]'))
+  AND coalesce(product_type, '') <> 'form_flow' AS form_bias_flag FROM cl""")
+def qs05_cjk(spark, sf):
+    """Ideographs count only between ASCII word characters."""
+    i = F.col("id") % 5
+    lead = F.when(i == 0, "a表单b ").when(i == 1, "表单 ").when(i == 2, "x填写 ").when(i == 3, "请9步骤z ").otherwise("")
+    rows = Q.with_clean(B.records(spark, sf).withColumn("text", F.concat(lead, F.col("text"))), "text")
+    return rows.select("id", Q.form_bias(F.col("clean"), F.col("product_type")).alias("form_bias_flag"))
+
+
 def s_total(a: str, s: str, d: str) -> str:
     clamp = lambda x: f"least(5, greatest(1, {x}))"
     return s_round(f"(2 * {clamp(a)} + 2 * {clamp(s)} + {clamp(d)}) / 5e0", 2)
