@@ -171,12 +171,15 @@ both_ways AS (SELECT ia, ib FROM e UNION ALL SELECT ib, ia FROM e),
 reach AS (SELECT id AS a, id AS b FROM d UNION SELECT r.a, w.ib FROM reach r JOIN both_ways w ON w.ia = r.b),
 comp AS (SELECT a AS id, min(b) AS root, count(*) AS members FROM reach GROUP BY 1),
 sc AS (SELECT d.doc_id AS id, coalesce(quality, 0) AS q FROM documents d LEFT JOIN labels USING (doc_id)),
-best AS (SELECT root, arg_min(id, [-q, id]) AS keep_id FROM comp JOIN sc USING (id) GROUP BY 1)
-SELECT id, keep_id, members, id = keep_id AS kept FROM comp JOIN best USING (root)""")
+best AS (SELECT root, arg_min(id, [-q, id]) AS keep_id FROM comp JOIN sc USING (id) GROUP BY 1),
+kp AS (SELECT id, keep_id, members FROM comp JOIN best USING (root)),
+io AS (SELECT kp.id, count(*) AS o FROM kp JOIN g a ON a.id = kp.id JOIN g b ON b.id = kp.keep_id AND b.s = a.s WHERE kp.id <> keep_id GROUP BY 1)
+SELECT kp.id, keep_id, members, kp.id = keep_id AS kept, CASE WHEN kp.id = keep_id THEN 1e0 ELSE floor(coalesce(o, 0) / (za.n + zb.n - coalesce(o, 0))::DOUBLE * 1e6 + 0.5) / 1e6 END AS similarity
+FROM kp LEFT JOIN io ON io.id = kp.id LEFT JOIN z za ON za.id = kp.id LEFT JOIN z zb ON zb.id = keep_id""")
 def sm03(spark, sf):
     d = docs(spark, sf).join(B.table(spark, sf, "labels"), "doc_id", "left")
     out = S.near_duplicates(d, "doc_id", "text", "quality")
-    return out.withColumn("kept", F.col("id") == F.col("keep_id"))
+    return out.withColumn("kept", F.col("id") == F.col("keep_id")).withColumn("similarity", T.round_to(F.col("similarity"), 6))
 
 
 @query("sm04_normalized_duplicates", """WITH k AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9一-鿿]+', ' ', 'g')) AS k FROM documents)

@@ -564,8 +564,10 @@ def near_duplicates(
     df: DataFrame, id_col: str, text: str, score: str, threshold: float = fv.NEAR_DUPLICATE_JACCARD,
     permutations: int = 128, bands: int = 16, block_rows: int = 256,
 ) -> DataFrame:
-    """(id, keep_id): members of each near-duplicate group and the row it keeps.
+    """(id, keep_id, members, similarity): members of each near-duplicate group and the row it keeps.
 
+    Groups are closed over chains, so a member may be further from the row that is
+    kept than the threshold; ``similarity`` is its Jaccard similarity to that row.
     Kept is the best score, then the smallest id.  Texts too short for a shingle
     have equal (empty) sets, so they form one group.
     """
@@ -576,13 +578,20 @@ def near_duplicates(
         members.join(comps, "key", "left")
         .withColumn("comp", F.coalesce("comp", "key"))
         .join(scores, "id")
-        .select("id", "comp", "score")
+        .select("id", "key", "comp", "score")
     )
     best = grouped.groupBy("comp").agg(
-        F.min_by("id", F.struct((-F.col("score")).alias("s"), F.col("id").alias("i"))).alias("keep_id"),
+        F.min_by(F.struct("id", "key"), F.struct((-F.col("score")).alias("s"), F.col("id").alias("i"))).alias("keep"),
         F.count("*").alias("members"),
     )
-    return grouped.join(best, "comp").select("id", "keep_id", "members")
+    placed = materialized(grouped.join(best, "comp").select("id", "key", F.col("keep.id").alias("keep_id"), F.col("keep.key").alias("keep_key"), "members"), "groups")
+    # measured once per pair of classes, not per row
+    sets = classes.select("key", "sh", "n")
+    pairs = placed.filter("key <> keep_key").select("key", "keep_key").distinct().join(sets, "key")
+    kept = sets.select(F.col("key").alias("keep_key"), F.col("sh").alias("keep_sh"), F.col("n").alias("keep_n"))
+    shared = F.size(F.array_intersect("sh", "keep_sh"))
+    close = pairs.join(kept, "keep_key").select("key", "keep_key", (shared / (F.col("n") + F.col("keep_n") - shared)).alias("similarity"))
+    return placed.join(close, ["key", "keep_key"], "left").select("id", "keep_id", "members", F.coalesce("similarity", F.lit(1.0)).alias("similarity"))
 
 
 def drop_duplicate_keys(df: DataFrame, key: Column, id_col: str) -> DataFrame:
