@@ -1,4 +1,11 @@
-"""Remove repeated passages: content-defined chunks of lines, compared byte by byte."""
+"""Remove repeated passages: content-defined chunks of lines, compared byte by byte.
+
+Chunks end where a rolling hash over line hashes says so, and most of a passage falls
+into chunks that are the same wherever it stands.  Its first and last lines may share
+a chunk with foreign lines, and a passage of two or three lines may have no chunk of
+its own.  So the rolling hash of every window of two lines is looked up as well: such
+windows complete the chunks, and what they cover together has to make up a passage.
+"""
 
 from __future__ import annotations
 
@@ -44,41 +51,76 @@ def line_chunks(text: str, window: int = 2, divisor: int = 2, least: int = 2, mo
     return out
 
 
-def _chunks(text: Column, **options) -> Column:
-    passage = options.get("passage_words", 50)
+def candidate_ranges(text: str, passage_words: int = 50, **options) -> list[tuple[int, int, int, list[int]]]:
+    """(first line, lines, hash, words per line) of the chunks and two-line windows that may repeat.
+
+    Chunks need two lines that are not blank, or one of ``passage_words`` words.
+    Windows need two lines that are not blank and not both passages by themselves.
+    """
+    lines = text.split("\n")
+    words = [len(x.split()) for x in lines]
+    hashes = [xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines]
+    out = []
+    for first, n in line_chunks(text, passage_words=passage_words, **options):
+        if words[first] >= passage_words if n == 1 else sum(w > 0 for w in words[first : first + n]) > 1:
+            digest = xxhash.xxh64_intdigest("\n".join(lines[first : first + n]).encode("utf-8", "surrogatepass"))
+            out.append((first, n, digest, words[first : first + n]))
+    for i in range(len(lines) - 1):
+        pair = words[i : i + 2]
+        if min(pair) > 0 and min(pair) < passage_words:
+            out.append((i, 2, (hashes[i] * _BASE + hashes[i + 1]) & _MASK, pair))
+    return out
+
+
+def _ranges(text: Column, **options) -> Column:
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
 
-    @F.pandas_udf("array<struct<line: int, n: int, h: long>>")
+    @F.pandas_udf("array<struct<line: int, n: int, h: long, w: array<int>>>")
     def run(texts: pd.Series) -> pd.Series:
-        rows = []
-        for t in texts:
-            found = []
-            lines = (t or "").split("\n")
-            for first, n in line_chunks(t or "", **options):
-                own = lines[first : first + n]
-                if n == 1 and len(own[0].split()) < passage or n > 1 and sum(1 for x in own if x.strip()) < 2:
-                    continue
-                digest = xxhash.xxh64_intdigest("\n".join(own).encode("utf-8", "surrogatepass"))
-                found.append({"line": first, "n": n, "h": digest - (1 << 64) if digest >> 63 else digest})
-            rows.append(found)
-        return pd.Series(rows)
+        return pd.Series([[{"line": a, "n": n, "h": signed(h), "w": w} for a, n, h, w in candidate_ranges(t or "", **options)] for t in texts])
 
     return run(text)
 
 
+def passages(ranges: list[tuple[int, list[int]]], passage_words: int = 50) -> list[tuple[int, int]]:
+    """(line, lines) of the runs of covered lines that hold ``passage_words`` words; ``ranges``: first line, words per line."""
+    covered: dict[int, int] = {}
+    for first, words in ranges:
+        covered |= {first + k: w for k, w in enumerate(words)}
+    out, run = [], []
+    for line in [*sorted(covered), None]:
+        if run and line != run[-1] + 1:
+            if sum(covered[x] for x in run) >= passage_words:
+                out.append((run[0], len(run)))
+            run = []
+        if line is not None:
+            run.append(line)
+    return out
+
+
+def _passages(ranges: Column, passage_words: int) -> Column:
+    @F.pandas_udf("array<struct<line: int, n: int>>")
+    def run(rows: pd.Series) -> pd.Series:
+        return pd.Series([[{"line": a, "n": n} for a, n in passages([(x["line"], list(x["w"])) for x in r], passage_words)] for r in rows])
+
+    return run(ranges)
+
+
 def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(id, th, removed): the line ranges (line, n) that each document loses; ``th`` is the hash of its text.
 
-    A chunk that occurs again anywhere stays where it comes first by (id, text hash,
-    line), nulls last, and goes everywhere else, if its bytes are those of the first
-    one; equal hashes alone remove nothing.  Single lines count from
-    ``passage_words`` words on, other chunks if two of their lines are not blank.
+    A chunk or window that occurs again anywhere stays where it comes first by (id,
+    text hash, line), nulls last, and is taken out everywhere else, if its bytes are
+    those of the first one; equal hashes alone remove nothing.  What is taken out
+    of a document goes if it makes up runs of ``passage_words`` words; shorter
+    repeats, such as a line or two that many texts end with, stay.
     """
     docs = df.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("th", F.xxhash64("t"))
-    found = docs.select("id", "th", F.explode(_chunks(F.col("t"), **options)).alias("c")).select("id", "th", "c.*")
+    found = docs.select("id", "th", F.explode(_ranges(F.col("t"), **options)).alias("c")).select("id", "th", "c.*")
     chunks = materialized(found, "chunks")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "line")
     firsts = chunks.groupBy("h").agg(F.count("*").alias("c"), F.min(place).alias("first")).filter("c > 1").select("h", "first")
-    again = chunks.join(firsts, "h").select("id", "th", F.struct("line", "n", "h", (place == F.col("first")).alias("keep")).alias("o"))
+    again = chunks.join(firsts, "h").select("id", "th", F.struct("line", "n", "h", "w", (place == F.col("first")).alias("keep")).alias("o"))
     marked = materialized(again.groupBy("id", "th").agg(F.collect_set("o").alias("o")), "repeats")
     same = F.col("d.id").eqNullSafe(F.col("m.id")) & (F.col("d.th") == F.col("m.th"))
     holders = docs.alias("d").join(marked.alias("m"), same)
@@ -90,11 +132,13 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     # rows that agree in id and text hold the same first chunk
     kept = texts.filter("keep").select("h", F.col("bytes").alias("first_bytes")).dropDuplicates(["h"])
     gone = texts.filter("NOT keep").join(kept, "h").filter("bytes = first_bytes")
-    return gone.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("line", "n"))).alias("removed"))
+    lists = gone.groupBy("id", "th").agg(F.collect_set(F.struct("line", "w")).alias("ranges"))
+    runs = lists.select("id", "th", _passages(F.col("ranges"), options.get("passage_words", 50)).alias("removed"))
+    return runs.filter(F.size("removed") > 0)
 
 
 def drop_repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: str = "n_chars", **options) -> DataFrame:
-    """All rows with their repeated chunks taken out, and what was taken in ``removed``.
+    """All rows with their repeated passages taken out, and what was taken in ``removed``.
 
     ``removed`` is an array of (line, n) from line 0, empty where nothing went.  No
     row is dropped: a text that holds nothing of its own becomes empty.  ``length``,

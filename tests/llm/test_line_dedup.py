@@ -11,17 +11,23 @@ def naive(rows, passage=50):
     seen, out = {}, {}
     for *_, d, t in docs:
         lines = t.split("\n")
-        left = []
-        for first, n in L.line_chunks(t):
-            own = "\n".join(lines[first : first + n])
-            long = n == 1 and len(lines[first].split()) >= passage
-            several = n > 1 and sum(bool(x.strip()) for x in lines[first : first + n]) > 1
-            if (long or several) and own in seen:
-                continue
-            if long or several:
-                seen[own] = d
-            left += lines[first : first + n]
-        out[d, t] = "\n".join(left)
+        size = [len(x.split()) for x in lines]
+        ranges = [("chunk", a, n) for a, n in L.line_chunks(t) if (size[a] >= passage if n == 1 else sum(s > 0 for s in size[a : a + n]) > 1)]
+        ranges += [("window", i, 2) for i in range(len(lines) - 1) if all(size[i : i + 2]) and not all(s >= passage for s in size[i : i + 2])]
+        gone = set()
+        for kind, a, n in sorted(ranges, key=lambda r: r[1]):
+            own = kind, "\n".join(lines[a : a + n])
+            if own in seen:
+                gone |= set(range(a, a + n))
+            seen.setdefault(own, d)
+        for i in sorted(gone):
+            if i - 1 not in gone:
+                run = [i]
+                while run[-1] + 1 in gone:
+                    run.append(run[-1] + 1)
+                if sum(size[j] for j in run) < passage:
+                    gone -= set(run)
+        out[d, t] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
     return out
 
 
@@ -54,7 +60,25 @@ def test_planted_passages_go_and_clean_texts_stay(spark):
     assert all(got[i].text == before[i] for i in clean)
     assert [i for i in got if passage in (got[i].text or "")] == [1]
     left = [sum(line in got[i].text.split("\n") for line in block) for i in range(3, 40, 4)]
-    assert left[0] == 14 and max(left[1:]) <= 9 and sum(left[1:]) / len(left[1:]) <= 5
+    assert left == [14] + [0] * 9
+
+
+def test_short_repeats_stay_and_short_passages_go(spark):
+    rng = random.Random(4)
+    pair = [sentence(rng, 26), sentence(rng, 31)]
+    licence = ["All rights reserved.", "Released under some licence, version 3."]
+    rows = []
+    for i in range(12):
+        own = [sentence(rng, 20) for _ in range(5)]
+        rows.append((i, "\n".join([*own[:2], *pair, *own[2:], *licence])))
+    got = {r.doc_id: r.text for r in L.drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i in range(12) if pair[0] in got[i] or pair[1] in got[i]] == [0]
+    assert all(got[i].endswith("\n".join(licence)) for i in range(12))
+
+
+def test_runs_make_up_passages():
+    assert L.passages([(0, [10, 20]), (1, [20, 25]), (5, [30, 10])]) == [(0, 3)]
+    assert L.passages([(3, [60])]) == [(3, 1)] and L.passages([]) == []
 
 
 def test_edges(spark, weird, nothing):
