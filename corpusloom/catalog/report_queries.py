@@ -131,7 +131,7 @@ def ag12(spark, sf):
 @query("ag12_run_summary", f"""WITH {B.REC}, {B.SCN} SELECT count(*) AS total_prompts, count(DISTINCT text) AS unique_prompts, count(DISTINCT application_type) AS application_types,
   (SELECT sum(target_count)::DOUBLE FROM scn) AS target_sum, {s_ratio('count(DISTINCT text)', 'count(*)', 4)} AS unique_ratio FROM rec""")
 def ag12_run(spark, sf):
-    return A.run_summary(B.records(spark, sf), B.scenes(spark, sf), "text", "application_type", "target_count")
+    return A.prompt_summary(B.records(spark, sf), B.scenes(spark, sf), "text", "application_type", "target_count")
 
 
 CAP = f"""{B.POOL}, {B.USAGE}, ps AS (SELECT l2, count(*) AS pool_size FROM pool GROUP BY 1),
@@ -269,7 +269,7 @@ UNION ALL SELECT 'total', 'all', count(*), {s_round('avg(len(text))', 4)}, {s_ra
 def ag23_report(spark, sf):
     r = B.records(spark, sf).withColumn("band", A.quality_band(F.col("quality_score"))).withColumn("text_len", F.length("text"))
     extra = [T.round_to(F.avg("text_len"), 4).alias("avg_length"), T.ratio(F.count("design_style"), F.count("*")).alias("styled_ratio")]
-    return A.grouping_counts(r, {d: F.col(d) for d in ("l1", "product_type", "band")}, extra)
+    return A.grouping_counts(r, {d: F.col(d) for d in ("l1", "product_type", "band")}, extra, ("text_len", "design_style"))
 
 
 @query("ag24_partition_index", f"WITH {B.REC} SELECT l1, product_type, count(*) AS rows, {s_round('avg(quality_score)', 6)} AS avg_score FROM rec GROUP BY 1, 2")

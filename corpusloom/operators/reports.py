@@ -203,7 +203,7 @@ def uniqueness_summary(df: DataFrame, text: str, app_type: str, source: str) ->
     )
 
 
-def run_summary(records: DataFrame, scenes: DataFrame, text: str, app_type: str, target: str) -> DataFrame:
+def prompt_summary(records: DataFrame, scenes: DataFrame, text: str, app_type: str, target: str) -> DataFrame:
     """One row: prompts, unique prompts and their ratio, the sum of scene targets, distinct application types."""
     rows = records.select(F.xxhash64(text).alias("h1"), F.md5(text).alias("h2"), F.col(app_type).alias("a"))
     texts = rows.groupBy("h1", "h2").agg(F.count("*").alias("c")).agg(

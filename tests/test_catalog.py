@@ -20,7 +20,7 @@ SELECTED = [
     "so01_floor_quantiles", "st01_append_once", "st02_running_usage", "st02_usage_snapshot", "src04_nested_pool", "snk03_upsert_tables",
     "so04_newest_first", "snk04_ordered_view", "pl07_quota_plan", "pl11_merge_counts", "pl11_fill_to_target", "pl13_expansion_prompts",
     "fn15_text_by_complexity", "fn16_combinatorial_text", "fn23_multi_label_tags", "fn24_message_text", "fn27_regenerate_flags",
-    "jn11_side_by_side_runs", "ag12_run_summary", "ag13_capacity_by_platform", "ag17_counts_by_platform", "em03_pca_laws",
+    "jn11_side_by_side_runs", "ag09_run_summary", "ag23_distribution_report", "ag12_run_summary", "ag13_capacity_by_platform", "ag17_counts_by_platform", "em03_pca_laws",
 ]
 NAMES = list(ORACLES) if os.environ.get("CORPUSLOOM_FULL") else SELECTED
 
