@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -18,25 +19,31 @@ _CHUNK = 1 << 15
 _ODD = 0x5555555555555555
 
 
-def text_fingerprint(text: str | None, shingle: int = 3) -> int:
-    """64-bit SimHash of the word shingles of a whole text, as a signed long.
-
-    A-Z are lower-cased, words are parted by ASCII white space, repeats count.  A
-    bit is 1 if it is set in over half of the shingles' XXH64 (seed 42).  A text of
-    fewer words is one shingle; null and wordless texts have fingerprint zero.
-    """
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of the word shingles of a whole text, in parts; see ``text_fingerprint``."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     n = max(len(words) - shingle + 1, 1)
     starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
     stops = ends[-n:].tolist()
     digest = partial(xxhash.xxh64_intdigest, seed=SEED)
-    counts = np.zeros(64, np.int64)
     for i in range(0, n, _CHUNK):
-        hashes = np.fromiter((digest(joined[a:b]) for a, b in zip(starts[i : i + _CHUNK], stops[i : i + _CHUNK], strict=True)), np.uint64)
+        yield np.fromiter((digest(joined[a:b]) for a, b in zip(starts[i : i + _CHUNK], stops[i : i + _CHUNK], strict=True)), np.uint64)
+
+
+def text_fingerprint(text: str | None, shingle: int = 3) -> int:
+    """64-bit SimHash of the word shingles of a whole text, as a signed long.
+
+    A-Z are lower-cased, words are parted by ASCII white space, repeats count.  A
+    bit is 1 if it is set in over half of the shingles' XXH64 (seed 42).  A text of
+    fewer words is one shingle; null and wordless texts have fingerprint zero.
+    """
+    n, counts = 0, np.zeros(64, np.int64)
+    for hashes in shingle_hashes(text, shingle):
+        n += len(hashes)
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0])
 
