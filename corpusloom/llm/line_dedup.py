@@ -32,7 +32,7 @@ def line_chunks(text: str, window: int = 2, divisor: int = 2, least: int = 2, mo
     out: list[tuple[int, int]] = []
     first, recent = 0, []
     for i, line in enumerate(lines):
-        if line.count(" ") >= passage_words - 1 and len(line.split()) >= passage_words:
+        if len(line) >= 2 * passage_words - 1 and len(line.split()) >= passage_words:
             if i > first:
                 out.append((first, i - first))
             out.append((i, 1))
@@ -54,21 +54,29 @@ def line_chunks(text: str, window: int = 2, divisor: int = 2, least: int = 2, mo
 def candidate_ranges(text: str, passage_words: int = 50, **options) -> list[tuple[int, int, int, list[int]]]:
     """(first line, lines, hash, words per line) of the chunks and two-line windows that may repeat.
 
+    Both are taken over the lines that are not blank; the blank lines after one of
+    these go with it, as do those before the first, and are not hashed.
     Chunks need two lines that are not blank, or one of ``passage_words`` words.
-    Windows need two lines that are not blank and not both passages by themselves.
+    Windows need two lines that are not both passages by themselves.
     """
     lines = text.split("\n")
     words = [len(x.split()) for x in lines]
-    hashes = [xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines]
+    full = [i for i, w in enumerate(words) if w]
+    starts = [0, *full[1:], len(lines)]
+    hashes = [xxhash.xxh64_intdigest(lines[i].encode("utf-8", "surrogatepass")) for i in full]
+    own = [lines[i] for i in full]
     out = []
-    for first, n in line_chunks(text, passage_words=passage_words, **options):
-        if words[first] >= passage_words if n == 1 else sum(w > 0 for w in words[first : first + n]) > 1:
-            digest = xxhash.xxh64_intdigest("\n".join(lines[first : first + n]).encode("utf-8", "surrogatepass"))
-            out.append((first, n, digest, words[first : first + n]))
-    for i in range(len(lines) - 1):
-        pair = words[i : i + 2]
-        if min(pair) > 0 and min(pair) < passage_words:
-            out.append((i, 2, (hashes[i] * _BASE + hashes[i + 1]) & _MASK, pair))
+
+    def add(first: int, n: int, digest: int) -> None:
+        a, b = starts[first], starts[first + n]
+        out.append((a, b - a, digest, words[a:b]))
+
+    for first, n in line_chunks("\n".join(own), passage_words=passage_words, **options) if own else []:
+        if n > 1 or words[full[first]] >= passage_words:
+            add(first, n, xxhash.xxh64_intdigest("\n".join(own[first : first + n]).encode("utf-8", "surrogatepass")))
+    for i in range(len(own) - 1):
+        if min(words[full[i]], words[full[i + 1]]) < passage_words:
+            add(i, 2, (hashes[i] * _BASE + hashes[i + 1]) & _MASK)
     return out
 
 
@@ -111,7 +119,7 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *
 
     A chunk or window that occurs again anywhere stays where it comes first by (id,
     text hash, line), nulls last, and is taken out everywhere else, if its bytes are
-    those of the first one; equal hashes alone remove nothing.  What is taken out
+    those of the first one, blank lines aside; equal hashes alone remove nothing.  What is taken out
     of a document goes if it makes up runs of ``passage_words`` words; shorter
     repeats, such as a line or two that many texts end with, stay.
     """
@@ -125,8 +133,9 @@ def repeated_chunks(df: DataFrame, doc_id: str = "doc_id", text: str = "text", *
     same = F.col("d.id").eqNullSafe(F.col("m.id")) & (F.col("d.th") == F.col("m.th"))
     holders = docs.alias("d").join(marked.alias("m"), same)
     lines = F.split(F.col("d.t"), "\n", -1)
+    own = F.filter(F.slice("ls", F.col("o.line") + 1, F.col("o.n")), lambda x, i: F.element_at("o.w", i + 1) > 0)
     texts = holders.select(F.col("d.id"), F.col("d.th"), lines.alias("ls"), F.explode("o").alias("o")).select(
-        "id", "th", "o.*", F.array_join(F.slice("ls", F.col("o.line") + 1, F.col("o.n")), "\n").alias("bytes")
+        "id", "th", "o.*", F.array_join(own, "\n").alias("bytes")
     )
     texts = materialized(texts, "repeat-texts")
     # rows that agree in id and text hold the same first chunk

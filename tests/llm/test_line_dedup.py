@@ -111,3 +111,25 @@ def test_equal_hash_other_bytes_stay(spark, monkeypatch):
     df = spark.createDataFrame([(1, a), (2, b), (3, a)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in L.drop_repeated_chunks(df).collect()}
     assert got[1] == a and got[2] == b
+
+
+def test_passages_with_blank_lines_and_tabs_go(spark):
+    rng = random.Random(11)
+    for words, paragraphs in ((20, 3), (12, 5), (30, 4)):
+        passage = [sentence(rng, words) for _ in range(paragraphs)]
+        rows = []
+        for i in range(20):
+            own = [sentence(rng, 20) for _ in range(4)]
+            gap = "\n\n" if i % 3 else "\n \t\n\n"
+            rows.append((i, gap.join([*own[:2], *passage, *own[2:]])))
+        got = {r.doc_id: r.text for r in L.drop_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got[0] == rows[0][1]
+        left = [i for i in range(1, 20) if any(p in got[i] for p in passage)]
+        assert left == []
+        assert all(len(got[i].split()) == 80 for i in range(1, 20))
+
+
+def test_tab_separated_lines_are_passages():
+    line = "\t".join(f"w{k}" for k in range(60))
+    assert L.line_chunks(f"a b\n{line}\nc d") == [(0, 1), (1, 1), (2, 1)]
+    assert [r[:2] for r in L.candidate_ranges(f"\n\n{line}\n\n")] == [(0, 5)] and L.candidate_ranges("\n \n") == []
