@@ -82,3 +82,16 @@ def test_long_texts_count_whole(spark):
     docs = spark.createDataFrame([*rows, (999, "word1 " * 30_000 + "vile rotten foul vile")], "doc_id long, text string")
     chain = T.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), categories(), "toxic")
     assert {r.doc_id: r.rejected for r in T.score(docs, chain, "toxic").collect()}[999]
+
+
+def test_noisy_labels_do_not_switch_the_verdict_off(spark):
+    """With 3 in 100 labels wrong no threshold has the precision, and known toxic documents still go."""
+    rows, labels = corpus(900, 3)
+    rng = random.Random(4)
+    noisy = [(i, q, 1 - t if rng.random() < 0.03 else t) for i, q, t in labels]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chain = T.train(docs, spark.createDataFrame(noisy, "doc_id long, quality int, toxic int"), categories(), "toxic")
+    assert chain.threshold <= 0.5
+    got = {r.doc_id: r.rejected for r in T.score(docs, chain, "toxic").collect()}
+    toxic = [i for i, _, t in labels if t]
+    assert sum(got[i] for i in toxic) / len(toxic) > 0.9
