@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import embed_dedup, line_dedup, mixing, packing, pii, sharding, simhash, topk, toxicity, url_filter
-from corpusloom.sources.storage import materialized
+from corpusloom.llm import embed_dedup, hard_negatives, line_dedup, mixing, packing, pii, sharding, simhash, token_files, topk, toxicity, url_filter, whitening
+from corpusloom.sources.storage import materialized, new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +159,47 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+
+
+@query("op11_token_output")
+def op11_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, read back from the files."""
+    folder = new_folder(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    back = token_files.read_documents(spark, folder)
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+NEGATIVES_SQL = """
+WITH sound AS (
+  SELECT row_number() OVER () AS no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS lab,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.no, a.vec_id AS anchor_id, c.no AS other_no, c.vec_id, a.lab = c.lab AS same,
+         list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM sound a, sound c WHERE a.vec_id % 100 = 0 AND c.no <> a.no),
+positives AS (
+  SELECT no, anchor_id, other_no, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  WINDOW w AS (PARTITION BY no ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, n.vec_id AS negative_id,
+       p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.no = p.no AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+WINDOW w AS (PARTITION BY p.no, p.other_no ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 5
+"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives within 80 to 100 hundredths of each of the five positives of every 100th vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 leading whitened components."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.long_form(whitening.whiten(vectors))
