@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import bindings as B
 from corpusloom.catalog.base import query, s_distinct, s_hash, s_list, s_round, s_tags
 from corpusloom.catalog.text_queries import CAND_SQL, extra_ctes, s_lens_text
+from corpusloom.catalog.wording import LETTER
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import text as T
 from corpusloom.plans import sampling as S
@@ -213,7 +214,7 @@ SELECT id, lens.name AS lens, 'persona_' || substr(sha1(id || ':' || substr(sha1
   'User of ' || regexp_replace(app, '应用$', '') AS persona_title, query_text, length(query_text) AS query_length FROM lt""")
 def pl10_records(spark, sf):
     s = P.allocate(B.scenes(spark, sf), total_of(), missing_weight=1.0)
-    return P.candidate_records(P.candidate_plan(s, "allocated")).select("id", "lens", "persona_id", "persona_title", "query_text", "query_length")
+    return P.candidate_records(P.candidate_plan(s, "allocated"), LETTER).select("id", "lens", "persona_id", "persona_title", "query_text", "query_length")
 
 
 # small parts are the pool (topic = name), larger parts are offered; names repeat a lot

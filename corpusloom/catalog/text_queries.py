@@ -8,6 +8,7 @@ from corpusloom.catalog import bindings as B
 from corpusloom.catalog.base import (
     query, s_any_word, s_clean, s_contains, s_count, s_distinct, s_hash, s_list, s_ratio, s_round, s_tags, s_tokens, s_words,
 )
+from corpusloom.catalog.wording import CLUB, CLUB_BASELINE, LETTER
 from corpusloom.functions import fixed_values as fv
 from corpusloom.functions import model_output as M
 from corpusloom.functions import render as R
@@ -210,58 +211,69 @@ def fn14(spark, sf):
     return B.scenes(spark, sf).select("id", R.persona_struct(F.col("id"), seed, lv, app, F.col("l2_scene_label")).alias("p")).select("id", "p.*")
 
 
-MEDIUM_SQL = """'Build a tidy ' || coalesce(pl, 'interface') || ' for ' || l2_scene_label || '.' || coalesce(' Use a ' || st || ' look.', '') || ' I need a clear main section and one quick filter, and everything should be easy to scan on any device.'"""
+CLUB_SQL = """'Our club runs ' || l2_scene_label || ' and would enjoy a ' || pl || '.' || coalesce(' Members favour ' || st || ' tones.', '') || ' Half of them read it on the tram.'"""
 
 
-@query("fn15_text_by_complexity", f"""WITH {B.SCN}, t AS (SELECT *, CASE WHEN idx % 2 = 0 THEN 'Dark' END AS st, CASE WHEN idx % 5 < 2 THEN 'dashboard' END AS pl, (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv FROM scn)
-SELECT id, CASE lv WHEN 'vague' THEN 'I want ' || coalesce('a ' || pl, 'something') || ' for ' || l2_scene_label || '. Keep it simple.' WHEN 'medium' THEN {MEDIUM_SQL}
-  ELSE {MEDIUM_SQL} || ' Navigation and detail views matter to me as well.' || chr(10) || chr(10) || 'Key requirements:' || chr(10) || '1. Explain the value at the top.' || chr(10)
-    || '2. Split the content into clear modules.' || chr(10) || '3. Cover empty state, hover and tap feedback.' || chr(10) || '4. Keep it responsive on small screens.' END AS query_text,
-  'I want ' || coalesce('a ' || pl, 'something') || ' for ' || l2_scene_label || ' that is clear and easy to scan.' AS baseline FROM t""")
+@query("fn15_text_by_complexity", f"""WITH {B.SCN}, t AS (SELECT *, CASE WHEN idx % 2 = 0 THEN 'Dark' END AS st, CASE WHEN idx % 5 < 2 THEN 'dashboard' ELSE 'gadget' END AS pl, (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv FROM scn)
+SELECT id, CASE lv WHEN 'vague' THEN l2_scene_label || ': one ' || pl || ', nothing fancy.' WHEN 'medium' THEN {CLUB_SQL}
+  ELSE {CLUB_SQL} || ' Please plan for this as well:' || chr(10) || '- a guest who never signs up' || chr(10) || '- a winter without network' || chr(10) || '- next year''s board taking over' END AS query_text,
+  l2_scene_label || ' deserves a ' || pl || '.' AS baseline FROM t""")
 def fn15(spark, sf):
     """Two in five tasks are bound to a product."""
-    style, product = F.when(F.col("idx") % 2 == 0, "Dark"), F.when(F.col("idx") % 5 < 2, "dashboard")
+    style, product = F.when(F.col("idx") % 2 == 0, "Dark"), F.when(F.col("idx") % 5 < 2, "dashboard").otherwise("gadget")
+    fields = {"app": F.col("l2_scene_label"), "style": style, "product": product}
     lv = B.nth(fv.COMPLEXITY_LEVELS, F.col("idx") % 3)
-    label = F.col("l2_scene_label")
-    return B.scenes(spark, sf).select("id", R.text_by_complexity(lv, label, style, product).alias("query_text"), R.baseline_text(label, product).alias("baseline"))
-
-
-def s_pick(slot: str, offset: int) -> str:
-    return f"({s_list(R.SLOTS[slot])})[1 + {s_hash(f"seed || ':{offset}'")} % {len(R.SLOTS[slot])}]"
-
-
-def s_part(name: str, offset: int) -> str:
-    return f"lens.{name}[1 + {s_hash(f"seed || ':{offset}'")} % len(lens.{name})]"
-
-
-def s_lens(name: str, parts) -> str:
-    return f"{{'name': '{name}', " + ", ".join(f"'{p}': {s_list(x)}" for p, x in zip(R.LENS_PARTS, parts, strict=True)) + "}"
-
-
-LENS_SQL = "CASE " + " ".join(f"WHEN {s_contains('x', w)} THEN {s_lens(n, R.LENSES[n])}" for n, w in fv.LENS_KEYWORDS) + f" ELSE {s_lens(*R.DEFAULT_LENS)} END"
+    return B.scenes(spark, sf).select("id", R.text_by_level(lv, fields, CLUB).alias("query_text"), R.text_by_level(lv, fields, CLUB_BASELINE).alias("baseline"))
+
+
+def s_pick(items: str, offset: int) -> str:
+    return f"({items})[1 + {s_hash(f"seed || ':{offset}'")} % len({items})]"
+
+
+# spelled out, so that the oracle sees a wrong table
+LENS_SQL = """CASE WHEN regexp_matches(x, '深度研究展示|品牌|传记|历史|科普|作品集|相册|故事') THEN
+    {'name': 'story', 'crowd': ['school classes', 'grandparents'], 'worry': ['losing the thread', 'dry dates'], 'thing': ['a ribbon of years', 'a family tree']}
+  WHEN regexp_matches(x, '搜索|筛选|排序|选择|查找') THEN
+    {'name': 'search', 'crowd': ['warehouse pickers', 'students before an exam'], 'worry': ['forty near misses', 'typing with one thumb'], 'thing': ['a spyglass', 'an index drawer']}
+  WHEN regexp_matches(x, '任务|待办|进度|打卡|习惯|提醒|计划') THEN
+    {'name': 'planning', 'crowd': ['choir leaders', 'night nurses'], 'worry': ['double bookings', 'forgotten birthdays'], 'thing': ['a wall calendar', 'a string of beads']}
+  WHEN regexp_matches(x, '健康|运动|睡眠|饮食|冥想|服药') THEN
+    {'name': 'tracking', 'crowd': ['marathon beginners', 'allergy patients'], 'worry': ['gaps after holidays', 'too many decimals'], 'thing': ['a thermometer', 'a tide chart']}
+  WHEN regexp_matches(x, '图片|海报|模板|内容创作|编辑|播放') THEN
+    {'name': 'making', 'crowd': ['puppet builders', 'zine printers'], 'worry': ['lost drafts', 'smudged margins'], 'thing': ['a workbench', 'a light table']}
+  WHEN regexp_matches(x, '商品|购物|订单|物流') THEN
+    {'name': 'buying', 'crowd': ['market stall owners', 'gift hunters'], 'worry': ['hidden fees', 'parcels gone astray'], 'thing': ['a till', 'a shopping trolley']}
+  ELSE {'name': 'general', 'crowd': ['passers-by', 'lodgers'], 'worry': ['small print', 'dead ends'], 'thing': ['a doorbell', 'a noticeboard']} END"""
+HAIL, CAUSE = "['Hello there', 'Good morning', 'Dear workshop']", "['our paper notebook fell apart', 'the old spreadsheet crashed again', 'the colleague who knew it all moved away']"
+WISH, HOUR, PLACE = "['surprise me', 'borrow whatever idea you fancy']", "['at dawn', 'between shifts', 'late at night']", "['a noisy bakery', 'the back of a van', 'a quiet archive']"
+RISK, PROOF = "['gloves on', 'a cracked screen', 'the lights out']", "['a printed slip', 'a short beep']"
+BUDGET, SIGN = "['two afternoons', 'one long weekend', 'about a week']", "['Cheers, Ola', 'Thanks in advance', 'See you on Friday']"
+LOOK_SQL = "coalesce(' Paint it ' || st || '.', '')"
 
 
 def s_lens_text(t: str) -> str:
     """CTEs that add ``lens`` and ``query_text`` to ``t`` (id, lv, app, pt, st, x)."""
-    return f"""ls AS (SELECT *, {LENS_SQL} AS lens, id || ':' || app || ':' || pt || ':' || coalesce(st, 'unspecified') AS seed,
-    coalesce('Use a ' || st || ' look.', 'Any look will do.') AS look FROM {t}),
+    return f"""ls AS (SELECT *, {LENS_SQL} AS lens, id || ':' || app || ':' || pt || ':' || coalesce(st, 'unspecified') AS seed FROM {t}),
 lt AS (SELECT *, CASE lv
-  WHEN 'vague' THEN {s_pick('opening', 1)} || ' a ' || pt || ' for ' || app || ': ' || {s_pick('need', 2)} || '. ' || look || ' ' || {s_pick('ending', 3)} || ' ' || {s_pick('first_step', 4)}
-  WHEN 'medium' THEN 'I am making a ' || pt || ' for ' || app || ' so that ' || {s_pick('aim', 1)} || '. It needs a ' || {s_part('modules', 4)} || ' and a ' || {s_part('modules', 5)} || ', and ' || {s_part('interactions', 6)}
-    || ' should be easy. ' || look || ' ' || {s_pick('device', 2)} || ' ' || {s_pick('priority', 7)}
-  ELSE 'I want a ' || pt || ' of ' || app || ' for ' || {s_part('audiences', 1)} || '; above all, ' || {s_part('goals', 2)} || '. Split it into ' || {s_part('modules', 3)} || ', ' || {s_part('modules', 4)} || ' and ' || {s_part('modules', 5)}
-    || '. Think of ' || {s_part('interactions', 6)} || ' and ' || {s_part('interactions', 7)} || '; answer the states ' || {s_part('states', 8)} || ' and ' || {s_part('states', 9)} || '. ' || look || ' ' || {s_pick('density', 10)} || '. '
-    || {s_pick('extra', 11)} || ' ' || {s_pick('late', 12)} || ' It must work on a phone.' END AS query_text FROM ls)"""
+  WHEN 'vague' THEN {s_pick(HAIL, 1)} || ', could you put together a ' || pt || ' for ' || app || '? Why now: ' || {s_pick(CAUSE, 2)} || '.' || {LOOK_SQL} || ' As for the rest, ' || {s_pick(WISH, 3)} || '. ' || {s_pick(SIGN, 4)} || '.'
+  WHEN 'complex' THEN {s_pick(HAIL, 1)} || ', ' || app || ' needs a ' || pt || ' that serves ' || {s_pick('lens.crowd', 2)} || ' and, on busy days, ' || {s_pick('lens.crowd', 3)}
+    || '. All of them dread ' || {s_pick('lens.worry', 4)} || ' and ' || {s_pick('lens.worry', 5)} || '; think of ' || {s_pick('lens.thing', 6)} || '. It lives in ' || {s_pick(PLACE, 7)} || ' and is used ' || {s_pick(HOUR, 8)}
+    || ', even with ' || {s_pick(RISK, 9)} || '. When something is saved, give ' || {s_pick(PROOF, 10)} || '.' || {LOOK_SQL} || ' You have ' || {s_pick(BUDGET, 11)} || '. ' || {s_pick(SIGN, 12)} || '.'
+  ELSE 'A ' || pt || ' for ' || app || ', please, meant for ' || {s_pick('lens.crowd', 1)} || '. They dread ' || {s_pick('lens.worry', 2)} || ', so it should feel like ' || {s_pick('lens.thing', 3)}
+    || '. We will use it ' || {s_pick(HOUR, 4)} || ' in ' || {s_pick(PLACE, 5)} || '.' || {LOOK_SQL} || ' You have ' || {s_pick(BUDGET, 6)} || '. ' || {s_pick(SIGN, 7)} || '.' END AS query_text FROM ls)"""
 
 
 @query("fn16_combinatorial_text", f"""WITH {B.SCN}, t AS (SELECT id, idx, candidates[1] AS app, CASE WHEN idx % 2 = 0 THEN 'dashboard' ELSE 'form_flow' END AS pt, CASE WHEN idx % 5 > 0 THEN 'Dark' END AS st,
   (['vague', 'medium', 'complex'])[1 + idx % 3] AS lv, l1_scene || ' ' || l2_scene_label || ' ' || candidates[1] AS x FROM scn), {s_lens_text('t')} SELECT id, lens.name AS lens, query_text FROM lt""")
 def fn16(spark, sf):
     app = F.get("candidates", F.lit(0))
-    rows = B.scenes(spark, sf).select("id", "idx", app.alias("app"), R.scene_lens(F.concat_ws(" ", "l1_scene", "l2_scene_label", app)).alias("lens"))
-    lv = B.nth(fv.COMPLEXITY_LEVELS, F.col("idx") % 3)
+    lens = R.scene_lens(F.concat_ws(" ", "l1_scene", "l2_scene_label", app), LETTER)
     product, style = F.when(F.col("idx") % 2 == 0, "dashboard").otherwise("form_flow"), F.when(F.col("idx") % 5 > 0, "Dark")
-    return rows.select("id", F.col("lens.name").alias("lens"), R.combinatorial_text(F.col("id"), lv, F.col("app"), product, style, F.col("lens")).alias("query_text"))
+    rows = B.scenes(spark, sf).select("id", "idx", app.alias("app"), product.alias("product"), style.alias("style"), lens.alias("lens"))
+    fields = {c: F.col(c) for c in ("app", "product", "style")}
+    lv = B.nth(fv.COMPLEXITY_LEVELS, F.col("idx") % 3)
+    text = R.text_by_level(lv, fields, LETTER, R.record_seed(F.col("id"), *fields.values()), F.col("lens"))
+    return rows.select("id", F.col("lens.name").alias("lens"), text.alias("query_text"))
 
 
 def s_app_name(x: str) -> str:

@@ -172,10 +172,19 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def side_by_side(runs: DataFrame, id_col: str, run: str, run_names: list[str], value: str, missing: str = "(missing)") -> DataFrame:
-    """One row per id, one column per run; absent cells are explicit."""
-    wide = runs.groupBy(id_col).pivot(run, run_names).agg(F.max(F.col(value).cast("string")))
-    return wide.select(id_col, *[F.coalesce(F.col(r), F.lit(missing)).alias(r) for r in run_names])
+def side_by_side(
+    runs: DataFrame, id_col: str, run: str, value: str, run_names: list[str] | None = None, missing: str = "(missing)", most: int = 1000
+) -> DataFrame:
+    """One row per id, one column per run, by name; absent cells are explicit.
+
+    The runs are those of the data (at most ``most``, an error beyond, since each is
+    a column) or ``run_names``.  A row without a run fills no cell, its id stays.
+    """
+    names = run_names or sorted(r[0] for r in runs.select(run).distinct().filter(F.col(run).isNotNull()).limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError(f"more than {most} runs: name the ones to compare")
+    wide = runs.groupBy(id_col).pivot(run, names).agg(F.max(F.col(value).cast("string")))
+    return wide.select(id_col, *[F.coalesce(F.col(f"`{r}`"), F.lit(missing)).alias(r) for r in names])
 
 
 def matrix_cells(cells: DataFrame, rows: str, cols: str, topics: str, overrides: DataFrame, defaults: DataFrame, fallback: str) -> DataFrame:

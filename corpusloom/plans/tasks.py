@@ -262,17 +262,16 @@ def candidate_plan(scenes: DataFrame, count: str) -> DataFrame:
     )
 
 
-def candidate_records(tasks: DataFrame) -> DataFrame:
+def candidate_records(tasks: DataFrame, wording: R.Wording) -> DataFrame:
     """Persona and deterministic text for each task of a candidate plan."""
     rows = tasks.withColumn(
         "p", R.persona_struct(F.col("id"), F.col("persona_seed"), F.col("target_complexity"), F.col("application_type"), F.col("l2_scene_label"))
     )
     source = F.concat_ws(" ", "l1_scene", "l2_scene_label", "application_type")
-    rows = rows.withColumn("_lens", R.scene_lens(source))
-    text = R.combinatorial_text(
-        F.col("id"), F.col("target_complexity"), F.col("application_type"), F.col("product_type"), F.col("design_style"), F.col("_lens")
-    )
-    rows = rows.withColumn("query_text", text)
+    rows = rows.withColumn("_lens", R.scene_lens(source, wording))
+    fields = {"app": F.col("application_type"), "product": F.col("product_type"), "style": F.col("design_style")}
+    seed = R.record_seed(F.col("id"), *fields.values())
+    rows = rows.withColumn("query_text", R.text_by_level(F.col("target_complexity"), fields, wording, seed, F.col("_lens")))
     return rows.select(*tasks.columns, F.col("_lens.name").alias("lens"), "p.persona_id", "p.persona_title", "p.persona_source", "query_text",
                        F.length("query_text").cast("long").alias("query_length"))
 
