@@ -14,6 +14,7 @@ from corpusloom.operators import ranking as K
 from corpusloom.operators import reports as A
 from corpusloom.operators import scoring as Q
 from corpusloom.operators import similarity as S
+from corpusloom.operators.greedy import greedy_keep_first
 from corpusloom.sources import files
 
 
@@ -182,6 +183,29 @@ def sm03(spark, sf):
     return out.withColumn("kept", F.col("id") == F.col("keep_id")).withColumn("similarity", T.round_to(F.col("similarity"), 6))
 
 
+@query("sm03_greedy_kept", f"""WITH RECURSIVE d AS (SELECT doc_id AS id, lower({s_clean('text')}) AS c FROM documents),
+g AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(len(c) - 1, 1)), lambda i: c[i:i+2])) AS s FROM d),
+z AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+gn AS (SELECT g.id, s, n FROM g JOIN z USING (id)),
+e AS (SELECT a.id AS ia, b.id AS ib FROM gn a JOIN gn b ON a.s = b.s AND a.id < b.id AND b.n >= 0.85e0 * a.n AND a.n >= 0.85e0 * b.n
+  GROUP BY 1, 2 HAVING count(*) / (max(a.n) + max(b.n) - count(*))::DOUBLE >= 0.85e0),
+both_ways AS (SELECT ia, ib FROM e UNION ALL SELECT ib, ia FROM e),
+linked AS (SELECT ia AS id, coalesce(max(quality), 0) AS q FROM both_ways LEFT JOIN labels ON doc_id = ia GROUP BY 1),
+ord AS (SELECT id, row_number() OVER (ORDER BY q DESC, id) AS pos FROM linked),
+adj AS (SELECT x.pos, list(y.pos) AS near FROM both_ways b JOIN ord x ON x.id = b.ia JOIN ord y ON y.id = b.ib GROUP BY 1),
+walk AS (SELECT 0::BIGINT AS pos, []::BIGINT[] AS kept UNION ALL
+  SELECT a.pos, CASE WHEN list_has_any(w.kept, a.near) THEN w.kept ELSE list_append(w.kept, a.pos) END FROM walk w JOIN adj a ON a.pos = w.pos + 1),
+fin AS (SELECT unnest(kept) AS pos FROM walk WHERE pos = (SELECT max(pos) FROM walk))
+SELECT d.id, (ord.pos IS NULL OR fin.pos IS NOT NULL) AS kept, TRUE AS near_a_kept_row FROM d LEFT JOIN ord USING (id) LEFT JOIN fin USING (pos)""")
+def sm03_greedy(spark, sf):
+    """In order of quality and id: what stays, and whether all that goes is near to a row that stays."""
+    d = docs(spark, sf).join(B.table(spark, sf, "labels"), "doc_id", "left")
+    out = greedy_keep_first(d, "doc_id", "text", "quality")
+    stays = out.filter("kept").select(F.col("id").alias("keep_id"), F.lit(True).alias("stays"))
+    near = F.coalesce("stays", F.lit(False)) & (F.col("similarity") >= fv.NEAR_DUPLICATE_JACCARD)
+    return out.join(stays, "keep_id", "left").select("id", "kept", near.alias("near_a_kept_row"))
+
+
 @query("sm04_normalized_duplicates", """WITH k AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9一-鿿]+', ' ', 'g')) AS k FROM documents)
 SELECT md5(k) AS key_md5, min(doc_id) AS doc_id, count(*) AS copies FROM k GROUP BY k""")
 def sm04(spark, sf):

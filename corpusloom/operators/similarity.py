@@ -71,7 +71,7 @@ def fold_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 # --- block kernel ----------------------------------------------------------------
 
 
-def _map_groups(df: DataFrame, keys: list[str], kernel: Callable[[pd.DataFrame], dict], schema: str) -> DataFrame:
+def map_groups(df: DataFrame, keys: list[str], kernel: Callable[[pd.DataFrame], dict], schema: str) -> DataFrame:
     """Run ``kernel`` on each run of equal keys.
 
     Groups are many and small, so they are streamed in sorted partitions
@@ -110,20 +110,25 @@ def _stacked(parts: list[dict]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({k: np.concatenate([p[k] for p in full]) for k in full[0]})
 
 
-def _block_pairs(classes: DataFrame, block_rows: int) -> DataFrame:
+def block_pairs(classes: DataFrame, block_rows: int, deal: bool = False) -> DataFrame:
     """Replicate each class to the block pairs it takes part in.
 
     A group of m classes has B = ceil(m / block_rows) blocks and B(B+1)/2 block
-    pairs; each row is sent to B of them.
+    pairs; each row is sent to B of them.  ``deal``: narrow rows are dealt out before
+    they are replicated, so that a large group is no single task.
     """
     sizes = classes.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("blocks"))
     placed = classes.join(sizes, "grp").withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    placed = placed.repartition("grp", "key") if deal else placed
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("oth")
     return placed.select("*", other).select(
         *classes.columns, "blk", F.least("blk", "oth").alias("lo"), F.greatest("blk", "oth").alias("hi")
     )
 
 
+_block_pairs, _map_groups = block_pairs, map_groups
+
+
 def _flat(sets: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     arrays = [np.asarray(s, dtype=np.int64) for s in sets]
     sizes = np.fromiter((len(a) for a in arrays), dtype=np.int64, count=len(arrays))
@@ -177,7 +182,7 @@ def _dense_overlap(lv: np.ndarray, li: np.ndarray, rv: np.ndarray, ri: np.ndarra
     return out.astype(np.int64)
 
 
-def _jaccard(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+def jaccard_matrix(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
     inter = overlap_matrix(a["sh"], b["sh"]).astype(np.float64)
     union = a["n"].to_numpy()[:, None] + b["n"].to_numpy()[None, :] - inter
     return inter / np.maximum(union, 1.0)
@@ -202,7 +207,7 @@ def _best_and_sum(pdf: pd.DataFrame) -> dict:
         asked = left[left["probe"].to_numpy()]
         if not len(asked) or not len(right):
             continue
-        sim = _jaccard(asked, right)
+        sim = jaccard_matrix(asked, right)
         sim[asked["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = 0.0
         out.append((asked["key"].to_numpy(), sim.max(axis=1), sim @ right["copies"].to_numpy()))
     return {n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("key", "best", "total"))} if out else {}
@@ -214,7 +219,7 @@ def _best_at_home(pdf: pd.DataFrame) -> dict:
     asked = pdf[pdf["probe"].to_numpy()]
     if not len(asked) or not len(home):
         return {}
-    sim = _jaccard(asked, home)
+    sim = jaccard_matrix(asked, home)
     sim[asked["key"].to_numpy()[:, None] == home["key"].to_numpy()[None, :]] = 0.0
     return {"key": asked["key"].to_numpy(), "best": sim.max(axis=1), "total": sim @ home["copies"].to_numpy()}
 
@@ -222,7 +227,7 @@ def _best_at_home(pdf: pd.DataFrame) -> dict:
 def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -> DataFrame:
     """(key, best, total) of each probed class against all classes of its group."""
     if probes is None:
-        flagged = _block_pairs(classes, block_rows).withColumn("probe", F.lit(True))
+        flagged = block_pairs(classes, block_rows).withColumn("probe", F.lit(True))
     else:
         marks = probes.select("key", "grp", F.lit(True).alias("probe"))
         # groups without an open probe stay out; in the others only probes visit the blocks, the rest stays home
@@ -233,12 +238,12 @@ def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -
         stops = F.when(F.col("probe"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("blk"))
         visits = placed.withColumn("probe", F.coalesce("probe", F.lit(False))).withColumn("at", F.explode(stops))
         return (
-            _map_groups(visits.drop("blocks"), ["grp", "at"], _best_at_home, "key long, best double, total double")
+            map_groups(visits.drop("blocks"), ["grp", "at"], _best_at_home, "key long, best double, total double")
             .groupBy("key")
             .agg(F.max("best").alias("best"), F.sum("total").alias("total"))
         )
     return (
-        _map_groups(flagged, ["grp", "lo", "hi"], _best_and_sum, "key long, best double, total double")
+        map_groups(flagged, ["grp", "lo", "hi"], _best_and_sum, "key long, best double, total double")
         .groupBy("key")
         .agg(F.max("best").alias("best"), F.sum("total").alias("total"))
     )
@@ -397,13 +402,13 @@ def peer_mean_estimate(
 # --- near-duplicate groups -----------------------------------------------------------
 
 
-def _forest_edges(threshold: float) -> Callable[[pd.DataFrame], dict]:
+def forest_edges(threshold: float) -> Callable[[pd.DataFrame], dict]:
     def kernel(pdf: pd.DataFrame) -> dict:
         """Edges of a spanning forest of the verified pairs of one block pair."""
         a, b, _ = _sides(pdf)
         if not len(a) or not len(b) or len(pdf) < 2:
             return {}
-        near = _jaccard(a, b) >= threshold
+        near = jaccard_matrix(a, b) >= threshold
         if "comp" in pdf:  # rows that are connected already need no edge
             near &= a["comp"].to_numpy()[:, None] != b["comp"].to_numpy()[None, :]
         ii, jj = np.nonzero(near)
@@ -430,33 +435,62 @@ def _forest_edges(threshold: float) -> Callable[[pd.DataFrame], dict]:
     return kernel
 
 
+def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
+    """64 well-mixed bits of each number (two multiply-and-shift rounds); wraps round on purpose."""
+    with np.errstate(over="ignore"):
+        x = values + np.uint64(2 * seed + 1) * np.uint64(0x9E3779B97F4A7C15)
+        for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(factor)
+        return x ^ (x >> np.uint64(32))
+
+
+_forest_edges = forest_edges
+
+
+def one_permutation_sketches(sets: pd.Series, bins: int, seed: int) -> np.ndarray:
+    """``bins`` min-hashes of each set from one hash per element.
+
+    The hash deals the elements over the bins, and a bin keeps its smallest.  An
+    empty bin takes the content of another one, tried in an order that depends on
+    the bin alone; so two sets agree in a bin with a probability that is their
+    Jaccard similarity, whether it was filled or not.  Sets are not empty.
+    """
+    sizes = np.fromiter((len(s) for s in sets), np.int64, len(sets))
+    values = np.concatenate([np.asarray(s, np.int64) for s in sets]).view(np.uint64)
+    mixed = _mixed(values, seed)
+    empty = np.iinfo(np.uint64).max
+    sketch = np.full(len(sets) * bins, empty, np.uint64)
+    place = np.repeat(np.arange(len(sets), dtype=np.int64) * bins, sizes) + (mixed % np.uint64(bins)).astype(np.int64)
+    np.minimum.at(sketch, place, mixed)
+    sketch = sketch.reshape(len(sets), bins)
+    own = sketch.copy()
+    row, col = np.nonzero(own == empty)
+    turn = 0
+    while len(row):
+        turn += 1
+        tried = own[row, (_mixed(col.astype(np.uint64) + np.uint64(turn * bins), seed + 1) % np.uint64(bins)).astype(np.int64)]
+        full = tried != empty
+        sketch[row[full], col[full]] = tried[full]
+        row, col = row[~full], col[~full]
+    return sketch
+
+
 def minhash_bands(classes: DataFrame, permutations: int = 128, bands: int = 16, seed: int = 7) -> DataFrame:
     """(key, n, band, bucket): ``bands`` hashes of ``permutations / bands`` min-hashes each."""
     rows = permutations // bands
-    rng = np.random.default_rng(seed)
-    mult = rng.integers(1, 2**61, size=permutations, dtype=np.uint64) | np.uint64(1)
-    add = rng.integers(0, 2**63, size=permutations, dtype=np.uint64)
-    fold = rng.integers(1, 2**61, size=rows, dtype=np.uint64) | np.uint64(1)
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with np.errstate(over="ignore"):
-            for pdf in batches:
-                keys = []
-                for sh in pdf["sh"]:
-                    values = np.asarray(sh, dtype=np.int64).view(np.uint64)
-                    low = np.full(permutations, np.iinfo(np.uint64).max, dtype=np.uint64)
-                    for at in range(0, len(values), 4096):
-                        low = np.minimum(low, (values[at : at + 4096, None] * mult + add).min(axis=0))
-                    keys.append((low.reshape(bands, rows) * fold).sum(axis=1, dtype=np.uint64))
-                flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-                yield pd.DataFrame(
-                    {
-                        "key": np.repeat(pdf["key"].to_numpy(), bands),
-                        "n": np.repeat(pdf["n"].to_numpy(), bands),
-                        "band": np.tile(np.arange(bands, dtype=np.int32), len(pdf)),
-                        "bucket": flat.view(np.int64),
-                    }
-                )
+        for whole in batches:
+            for at in range(0, len(whole), 256):  # a few hundred sets at a time stay in the cache
+                pdf = whole.iloc[at : at + 256]
+                sketch = one_permutation_sketches(pdf["sh"], permutations, seed).reshape(len(pdf), bands, rows)
+                bucket = np.zeros((len(pdf), bands), np.uint64)
+                for r in range(rows):
+                    bucket = _mixed(bucket ^ sketch[:, :, r], seed + 2 + r)
+                yield pd.DataFrame({
+                    "key": np.repeat(pdf["key"].to_numpy(), bands), "n": np.repeat(pdf["n"].to_numpy(), bands),
+                    "band": np.tile(np.arange(bands, dtype=np.int32), len(pdf)), "bucket": bucket.reshape(-1).view(np.int64),
+                })
 
     return classes.filter(F.size("sh") > 0).select("key", "n", "sh").mapInPandas(kernel, "key long, n int, band int, bucket long")
 
@@ -501,8 +535,8 @@ def near_duplicate_components(
     joins = F.when(F.col("key") == F.col("pivot"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(home))
     placed = cells.join(crowded, "grp").select("key", "grp", F.explode(joins).alias("blk"))
     work = placed.join(sets, "key").withColumn("lo", F.col("blk")).withColumn("hi", F.col("blk"))
-    kernel, group = _forest_edges(threshold), ["grp", "lo", "hi"]
-    edges = materialized(_map_groups(work, group, kernel, "a long, b long").distinct(), "edges")
+    kernel, group = forest_edges(threshold), ["grp", "lo", "hi"]
+    edges = materialized(map_groups(work, group, kernel, "a long, b long").distinct(), "edges")
     comps = connected_components(edges)
 
     large = crowded.filter(F.col("m") > block_rows).select("grp")
@@ -510,12 +544,24 @@ def near_duplicate_components(
         return comps
     members = cells.join(large, "grp").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     mixed = members.groupBy("grp").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-    rest = members.join(mixed, "grp", "left_semi").join(sets, "key")
-    across = _map_groups(_block_pairs(rest, block_rows).filter("lo <> hi"), group, kernel, "a long, b long").distinct()
-    across = materialized(across, "edges")
+    rest = members.join(mixed.select("grp"), "grp", "left_semi")
+    visits = block_pairs(rest, block_rows, deal=True).filter("lo <> hi").join(sets, "key")
+    across = materialized(map_groups(visits, group, kernel, "a long, b long").distinct(), "edges")
     return comps if across.isEmpty() else connected_components(edges.unionByName(across))
 
 
+def near_pairs(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs (key, n, other, other_n) those whose sets are near, with ``similarity``; sizes are compared before sets are fetched."""
+    fit = pairs.filter(F.least("n", "other_n") >= threshold * F.greatest("n", "other_n"))
+    right = classes.select(F.col("key").alias("other"), F.col("sh").alias("other_sh"))
+    shared = F.size(F.array_intersect("sh", "other_sh"))
+    # a pair is a few bytes and much work: partitions sized by bytes would be far too few
+    parts = max(fit.count() // 4_000, int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    both = fit.repartition(parts, "key").join(classes.select("key", "sh"), "key").join(right, "other")
+    measured = both.select(*pairs.columns, (shared / (F.col("n") + F.col("other_n") - shared)).alias("similarity"))
+    return measured.filter(F.col("similarity") >= threshold)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(key, comp): smallest key reachable over undirected edges.
 
@@ -572,6 +618,7 @@ def near_duplicates(
     have equal (empty) sets, so they form one group.
     """
     members, classes = fold_copies(char_shingles(df, id_col, text))
+    classes = materialized(classes.select("key", "sh", "n"), "sets")  # read several times, each time with a shuffle otherwise
     comps = near_duplicate_components(classes, threshold, permutations, bands, block_rows)
     scores = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(score).cast("double"), F.lit(0.0)).alias("score"))
     grouped = (

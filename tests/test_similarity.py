@@ -179,3 +179,60 @@ def test_crowded_cells_match_brute_force(spark, block_rows):
                 low, high = sorted((comp[a], comp[b]))
                 comp = {k: low if v == high else v for k, v in comp.items()}
     assert got == comp
+
+
+def greedy(order, near):
+    kept: list = []
+    for i in order:
+        if not any(near(i, k) for k in kept):
+            kept.append(i)
+    return set(kept)
+
+
+@pytest.mark.parametrize("kw", [{}, {"block_rows": 4, "least_share": 1.0}])
+def test_greedy_keeps_what_a_walk_in_order_keeps(spark, kw):
+    """Chains whose ends are far apart, crowds, copies and equal scores."""
+    rng = random.Random(13)
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for seed in range(4):
+        t = [rng.choice(alphabet) for _ in range(400)]
+        for step in range(25):  # each link changes little, the chain drifts away
+            rows.append((len(rows), "".join(t), float(rng.randint(0, 3))))
+            for _ in range(6 if seed % 2 else 2):
+                t[rng.randrange(len(t))] = rng.choice(alphabet)
+    rows += [(len(rows) + i, rows[3][1], 2.0) for i in range(5)] + [(900, "", 1.0), (901, "ab", 3.0), (902, None, None), (903, "quite another text", None)]
+    df = spark.createDataFrame(rows, "id long, text string, score double").repartition(3)
+    got = {r["id"]: r for r in S_greedy(df, **kw)}
+    sets = {i: char_grams(t or "") for i, t, _ in rows}
+    order = [i for i, _, _ in sorted(rows, key=lambda r: (-(r[2] or 0.0), r[0]))]
+    near = lambda a, b: sets[a] == sets[b] or jac(sets[a], sets[b]) >= 0.85
+    want = greedy(order, near)
+    assert {i for i, r in got.items() if r["kept"]} == want and len(got) == len(rows)
+    place = {i: k for k, i in enumerate(order)}
+    for i, r in got.items():
+        assert r["keep_id"] in want and place[r["keep_id"]] <= place[i] and near(i, r["keep_id"])
+        assert r["similarity"] == pytest.approx(jac(sets[i], sets[r["keep_id"]]) if sets[i] else 1.0)
+
+
+def S_greedy(df, **kw):
+    from corpusloom.operators.greedy import greedy_keep_first
+
+    return greedy_keep_first(df, "id", "text", "score", **kw).collect()
+
+
+def test_sketches_agree_as_often_as_sets_overlap():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    for size in (1, 3, 20, 400):
+        pairs = []
+        for _ in range(400 if size < 100 else 60):
+            common = rng.integers(-(2**63), 2**63 - 1, size)
+            pairs += [np.unique(np.append(common, rng.integers(-(2**63), 2**63 - 1, 1 + size // 4))), np.unique(np.append(common, rng.integers(-(2**63), 2**63 - 1, 1 + size // 4)))]
+        sketch = S.one_permutation_sketches(pd.Series(pairs), 128, 7)
+        agree = (sketch[::2] == sketch[1::2]).mean()
+        want = np.mean([len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for a, b in zip(pairs[::2], pairs[1::2], strict=True)])
+        assert abs(agree - want) < 0.03
+        assert (sketch == S.one_permutation_sketches(pd.Series(pairs), 128, 7)).all()
