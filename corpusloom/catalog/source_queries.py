@@ -159,11 +159,10 @@ def snk03(spark, sf):
     )
     runs = spark.createDataFrame([("run_first", "seed", 0, 0, "2024-01-01")], "id string, mode string, total_planned long, total_generated long, created_at string")
     stored = {"queries": r.filter("id % 3 <> 0 or id % 2 = 0"), "imported_requirements": s, "generation_runs": runs}
-    loaded = files.load_tables(stored, scenes.drop("idx"), queries, "persona-fallback", F.col("created_at"), "n")
     root = new_folder(spark, "warehouse")
-    for name, df in loaded.items():
-        files.save_table(df, f"{root}/{name}", ["created_at"] if name == "queries" else None)
-    read = lambda name: spark.read.parquet(f"{root}/{name}").withColumn("tbl", F.lit(name)).withColumn("created_at", F.col("created_at").cast("string"))
+    files.create_tables(spark, root, stored, buckets=8)
+    files.load_tables(spark, root, scenes, queries, "persona-fallback", F.col("created_at"), "n")
+    read = lambda name: files.stored_table(spark, root, name).read().withColumn("tbl", F.lit(name))
     req = F.concat_ws("/", "l2_scene_label", F.col("target_count").cast("string"))
     return (
         read("queries").select("tbl", F.col("id").cast("string").alias("id"), "created_at", F.col("batch").alias("detail"))

@@ -8,6 +8,7 @@ from corpusloom.catalog import bindings as B
 from corpusloom.catalog.base import query, s_ratio, s_round
 from corpusloom.functions import text as T
 from corpusloom.operators import vectors as V
+from corpusloom.plans.topics import pick_least_used
 from corpusloom.sources.storage import new_folder
 from corpusloom.streaming import incremental as I
 
@@ -126,16 +127,36 @@ def st02(spark, sf):
     return I.current_usage(spark, f"{root}/out")
 
 
-@query("st02_usage_snapshot", f"WITH {B.USAGE} SELECT * FROM usg")
-def st02_snapshot(spark, sf):
-    """Usage in two runs, folded into a snapshot after each."""
+def usage_runs(spark, sf):
+    """Usage in three runs of the stream, each a restart, folded into a version after every one: (folder of batches, folder of versions)."""
     p = B.table(spark, sf, "part").select("p_partkey", "p_brand")
     li = B.table(spark, sf, "lineitem").select("l_partkey", "l_linenumber")
     root = new_folder(spark, "usage")
-    for n, part in enumerate((li.filter("l_linenumber <= 3"), li.filter("l_linenumber > 3"))):
+    for part in (li.filter("l_linenumber <= 2"), li.filter("l_linenumber between 3 and 4"), li.filter("l_linenumber > 4")):
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(li.schema).parquet(f"{root}/in").join(p, F.col("l_partkey") == F.col("p_partkey"))
         used = stream.select(F.col("p_brand").alias("l2"), F.col("l_partkey").cast("string").alias("topic"))
         I.track_usage(used, "l2", "topic", f"{root}/out", f"{root}/checkpoint")
-        out = I.compact_usage(spark, f"{root}/out", f"{root}/snapshot_{n}", f"{root}/snapshot_{n - 1}" if n else None)
-    return out
+        I.fold_usage(spark, f"{root}/out", f"{root}/versions", buckets=8)
+    return f"{root}/out", f"{root}/versions"
+
+
+@query("st02_usage_snapshot", f"WITH {B.USAGE} SELECT * FROM usg")
+def st02_snapshot(spark, sf):
+    out, versions = usage_runs(spark, sf)
+    return I.current_usage(spark, out, versions)
+
+
+@query("st02_plan_from_snapshot", f"""WITH {B.POOL}, {B.USAGE}, early AS (SELECT p_brand AS l2, p_partkey::VARCHAR AS topic, count(*) AS uses FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_linenumber <= 2 GROUP BY ALL),
+sized AS (SELECT *, count(*) OVER (PARTITION BY l2) AS size FROM pool),
+counted AS (SELECT 2 AS version, l2, topic, pos, size, coalesce(uses, 0) AS uses FROM sized LEFT JOIN usg USING (l2, topic)
+  UNION ALL SELECT 0, l2, topic, pos, size, coalesce(uses, 0) FROM sized LEFT JOIN early USING (l2, topic)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY version, l2 ORDER BY uses, pos) - 1 AS i FROM counted)
+SELECT version, l2, i, topic, uses FROM numbered WHERE i < size // 2 + 1""")
+def st02_plan(spark, sf):
+    """The next topics of every brand by the first version of the usage and by the newest."""
+    _, versions = usage_runs(spark, sf)
+    pool = B.pool(spark, sf)
+    want = pool.groupBy("l2").agg((F.floor(F.count("*") / 2) + 1).alias("k"))
+    plans = [pick_least_used(pool, I.usage_at(spark, versions, v), want).withColumn("version", F.lit(v)) for v in (0, 2)]
+    return plans[0].unionByName(plans[1]).select("version", "l2", "i", "topic", "uses")

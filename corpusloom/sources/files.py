@@ -1,4 +1,4 @@
-"""File sources and sinks: JSON lines, CSV, batch files, tables with upsert."""
+"""File sources and sinks: JSON lines, CSV, batch files, keyed tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.operators.ranking import first_per_key, running_index
+from corpusloom.operators.ranking import running_index
+from corpusloom.sources.versions import VersionedTable
 
 RECORD_SCHEMA = (
     "id string, l1_scene string, l2_scene_label string, corpus_l2_key string, corpus_topic string, "
@@ -101,30 +102,30 @@ def read_batch_outputs(spark: SparkSession, path: str, schema: str, id_col: str
     return rows.groupBy(id_col).agg(last.alias("r")).select(id_col, "r.*")
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
-    """Insert or replace by primary key: incoming rows win, and of several the last by ``order``.
+TABLE_KEYS = {"imported_requirements": "id", "queries": "id", "generation_runs": "id"}
+
+
+def stored_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    """One of the three tables below ``root``: requirements, queries, the run log."""
+    return VersionedTable(spark, f"{root}/{name}", [TABLE_KEYS[name]])
 
-    ``order`` is a column of ``incoming`` (its load order); it is not stored.
-    """
-    none = F.lit(None).cast(incoming.schema[order].dataType)
-    both = existing.withColumns({"_seq": F.lit(0), order: none}).unionByName(incoming.withColumn("_seq", F.lit(1)), allowMissingColumns=True)
-    return first_per_key(both, [key], [F.desc("_seq"), F.desc(order)]).drop("_seq", order)
 
+def create_tables(spark: SparkSession, root: str, stored: dict[str, DataFrame], buckets: int = 64) -> None:
+    for name in TABLE_KEYS:
+        stored_table(spark, root, name).create(stored[name], buckets)
 
-def load_tables(
-    stored: dict[str, DataFrame], scenes: DataFrame, queries: DataFrame, mode: str, at: Column, order: str
-) -> dict[str, DataFrame]:
-    """One load: requirements and queries upserted by id, and a row in the run log.
 
-    ``stored`` holds ``imported_requirements``, ``queries`` and ``generation_runs``;
-    ``scenes`` and ``queries`` carry their load order in ``order``.
+def load_tables(spark: SparkSession, root: str, scenes: DataFrame, queries: DataFrame, mode: str, at: Column, order: str) -> dict[str, int]:
+    """One load: requirements and queries inserted or replaced by id, and a row in the run log; returns the new versions.
+
+    ``scenes`` and ``queries`` carry their load order in ``order``.  A table's load
+    reads and writes the buckets that its rows touch.  The run log comes last: a load
+    whose row it holds is complete, and repeating one that failed gives the same
+    tables.
     """
-    log = run_log_row(queries, mode, at)
-    return {
-        "imported_requirements": upsert(stored["imported_requirements"], scenes, "id", order),
-        "queries": upsert(stored["queries"], queries, "id", order),
-        "generation_runs": upsert(stored["generation_runs"], log.withColumn(order, F.lit(0).cast("long")), "id", order),
-    }
+    log = run_log_row(queries, mode, at).withColumn(order, F.lit(0).cast("long"))
+    rows = {"imported_requirements": scenes, "queries": queries, "generation_runs": log}
+    return {name: stored_table(spark, root, name).upsert(df, order) for name, df in rows.items()}
 
 
 def run_log_row(queries: DataFrame, mode: str, at: Column) -> DataFrame:
@@ -134,11 +135,6 @@ def run_log_row(queries: DataFrame, mode: str, at: Column) -> DataFrame:
     return counted.select(run_id.alias("id"), F.lit(mode).alias("mode"), F.col("n").alias("total_planned"), F.col("n").alias("total_generated"), "created_at")
 
 
-def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-
-
 def ordered_view(df: DataFrame, created: str, id_col: str) -> DataFrame:
     """Newest first, then by id: the stable order of reports."""
     return df.orderBy(F.desc(created), F.asc(id_col))
