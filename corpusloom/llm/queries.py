@@ -92,13 +92,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOPK_SQL = """
 WITH sound AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT row_number() OVER () AS no, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM sound q, sound c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+  SELECT q.no, q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM sound q, sound c WHERE q.vec_id % 50 = 0 AND c.no <> q.no)
 SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+WINDOW w AS (PARTITION BY no ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
 """
 
 

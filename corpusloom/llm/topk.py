@@ -25,7 +25,7 @@ class Tree:
     boxes.  Node 0 is the root; ``left`` is -1 for a leaf.
     """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int, rows: np.ndarray | None = None):
         self.lo, self.hi, self.left, self.right, self.first, self.last = [], [], [], [], [], []
         order = np.arange(len(ids))
         stack = [(0, len(ids), None, 0)]
@@ -45,15 +45,16 @@ class Tree:
                 stack += [(a, a + m, node, 0), (a + m, b, node, 1)]
         self.lo, self.hi = np.array(self.lo), np.array(self.hi)
         self.ids, self.vectors = ids[order], vectors[order]
+        self.rows = self.ids if rows is None else rows[order]
 
 
-def _search(tree: Tree, q: np.ndarray, own: int, k: int, bound: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """The k best (score, -id) of one tree, best-first; ``least``: a score that k rows reach elsewhere.
+def _search(tree: Tree, q: np.ndarray, own: int, k: int, bound: np.ndarray, least: float) -> list[tuple[int, int, int]]:
+    """The k best (score, -id, row) of one tree, best-first, without row ``own``; ``least``: a score that k rows reach elsewhere.
 
     A box is opened while its bound is at least the k-th score so far: an equal
     score may still win by a smaller id.
     """
-    best: list[tuple[int, int]] = []
+    best: list[tuple[int, int, int]] = []
     heap = [(-bound[0], 0)]
     while heap:
         top, node = heapq.heappop(heap)
@@ -61,13 +62,13 @@ def _search(tree: Tree, q: np.ndarray, own: int, k: int, bound: np.ndarray, leas
             break
         if tree.left[node] < 0:
             a, b = tree.first[node], tree.last[node]
-            scores, ids = tree.vectors[a:b] @ q, tree.ids[a:b]
+            scores, ids, rows = tree.vectors[a:b] @ q, tree.ids[a:b], tree.rows[a:b]
             floor = max(least, best[0][0]) if len(best) == k else least
-            near = np.flatnonzero((scores >= floor) & (ids != own))
+            near = np.flatnonzero((scores >= floor) & (rows != own))
             if len(near) > k:
                 near = near[np.lexsort((ids[near], -scores[near]))[:k]]
             for n in near:
-                item = (scores[n], -int(ids[n]))
+                item = (scores[n], -int(ids[n]), int(rows[n]))
                 if len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
@@ -78,17 +79,17 @@ def _search(tree: Tree, q: np.ndarray, own: int, k: int, bound: np.ndarray, leas
     return best
 
 
-def search_block(tree: Tree, qids: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> pd.DataFrame:
-    """Top-k rows (query_id, vec_id, score) of a block of queries in one tree.
+def search_block(tree: Tree, qrows: np.ndarray, queries: np.ndarray, least: np.ndarray, k: int) -> pd.DataFrame:
+    """Top-k rows (query, vec_id, score) of a block of queries, named by their rows, in one tree.
 
     Inner products over a box are at most q+ . hi + q- . lo.
     """
     bounds = np.maximum(queries, 0) @ tree.hi.T + np.minimum(queries, 0) @ tree.lo.T
     out: list[tuple[int, int, int]] = []
-    for i in range(len(qids)):
-        found = _search(tree, queries[i], int(qids[i]), k, bounds[i], least[i])
-        out += [(int(qids[i]), -n, min(max(int(s), LONG[0]), LONG[1])) for s, n in found]
-    return pd.DataFrame(out or None, columns=["query_id", "vec_id", "score"])
+    for i in range(len(qrows)):
+        found = _search(tree, queries[i], int(qrows[i]), k, bounds[i], least[i])
+        out += [(int(qrows[i]), -n, min(max(int(s), LONG[0]), LONG[1])) for s, n, _ in found]
+    return pd.DataFrame(out or None, columns=["query", "vec_id", "score"])
 
 
 def _exact(left: pd.Series, right: pd.Series, scale: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,57 +108,60 @@ def exact_top_k(
     """The k largest inner products of each query: query_id, rank (from 1), vec_id, score.
 
     Components become floor(``scale`` * x).  Queries are the rows whose id is
-    divisible by ``every``; candidates are all rows with another id; equal scores
-    go to the smaller id.
+    divisible by ``every``; candidates are all other rows; equal scores go to the
+    smaller id.
 
-    Rows are dealt by a hash of their id into shards of about ``shard_rows``; a
+    Rows are dealt by a hash of their number into shards of about ``shard_rows``; a
     KD-tree is built in each.  First every block of queries searches one shard,
     which gives each query a k-th score; it goes with the query to all other
     shards, whose trees open only boxes that can still reach it.  A unit of work is
     one shard and one block, both of bounded size, and returns k rows per query.
 
     Vectors that are null, empty or hold null or non-finite components take no
-    part, nor do rows without an id; of several rows with one id the smallest
-    vector counts; queries only meet vectors of their own length; a query with
-    fewer than k candidates gets all of them; an empty table gives an empty result.
+    part, nor do rows without an id.  Rows are told apart by their place, not by
+    their ids: a row with the query's id is a candidate like others, and each of
+    several queries with one id has its own k rows.  Queries only meet vectors of their own
+    length; a query with fewer than k candidates gets all of them; an empty table
+    gives an empty result; other columns are not looked at, whatever their names.
     Scores beyond a long are held at its ends, where they tie.
     """
     spark = df.sparkSession
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = df.filter(F.col(vec_id).isNotNull() & (F.size(vector) > 0)).select(F.col(vec_id).cast("long").alias("id"), v.alias("v"), bad.alias("bad"))
-    usable = sound.filter(~F.col("bad")).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    rows = materialized(usable, "topk")
-    candidates = rows.select("id", "v", "dim")
+    usable = sound.filter(~F.col("bad")).select("id", "v", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("no"))
+    rows = materialized(usable, "topk")  # written with its number, so the number is fixed from here on
+    candidates = rows.select("no", "id", "v", "dim")
     shards = max(-(-rows.count() // shard_rows), 1)
-    dealt = candidates.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)).cast("int"))
+    dealt = candidates.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "no"), F.lit(shards)).cast("int"))
     asked = rows.filter(F.col("id") % every == 0)
     blocks = max(-(-asked.count() // block_rows), 1)
-    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(blocks)).cast("int"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(seed + 1), "no"), F.lit(blocks)).cast("int"))
     home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
 
     def searched(queries: DataFrame) -> DataFrame:
-        """``queries``: id, v, dim, block, shard, least."""
+        """``queries``: no, v, dim, block, shard, least."""
 
         def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
-                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                return pd.DataFrame({"query": [], "vec_id": [], "score": []})
             a, q = _exact(left["v"], right["q_v"], scale)
-            tree = Tree(left["id"].to_numpy(np.int64), a, leaf)
-            return search_block(tree, right["q_id"].to_numpy(np.int64), q, right["q_least"].to_numpy(float), k)
+            tree = Tree(left["id"].to_numpy(np.int64), a, leaf, left["no"].to_numpy(np.int64))
+            return search_block(tree, right["q_no"].to_numpy(np.int64), q, right["q_least"].to_numpy(float), k)
 
         unit = ["shard", "block", "dim"]
-        right = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("id", "v", "least", *unit)])
+        right = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("no", "v", "least", *unit)])
         asked_of = right.select("q_shard", "q_block", "q_dim").distinct()
         met = dealt.join(asked_of, (F.col("shard") == F.col("q_shard")) & (F.col("dim") == F.col("q_dim")))
-        left = met.select("id", "v", "shard", F.col("q_block").alias("block"), "dim")
-        return left.groupBy(*unit).cogroup(right.groupBy(*[f"q_{c}" for c in unit])).applyInPandas(run, "query_id long, vec_id long, score long")
+        left = met.select("no", "id", "v", "shard", F.col("q_block").alias("block"), "dim")
+        return left.groupBy(*unit).cogroup(right.groupBy(*[f"q_{c}" for c in unit])).applyInPandas(run, "query long, vec_id long, score long")
 
     none = F.lit(float("-inf"))
     start = materialized(searched(asked.withColumn("shard", home).withColumn("least", none)), "topk-home")
-    kth = start.groupBy("query_id").agg(F.min("score").cast("double").alias("worst"), F.count("*").alias("n")).filter(F.col("n") >= k)
-    bound = asked.join(kth, F.col("id") == F.col("query_id"), "left").withColumn("least", F.coalesce("worst", none))
+    kth = start.groupBy("query").agg(F.min("score").cast("double").alias("worst"), F.count("*").alias("n")).filter(F.col("n") >= k)
+    bound = asked.join(kth, F.col("no") == F.col("query"), "left").withColumn("least", F.coalesce("worst", none))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
-    rest = searched(bound.select("id", "v", "dim", "block", "least", F.explode(others).alias("shard")))
-    best = first_k(start.unionByName(rest), ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    rest = searched(bound.select("no", "v", "dim", "block", "least", F.explode(others).alias("shard")))
+    best = first_k(start.unionByName(rest), ["query"], [F.desc("score"), F.asc("vec_id")], k)
+    named = best.join(rows.select(F.col("no").alias("query"), F.col("id").alias("query_id")), "query")
+    return named.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -89,20 +89,25 @@ def test_collision_counts_are_window_counts():
 
 
 def naive_top(rows, every, k):
-    best = {}
-    for i, v, _ in rows:
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
-            best[i] = min(best.get(i, v), v)
-    ints = {i: [math.floor(256 * x) for x in v] for i, v in best.items()}
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v, *_ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    dot = lambda a, b: min(max(sum(x * y for x, y in zip(a, b, strict=True)), -(2**63)), 2**63 - 1)
     out = []
-    for q in ints:
+    for n, (q, w) in enumerate(ints):
         if q % every == 0:
-            dot = lambda a, b: min(max(sum(x * y for x, y in zip(a, b, strict=True)), -(2**63)), 2**63 - 1)
-            scored = sorted((-dot(ints[q], v), i) for i, v in ints.items() if i != q and len(v) == len(ints[q]))
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+            scored = sorted((-dot(w, v), i) for m, (i, v) in enumerate(ints) if m != n and len(v) == len(w))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
+def test_rows_that_share_an_id_all_count(spark):
+    """Of two rows with id 1 the better one is the answer; a row with the query's id is another row; clashing names do not matter."""
+    rows = [(0, [10.0, 1.0], 1), (1, [23.0, 0.0], 1), (1, [5.0, 1.0], 1), (0, [1.0, 1.0], 2), (50, [2.0, 2.0], 2), (50, [2.0, 2.0], 3)]
+    df = spark.createDataFrame([(*r, 7, "x", 1.0) for r in rows], VEC + ", no int, shard string, score double")
+    for shard in (2048, 2):
+        got = T.exact_top_k(df, shard_rows=shard, block_rows=2).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == naive_top(rows, 50, 5)
+
+
 def test_top_k(spark):
     rows = vectors(groups=4) + BAD + [(None, [1.0] * 24, 1)]
     rows += [(100_000 + i, rows[3][1], 0) for i in range(0, 90)]  # equal vectors: ties go to the smaller id
