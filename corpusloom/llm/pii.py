@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -68,73 +69,102 @@ def term_positions(text: str) -> Iterator[tuple[str, int, int]]:
             yield m.group().lower(), m.start(), m.end()
 
 
-def neighbours(text: str, span: Span, others: list[Span], reach: int = 120, words: int = 8) -> list[str]:
-    """Terms among the ``words`` words before and after an entity, other entities left out."""
-    _, a, b = span
-    blank = [(s, e) for _, s, e in others]
-    before = [t for t in term_positions(text[max(0, a - reach) : a]) if not any(s < t[2] + max(0, a - reach) and t[1] + max(0, a - reach) < e for s, e in blank)]
-    after = [t for t in term_positions(text[b : b + reach]) if not any(s < t[2] + b and t[1] + b < e for s, e in blank)]
-    return sorted({t for t, _, _ in before[-words:] + after[:words]})
+def outside(terms: list[tuple[str, int, int]], spans: list[Span]) -> list[tuple[str, int, int]]:
+    """The terms, in order, that no span touches."""
+    edges = sorted((a, b) for _, a, b in spans)
+    out, k, reach = [], 0, 0
+    for t in terms:
+        while k < len(edges) and edges[k][0] < t[2]:
+            reach = max(reach, edges[k][1])
+            k += 1
+        if t[1] >= reach:
+            out.append(t)
+    return out
+
+
+def surroundings(terms: list[tuple[str, int, int]], span: Span, words: int = 8) -> str:
+    """Hash of the nearest terms on both sides of an entity, wherever they stand."""
+    at = bisect_left(terms, span[1], key=lambda t: t[1])
+    near = [t for t, _, _ in terms[max(at - words, 0) : at + words]]
+    return hashlib.md5("\n".join(near).encode()).hexdigest()
 
 
 def spans_text(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-_FOUND = (
-    "array<struct<kind: string, a: int, b: int>>",
-    "array<struct<entity: string, context: string, terms: array<string>>>",
-)
+_SPANS = "array<struct<kind: string, a: int, b: int>>"
 
 
 def _scan(text: Column) -> Column:
-    @F.pandas_udf(f"struct<spans: {_FOUND[0]}, entities: {_FOUND[1]}>")
+    """Base spans, entities with their surroundings and all distinct terms outside spans, of whole texts."""
+
+    @F.pandas_udf(f"struct<spans: {_SPANS}, entities: array<struct<entity: string, context: string>>, terms: array<string>>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        spans, entities = [], []
+        spans, entities, terms = [], [], []
         for t in texts:
             t = t or ""
             found = pattern_spans(t)
             spans.append([{"kind": k, "a": a, "b": b} for k, a, b in found])
-            seen = []
-            for s in found:
-                terms = neighbours(t, s, [o for o in found if abs(o[1] - s[1]) < 400])
-                entity = entity_of(s[0], t[s[1] : s[2]])
-                seen.append({"entity": entity, "context": hashlib.md5("\n".join(terms).encode()).hexdigest(), "terms": terms})
-            entities.append(seen)
-        return pd.DataFrame({"spans": spans, "entities": entities})
+            if found:
+                free = outside(list(term_positions(t)), found)
+                seen = {(entity_of(s[0], t[s[1] : s[2]]), surroundings(free, s)) for s in found}
+                entities.append([{"entity": e, "context": c} for e, c in sorted(seen)])
+                terms.append(sorted({w for w, _, _ in free}))
+            else:
+                entities.append([])
+                terms.append(sorted({w.lower() for w in set(_WORD.findall(t)) if len(w) > 2}))
+        return pd.DataFrame({"spans": spans, "entities": entities, "terms": terms})
 
     return run(text)
 
 
-def disclosures(entities: DataFrame, texts: DataFrame, support: int = 3, remove_bits: float = 1.0, generalise_bits: float = 2.0) -> DataFrame:
-    """(entity, term, p_entity, bits, action) of the terms that disclose an entity.
+def disclosures(
+    entities: DataFrame, terms: DataFrame, frequency: DataFrame, support: int = 3, remove_bits: float = 1.0, generalise_bits: float = 2.0
+) -> tuple[DataFrame, DataFrame]:
+    """What discloses an entity, (entity, term, p_entity, bits, action), and where: (doc, term, action).
 
-    ``entities``: id, th, entity, context, terms of every occurrence.  ``texts``:
-    id, th, t, all documents.  A document with a term next to the entity counts for
-    both.  What term t tells about entity c is their pointwise mutual information,
+    ``entities``: doc, entity, context (one or more per document); ``terms``: doc,
+    term, of the documents with entities; ``frequency``: term, df over all documents.
+    A term counts with an entity if both are in a document, however far apart.  What
+    term t tells about entity c is their pointwise mutual information,
     log2(p(c, t) / p(c) p(t)); all that can be told is c's own information,
     -log2 p(c).  The difference, -log2 p(c | t), is what t leaves open: at
     ``remove_bits`` or less the term gives the entity away and is removed, at
     ``generalise_bits`` or less it is generalised.  The bounds do not move with the
-    size of the corpus.  A pair seen in fewer than ``support`` different
-    surroundings is no evidence: copies of one text have one.
+    size of the corpus.  A pair in fewer than ``support`` documents, or with fewer
+    different surroundings of the entity, is no evidence: copies of one passage
+    have one surrounding.
+
+    Pairs are made when what cannot matter is gone: entities with too few documents
+    or surroundings, and terms in too few documents or in so many that none of the
+    entities beside them could be told by them.
     """
-    seen = entities.select("id", "th", "entity", "context", F.explode("terms").alias("term"))
-    pairs = seen.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"), F.countDistinct("id", "th").alias("together"))
-    pairs = materialized(pairs.filter(F.col("contexts") >= support), "pairs")
-    words = F.array_distinct(F.split(F.lower(F.regexp_replace("t", r"[^\p{L}'’-]+", " ")), " "))
-    own = texts.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    known = pairs.join(own, "term", "left")
-    given = F.least(F.col("together") / F.greatest(F.coalesce("df", F.lit(0)), F.col("together")), F.lit(1.0))
+    widest = 2.0**generalise_bits
+    seen = entities.groupBy("entity").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("docs"))
+    known = materialized(seen.filter(F.least("contexts", "docs") >= support).select("entity", "docs"), "pii-entities")
+    held = materialized(entities.join(known, "entity"), "pii-held")
+    most = held.groupBy("doc").agg(F.max("docs").alias("most"))
+    largest = known.agg(F.coalesce(F.max("docs"), F.lit(0))).first()[0]
+    useful = frequency.filter((F.col("df") >= support) & (F.col("df") <= widest * largest))
+    beside = terms.join(most, "doc").join(useful, "term").filter(F.col("df") <= widest * F.col("most")).select("doc", "term", "df")
+    pairs = materialized(held.join(beside, "doc").filter(F.col("df") <= widest * F.col("docs")).select("doc", "entity", "context", "term", "df"), "pii-pairs")
+    counted = pairs.groupBy("entity", "term").agg(
+        F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("together"), F.first("df").alias("df")
+    )
+    given = F.least(F.col("together") / F.col("df"), F.lit(1.0))
     bits = -F.log2(given)
     action = F.when(bits <= remove_bits, "remove").when(bits <= generalise_bits, "generalise")
-    return known.select("entity", "term", given.alias("p_entity"), bits.alias("bits"), action.alias("action")).filter("action IS NOT NULL")
+    told = counted.filter(F.least("contexts", "together") >= support).select("entity", "term", given.alias("p_entity"), bits.alias("bits"), action.alias("action"))
+    told = materialized(told.filter("action IS NOT NULL"), "pii-told")
+    where = pairs.select("doc", "entity", "term").distinct().join(told, ["entity", "term"]).groupBy("doc", "term").agg(F.max("action").alias("action"))
+    return told, where
 
 
 def _mark(text: Column, terms: Column) -> Column:
     """Spans of the given terms in whole texts; ``terms``: array<struct<term, action>>."""
 
-    @F.pandas_udf(_FOUND[0])
+    @F.pandas_udf(_SPANS)
     def run(texts: pd.Series, wanted: pd.Series) -> pd.Series:
         rows = []
         for t, w in zip(texts, wanted, strict=True):
@@ -161,20 +191,25 @@ def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep:
     docs = docs.withColumn("th", F.xxhash64("t"))
     scanned = docs.withColumn("f", _scan(F.col("t")))
     scanned = materialized(
-        scanned.select("row", "id", "th", F.col("f.spans").alias("base"), F.col("f.entities").alias("entities"),
+        scanned.select("row", "id", "th", F.col("f.spans").alias("base"), F.col("f.entities").alias("entities"), F.col("f.terms").alias("terms"),
                        F.when(F.size("f.spans") > 0, F.col("t")).alias("t")), "pii"
     )
-    carriers = scanned.filter("t IS NOT NULL").select("id", "th", "t", "base", "entities").dropDuplicates(["id", "th"])
-    entities = carriers.select("id", "th", F.explode("entities").alias("e")).select("id", "th", "e.*")
-    told = disclosures(entities, docs.select("t"), **options)
-    wanted = entities.select("id", "th", "entity").distinct().join(told, "entity").groupBy("id", "th", "term").agg(F.max("action").alias("action"))
-    lists = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("term", "action")).alias("terms"))
-    same = F.col("c.id").eqNullSafe(F.col("l.id")) & (F.col("c.th") == F.col("l.th"))
-    marked = carriers.alias("c").join(lists.alias("l"), same).select("c.id", "c.th", "base", _mark(F.col("t"), F.col("terms")).alias("spans"))
+    # rows of one document share its one count; few documents come twice, so this joins with little
+    again = scanned.groupBy("id", "th").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("id").alias("_id"), F.col("th").alias("_th"), "c")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
+    weighed = scanned.select("id", "th", "terms").join(again, same, "left").select(F.explode("terms").alias("term"), (F.lit(1.0) / F.coalesce("c", F.lit(1))).alias("w"))
+    frequency = weighed.groupBy("term").agg(F.round(F.sum("w")).cast("long").alias("df"))
+
+    first = scanned.filter("t IS NOT NULL").groupBy("id", "th").agg(*[F.first(c).alias(c) for c in ("t", "base", "entities", "terms")])
+    carriers = materialized(first.withColumn("doc", F.monotonically_increasing_id()), "pii-carriers")
+    entities = carriers.select("doc", F.explode("entities").alias("e")).select("doc", "e.entity", "e.context")
+    _, where = disclosures(entities, carriers.select("doc", F.explode("terms").alias("term")), frequency, **options)
+    lists = where.groupBy("doc").agg(F.collect_list(F.struct("term", "action")).alias("wanted"))  # of one text
+    marked = carriers.join(lists, "doc").select("id", "th", "base", _mark(F.col("t"), F.col("wanted")).alias("spans"))
     free = F.filter("spans", lambda s: ~F.exists("base", lambda b: (s["a"] < b["b"]) & (b["a"] < s["b"])))
     marked = marked.select(F.col("id").alias("_id"), F.col("th").alias("_th"), free.alias("added"))
-    none = F.array().cast(_FOUND[0])
-    joined = scanned.join(marked, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    none = F.array().cast(_SPANS)
+    joined = scanned.select("row", "id", "th", "base").join(marked, same, "left")
     return joined.select("row", "base", F.coalesce("added", none).alias("added"))
 
 
