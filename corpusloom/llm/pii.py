@@ -125,7 +125,7 @@ def disclosures(
     """What discloses an entity, (entity, term, p_entity, bits, action), and where: (doc, term, action).
 
     ``entities``: doc, entity, context (one or more per document); ``terms``: doc,
-    term, of the documents with entities; ``frequency``: term, df over all documents.
+    terms, of the documents with entities; ``frequency``: term, df over all documents.
     A term counts with an entity if both are in a document, however far apart.  What
     term t tells about entity c is their pointwise mutual information,
     log2(p(c, t) / p(c) p(t)); all that can be told is c's own information,
@@ -147,7 +147,7 @@ def disclosures(
     most = held.groupBy("doc").agg(F.max("docs").alias("most"))
     largest = known.agg(F.coalesce(F.max("docs"), F.lit(0))).first()[0]
     useful = frequency.filter((F.col("df") >= support) & (F.col("df") <= widest * largest))
-    beside = terms.join(most, "doc").join(useful, "term").filter(F.col("df") <= widest * F.col("most")).select("doc", "term", "df")
+    beside = terms.join(most, "doc").select("doc", "most", F.explode("terms").alias("term")).join(useful, "term").filter(F.col("df") <= widest * F.col("most")).select("doc", "term", "df")
     pairs = materialized(held.join(beside, "doc").filter(F.col("df") <= widest * F.col("docs")).select("doc", "entity", "context", "term", "df"), "pii-pairs")
     counted = pairs.groupBy("entity", "term").agg(
         F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("together"), F.first("df").alias("df")
@@ -189,28 +189,25 @@ def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep:
     """
     docs = df.select(F.struct(*(keep or df.columns)).alias("row"), F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     docs = docs.withColumn("th", F.xxhash64("t"))
-    scanned = docs.withColumn("f", _scan(F.col("t")))
-    scanned = materialized(
-        scanned.select("row", "id", "th", F.col("f.spans").alias("base"), F.col("f.entities").alias("entities"), F.col("f.terms").alias("terms"),
-                       F.when(F.size("f.spans") > 0, F.col("t")).alias("t")), "pii"
-    )
-    # rows of one document share its one count; few documents come twice, so this joins with little
-    again = scanned.groupBy("id", "th").agg(F.count("*").alias("c")).filter("c > 1").select(F.col("id").alias("_id"), F.col("th").alias("_th"), "c")
+    # texts are not written again: the few that have terms to mark are read from their source
+    scanned = docs.select("row", "id", "th", _scan(F.col("t")).alias("f"), F.monotonically_increasing_id().alias("at"))
+    scanned = materialized(scanned.select("row", "id", "th", "at", F.col("f.spans").alias("base"), F.col("f.entities").alias("entities"), F.col("f.terms").alias("terms")), "pii")
+    # of the rows of one document the first counts; few documents come twice, so this joins with little
+    again = scanned.groupBy("id", "th").agg(F.count("*").alias("c"), F.min("at").alias("first")).filter("c > 1")
+    again = again.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "first")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
-    weighed = scanned.select("id", "th", "terms").join(again, same, "left").select(F.explode("terms").alias("term"), (F.lit(1.0) / F.coalesce("c", F.lit(1))).alias("w"))
-    frequency = weighed.groupBy("term").agg(F.round(F.sum("w")).cast("long").alias("df"))
-
-    first = scanned.filter("t IS NOT NULL").groupBy("id", "th").agg(*[F.first(c).alias(c) for c in ("t", "base", "entities", "terms")])
-    carriers = materialized(first.withColumn("doc", F.monotonically_increasing_id()), "pii-carriers")
+    once = scanned.select("id", "th", "at", "entities", "terms").join(again, same, "left").filter("first IS NULL OR first = at")
+    frequency = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    carriers = once.filter(F.size("entities") > 0).withColumnRenamed("at", "doc")
     entities = carriers.select("doc", F.explode("entities").alias("e")).select("doc", "e.entity", "e.context")
-    _, where = disclosures(entities, carriers.select("doc", F.explode("terms").alias("term")), frequency, **options)
+    _, where = disclosures(entities, carriers.select("doc", "terms"), frequency, **options)
     lists = where.groupBy("doc").agg(F.collect_list(F.struct("term", "action")).alias("wanted"))  # of one text
-    marked = carriers.join(lists, "doc").select("id", "th", "base", _mark(F.col("t"), F.col("wanted")).alias("spans"))
-    free = F.filter("spans", lambda s: ~F.exists("base", lambda b: (s["a"] < b["b"]) & (b["a"] < s["b"])))
-    marked = marked.select(F.col("id").alias("_id"), F.col("th").alias("_th"), free.alias("added"))
-    none = F.array().cast(_SPANS)
+    lists = lists.join(scanned.select(F.col("at").alias("doc"), F.col("id").alias("_id"), F.col("th").alias("_th")), "doc")
+    marked = docs.select("id", "th", "t").join(materialized(lists, "pii-lists"), same).select("_id", "_th", _mark(F.col("t"), F.col("wanted")).alias("spans"))
+    marked = marked.groupBy("_id", "_th").agg(F.first("spans").alias("spans"))
     joined = scanned.select("row", "id", "th", "base").join(marked, same, "left")
-    return joined.select("row", "base", F.coalesce("added", none).alias("added"))
+    free = F.filter("spans", lambda s: ~F.exists("base", lambda b: (s["a"] < b["b"]) & (b["a"] < s["b"])))
+    return joined.select("row", "base", F.coalesce(free, F.array().cast(_SPANS)).alias("added"))
 
 
 def cleaned_text(text: str, spans: list[Span]) -> str:
