@@ -161,18 +161,19 @@ def disclosures(
     return told, where
 
 
-def _mark(text: Column, terms: Column) -> Column:
-    """Spans of the given terms in whole texts; ``terms``: array<struct<term, action>>."""
+def _mark(text: Column, terms: Column, base: Column) -> Column:
+    """Spans of the given terms outside base spans in whole texts; ``terms``: array<struct<term, action>>."""
 
     @F.pandas_udf(_SPANS)
-    def run(texts: pd.Series, wanted: pd.Series) -> pd.Series:
+    def run(texts: pd.Series, wanted: pd.Series, bases: pd.Series) -> pd.Series:
         rows = []
-        for t, w in zip(texts, wanted, strict=True):
+        for t, w, b in zip(texts, wanted, bases, strict=True):
             kinds = {x["term"]: x["action"] for x in w}
-            rows.append([{"kind": kinds[p], "a": a, "b": b} for p, a, b in term_positions(t or "") if p in kinds])
+            free = outside(list(term_positions(t or "")), [(s["kind"], s["a"], s["b"]) for s in b])
+            rows.append([{"kind": kinds[p], "a": a, "b": e} for p, a, e in free if p in kinds])
         return pd.Series(rows)
 
-    return run(text, terms)
+    return run(text, terms, base)
 
 
 def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
@@ -202,12 +203,11 @@ def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep:
     entities = carriers.select("doc", F.explode("entities").alias("e")).select("doc", "e.entity", "e.context")
     _, where = disclosures(entities, carriers.select("doc", "terms"), frequency, **options)
     lists = where.groupBy("doc").agg(F.collect_list(F.struct("term", "action")).alias("wanted"))  # of one text
-    lists = lists.join(scanned.select(F.col("at").alias("doc"), F.col("id").alias("_id"), F.col("th").alias("_th")), "doc")
-    marked = docs.select("id", "th", "t").join(materialized(lists, "pii-lists"), same).select("_id", "_th", _mark(F.col("t"), F.col("wanted")).alias("spans"))
-    marked = marked.groupBy("_id", "_th").agg(F.first("spans").alias("spans"))
+    lists = lists.join(scanned.select(F.col("at").alias("doc"), F.col("id").alias("_id"), F.col("th").alias("_th"), "base"), "doc")
+    marked = docs.select("id", "th", "t").join(materialized(lists, "pii-lists"), same).select("_id", "_th", _mark(F.col("t"), F.col("wanted"), F.col("base")).alias("added"))
+    marked = marked.groupBy("_id", "_th").agg(F.first("added").alias("added"))
     joined = scanned.select("row", "id", "th", "base").join(marked, same, "left")
-    free = F.filter("spans", lambda s: ~F.exists("base", lambda b: (s["a"] < b["b"]) & (b["a"] < s["b"])))
-    return joined.select("row", "base", F.coalesce(free, F.array().cast(_SPANS)).alias("added"))
+    return joined.select("row", "base", F.coalesce("added", F.array().cast(_SPANS)).alias("added"))
 
 
 def cleaned_text(text: str, spans: list[Span]) -> str:
