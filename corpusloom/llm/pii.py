@@ -193,11 +193,12 @@ def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep:
     # texts are not written again: the few that have terms to mark are read from their source
     scanned = docs.select("row", "id", "th", _scan(F.col("t")).alias("f"), F.monotonically_increasing_id().alias("at"))
     scanned = materialized(scanned.select("row", "id", "th", "at", F.col("f.spans").alias("base"), F.col("f.entities").alias("entities"), F.col("f.terms").alias("terms")), "pii")
-    # of the rows of one document the first counts; few documents come twice, so this joins with little
-    again = scanned.groupBy("id", "th").agg(F.count("*").alias("c"), F.min("at").alias("first")).filter("c > 1")
-    again = again.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "first")
+    # of the rows of one document the first counts; which ones do not is found without their terms
+    names = scanned.select("id", "th", "at")
+    again = names.groupBy("id", "th").agg(F.count("*").alias("c"), F.min("at").alias("first")).filter("c > 1")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
-    once = scanned.select("id", "th", "at", "entities", "terms").join(again, same, "left").filter("first IS NULL OR first = at")
+    repeats = names.join(again.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "first"), same).filter("at <> first")
+    once = scanned.select("at", "entities", "terms").join(materialized(repeats.select("at"), "pii-repeats"), "at", "left_anti")
     frequency = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     carriers = once.filter(F.size("entities") > 0).withColumnRenamed("at", "doc")
     entities = carriers.select("doc", F.explode("entities").alias("e")).select("doc", "e.entity", "e.context")
