@@ -97,9 +97,9 @@ _SPANS = "array<struct<kind: string, a: int, b: int>>"
 
 
 def _scan(text: Column) -> Column:
-    """Base spans, entities with their surroundings and all distinct terms outside spans, of whole texts."""
+    """Base spans, entities with their surroundings and all distinct terms outside spans (one a line), of whole texts."""
 
-    @F.pandas_udf(f"struct<spans: {_SPANS}, entities: array<struct<entity: string, context: string>>, terms: array<string>>")
+    @F.pandas_udf(f"struct<spans: {_SPANS}, entities: array<struct<entity: string, context: string>>, terms: string>")
     def run(texts: pd.Series) -> pd.DataFrame:
         spans, entities, terms = [], [], []
         for t in texts:
@@ -110,22 +110,26 @@ def _scan(text: Column) -> Column:
                 free = outside(list(term_positions(t)), found)
                 seen = {(entity_of(s[0], t[s[1] : s[2]]), surroundings(free, s)) for s in found}
                 entities.append([{"entity": e, "context": c} for e, c in sorted(seen)])
-                terms.append(sorted({w for w, _, _ in free}))
+                terms.append("\n".join({w for w, _, _ in free}))
             else:
                 entities.append([])
-                terms.append(sorted({w.lower() for w in set(_WORD.findall(t)) if len(w) > 2}))
+                terms.append("\n".join({w.lower() for w in set(_WORD.findall(t)) if len(w) > 2}))
         return pd.DataFrame({"spans": spans, "entities": entities, "terms": terms})
 
     return run(text)
 
 
+def _each(terms: str) -> Column:
+    return F.explode(F.filter(F.split(terms, "\n"), lambda w: w != "")).alias("term")
+
+
 def disclosures(
     entities: DataFrame, terms: DataFrame, frequency: DataFrame, support: int = 3, remove_bits: float = 1.0, generalise_bits: float = 2.0
 ) -> tuple[DataFrame, DataFrame]:
     """What discloses an entity, (entity, term, p_entity, bits, action), and where: (doc, term, action).
 
     ``entities``: doc, entity, context (one or more per document); ``terms``: doc,
-    terms, of the documents with entities; ``frequency``: term, df over all documents.
+    terms (one a line), of the documents with entities; ``frequency``: term, df over all documents.
     A term counts with an entity if both are in a document, however far apart.  What
     term t tells about entity c is their pointwise mutual information,
     log2(p(c, t) / p(c) p(t)); all that can be told is c's own information,
@@ -147,7 +151,7 @@ def disclosures(
     most = held.groupBy("doc").agg(F.max("docs").alias("most"))
     largest = known.agg(F.coalesce(F.max("docs"), F.lit(0))).first()[0]
     useful = frequency.filter((F.col("df") >= support) & (F.col("df") <= widest * largest))
-    beside = terms.join(most, "doc").select("doc", "most", F.explode("terms").alias("term")).join(useful, "term").filter(F.col("df") <= widest * F.col("most")).select("doc", "term", "df")
+    beside = terms.join(most, "doc").select("doc", "most", _each("terms")).join(useful, "term").filter(F.col("df") <= widest * F.col("most")).select("doc", "term", "df")
     pairs = materialized(held.join(beside, "doc").filter(F.col("df") <= widest * F.col("docs")).select("doc", "entity", "context", "term", "df"), "pii-pairs")
     counted = pairs.groupBy("entity", "term").agg(
         F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("together"), F.first("df").alias("df")
@@ -199,7 +203,7 @@ def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text", keep:
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))
     repeats = names.join(again.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "first"), same).filter("at <> first")
     once = scanned.select("at", "entities", "terms").join(materialized(repeats.select("at"), "pii-repeats"), "at", "left_anti")
-    frequency = once.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    frequency = once.select(_each("terms")).groupBy("term").agg(F.count("*").alias("df"))
     carriers = once.filter(F.size("entities") > 0).withColumnRenamed("at", "doc")
     entities = carriers.select("doc", F.explode("entities").alias("e")).select("doc", "e.entity", "e.context")
     _, where = disclosures(entities, carriers.select("doc", "terms"), frequency, **options)
