@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from struct import pack as pack_ids
@@ -104,14 +103,15 @@ def loaded(path: str) -> WordIds:
     return _LOADED[path]
 
 
-PIECES = "piece int, start long, length long, crc long"
+PIECES = "piece int, start long, length long, ids binary"
 
 
 def cut_pieces(df: DataFrame, text: str, path: str, capacity: int, end_id: int = 0) -> DataFrame:
-    """Rows (row, piece, start, length, crc) from rows (row, ``text``).
+    """Rows (row, row_no, piece, start, length, ids) from rows (row, ``text``); ids are unsigned 32-bit numbers, little-endian.
 
     A document is its ids and ``end_id``; only one longer than ``capacity`` is cut,
-    into pieces of ``capacity`` of which the last may be shorter.
+    into pieces of ``capacity`` of which the last may be shorter.  ``row_no`` tells
+    rows apart, repeated ones included.
     """
     end = np.asarray([end_id], "<u4").tobytes()
 
@@ -124,10 +124,11 @@ def cut_pieces(df: DataFrame, text: str, path: str, capacity: int, end_id: int =
             for t in texts:
                 ids = ids_of(t or "") + end
                 parts = [ids[i : i + step] for i in range(0, len(ids), step)]
-                rows.append([{"piece": k, "start": k * capacity, "length": len(p) // 4, "crc": zlib.crc32(p)} for k, p in enumerate(parts)])
+                rows.append([{"piece": k, "start": k * capacity, "length": len(p) // 4, "ids": p} for k, p in enumerate(parts)])
             yield pd.Series(rows)
 
-    return df.select("row", F.explode(cut(F.col(text))).alias("p")).select("row", "p.piece", "p.start", "p.length", "p.crc")
+    numbered = df.select("row", F.monotonically_increasing_id().alias("row_no"), cut(F.col(text)).alias("ps"))
+    return numbered.select("row", "row_no", F.explode("ps").alias("p")).select("row", "row_no", "p.*")
 
 
 Run = tuple[int, int, int, int, int, int]
@@ -192,30 +193,32 @@ def best_fit_rounds(lengths: dict[int, int], capacity: int) -> tuple[list[Run],
 def pack(
     df: DataFrame, text: str = "text", path: str | None = None, capacity: int = 2048, end_id: int = 0, rows_per_bucket: int = 20_000
 ) -> DataFrame:
-    """Pieces of all rows with ``sequence_id`` and ``offset``; the columns of ``df`` stay in ``row``.
+    """Pieces of all rows with their ids, ``sequence_id`` and ``offset``: (row, row_no, piece, start, length, ids, sequence_id, offset).
 
-    Tokenising is one pass whose narrow result is kept.  Documents that agree in
-    length are counted, at most ``capacity`` counts plan the packing
-    (``best_fit_rounds``), and each document finds its place in the plan by its rank
-    among documents of its length.  Ranks are taken in hashed buckets with prefix
-    sums over them, so a length that most documents share is many tasks.
+    Tokenising is one pass whose result is kept.  Documents that agree in length
+    are counted, at most ``capacity`` counts plan the packing
+    (``best_fit_rounds``), and each piece finds its place in the plan by its rank
+    among pieces of its length.  Ranks are taken in hashed buckets with prefix sums
+    over them, so a length that most documents share is many tasks; only lengths
+    and numbers go through them, and the ids join the places at the end.
 
     A null text is empty and gives the one id ``end_id``; repeated rows are packed
-    each for itself; ties in length go by a hash of the row; an empty table gives
-    an empty result; other columns are carried as they are (``row``), whatever
-    their names.
+    each for itself, ``row_no`` tells them apart; ties in length go by a hash of the
+    piece; an empty table gives an empty result; other columns are carried as they
+    are (``row``), whatever their names.
     """
     spark = df.sparkSession
     path = path or tokenizer_path()
     kept = [c for c in df.columns if c != text]
     rows = df.select(F.struct(*kept).alias("row") if kept else F.struct(F.lit(None).alias("_")).alias("row"), F.col(text).alias("t"))
-    pieces = materialized(cut_pieces(rows, "t", path, capacity, end_id), "pieces")
+    kept_pieces = materialized(cut_pieces(rows, "t", path, capacity, end_id), "pieces")
+    pieces = kept_pieces.select("row_no", "piece", "length")
     totals = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs, _ = best_fit_rounds(totals, capacity)
     plan = spark.createDataFrame(runs or [(0, 0, 0, 0, 1, 0)], "length long, rank0 long, n long, bin0 long, per_bin long, base long")
 
     buckets = max(-(-sum(totals.values()) // rows_per_bucket), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salted = pieces.withColumn("h", F.xxhash64("row", "piece", "crc")).withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
+    salted = pieces.withColumn("h", F.xxhash64("row_no", "piece")).withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
     counts = salted.groupBy("length", "bucket").agg(F.count("*").alias("c"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("before"))
@@ -224,8 +227,25 @@ def pack(
     # at most 3 * capacity * log2(capacity) rows whatever the input
     placed = ranked.join(F.broadcast(plan), "length").filter((F.col("rank") >= F.col("rank0")) & (F.col("rank") < F.col("rank0") + F.col("n")))
     nth = F.col("rank") - F.col("rank0")
-    return placed.select(
-        "row", "piece", "start", "length", "crc",
+    places = placed.select(
+        "row_no", "piece",
         (F.col("bin0") + F.call_function("div", nth, F.col("per_bin"))).alias("sequence_id"),
         (F.col("base") + F.pmod(nth, F.col("per_bin")) * F.col("length")).alias("offset"),
     )
+    return kept_pieces.join(places, ["row_no", "piece"]).select("row", "row_no", "piece", "start", "length", "ids", "sequence_id", "offset")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, n_tokens, ids): every sequence with the ids of its pieces in their order.
+
+    A sequence holds at most ``capacity`` tokens, so it may be put together in one place.
+    """
+    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    whole = packed.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), parts.alias("parts"))
+    ids = F.aggregate("parts", F.lit(b"").cast("binary"), lambda s, p: F.concat(s, p["ids"]))
+    return whole.select("sequence_id", "n_tokens", ids.alias("ids"))
+
+
+def write_sequences(packed: DataFrame, path: str) -> None:
+    """Training sequences as Parquet, in the order of their numbers within and across files."""
+    sequences(packed).repartitionByRange("sequence_id").sortWithinPartitions("sequence_id").write.parquet(path)

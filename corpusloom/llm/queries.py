@@ -87,7 +87,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     packed = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return packed.select("row.doc_id", "piece", "start", "length", F.col("crc").alias("ids_crc32"), "sequence_id", "offset")
+    return packed.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 TOPK_SQL = """

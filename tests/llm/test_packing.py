@@ -82,6 +82,24 @@ def test_rounds_are_best_fit_decreasing():
         assert sorted(cap - f for f in full) == sorted(gaps)
 
 
+def test_sequences_are_rebuilt_and_read_as_text(spark, docs, tmp_path):
+    rows = docs[:60] + docs[:5] + [(9_999, None, "x"), (9_998, "word " * 700, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    packed = P.pack(df, capacity=256).cache()
+    P.write_sequences(packed, str(tmp_path / "sequences"))
+    stored = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in spark.read.parquet(str(tmp_path / "sequences")).collect()}
+    assert all(len(v) <= 256 for v in stored.values()) and sum(map(len, stored.values())) == packed.agg({"length": "sum"}).first()[0]
+    texts: dict = {}
+    for r in sorted(packed.collect(), key=lambda r: (r.row_no, r.piece)):
+        part = stored[r.sequence_id][r.offset : r.offset + r.length]
+        assert part.tobytes() == bytes(r.ids) and r.start == r.piece * 256
+        texts.setdefault((r.row_no, r.row.doc_id), []).extend(part.tolist())
+    tok = Tokenizer.from_file(P.tokenizer_path())
+    assert sorted((d, ids) for (_, d), ids in texts.items()) == sorted((d, [*whole_ids(t), 0]) for d, t, _ in rows)
+    long = texts[next(k for k in texts if k[1] == 9_998)][:-1]
+    assert "".join(map(tok.id_to_token, long)).replace("</w>", " ").split() == ["word"] * 700
+
+
 def test_edges(spark, weird, nothing):
     rows = P.pack(weird.withColumnRenamed("lang", "length"), capacity=256).collect()
     verify(rows, 256)
