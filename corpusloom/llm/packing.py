@@ -6,6 +6,7 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from struct import pack as pack_ids
 
 import numpy as np
@@ -131,6 +132,18 @@ def cut_pieces(df: DataFrame, text: str, path: str, capacity: int, end_id: int =
     return numbered.select("row", "row_no", F.explode("ps").alias("p")).select("row", "row_no", "p.*")
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand Python so many rows at a time: whole texts and their ids are large rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 Run = tuple[int, int, int, int, int, int]
 
 
@@ -211,7 +224,8 @@ def pack(
     path = path or tokenizer_path()
     kept = [c for c in df.columns if c != text]
     rows = df.select(F.struct(*kept).alias("row") if kept else F.struct(F.lit(None).alias("_")).alias("row"), F.col(text).alias("t"))
-    kept_pieces = materialized(cut_pieces(rows, "t", path, capacity, end_id), "pieces")
+    with arrow_batches(spark, 512):
+        kept_pieces = materialized(cut_pieces(rows, "t", path, capacity, end_id), "pieces")
     pieces = kept_pieces.select("row_no", "piece", "length")
     totals = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs, _ = best_fit_rounds(totals, capacity)
