@@ -126,9 +126,6 @@ def block_pairs(classes: DataFrame, block_rows: int, deal: bool = False) -> Data
     )
 
 
-_block_pairs, _map_groups = block_pairs, map_groups
-
-
 def _flat(sets: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     arrays = [np.asarray(s, dtype=np.int64) for s in sets]
     sizes = np.fromiter((len(a) for a in arrays), dtype=np.int64, count=len(arrays))
@@ -444,9 +441,6 @@ def _mixed(values: np.ndarray, seed: int) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-_forest_edges = forest_edges
-
-
 def one_permutation_sketches(sets: pd.Series, bins: int, seed: int) -> np.ndarray:
     """``bins`` min-hashes of each set from one hash per element.
 
