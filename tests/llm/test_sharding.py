@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from corpusloom.llm import sharding
 from corpusloom.llm.queries import QUERIES
 
@@ -40,6 +42,26 @@ def test_repeats_and_one_key_spread(spark):
     assert set(laid(rows, 8).values()) == {375}
 
 
+def test_no_bucket_beyond_its_bound(spark):
+    texts = spark.range(400).select("id", F.repeat(F.lit("é"), 25_000 + 25_000 * (F.col("id") % 2).cast("int")).alias("text"))
+    bound = 2 << 20
+    rows, buckets, n = sharding.scatter(texts, bucket_bytes=bound)
+    full = rows.groupBy("bucket").agg(F.sum("w").alias("w"), F.sum(F.octet_length("row.text")).alias("bytes")).collect()
+    assert n == 400 and buckets >= 2 * sum(r.bytes for r in full) // bound
+    assert all(r.bytes <= r.w <= bound for r in full)
+    placed = sharding.external_shuffle(texts, 7, bucket_bytes=bound)
+    assert placed.select("id", "text").exceptAll(texts).count() == 0 and placed.count() == 400
+    # a bucket is gathered by one exchange into a task of its own
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(bucket") <= 1 and "Join" not in plan
+
+
+def test_measured_bytes(spark):
+    df = spark.createDataFrame([("éa", [1, 22], 5, None), (None, None, None, bytearray(b"abc"))], "s string, a array<int>, n long, b binary")
+    sizes = [r.w for r in df.select(sharding.measured_bytes(df).alias("w")).collect()]
+    assert sizes == [16 + 3 + len('{"a":[1,22]}') + 8, 16 + 2 + 8 + 3]
+
+
 def test_files(spark, tmp_path):
     df = sharding.external_shuffle(spark.range(500), 4)
     sharding.write_shards(df, str(tmp_path / "out"), 2)
