@@ -111,12 +111,12 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of every document."""
+    """How many words the mix takes of every document, in all and for each of its 16 shards."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", mixing.word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("th")
     )
-    mix = mixing.mix_plan(materialized(docs, "sizes"), "source", F.col("words"), [F.col("doc_id"), F.col("th")])
-    return mix.select("doc_id", "size", "source_size", "target", "taken")
+    mix = mixing.mix_plan(materialized(docs, "sizes"), "source", F.col("words"), [F.col("doc_id"), F.col("th")], shards=16)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", F.array_join("shard_words", ",").alias("shard_words"))
 
 
 COSINE_SQL = """

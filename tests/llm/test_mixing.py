@@ -81,6 +81,52 @@ def test_quotas_off_both_ways(spark):
         assert q == naive_quotas(dict(enumerate(targets)), 1), targets
 
 
+def naive_shards(targets, block, shards):
+    """Quotas per shard from the whole list of seats in the order they are dealt."""
+    v = {s: t / block for s, t in targets.items()}
+    q, order = dict.fromkeys(v, 0), []
+    for _ in range(int(sum(v.values()) + 0.5)):
+        best = max(v, key=lambda s: v[s] / (2 * q[s] + 1))
+        q[best] += 1
+        order.append(best)
+    cuts = [len(order) * k // shards for k in range(shards + 1)]
+    return {(s, k): order[cuts[k] : cuts[k + 1]].count(s) for s in v for k in range(shards)}
+
+
+def test_quotas_per_shard(spark):
+    for targets, shards in (([5.5, 21.5, 33.5, 8.4, 7.6, 0.0], 4), ([1.5] * 9, 5), ([700.3, 11.1, 0.2, 90.0], 16), ([0.0, 0.0], 3), ([2.0], 7)):
+        sources = spark.createDataFrame([(i, float(t)) for i, t in enumerate(targets)], "ordinal int, target double")
+        rows = M.shard_quotas(sources, 1, shards).collect()
+        assert {(r.ordinal, r.shard): r.quota for r in rows} == naive_shards(dict(enumerate(targets)), 1, shards), targets
+
+
+def test_shards_take_their_quotas(spark):
+    rows = [(i, "abc"[i % 3 if i < 90 else 0], " ".join(f"{i}.{w}" for w in range(i % 17))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = M.mix_plan(docs, "source", M.word_count(F.col("text")), [F.col("doc_id")], block=4, shards=5).collect()
+    assert all(len(r.shard_words) == 5 and sum(r.shard_words) == r.taken for r in plan)
+    sizes = {s: sum(r.size for r in plan if r.source == s) for s in "abc"}
+    want = naive_shards(naive_targets(sizes), 4, 5)
+    for s in "abc":
+        limit, done = 3 * sizes[s], 0
+        for k in range(5):
+            words = min(4 * want[s, k], limit - done)
+            assert sum(r.shard_words[k] for r in plan if r.source == s) == words
+            done += words
+    out = M.mixed_documents(docs, ["doc_id"], "to", block=4, shards=5).collect()
+    got, need = defaultdict(int), defaultdict(int)
+    for r in out:
+        assert r.text in dict((d, t) for d, _, t in rows)[r.doc_id]
+        got[r.doc_id, r.to] += len(WORD.findall(r.text))
+    for r in plan:
+        for k, n in enumerate(r.shard_words):
+            need[r.doc_id, k] += n
+    assert {k: n for k, n in got.items() if n} == {k: n for k, n in need.items() if n}
+    # shards change where words go, not which are taken
+    plain = M.mix_plan(docs, "source", M.word_count(F.col("text")), [F.col("doc_id")], block=4).collect()
+    assert {r.doc_id: r.taken for r in plain} == {r.doc_id: r.taken for r in plan}
+
+
 def test_documents_carry_what_the_plan_takes(spark, weird):
     plan = M.mix_plan(weird.withColumn("size", F.lit("clash")), "source", M.word_count(F.col("text")), [F.col("doc_id"), F.col("text")]).collect()
     out = M.mixed_documents(weird, ["doc_id", "text"]).collect()
