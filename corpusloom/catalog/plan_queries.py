@@ -152,12 +152,16 @@ def quota_scenes(spark, sf):
     )
 
 
-def s_quota(kind: int, steps, plan: str, rotate: bool) -> str:
+FOUR_STYLES = "['Dark', 'Luxury', 'Vibrant', 'Material']"
+ALL_STYLES = "['Dark', 'Glassmorphism', 'Vibrant', 'Minimalism', 'Material', 'Neumorphism', 'Luxury', 'Cyberpunk']"
+
+
+def s_quota(kind: int, steps, plan: str, rotate: bool, styles: str = FOUR_STYLES) -> str:
     parts = []
     for n, (seq, lv, ap, pt) in enumerate(steps):
         off = "idx + " if rotate else ""
         parts.append(
-            f"SELECT 'q_' || id || '_' || '{seq:03d}' AS query_id, id AS scene_id, (['app a', 'app b', 'app c'])[{1 + ap % 3}] AS application_type, pts[1 + ({off}{pt}) % len(pts)] AS product_type, ({LEVELS})[1 + ({off}{lv}) % 3] AS target_complexity, (['Dark', 'Luxury', 'Vibrant', 'Material'])[1 + (idx * {len(steps)} + {n}) % 4] AS design_style, substr(sha1(id || ':{seq}:{plan}'), 1, 10) AS persona_seed, '{plan}' AS plan_type FROM qs WHERE kind = {kind}"
+            f"SELECT 'q_' || id || '_' || '{seq:03d}' AS query_id, id AS scene_id, (['app a', 'app b', 'app c'])[{1 + ap % 3}] AS application_type, pts[1 + ({off}{pt}) % len(pts)] AS product_type, ({LEVELS})[1 + ({off}{lv}) % 3] AS target_complexity, ({styles})[1 + (idx * {len(steps)} + {n}) % len({styles})] AS design_style, substr(sha1(id || ':{seq}:{plan}'), 1, 10) AS persona_seed, '{plan}' AS plan_type FROM qs WHERE kind = {kind}"
         )
     return " UNION ALL ".join(parts)
 
@@ -165,13 +169,29 @@ def s_quota(kind: int, steps, plan: str, rotate: bool) -> str:
 QS = f"qs AS (SELECT 'scene_' || {s_pad('c_custkey', 6)} AS id, c_custkey // 3 AS idx, c_custkey % 3 AS kind, CASE WHEN c_custkey % 2 = 0 THEN {s_list(PTS)} WHEN c_custkey % 4 = 1 THEN ['dashboard', 'content_blog', 'form_flow'] ELSE ['portfolio', 'dashboard', 'form_flow'] END AS pts FROM customer)"
 
 
-@query("pl07_quota_plan", f"WITH {QS} {s_quota(0, P.SECOND_ROUND, 'expand_r2', True)} UNION ALL {s_quota(1, P.LOW_COVERAGE, 'expand_b', False)} UNION ALL {s_quota(2, P.NEW_DOMAIN, 'expand_c', False)}")
-def pl07(spark, sf):
+def s_quota_plan(styles: str) -> str:
+    parts = [(0, P.SECOND_ROUND, "expand_r2", True), (1, P.LOW_COVERAGE, "expand_b", False), (2, P.NEW_DOMAIN, "expand_new", False)]
+    bonus = f"""SELECT 'q_' || id || '_004', id, 'app a', 'dashboard', 'complex', ({styles})[1], substr(sha1(id || ':4:expand_new'), 1, 10), 'expand_new'
+  FROM qs WHERE kind = 2 AND idx = 0"""
+    return f"WITH {QS} " + " UNION ALL ".join([*(s_quota(*part, styles) for part in parts), bonus])
+
+
+def quota_rows(spark, sf, styles):
     q = quota_scenes(spark, sf)
-    plan = P.quota_plan(*[q.filter(F.col("kind") == k) for k in range(3)], styles=["Dark", "Luxury", "Vibrant", "Material"])
+    plan = P.quota_plan(*[q.filter(F.col("kind") == k) for k in range(3)], styles=styles)
     return plan.select("query_id", "scene_id", "application_type", "product_type", "target_complexity", "design_style", "persona_seed", "plan_type")
 
 
+@query("pl07_quota_plan", s_quota_plan(FOUR_STYLES))
+def pl07(spark, sf):
+    return quota_rows(spark, sf, ["Dark", "Luxury", "Vibrant", "Material"])
+
+
+@query("pl07_automatic_styles", s_quota_plan(ALL_STYLES))
+def pl07_auto(spark, sf):
+    return quota_rows(spark, sf, "auto")
+
+
 @query("pl07_duplicate_ids", "SELECT 'q_' || (o_custkey % 100) AS query_id, count(*) AS copies FROM orders GROUP BY 1 HAVING count(*) > 1")
 def pl07_dup(spark, sf):
     plan = B.table(spark, sf, "orders").select(F.concat(F.lit("q_"), (F.col("o_custkey") % 100).cast("string")).alias("query_id"))

@@ -159,14 +159,20 @@ def domain_products(l1: Column, table: dict[str, list[str]] = fv.DOMAIN_PRODUCTS
 
 
 def quota_part(
-    scenes: DataFrame, steps: list[QuotaStep], plan_type: str, rotate_level: bool, rotate_product: bool, styles: list[str] | None = None
+    scenes: DataFrame, steps: list[QuotaStep], plan_type: str, rotate_level: bool, rotate_product: bool,
+    styles: list[str] | str | None = None,
 ) -> DataFrame:
     """Tasks per scene from (sequence number, level, application, product) offsets.
 
     With ``rotate_*`` the scene position is added to the offset.  Products are the
     scene's own (``products``) or those of its domain.  ``styles`` rotate by the
-    task's number in the part, (position x steps + step); without them it is null.
+    task's number in the part, (position x steps + step); ``"auto"`` rotates
+    ``fixed_values.QUOTA_STYLES``; without styles it is null.
     """
+    if isinstance(styles, str):
+        if styles != "auto":
+            raise ValueError(f"styles are a list, 'auto' or None, not {styles!r}")
+        styles = fv.QUOTA_STYLES
     fields = ("seq", "lv", "ap", "pt")
     offsets = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(fields, s, strict=True)]) for s in steps])
     rows = _named(scenes).select("*", F.posexplode(offsets).alias("_k", "_s"))
@@ -187,14 +193,17 @@ def quota_part(
 SECOND_ROUND = [(4, 1, 0, 1), (5, 2, 1, 2)]
 LOW_COVERAGE = [(10, 0, 0, 3), (11, 1, 1, 4), (12, 2, 2, 5)]
 NEW_DOMAIN = [(1, 0, 0, 0), (2, 1, 1, 1), (3, 2, 2, 2)]
+BONUS, BONUS_PRODUCT = [(4, 2, 0, 0)], "dashboard"
 
 
-def quota_plan(first: DataFrame, second: DataFrame, third: DataFrame, styles: list[str] | None = None) -> DataFrame:
-    """Three offset parts in one plan."""
+def quota_plan(first: DataFrame, second: DataFrame, third: DataFrame, styles: list[str] | str | None = None) -> DataFrame:
+    """Three offset parts in one plan; the first new scene (``idx`` 0 of ``third``) gets a fourth, complex task for a dashboard."""
+    bonus = third.filter("idx = 0").withColumn("products", F.array(F.lit(BONUS_PRODUCT)))
     return (
         quota_part(first, SECOND_ROUND, "expand_r2", True, True, styles)
         .unionByName(quota_part(second, LOW_COVERAGE, "expand_b", False, False, styles))
-        .unionByName(quota_part(third, NEW_DOMAIN, "expand_c", False, False, styles))
+        .unionByName(quota_part(third, NEW_DOMAIN, "expand_new", False, False, styles))
+        .unionByName(quota_part(bonus, BONUS, "expand_new", False, False, styles))
     )
 
 

@@ -164,3 +164,17 @@ def test_scores_follow_the_rubric(spark):
     assert got[3]["peer_similarity"] == 1.0 and got[3]["diversity"] == 1
     assert not got[3]["form_bias_flag"] and got[4]["form_bias_flag"]
     assert got[3]["specificity"] == 5 and got[3]["complexity_level"] == "complex"
+
+
+def test_quota_plan_bonus_and_styles(spark):
+    rows = [(f"s{i}", i, "news", f"label {i}", ["a", "b", "c"], ["form_flow"], 0) for i in range(3)]
+    scenes = spark.createDataFrame(rows, "id string, idx long, l1_scene string, l2_scene_label string, candidates array<string>, products array<string>, target_count int")
+    none = scenes.limit(0)
+    plan = {r.query_id: r for r in P.quota_plan(none, none, scenes, "auto").collect()}
+    assert len(plan) == 10 and {r.plan_type for r in plan.values()} == {"expand_new"}
+    bonus = plan["q_s0_004"]
+    assert (bonus.application_type, bonus.product_type, bonus.target_complexity, bonus.design_style) == ("a", "dashboard", "complex", "Dark")
+    assert plan["q_s2_003"].design_style == "Dark" and plan["q_s2_002"].design_style == "Cyberpunk"
+    assert {r.design_style for r in P.quota_plan(none, none, scenes).collect()} == {None}
+    with pytest.raises(ValueError):
+        P.quota_plan(none, none, scenes, "dark")
