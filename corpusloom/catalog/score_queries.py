@@ -315,7 +315,7 @@ def lx09(spark, sf):
 @query("so01_floor_quantiles", f"SELECT l_returnflag, {s_quantile('l_extendedprice', '0.1e0')} AS p10, {s_quantile('l_extendedprice', '0.5e0')} AS p50, {s_quantile('l_extendedprice', '0.9e0')} AS p90, {s_quantile('l_extendedprice', '1e0')} AS p100 FROM lineitem GROUP BY 1")
 def so01(spark, sf):
     li = B.table(spark, sf, "lineitem")
-    return K.floor_quantiles(li, ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9, "p100": 1.0}, buckets=64)
+    return K.floor_quantiles(li, ["l_returnflag"], "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9, "p100": 1.0})
 
 
 @query("so02_upper_median", f"SELECT source, {s_quantile('n_chars', '0.5e0')} AS median_chars FROM documents GROUP BY 1")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.sources.storage import materialized
+
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """First ``k`` rows per group.
@@ -38,28 +40,39 @@ def range_of(df: DataFrame, order: str, ranges: int) -> Column:
     return F.coalesce(above[0], F.lit(0))
 
 
+def _meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; the key columns of ``left`` stay."""
+    named = right.withColumnsRenamed({k: f"_k_{i}" for i, k in enumerate(keys)})
+    same = [left[k].eqNullSafe(named[f"_k_{i}"]) for i, k in enumerate(keys)]
+    on = same[0]
+    for cond in same[1:]:
+        on = on & cond
+    return left.join(named, on).drop(*[f"_k_{i}" for i in range(len(keys))])
+
+
 def running_index(
-    df: DataFrame, by: list[str], order: str, ranges: int = 64, name: str = "idx", start: int = 1,
+    df: DataFrame, by: list[str], order: str, ranges: int | None = None, name: str = "idx", start: int = 1,
     coarse: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Number rows 1..n within ``by`` in the order of (``coarse``, ``order``).
-
-    The order column is cut into ``ranges`` by its own quantiles.  Rows per range
-    are counted (map-side combined), prefix sums over the ranges give each range
-    its offset, and only rows of one range are ranked together: a group that
-    holds most of the data still spreads over many tasks.
+    """Number rows 1..n within ``by`` in the order of (``coarse``, ``order``); nulls come first, null groups count too.
+
+    One range sort on (``by``, ``coarse``, ``order``) places the rows: Spark samples the
+    splitters, so the partitions (``ranges`` of them, else as many as the session
+    shuffles into) hold about equally many rows, whether a group holds most of the
+    data or ``coarse`` has one value only.  The sorted rows are written with their
+    place; a group's rows before a partition, summed over the partitions it spans,
+    are the partition's offset.  No row is looked at by a window.
     """
-    ranged = df.withColumn("_range", range_of(df, order, ranges))
-    keys = [*by, *coarse, "_range"]
-    counts = ranged.groupBy(*keys).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy(*coarse, "_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return (
-        ranged.join(offsets, keys)
-        .withColumn(name, (F.col("_offset") + local - 1 + start).cast("long"))
-        .select(*df.columns, name)
-    )
+    keys = [*by, *coarse, order]
+    ranged = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+    # the id holds the partition in its upper bits and the place in it in the lower 33
+    sorted_rows = materialized(ranged.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33).alias("_part")
+    counts = sorted_rows.groupBy(*by, part).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).drop("_n", "_first")
+    numbered = _meet(sorted_rows.withColumn("_part", part), offsets, [*by, "_part"])
+    return numbered.withColumn(name, (F.col("_offset") + F.col("_at") + start).cast("long")).select(*df.columns, name)
 
 
 def forward_fill(df: DataFrame, order: str, column: str, ranges: int = 64) -> DataFrame:
@@ -78,31 +91,40 @@ def _index_of(n: Column, p: float) -> Column:
 
 
 def floor_quantiles(
-    df: DataFrame, by: list[str], value: str, probs: dict[str, float], weight: str | None = None, buckets: int = 1
-) -> DataFrame:
-    """``sorted[min(n-1, floor(n*p))]`` per group and probability.
+    df: DataFrame, by: list[str], value: str, probs: dict[str, float], weight: str | None = None, buckets: int = 16,
+    most: int = 1_000_000,
+) -> DataFrame:
+    """``sorted[min(n-1, floor(n*p))]`` per group and probability; nulls are the lowest values.
 
-    Values are first folded to (value, count), so repeated values cost nothing.
-    With ``buckets`` > 1 (for continuous values) the values are cut into buckets by
-    their own quantiles; only buckets that contain a wanted index are ranked.
+    Values are first folded to (value, count), so repeated values cost nothing.  Then
+    by repeated counting: every group is cut into ``buckets`` by quantiles of its own
+    values, counts per bucket tell which ones hold a wanted index, and only those go
+    on.  A bucket of more than ``most`` values is cut again, so neither a group that
+    holds most rows nor one that lies in a narrow range is ranked in one task.
     """
     w = F.lit(1) if weight is None else F.col(weight)
-    folded = df.groupBy(*by, value).agg(F.sum(w).alias("_c"))
-    folded = folded.withColumn("_b", range_of(df, value, buckets))
-    in_group = Window.partitionBy(*by)
-    marks = (
-        folded.groupBy(*by, "_b")
-        .agg(F.sum("_c").alias("_m"))
-        .withColumn("_n", F.sum("_m").over(in_group))
-        .withColumn("_from", F.sum("_m").over(in_group.orderBy("_b")) - F.col("_m"))
-    )
+    levels = materialized(df.groupBy(*by, value).agg(F.sum(w).alias("_c")), "levels")
+    totals = levels.groupBy(*by).agg(F.sum("_c").alias("_n"))
+    open_ = _meet(levels, totals, by).withColumn("_low", F.lit(0).cast("long"))
+    keys, largest = [*by, "_low"], None
     wanted = F.array(*[_index_of(F.col("_n"), p) for p in probs.values()])
-    marks = marks.withColumn("_want", wanted).filter(
-        F.exists("_want", lambda i: (i >= F.col("_from")) & (i < F.col("_from") + F.col("_m")))
-    )
-    picked = folded.join(marks, [*by, "_b"])
-    upto = F.col("_from") + F.sum("_c").over(Window.partitionBy(*by, "_b").orderBy(value))
-    picked = picked.withColumn("_upto", upto).withColumn("_lowr", F.col("_upto") - F.col("_c"))
+    shares = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
+    while buckets > 1:
+        cuts = open_.groupBy(*keys).agg(F.percentile_approx(value, shares, 10 * buckets).alias("_cuts"))
+        above = sum((F.coalesce((F.get("_cuts", F.lit(i)) < F.col(value)).cast("int"), F.lit(0)) for i in range(buckets - 1)), F.lit(0))
+        placed = _meet(open_, cuts, keys).withColumn("_b", F.when(F.col(value).isNull(), -1).otherwise(above)).drop("_cuts")
+        sums = placed.groupBy(*keys, "_n", "_b").agg(F.sum("_c").alias("_m"), F.count("*").alias("_levels"))
+        before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("_start", (F.col("_low") + F.coalesce(F.sum("_m").over(before), F.lit(0))).cast("long"))
+        holds = F.exists(wanted, lambda i: (i >= F.col("_start")) & (i < F.col("_start") + F.col("_m")))
+        sums = materialized(sums.filter(holds).select(*keys, "_b", "_start", "_levels"), "buckets")
+        open_ = _meet(placed, sums, [*keys, "_b"]).withColumn("_low", F.col("_start")).drop("_b", "_start", "_levels")
+        widest = sums.agg(F.max("_levels")).first()[0] or 0
+        if widest <= most or widest == largest:
+            break
+        open_, largest = materialized(open_, "levels"), widest
+    upto = F.col("_low") + F.sum("_c").over(Window.partitionBy(*keys).orderBy(value))
+    picked = open_.withColumn("_want", wanted).withColumn("_upto", upto).withColumn("_lowr", F.col("_upto") - F.col("_c"))
     out = [
         F.min(
             F.when(

@@ -359,8 +359,8 @@ def peer_profile(
         F.max("mx").alias("max_peer_max"),
         (F.sum(F.col("mn") * F.col("w")) / F.max("rows")).alias("mean_peer_mean"),
     )
-    qmax = floor_quantiles(weighted, ["grp"], "mx", {"max_peer_p50": 0.5, "max_peer_p90": 0.9}, "w", buckets=64)
-    qmean = floor_quantiles(weighted, ["grp"], "mn", {"mean_peer_p50": 0.5}, "w", buckets=64)
+    qmax = floor_quantiles(weighted, ["grp"], "mx", {"max_peer_p50": 0.5, "max_peer_p90": 0.9}, "w")
+    qmean = floor_quantiles(weighted, ["grp"], "mn", {"mean_peer_p50": 0.5}, "w")
     joined = means.join(qmax, "grp").join(qmean, "grp")
     return joined.select(
         F.col("grp").alias(group), "n_pairs", "max_peer_mean", "max_peer_p50", "max_peer_p90", "max_peer_max",

@@ -66,9 +66,9 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", False).csv(path)
 
 
-def pack_batches(df: DataFrame, by: list[str], order: str, size: int, ranges: int = 64) -> DataFrame:
+def pack_batches(df: DataFrame, by: list[str], order: str, size: int) -> DataFrame:
     """Number rows into fixed-size batches per group: (…, batch, slot)."""
-    numbered = running_index(df, by, order, ranges=ranges, name="_i", start=0)
+    numbered = running_index(df, by, order, name="_i", start=0)
     return (
         numbered.withColumn("batch", F.floor(F.col("_i") / size).cast("long") + 1)
         .withColumn("slot", F.col("_i") % size)
@@ -76,29 +76,48 @@ def pack_batches(df: DataFrame, by: list[str], order: str, size: int, ranges: in
     )
 
 
-def write_batches(packed: DataFrame, by: list[str], payload: list[str], path: str) -> None:
-    """One JSON array per batch, below a folder per group and batch.
+BUNDLE = "part-*.json"
 
-    A batch has a fixed small number of rows, so it is the one group that may
-    be collected into a single value.
+
+def write_batches(packed: DataFrame, by: list[str], payload: list[str], path: str, per_file: int = 10_000) -> None:
+    """Batches bundled into JSON lines: one line ``{"batch": n, "rows": [...]}`` per batch, below a folder per group.
+
+    A batch has a fixed small number of rows, so it is the one group that may be
+    collected into a single value.  Batches are sorted into ranges of (group, batch),
+    one task per range: files follow the size of the data, not the number of batches,
+    and none holds more than ``per_file`` of them.  Files appear when the whole job
+    has succeeded; a write that fails leaves no batch that ``read_batch_outputs`` sees.
     """
     item = F.struct("slot", F.struct(*payload).alias("p"))
     arrays = packed.groupBy(*by, "batch").agg(F.sort_array(F.collect_list(item)).alias("items"))
-    body = F.to_json(F.transform("items", lambda x: x["p"])).alias("value")
-    arrays.select(*by, "batch", body).write.mode("overwrite").partitionBy(*by, "batch").text(path)
+    lines = arrays.select(*by, "batch", F.transform("items", lambda x: x["p"]).alias("rows"))
+    ranged = lines.repartitionByRange(*by, "batch").sortWithinPartitions(*by, "batch")
+    ranged.write.mode("overwrite").option("maxRecordsPerFile", per_file).option("ignoreNullFields", False).partitionBy(*by).json(path)
 
 
 def read_batch_outputs(spark: SparkSession, path: str, schema: str, id_col: str = "id", text: str = "query_text") -> DataFrame:
-    """All output arrays; blank texts dropped, text trimmed; per id the last row of the last file wins.
+    """All rows of batch files; blank texts dropped, text trimmed; per id the last row of the last batch wins.
 
-    A file is one batch, so it may be read whole; one that is no JSON array is skipped.
+    Two kinds of files are read below ``path``: bundles of ``write_batches``
+    (``part-*.json``), line by line, and any other file, also ``*.json``, as one JSON
+    array, which is a batch by itself.
+    Batches are ordered by folder, then by number, then by file.  What is no JSON array
+    is skipped.
     """
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
-    parsed = F.from_json("value", f"array<struct<{', '.join(f.strip().replace(' ', ': ', 1) for f in schema.split(','))}>>")
-    rows = files.select(F.col("_metadata.file_path").alias("_file"), F.posexplode(parsed).alias("_row", "r")).select("r.*", "_file", "_row")
-    names = [c for c in rows.columns if c not in (id_col, "_file", "_row")]
+    item = f"array<struct<{', '.join(f.strip().replace(' ', ': ', 1) for f in schema.split(','))}>>"
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/", 1)
+    at = [folder.alias("_folder"), F.col("_metadata.file_path").alias("_file")]
+    options = {"recursiveFileLookup": True}
+    bundles = spark.read.options(**options, pathGlobFilter=BUNDLE).text(path)
+    line = F.from_json("value", f"batch bigint, rows {item}")
+    lines = bundles.select(*at, line.alias("r")).select("_folder", F.col("r.batch").alias("_batch"), "_file", F.posexplode("r.rows").alias("_row", "r"))
+    whole = spark.read.options(**options).text(path, wholetext=True).filter(~F.col("_metadata.file_name").like(BUNDLE.replace("*", "%")))
+    single = whole.select(*at, F.lit(0).cast("long").alias("_batch"), F.posexplode(F.from_json("value", item)).alias("_row", "r"))
+    place = ["_folder", "_batch", "_file", "_row"]
+    rows = lines.unionByName(single).select("r.*", *place)
+    names = [c for c in rows.columns if c not in (id_col, *place)]
     rows = rows.filter(F.col(id_col).isNotNull() & (T.or_empty(F.col(text)) != "")).withColumn(text, T.trim_ws(F.col(text)))
-    last = F.max_by(F.struct(*names), F.struct("_file", "_row"))
+    last = F.max_by(F.struct(*names), F.struct(*place))
     return rows.groupBy(id_col).agg(last.alias("r")).select(id_col, "r.*")
 
 

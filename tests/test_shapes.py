@@ -1,5 +1,6 @@
 """Sparse keys, far values, dominant groups, many labels, late and repeated rows."""
 
+import json
 import random
 
 from pyspark.sql import functions as F
@@ -37,6 +38,64 @@ def test_quantiles_with_an_outlier(spark):
     assert (got.p50, got.p100) == (values[250], 1e12)
 
 
+def test_quantiles_of_a_dominant_narrow_group(spark, monkeypatch):
+    """Nine rows of ten lie between the values of the other group; repeated counting leaves few of them to rank."""
+    rows = [("hot", 500.0 + i / 1e6) for i in range(9000)] + [("wide", float(i)) for i in range(1000)] + [("none", None), ("none", 1.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    ranked, write = [], K.materialized
+
+    def seen(part, label):
+        stored = write(part, label)
+        if label == "levels" and "_low" in part.columns:
+            ranked.append(max(r["count"] for r in stored.groupBy("g", "_low").count().collect()))
+        return stored
+
+    monkeypatch.setattr(K, "materialized", seen)
+    got = {r.g: (r.p10, r.p50) for r in K.floor_quantiles(df, ["g"], "v", {"p10": 0.1, "p50": 0.5}, buckets=16, most=20).collect()}
+    assert got == {"hot": (500.0 + 900 / 1e6, 500.0 + 4500 / 1e6), "wide": (100.0, 500.0), "none": (None, 1.0), None: (4.0, 4.0)}
+    assert ranked and ranked[0] <= 2 * 9000 / 16 and all(b < a for a, b in zip(ranked, ranked[1:], strict=False))
+
+
+def test_upper_median_of_repeats_and_a_dominant_group(spark):
+    rows = [("hot", i % 7) for i in range(900)] + [("small", 3)]
+    got = {r.g: r.m for r in K.upper_median(spark.createDataFrame(rows, "g string, v long"), ["g"], "v", "m").collect()}
+    assert got == {"hot": sorted(i % 7 for i in range(900))[450], "small": 3}
+
+
+def test_numbering_follows_the_data_with_equal_coarse_values(spark, monkeypatch):
+    """One value of ``uses`` and a group with most rows: partitions stay even, numbers are those of the order."""
+    rows = [("hot", 0, i * i) for i in range(4000)] + [("cold", 0, i) for i in range(200)] + [(None, 0, 5), (None, 0, 3)]
+    random.Random(4).shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, uses long, k long").repartition(5)
+    parts, write = [], K.materialized
+
+    def seen(part, label):
+        stored = write(part, label)
+        parts.extend(r["count"] for r in stored.groupBy(F.shiftright("_at", 33)).count().collect())
+        return stored
+
+    monkeypatch.setattr(K, "materialized", seen)
+    got = {(r.g, r.k): r.idx for r in K.running_index(df, ["g"], "k", ranges=8, coarse=("uses",)).collect()}
+    want = {(g, k): i + 1 for g in ("hot", "cold", None) for i, k in enumerate(sorted(k for h, _, k in rows if h == g))}
+    assert got == want and max(parts) <= 2 * len(rows) / 8
+
+
+def test_batches_are_bundled_and_read_with_outside_files(spark, tmp_path):
+    rows = [(i, "web" if i % 3 else "app", f" text {i} ") for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, platform string, query_text string")
+    packed = files.pack_batches(df, ["platform"], "id", 7)
+    path = f"{tmp_path}/r1"
+    files.write_batches(packed, ["platform"], ["id", "query_text"], path)
+    stored = [p for p in (tmp_path / "r1").rglob("part-*.json")]
+    lines = [json.loads(line) for p in stored for line in p.read_text().splitlines()]
+    assert len(lines) == 48 + 24 and len(stored) <= 2 * 4 and all(len(x["rows"]) <= 7 for x in lines)
+    (tmp_path / "r2").mkdir()
+    (tmp_path / "r2" / "web_b01_out.json").write_text(json.dumps([{"id": 4, "query_text": "first"}, {"id": 4, "query_text": "later"}], indent=1))
+    (tmp_path / "r2" / "broken.json").write_text("[{broken")
+    got = {r.id: r.query_text for r in files.read_batch_outputs(spark, str(tmp_path), "id long, query_text string").collect()}
+    assert got == {i: f"text {i}" for i in range(500)} | {4: "later"}
+
+
 def test_label_structure_with_many_labels(spark):
     rng = random.Random(2)
     rows = [(i, i % 400, [rng.gauss(0, 1) for _ in range(6)]) for i in range(1200)]
