@@ -194,58 +194,113 @@ def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
 
 
 def _best_and_sum(pdf: pd.DataFrame) -> dict:
-    """Per class: largest similarity to, and copy-weighted sum over, other classes.
-
-    ``probe`` marks classes that want an answer; the others are only compared to.
-    """
+    """Per class: largest similarity to, and copy-weighted sum over, other classes."""
     a, b, same = _sides(pdf)
     out = []
     for left, right in ((a, b),) if same else ((a, b), (b, a)):
-        asked = left[left["probe"].to_numpy()]
-        if not len(asked) or not len(right):
+        if not len(left) or not len(right):
             continue
-        sim = jaccard_matrix(asked, right)
-        sim[asked["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = 0.0
-        out.append((asked["key"].to_numpy(), sim.max(axis=1), sim @ right["copies"].to_numpy()))
+        sim = jaccard_matrix(left, right)
+        sim[left["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = 0.0
+        out.append((left["key"].to_numpy(), sim.max(axis=1), sim @ right["copies"].to_numpy()))
     return {n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("key", "best", "total"))} if out else {}
 
 
-def _best_at_home(pdf: pd.DataFrame) -> dict:
-    """Like ``_best_and_sum`` for one block: probes, its own and visiting ones, against the classes at home in it."""
-    home = pdf[(pdf["blk"] == pdf["at"]).to_numpy()]
-    asked = pdf[pdf["probe"].to_numpy()]
+def _best_of_visit(pdf: pd.DataFrame) -> dict:
+    """Per visiting row the largest similarity to the rows at home."""
+    visits = pdf["visits"].to_numpy()
+    asked, home = pdf[visits], pdf[~visits]
     if not len(asked) or not len(home):
         return {}
     sim = jaccard_matrix(asked, home)
     sim[asked["key"].to_numpy()[:, None] == home["key"].to_numpy()[None, :]] = 0.0
-    return {"key": asked["key"].to_numpy(), "best": sim.max(axis=1), "total": sim @ home["copies"].to_numpy()}
-
-
-def _block_scan(classes: DataFrame, probes: DataFrame | None, block_rows: int) -> DataFrame:
-    """(key, best, total) of each probed class against all classes of its group."""
-    if probes is None:
-        flagged = block_pairs(classes, block_rows).withColumn("probe", F.lit(True))
-    else:
-        marks = probes.select("key", "grp", F.lit(True).alias("probe"))
-        # groups without an open probe stay out; in the others only probes visit the blocks, the rest stays home
-        open_groups = marks.select("grp").distinct()
-        kept = classes.join(open_groups, "grp", "left_semi")
-        sizes = kept.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("blocks"))
-        placed = kept.join(sizes, "grp").join(marks, ["key", "grp"], "left").withColumn("blk", F.pmod(F.xxhash64("key"), F.col("blocks")))
-        stops = F.when(F.col("probe"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("blk"))
-        visits = placed.withColumn("probe", F.coalesce("probe", F.lit(False))).withColumn("at", F.explode(stops))
-        return (
-            map_groups(visits.drop("blocks"), ["grp", "at"], _best_at_home, "key long, best double, total double")
-            .groupBy("key")
-            .agg(F.max("best").alias("best"), F.sum("total").alias("total"))
-        )
+    return {"key": asked["key"].to_numpy(), "best": sim.max(axis=1)}
+
+
+def _block_scan(classes: DataFrame, block_rows: int) -> DataFrame:
+    """(key, best, total) of each class against all other classes of its group."""
     return (
-        map_groups(flagged, ["grp", "lo", "hi"], _best_and_sum, "key long, best double, total double")
+        map_groups(block_pairs(classes, block_rows), ["grp", "lo", "hi"], _best_and_sum, "key long, best double, total double")
         .groupBy("key")
         .agg(F.max("best").alias("best"), F.sum("total").alias("total"))
     )
 
 
+# --- open probes and the cells they can gain from -------------------------------------
+
+
+_CELL_RATIO = 1.25
+_CELL = ["grp", "c_f", "c_n"]
+
+
+def with_cells(side: DataFrame) -> DataFrame:
+    """Rows that have frequent shingles, with their cell: size classes of ``nf`` (frequent ones) and ``n`` (all).
+
+    Classes grow by a quarter, so the cells of a group are bounded by the logarithms of
+    the largest set, whatever the number of rows.
+    """
+    step = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.lit(math.log(_CELL_RATIO))).cast("int")
+    return side.filter("nf > 0").withColumn("c_f", step("nf")).withColumn("c_n", step("n"))
+
+
+def open_visits(homes: DataFrame, probes: DataFrame, block_rows: int) -> DataFrame:
+    """Cells in which a probe can still gain: (probe columns, cell, blocks, bound).
+
+    ``probes``: (grp, key, n, nf, best), ``homes``: rows of ``with_cells``.  A partner that is
+    not known yet shares frequent shingles only: with m = least(nf of the probe, largest nf of the cell)
+    the similarity to a row of the cell is at most m / (n + greatest(smallest n of the cell, m) - m).  Cells that
+    cannot exceed the probe's best are left out.
+    """
+    cells = homes.groupBy(*_CELL).agg(
+        F.min("n").alias("low_n"), F.max("nf").alias("top_f"), F.ceil(F.count("*") / F.lit(block_rows)).cast("long").alias("blocks")
+    )
+    m = F.least("nf", "top_f")
+    bound = m / (F.col("n") + F.greatest("low_n", m) - m)
+    return probes.join(cells, "grp").withColumn("bound", bound).filter("bound > best").drop("low_n", "top_f")
+
+
+def _visit_scan(side: DataFrame, probes: DataFrame, block_rows: int) -> DataFrame:
+    """(key, scan): largest similarity of each probe to a row it shares frequent shingles only with.
+
+    Best first: a probe visits the cell with its highest bound, and then those
+    whose bound exceeds what it has found by then.
+    """
+    homes = with_cells(side)
+    gains = materialized(open_visits(homes, probes, block_rows), "gains")
+    cell = F.struct("bound", "c_f", "c_n", "blocks")
+    first = gains.groupBy("grp", "key").agg(F.max(cell).alias("f")).select("grp", "key", "f.c_f", "f.c_n", "f.blocks")
+    early = materialized(_visit(side, homes, first, block_rows), "first-visits")
+    seen = first.select("key", F.col("c_f").alias("f_f"), F.col("c_n").alias("f_n")).join(early, "key", "left")
+    rest = gains.join(seen, "key").filter("bound > coalesce(scan, 0d) and not (c_f = f_f and c_n = f_n)")
+    late = _visit(side, homes, rest.select("grp", "key", "c_f", "c_n", "blocks"), block_rows)
+    return early.unionByName(late).groupBy("key").agg(F.max("scan").alias("scan"))
+
+
+def _visit(side: DataFrame, homes: DataFrame, visits: DataFrame, block_rows: int) -> DataFrame:
+    """(key, scan) of ``visits`` (grp, key, cell, blocks): largest similarity of each probe to the rows of its cells.
+
+    A cell's rows are dealt into blocks by hash, its visitors into slices.  A block
+    and a slice are one unit of about ``block_rows`` rows of either side.
+    """
+    visits = materialized(visits, "visits")
+    guests = visits.groupBy(*_CELL).agg(
+        F.max("blocks").alias("blocks"), F.ceil(F.count("*") / F.lit(block_rows)).cast("long").alias("slices")
+    )
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    unit = [*_CELL, "at", "part"]
+    coming = (
+        visits.drop("blocks").join(guests, _CELL).withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.col("slices")))
+        .join(side.select("grp", "key", "n", "fs"), ["grp", "key"])
+        .withColumn("at", upto("blocks")).select(*unit, "key", "n", F.col("fs").alias("sh"), F.lit(True).alias("visits"))
+    )
+    staying = (
+        homes.join(guests, _CELL).withColumn("at", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        .withColumn("part", upto("slices")).select(*unit, "key", "n", F.col("fs").alias("sh"), F.lit(False).alias("visits"))
+    )
+    found = map_groups(coming.unionByName(staying), unit, _best_of_visit, "key long, best double")
+    return found.groupBy("key").agg(F.max("best").alias("scan"))
+
+
 # --- largest peer similarity --------------------------------------------------------
 
 
@@ -257,13 +312,13 @@ def max_peer_similarity(
 
     Exact.  Copies score 1.  Groups of up to ``direct_rows`` classes are compared
     in blocks: linear in the number of rows for a bounded group.  Larger groups
-    go through an inverted index first and send to blocks only the rows it
-    cannot settle.
+    go through an inverted index first; rows it cannot settle visit only the cells
+    whose sizes leave room for a better partner.
     """
     members, classes = fold_copies(word_shingles(df, id_col, group, text, tokens, n))
     sizes = classes.groupBy("grp").agg(F.count("*").alias("m"))
     large = sizes.filter(F.col("m") > direct_rows).select("grp")
-    found = _block_scan(classes.join(large, "grp", "left_anti"), None, block_rows).select("key", F.col("best").alias("sim"))
+    found = _block_scan(classes.join(large, "grp", "left_anti"), block_rows).select("key", F.col("best").alias("sim"))
     if not large.isEmpty():
         found = found.unionByName(_indexed_best(classes.join(large, "grp", "left_semi"), rare, block_rows))
     copied = (F.col("copies") > 1) & (F.col("n") > 0)
@@ -279,9 +334,9 @@ def _indexed_best(classes: DataFrame, rare: int, block_rows: int) -> DataFrame:
     1. Shingles that occur in at most ``rare`` classes of the group find
     partners through an inverted index: bounded lists, so at most rare / 2
     pairs per occurrence.  2. A partner the index cannot see shares frequent
-    shingles only, so its similarity is at most (frequent shingles) / n.  Rows
-    whose best partner is below that bound are compared with their group in
-    blocks; for all others the index answer is already the maximum.
+    shingles only, so its similarity is at most (frequent shingles) / n.  For rows
+    whose best partner reaches that bound the index answer is the maximum.  3. The
+    others carry their frequent shingles to the cells that can exceed their best.
     """
     occ = classes.select("grp", "key", "n", F.explode("sh").alias("s"))
     freq = occ.groupBy("grp", "s").agg(F.count("*").alias("df"))
@@ -300,6 +355,7 @@ def _indexed_best(classes: DataFrame, rare: int, block_rows: int) -> DataFrame:
         .agg(F.collect_list("s").alias("fs"))
     )
     side = classes.select("grp", "key", "n").join(frequent, ["grp", "key"], "left")
+    side = materialized(side.withColumn("nf", F.when(F.col("fs").isNull(), 0).otherwise(F.size("fs"))), "frequent")
 
     def as_side(x: str) -> DataFrame:
         return side.select("grp", F.col("key").alias(x), F.col("n").alias(f"n{x}"), F.col("fs").alias(f"f{x}"))
@@ -314,15 +370,14 @@ def _indexed_best(classes: DataFrame, rare: int, block_rows: int) -> DataFrame:
     by_index = (
         scored.select(F.explode(F.array("a", "b")).alias("key"), "sim").groupBy("key").agg(F.max("sim").alias("best"))
     )
-    status = (
-        classes.select("grp", "key", "n", "copies")
-        .join(frequent.select("key", "grp", F.size("fs").alias("nf")), ["grp", "key"], "left")
-        .join(by_index, "key", "left")
-        .select("grp", "key", "copies", F.coalesce("best", F.lit(0.0)).alias("best"),
-                (F.coalesce("nf", F.lit(0)) / F.greatest(F.col("n"), F.lit(1))).alias("bound"))
+    status = materialized(
+        side.select("grp", "key", "n", "nf").join(classes.select("grp", "key", "copies"), ["grp", "key"]).join(by_index, "key", "left")
+        .withColumn("best", F.coalesce("best", F.lit(0.0))),
+        "index-best",
     )
-    unsettled = status.filter((F.col("copies") == 1) & (F.col("best") < F.col("bound")))
-    scanned = _block_scan(classes, unsettled, block_rows).select("key", F.col("best").alias("scan"))
+    bound = F.col("nf") / F.greatest(F.col("n"), F.lit(1))
+    unsettled = status.filter((F.col("copies") == 1) & (F.col("best") < bound)).drop("copies")
+    scanned = _visit_scan(side, unsettled, block_rows)
     return status.join(scanned, "key", "left").select("key", F.greatest("best", F.coalesce("scan", F.lit(0.0))).alias("sim"))
 
 
@@ -340,7 +395,7 @@ def peer_profile(
     from corpusloom.operators.ranking import floor_quantiles
 
     members, classes = fold_copies(word_shingles(df, id_col, group, text, tokens, n))
-    scan = _block_scan(classes, None, block_rows)
+    scan = _block_scan(classes, block_rows)
     per_class = classes.select("grp", "key", "n", "copies").join(scan, "key", "left")
     sizes = members.groupBy("grp").agg(F.count("*").alias("rows"))
     full = F.col("n") > 0  # rows without a shingle have similarity 0 to everything

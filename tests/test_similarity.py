@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from corpusloom.operators import ranking as K
@@ -47,6 +48,50 @@ def test_max_peer_matches_brute_force(spark, corpus, kw):
     assert all(0.0 <= v <= 1.0 for v in got.values())
 
 
+def best_by_lists(texts):
+    """Largest Jaccard of each set of three-word shingles to another one, from full posting lists."""
+    ids = {}
+    sets = [np.array(sorted({ids.setdefault(g, len(ids)) for g in grams(t)}), dtype=np.int64) for t in texts]
+    size = np.array([len(s) for s in sets])
+    rows, values = np.repeat(np.arange(len(sets)), size), np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    lists = np.split(rows[order], np.cumsum(np.bincount(values))[:-1])
+    best = np.zeros(len(sets))
+    for i, s in enumerate(sets):
+        if len(s):
+            both = np.bincount(np.concatenate([lists[v] for v in s]), minlength=len(sets))
+            both[i] = 0
+            best[i] = (both / np.maximum(size[i] + size - both, 1)).max()
+    return best
+
+
+def test_max_peer_of_a_group_of_20000_rows(spark, monkeypatch):
+    """Frequent phrases leave rows open; they visit few of the cells, and the result is that of all pairs."""
+    rng = random.Random(11)
+    phrases = [" ".join(f"p{k}x{j}" for j in range(rng.randint(4, 9))) for k in range(40)]
+    rows = []
+    for i in range(20_000):
+        own = " ".join(f"w{rng.randrange(400_000)}" for _ in range(rng.choice([0, 2, 5, 10, 20, 40, 80])))
+        rows.append((i, "hot", " ".join(rng.sample(phrases, rng.choice([0, 1, 1, 2]))) + " " + own))
+    seen, write = {}, S.materialized
+
+    def kept(part, label):
+        stored = write(part, label)
+        seen.setdefault(label, []).append(stored)
+        return stored
+
+    monkeypatch.setattr(S, "materialized", kept)
+    df = spark.createDataFrame(rows, "id long, grp string, text string").repartition(8)
+    got = {r.id: r.sim for r in S.max_peer_similarity(df, "id", "grp", "text").collect()}
+    want = best_by_lists([t for _, _, t in rows])
+    assert len(got) == len(rows) and max(abs(got[i] - want[i]) for i in got) < 1e-12
+    cells = S.with_cells(seen["frequent"][0]).groupBy("c_f", "c_n").count()
+    rounds = [v.join(cells, ["c_f", "c_n"]).agg({"count": "sum"}).first()[0] or 0 for v in seen["visits"]]
+    probes, classes = seen["gains"][0].select("key").distinct().count(), seen["classes"][0].count()
+    print(f"open probes {probes}, comparisons {rounds}, {probes * classes} with every block visited")
+    assert len(rounds) == 2 and 0 < sum(rounds) < 0.5 * probes * classes
+
+
 def test_peer_profile_matches_brute_force(spark, corpus):
     df = spark.createDataFrame(corpus, "id long, grp string, text string")
     for block in (8, 512):
