@@ -132,13 +132,27 @@ def test_merge_results_only_touches_failed_rows(spark):
 def test_weighted_draws_hit_exactly_one_interval(spark):
     combos = spark.createDataFrame([("g1", "a", 0.7), ("g1", "b", 0.1), ("g2", "a", 0.2)], "g string, o string, w double")
     draws = spark.range(2000).withColumnRenamed("id", "draw")
-    for cells in (1, 16, 1024):
-        got = S.weighted_draws(combos, "g", "o", "w", draws, "s", cells)
+    for chunk in (1, 2, 1024):
+        got = S.weighted_draws(combos, "g", "o", "w", draws, "s", chunk)
         assert got.count() == 2000
         share = got.filter("g = 'g1' and o = 'a'").count() / 2000
         assert 0.65 < share < 0.75
 
 
+def test_weighted_draws_of_a_dominant_group_follow_the_intervals(spark):
+    """3,000 combinations of one group, a heavy one, many tiny and zero ones: each draw hits the interval it falls into."""
+    rows = [("hot", i, 500.0 if i == 1700 else 0.0 if i % 5 == 0 else 1e-6 if i % 3 == 0 else 1.0) for i in range(3000)] + [("other", 0, 3.0), ("other", 1, None)]
+    combos = spark.createDataFrame(rows, "g string, o long, w double").repartition(5)
+    got = S.weighted_draws(combos, "g", "o", "w", spark.range(4000).withColumnRenamed("id", "draw"), "s", 64).collect()
+    assert sorted(r.draw for r in got) == list(range(4000))
+    ends, at, total = [], 0.0, sum(w or 0.0 for *_, w in rows)
+    for g, o, w in rows:
+        ends.append((at / total, (at + (w or 0.0)) / total))
+        at += w or 0.0
+    place = {(g, o): e for (g, o, _), e in zip(rows, ends, strict=True)}
+    assert all(place[r.g, r.o][0] - 1e-9 <= r.u < place[r.g, r.o][1] + 1e-9 for r in got)
+
+
 def test_summary_null_rules(spark):
     df = spark.createDataFrame([("", "d", 2.0), (None, None, None)], "a string, b string, quality_score double")
     got = {(r["dim"], r["value"]): (r["n"], r["mean_score"]) for r in A.corpus_summary(df, {"a": None, "b": "unspecified"}).collect()}
