@@ -11,6 +11,7 @@ from corpusloom.plans import sampling as S
 from corpusloom.plans import topics as O
 from corpusloom.sources import files, pools
 from corpusloom.sources.storage import new_folder
+from corpusloom.sources.versions import VersionedTable
 from corpusloom.streaming import incremental as I
 
 
@@ -121,7 +122,10 @@ def test_late_first_rows_are_stored(spark):
 def test_last_row_of_a_load_wins(spark):
     old = spark.createDataFrame([(1, "old"), (2, "old")], "id long, v string")
     new = spark.createDataFrame([(1, "first", 1), (1, "last", 2), (3, "only", 3)], "id long, v string, n long")
-    assert sorted((r.id, r.v) for r in files.upsert(old, new, "id", "n").collect()) == [(1, "last"), (2, "old"), (3, "only")]
+    table = VersionedTable(spark, new_folder(spark, "loads"), ["id"])
+    table.create(old, 4)
+    table.upsert(new, "n")
+    assert sorted((r.id, r.v) for r in table.read().collect()) == [(1, "last"), (2, "old"), (3, "only")]
 
 
 def test_empty_cells_stay_and_fill(spark):
