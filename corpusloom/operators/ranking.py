@@ -110,7 +110,8 @@ def floor_quantiles(
     wanted = F.array(*[_index_of(F.col("_n"), p) for p in probs.values()])
     shares = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
     while buckets > 1:
-        cuts = open_.groupBy(*keys).agg(F.percentile_approx(value, shares, 10 * buckets).alias("_cuts"))
+        # written once: approximate quantiles depend on the order partial results arrive in, and both passes below must see the same cuts
+        cuts = materialized(open_.groupBy(*keys).agg(F.percentile_approx(value, shares, 10 * buckets).alias("_cuts")), "cuts")
         above = sum((F.coalesce((F.get("_cuts", F.lit(i)) < F.col(value)).cast("int"), F.lit(0)) for i in range(buckets - 1)), F.lit(0))
         placed = _meet(open_, cuts, keys).withColumn("_b", F.when(F.col(value).isNull(), -1).otherwise(above)).drop("_cuts")
         sums = placed.groupBy(*keys, "_n", "_b").agg(F.sum("_c").alias("_m"), F.count("*").alias("_levels"))

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corpusloom.operators import ranking as K
@@ -155,3 +156,19 @@ def test_scratch_is_deleted_on_request(spark):
     folder = os.path.dirname(path.removeprefix("file://"))
     assert os.path.isdir(folder)
     assert storage.clear_scratch(spark) > 0 and not os.path.isdir(folder)
+
+
+def test_quantiles_hold_if_approximate_cuts_differ_between_evaluations(spark, monkeypatch):
+    """``percentile_approx`` depends on the order partial results arrive in; here its cuts differ each time it is evaluated."""
+
+    @F.pandas_udf("array<double>")
+    def loose(values: pd.Series) -> list:
+        return sorted(random.SystemRandom().sample(sorted(values), min(15, len(values))))
+
+    monkeypatch.setattr(K.F, "percentile_approx", lambda value, shares, accuracy: loose(value))
+    rows = [("ab"[i % 2], float((i * 7919) % 4001)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.p10, r.p50, r.p100) for r in K.floor_quantiles(df, ["g"], "v", {"p10": 0.1, "p50": 0.5, "p100": 1.0}).collect()}
+    for g in "ab":
+        vs = sorted(v for h, v in rows if h == g)
+        assert got[g] == (vs[int(len(vs) * 0.1)], vs[len(vs) // 2], vs[-1])
