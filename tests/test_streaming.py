@@ -85,3 +85,15 @@ def test_usage_is_folded_into_versions(spark, monkeypatch):
     assert I.fold_usage(spark, out, versions) == 1  # nothing new: only what was left over goes
     assert not [n for n in Folder(spark, out).names() if n.startswith("batch=")]
     assert counts(I.usage_at(spark, versions, 0)) == {("a", "x"): 2, ("b", "y"): 1} and counts(I.usage_at(spark, versions)) == now
+
+
+def test_append_once_calls_no_python_per_id(spark):
+    """Ids are looked up by Spark's own deduplication; the earliest of a batch is stored, rows without a time come last."""
+    src, root = new_folder(spark, "src"), new_folder(spark, "native")
+    rows = [(i, f"2024-01-0{1 + (i + k) % 3}T00:00:00" if k < 3 else None, k) for i in range(400) for k in range(4)]
+    spark.createDataFrame(rows, "id long, ts string, k int").repartition(5).write.json(f"{src}/one")
+    stream = spark.readStream.schema("id long, ts timestamp, k int").option("recursiveFileLookup", "true").json(src)
+    query = I.append_finished(stream, "id", "ts", f"{root}/out", f"{root}/cp")
+    assert [o["operatorName"] for o in query.recentProgress[0]["stateOperators"]] == ["dedupe"]
+    stored = spark.read.parquet(f"{root}/out").collect()
+    assert len(stored) == 400 and all(r.ts.day == 1 and r.k == -r.id % 3 for r in stored)
