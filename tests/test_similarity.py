@@ -92,6 +92,26 @@ def test_max_peer_of_a_group_of_20000_rows(spark, monkeypatch):
     assert len(rounds) == 2 and 0 < sum(rounds) < 0.5 * probes * classes
 
 
+@pytest.mark.parametrize("blocks", [1, 3, 16])
+def test_scan_carries_shared_shingles_a_bounded_number_of_times(spark, corpus, monkeypatch, blocks):
+    """Shingles of one class are not carried, and no row goes to more than ``_SCAN_BLOCKS`` units, however small blocks are."""
+    carried, plain = [], S.map_groups
+
+    def seen(df, keys, kernel, schema):
+        carried.append(df.groupBy("key").count().agg({"count": "max"}).first()[0])
+        return plain(df, keys, kernel, schema)
+
+    monkeypatch.setattr(S, "map_groups", seen)
+    monkeypatch.setattr(S, "_SCAN_ROWS", 1)
+    monkeypatch.setattr(S, "_SCAN_BLOCKS", blocks)
+    monkeypatch.setattr(S, "_SLICE_CELLS", 40)
+    df = spark.createDataFrame(corpus, "id long, grp string, text string").repartition(3)
+    got = {r["id"]: r["sim"] for r in S.max_peer_similarity(df, "id", "grp", "text").collect()}
+    want = brute(corpus)
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-12 for i in want)
+    assert carried == [blocks]
+
+
 def test_peer_profile_matches_brute_force(spark, corpus):
     df = spark.createDataFrame(corpus, "id long, grp string, text string")
     for block in (8, 512):
