@@ -126,8 +126,8 @@ def named_ranges(words: Column, ranges=WORD_RANGES) -> Column:
 
 
 def range_histogram(df: DataFrame, group: str, text: str, ranges=WORD_RANGES) -> DataFrame:
-    rng = named_ranges(T.word_count(F.col(text)), ranges)
-    return df.groupBy(F.col(group), rng.alias("word_range")).agg(F.count("*").alias("n"))
+    rows = df.select(group, T.word_count(F.col(text)).alias("_words"))  # a column: every range asks for it
+    return rows.groupBy(group, named_ranges(F.col("_words"), ranges).alias("word_range")).agg(F.count("*").alias("n"))
 
 
 def batch_stats(df: DataFrame, level: str, words: Column, persona_source: str, ms: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from corpusloom.functions import model_output as M
@@ -118,3 +120,29 @@ def test_regenerate_rules(spark):
     assert one(spark, G.regenerate_rules, "好的，作为一个设计师的角色") == ["role_play", "assistant_opening"]
     assert one(spark, G.regenerate_rules, "请帮我做一个网站") == ["vague_one_liner"]
     assert one(spark, G.regenerate_rules, None) == []
+
+
+def test_long_work_on_a_text_is_planned_once(spark):
+    """Cleaning is no part of every range, and item hashes no part of every slice of the windows."""
+    from corpusloom.operators import lexical as L
+    from corpusloom.operators import reports as A
+    from corpusloom.operators import similarity as S
+
+    df = spark.createDataFrame([(1, "g", "a b  c")], "id long, g string, text string")
+
+    def times(out, part):
+        return out._jdf.queryExecution().optimizedPlan().toString().count(part)
+
+    assert times(A.range_histogram(df, "g", "text"), "regexp_replace(") <= 3
+    for sets in (S.word_shingles(df, "id", "g", "text"), S.char_shingles(df, "id", "text"), L.distinct_n(df, "g", "text")):
+        assert times(sets, "lambdafunction(xxhash64(lambda t") + times(sets, "transform(") <= 5
+
+
+def test_white_space_of_every_kind(spark):
+    rows = [" a", "a\u2003 b", "\t\n", "a  b\u00a0", "\ufeffa\u3000\u2028b c ", "a\x0b\x0cb", "", "a\u0085b", None]
+    df = spark.createDataFrame([(r,) for r in rows], "c string")
+    got = [tuple(r) for r in df.select(T.clean_text(F.col("c")), T.trim_ws(F.col("c")), T.word_count(F.col("c"))).collect()]
+    ws = T.WS_CHARS
+    for r, (clean, trimmed, n) in zip(rows, got, strict=True):
+        words = re.split(f"[{ws}]+", (r or "").strip(ws))
+        assert clean == " ".join(words) and trimmed == (r or "").strip(ws) and n == (len(words) if words != [""] else 0)
