@@ -22,7 +22,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates: five-word shingles, Jaccard 0.8 or more."""
+    """The document with the smallest id of each group: SimHash fingerprints within 3 bits, or five-word shingles at Jaccard 0.8 or more."""
     return near_text.drop_near_copies(docs)
 
 

@@ -1,4 +1,4 @@
-"""Near copies of texts: min-hash candidates, Jaccard similarity verified on the word shingles of whole texts."""
+"""Near copies of texts: SimHash links from the grid range-join, and min-hash candidates verified on the word shingles of whole texts."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.simhash import _place, shingle_hashes
+from corpusloom.llm.simhash import _place, fingerprint_components, fingerprints, shingle_hashes
 from corpusloom.operators.similarity import block_pairs, connected_components, forest_edges, map_groups
 from corpusloom.sources.storage import materialized
 
@@ -61,11 +61,22 @@ def _sets(text: Column, shingle: int) -> Column:
     return run(text)
 
 
-def near_components(classes: DataFrame, texts: DataFrame, threshold: float, shingle: int, block_rows: int) -> DataFrame:
-    """(key, comp): components of classes over pairs whose sets have a Jaccard similarity of ``threshold`` or more.
+def simhash_links(classes: DataFrame, bits: int) -> DataFrame:
+    """(a, b): each class (key, fp) with the smallest class its fingerprint reaches over pairs at most ``bits`` apart."""
+    fps = materialized(classes.select("fp").distinct(), "near-fingerprints")
+    comps = fingerprint_components(fps, bits).withColumnRenamed("key", "fp")
+    placed = classes.select("key", "fp").join(comps, "fp", "left").select("key", F.coalesce("comp", "fp").alias("comp"))
+    placed = materialized(placed, "near-simhash")
+    lowest = placed.groupBy("comp").agg(F.min("key").alias("a"))
+    return placed.join(lowest, "comp").filter("a <> key").select("a", F.col("key").alias("b"))
 
-    ``classes``: key, k, th, bands; ``texts``: k, th, t.  Each cell (a band's value)
-    first links its members to its smallest one, which takes a crowd of near copies
+
+def near_components(classes: DataFrame, texts: DataFrame, threshold: float, shingle: int, block_rows: int, bits: int = 3) -> DataFrame:
+    """(key, comp): components of classes over SimHash links and pairs whose sets have a Jaccard similarity of ``threshold`` or more.
+
+    ``classes``: key, k, th, fp, bands; ``texts``: k, th, t.  Fingerprints at most
+    ``bits`` apart link first (``fingerprint_components``).  Each cell (a band's value)
+    then links its members to its smallest one, which takes a crowd of near copies
     together without its pairs.  Cells of three or more that then still hold several
     components compare all of them in blocks that return spanning forests.  Sets are
     made only of texts that share a cell, and every link is verified on whole sets.
@@ -83,7 +94,8 @@ def near_components(classes: DataFrame, texts: DataFrame, threshold: float, shin
     similar = shared >= F.lit(threshold) * (F.col("n") + F.col("other_n") - shared)
     longest = F.least("n", "other_n") >= F.lit(threshold) * F.greatest("n", "other_n")
     star = pairs.join(sets, "key").join(other, "pivot").filter(longest & similar)
-    edges = materialized(star.select(F.col("pivot").alias("a"), F.col("key").alias("b")), "near-star")
+    star = star.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    edges = materialized(star.unionByName(simhash_links(classes, bits)), "near-star")
     comps = connected_components(edges)
 
     members = placed.filter("m > 2").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
@@ -97,24 +109,29 @@ def near_components(classes: DataFrame, texts: DataFrame, threshold: float, shin
 
 
 def drop_near_copies(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, shingle: int = 5, block_rows: int = 256
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, shingle: int = 5, block_rows: int = 256,
+    bits: int = 3, fingerprint_shingle: int = 3,
 ) -> DataFrame:
     """One row of each group of near copies: the smallest id, of several rows with that id the smallest text hash.
 
-    Texts are near copies if their sets of ``shingle``-word shingles have a Jaccard
-    similarity of ``threshold`` or more; groups are closed over chains.  A-Z are
+    Texts are near copies if their SimHash fingerprints (``fingerprint_shingle`` words)
+    differ in at most ``bits`` bits, as in ``simhash.near_duplicates``, or if their sets
+    of ``shingle``-word shingles have a Jaccard similarity of ``threshold`` or more;
+    groups are closed over chains of both.  A-Z are
     lower-cased and words are parted by ASCII white space; a text of fewer words is
     one shingle; null, empty and wordless texts are copies of each other.  Rows
     without an id come last; an empty table gives an empty result.
     """
     body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    own = df.select(F.col(doc_id).alias("id"), body.alias("th"), _sketches(F.col(text), shingle).alias("s")).select("id", "th", "s.*")
+    marks = [_sketches(F.col(text), shingle).alias("s"), fingerprints(F.col(text), fingerprint_shingle).alias("fp")]
+    own = df.select(F.col(doc_id).alias("id"), body.alias("th"), *marks).select("id", "th", "s.*", "fp")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "th")
-    classes = own.groupBy("h1", "h2", "n").agg(F.min(order).alias("o"), F.first("bands").alias("bands"))
-    classes = classes.select(F.monotonically_increasing_id().alias("key"), "o", _place(F.col("o.id"), F.col("o.th")).alias("k"), F.col("o.th").alias("th"), "bands")
+    # equal sets can have other repeats, so other fingerprints
+    classes = own.groupBy("h1", "h2", "n", "fp").agg(F.min(order).alias("o"), F.first("bands").alias("bands"))
+    classes = classes.select(F.monotonically_increasing_id().alias("key"), "o", _place(F.col("o.id"), F.col("o.th")).alias("k"), F.col("o.th").alias("th"), "fp", "bands")
     classes = materialized(classes, "near-classes")
     texts = df.select(_place(F.col(doc_id), body).alias("k"), body.alias("th"), F.col(text).alias("t"))
-    comps = near_components(classes, texts, threshold, shingle, block_rows)
+    comps = near_components(classes, texts, threshold, shingle, block_rows, bits)
     stays = classes.select("key", "o").join(comps, "key", "left").groupBy(F.coalesce("comp", "key").alias("comp")).agg(F.min("o").alias("o"))
     stays = stays.select(_place(F.col("o.id"), F.col("o.th")).alias("k"), F.col("o.th").alias("th"))
     rows = df.select(F.struct(*df.columns).alias("row"), _place(F.col(doc_id), body).alias("k"), body.alias("th"))

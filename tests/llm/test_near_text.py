@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline as C
 from corpusloom.llm import near_text as N
+from corpusloom.llm import simhash as S
 
 
 def shingles(text, n=5):
@@ -61,3 +62,16 @@ def test_edges(spark, weird, nothing):
     kept = N.drop_near_copies(weird)
     assert kept.columns == weird.columns and N.drop_near_copies(nothing).count() == 0
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 1), (False, 3), (False, 5), (False, 6), (False, 8), (True, 0)]
+
+
+def test_simhash_links_of_the_stage(spark):
+    """Fingerprints that are near link texts whose shingle sets are far apart; min-hash links those beyond 3 bits."""
+    rng = random.Random(8)
+    tail = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
+    phrase, common = "one two three four five six seven".split() * 60, tail(300)
+    texts = [phrase + tail(60), phrase + tail(60), common, common[:50] + tail(5) + common[55:], tail(80)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert jaccard(rows[0][1], rows[1][1]) < 0.2 and jaccard(rows[2][1], rows[3][1]) >= 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in S.near_duplicates(docs.filter("doc_id <> 3")).collect()} == {0: 0, 1: 0, 2: 2, 4: 4}
+    assert {r.doc_id for r in C.drop_near_duplicates(spark, docs, "").collect()} == {0, 2, 4}
