@@ -301,3 +301,20 @@ def test_sketches_agree_as_often_as_sets_overlap():
         want = np.mean([len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for a, b in zip(pairs[::2], pairs[1::2], strict=True)])
         assert abs(agree - want) < 0.03
         assert (sketch == S.one_permutation_sketches(pd.Series(pairs), 128, 7)).all()
+
+
+def test_peer_profile_carries_shared_shingles_only(spark, monkeypatch):
+    """Shingles of one class alone stay behind; blocks see sets of what is shared."""
+    rows = [(i, "g", " ".join(["same old words"] + [f"own{i}x{k}" for k in range(50)])) for i in range(40)]
+    carried = []
+    inner = S._in_block_pairs
+
+    def spy(lists, sizes, deal=False):
+        carried.append((sizes.first()["blocks"], lists.selectExpr("max(size(sh)) AS m").first()["m"]))
+        return inner(lists, sizes, deal)
+
+    monkeypatch.setattr(S, "_in_block_pairs", spy)
+    got = S.peer_profile(spark.createDataFrame(rows, "id long, grp string, text string"), "id", "grp", "text", tokens="space").collect()
+    sim = 1 / (2 * 51 - 1)
+    assert carried == [(1, 1)]
+    assert abs(got[0]["max_peer_max"] - sim) < 1e-8 and abs(got[0]["mean_peer_mean"] - sim) < 1e-8
