@@ -303,6 +303,28 @@ def test_sketches_agree_as_often_as_sets_overlap():
         assert (sketch == S.one_permutation_sketches(pd.Series(pairs), 128, 7)).all()
 
 
+def test_near_cells_part_rows_that_cannot_be_near(spark):
+    """Whole sets go only where sketches leave room: once for each group of near rows, whatever cells they share."""
+    rng = random.Random(17)
+    letters = "abcdefgh"
+    rows = []
+    for i in range(24):
+        text = "".join(rng.choice(letters) for _ in range(900))
+        rows += [(10 * i + k, text[: 700 + k] + "".join(rng.choice(letters) for _ in range(30)) + text[730 + k :]) for k in range(3)]
+    sets = {i: char_grams(t) for i, t in rows}
+    classes = S.char_shingles(spark.createDataFrame(rows, "id long, text string"), "id", "text").withColumnRenamed("id", "key")
+    marks = S.minhash_sketches(classes)
+    cells = S.near_cells(marks, 0.85, 128).collect()
+    met = {}
+    for r in cells:
+        met.setdefault(r.grp, set()).add(r.key)
+    near = {(a, b) for a in sets for b in sets if a < b and jac(sets[a], sets[b]) >= 0.85}
+    assert len(near) >= 24 and all(any({a, b} <= m for m in met.values()) for a, b in near)
+    plain = S.duplicate_cells(marks, 0.85)
+    crowded = plain.groupBy("grp").count().filter("count > 1").agg({"count": "sum"}).first()[0]
+    assert len(cells) * 2 < crowded and len({frozenset(m) for m in met.values()}) == len(met)
+
+
 def test_peer_profile_carries_shared_shingles_only(spark, monkeypatch):
     """Shingles of one class alone stay behind; blocks see sets of what is shared."""
     rows = [(i, "g", " ".join(["same old words"] + [f"own{i}x{k}" for k in range(50)])) for i in range(40)]
