@@ -52,18 +52,24 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def csv_projection(df: DataFrame, id_col: str, text: str, prefix: str) -> DataFrame:
-    """(id, prompt): prefix + text, line breaks flattened to blanks."""
-    one_line = F.regexp_replace(F.concat(F.lit(prefix + " "), T.trim_ws(F.col(text))), r"\r\n|\n|\r", " ")
+    """(id, prompt): prefix + text, line breaks flattened to blanks; a blank text leaves the prefix, a null one no prompt."""
+    whole = F.when(F.col(text).isNotNull(), F.concat(F.lit(prefix + " "), T.trim_ws(F.col(text))))
+    one_line = F.regexp_replace(whole, r"\r\n|\n|\r", " ")
     return df.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), one_line.alias("prompt"))
 
 
+#: Inner quotes doubled; no other character escapes (Spark's default here is NUL), and blanks at the ends are content.
+_CSV = {"header": True, "escape": '"', "charToEscapeQuoteEscaping": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """All cells quoted, inner quotes doubled."""
-    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    """All cells quoted, inner quotes doubled; null is an empty cell."""
+    df.write.mode("overwrite").options(**_CSV, quoteAll=True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+    """Files of ``write_csv``; an empty cell reads as null."""
+    return spark.read.schema(schema).options(**_CSV, multiLine=False).csv(path)
 
 
 def pack_batches(df: DataFrame, by: list[str], order: str, size: int) -> DataFrame:

@@ -33,3 +33,15 @@ def held(spark, root, name):
 @pytest.mark.parametrize("name", ["lx03_opener_profile", "lx03_top_openers", "lx04_length_profile", "lx07_voice_profile"])
 def test_lexical_profiles_count_every_row(spark, odd, name):
     held(spark, odd, name)
+
+
+def test_csv_round_trip_keeps_every_text(spark, odd):
+    held(spark, odd, "snk02_csv_round_trip")
+
+
+def test_csv_cells_come_back_as_they_were(spark, tmp_path):
+    from corpusloom.sources import files
+
+    rows = [("1", " a "), ("2", None), ("3", "a\x00b"), ("4", '\\"'), ("5", "\x00"), ("6", '"a""'), ("7", "x,\\")]
+    files.write_csv(spark.createDataFrame(rows, "id string, prompt string"), str(tmp_path / "cells"))
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "cells"), "id string, prompt string").collect())) == rows
