@@ -107,7 +107,8 @@ def fingerprint_components(classes: DataFrame, bits: int = 3) -> DataFrame:
     cells = _cells(codes)
     pivots = cells.groupBy("half", "cell").agg(F.min(F.struct("fp", "code")).alias("p"))
     pivots = pivots.select("half", "cell", F.col("p.fp").alias("other"), F.col("p.code").alias("other_code"))
-    star = cells.join(pivots, ["half", "cell"]).filter((F.col("fp") > F.col("other")) & _near(bits, F.col("code"), F.col("other_code")))
+    # Spark sizes exploded rows as if there was one of each, and would broadcast what grows with the documents: merge joins here and below
+    star = cells.join(pivots.hint("merge"), ["half", "cell"]).filter((F.col("fp") > F.col("other")) & _near(bits, F.col("code"), F.col("other_code")))
     edges = materialized(star.select(F.col("fp").alias("a"), F.col("other").alias("b")).distinct(), "simhash-star")
     comps = connected_components(edges)
 
@@ -122,7 +123,7 @@ def fingerprint_components(classes: DataFrame, bits: int = 3) -> DataFrame:
     there = there.select("other", "other_comp", place)
     a, b = F.coalesce("comp", "fp"), F.coalesce("other_comp", "other")
     apart = (F.col("fp") < F.col("other")) & (a != b)
-    found = here.join(there, "place").filter(apart & _near(bits, popcount_code(F.col("fp")), popcount_code(F.col("other"))))
+    found = here.join(there.hint("merge"), "place").filter(apart & _near(bits, popcount_code(F.col("fp")), popcount_code(F.col("other"))))
     bridges = found.select(a.alias("a"), b.alias("b")).distinct()
     return connected_components(edges.unionByName(materialized(bridges, "simhash-bridges")))
 

@@ -92,3 +92,18 @@ def test_long_text_in_parts():
     rng = random.Random(9)
     text = " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 999)) for _ in range(40_000))
     assert S.text_fingerprint(text) == naive(text) - (1 << 64) * (naive(text) >> 63)
+
+
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes the cells around a fingerprint as one row, and would send all of them through the driver."""
+    rng, plans = random.Random(3), {}
+
+    def noted(df, label, run=S.materialized):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return run(df, label)
+
+    monkeypatch.setattr(S, "materialized", noted)
+    classes = spark.createDataFrame([(rng.getrandbits(63),) for _ in range(50)], "fp long")
+    assert S.fingerprint_components(classes).count() == 0
+    for label in ("simhash-star", "simhash-bridges"):
+        assert "SortMergeJoin" in plans[label] and "BroadcastHashJoin" not in plans[label]
