@@ -83,7 +83,8 @@ def near_components(classes: DataFrame, texts: DataFrame, threshold: float, shin
     """
     cells = classes.select("key", F.posexplode("bands").alias("band", "bucket")).select("key", F.xxhash64("band", "bucket").alias("grp"))
     crowded = cells.groupBy("grp").agg(F.count("*").alias("m"), F.min("key").alias("pivot"), F.bit_xor(F.xxhash64("key")).alias("sig")).filter("m > 1")
-    placed = materialized(cells.join(crowded, "grp"), "near-cells")
+    # merge joins of exploded rows at every size: Spark sizes them as if there was one of each
+    placed = materialized(cells.join(crowded.hint("merge"), "grp"), "near-cells")
     wanted = classes.select("key", "k", "th").join(placed.select("key").distinct(), "key")
     sets = texts.join(wanted.hint("merge"), ["k", "th"]).dropDuplicates(["key"]).select("key", _sets(F.col("t"), shingle).alias("sh"))
     sets = materialized(sets.select("key", "sh", F.size("sh").alias("n")), "near-sets")
@@ -103,7 +104,7 @@ def near_components(classes: DataFrame, texts: DataFrame, threshold: float, shin
     # near copies share many bands: cells with the same members are verified once
     once = mixed.groupBy("m", "sig").agg(F.min("grp").alias("grp")).select("grp")
     rest = materialized(members.join(once, "grp", "left_semi").select("key", "grp", "comp"), "near-rest")
-    across = block_pairs(rest, block_rows, deal=True).join(sets, "key")
+    across = block_pairs(rest, block_rows, deal=True).join(sets.hint("merge"), "key")
     found = map_groups(across, ["grp", "lo", "hi"], forest_edges(threshold), "a long, b long").distinct()
     return connected_components(edges.unionByName(materialized(found, "near-bridges")))
 

@@ -75,3 +75,20 @@ def test_simhash_links_of_the_stage(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in S.near_duplicates(docs.filter("doc_id <> 3")).collect()} == {0: 0, 1: 0, 2: 2, 4: 4}
     assert {r.doc_id for r in C.drop_near_duplicates(spark, docs, "").collect()} == {0, 2, 4}
+
+
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    """Bands and block visits are many times the rows that Spark sizes them by; no join may send them through the driver."""
+    rng, plans = random.Random(4), {}
+
+    def noted(df, label, run=N.materialized):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return run(df, label)
+
+    monkeypatch.setattr(N, "materialized", noted)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[:30] + rng.sample(words, 3))) for i in range(12)]
+    assert N.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).count() < 12
+    for label in ("near-cells", "near-bridges"):
+        joins = [x for x in plans[label].splitlines() if "HashJoin" in x or "SortMergeJoin" in x]
+        assert joins and "SortMergeJoin" in joins[0], (label, joins)
