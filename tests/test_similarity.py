@@ -340,3 +340,18 @@ def test_peer_profile_carries_shared_shingles_only(spark, monkeypatch):
     sim = 1 / (2 * 51 - 1)
     assert carried == [(1, 1)]
     assert abs(got[0]["max_peer_max"] - sim) < 1e-8 and abs(got[0]["mean_peer_mean"] - sim) < 1e-8
+
+
+def test_character_sets_are_exact_and_carried_small(spark):
+    """Sets are what shuffles carry most of; as plain 64-bit hashes they took several times their texts."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéü", k=rng.randint(2, 9))) for _ in range(400)]
+    texts = [None, "", "ab", "abc", "a😀b😀", "日本語の文章", " ".join(rng.choices(words, k=600))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for r in S.char_shingles(df, "id", "text").collect():
+        text = (texts[r.id] or "").lower()
+        want = {text[i : i + 3] for i in range(len(text) - 2)}
+        got = S.unpack_set(bytes(r.sh)).tolist()
+        assert got == sorted(got) and r.n == len(got) == len(want)
+        assert {"".join(chr(x >> s & 0x1FFFFF) for s in (42, 21, 0)) for x in got} == want
+    assert len(r.sh) * 3 < 8 * r.n
