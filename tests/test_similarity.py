@@ -355,3 +355,16 @@ def test_character_sets_are_exact_and_carried_small(spark):
         assert got == sorted(got) and r.n == len(got) == len(want)
         assert {"".join(chr(x >> s & 0x1FFFFF) for s in (42, 21, 0)) for x in got} == want
     assert len(r.sh) * 3 < 8 * r.n
+
+
+def test_few_pairs_fetch_few_sets(spark):
+    """The sets of all classes went through a shuffle for every side of every round, however few pairs were left."""
+    rows = [(i, f"text number {i} of several and a bit longer") for i in range(40)] + [(40, "text number 7 of several and a bit longer!")]
+    classes = S.char_shingles(spark.createDataFrame(rows, "id long, text string"), "id", "text").withColumnRenamed("id", "key")
+    classes = S.materialized(classes, "test-sets")
+    n = {r.key: r.n for r in classes.collect()}
+    pairs = spark.createDataFrame([(40, n[40], 7, n[7]), (40, n[40], 12, n[12] * 3)], "key long, n int, other long, other_n int")
+    near = S.near_pairs(pairs, classes, 0.85)
+    assert [(r.key, r.other) for r in near.collect()] == [(40, 7)] and near.first().similarity > 0.9
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LeftSemi, BuildRight") >= 2, plan
