@@ -368,3 +368,22 @@ def test_few_pairs_fetch_few_sets(spark):
     assert [(r.key, r.other) for r in near.collect()] == [(40, 7)] and near.first().similarity > 0.9
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert plan.count("LeftSemi, BuildRight") >= 2, plan
+
+
+def test_copies_fold_without_a_shuffle_of_sets(spark, tmp_path):
+    """The sets went through a shuffle to find one row of each class, and stayed on disk to the end."""
+    import os
+
+    from corpusloom.sources import storage
+
+    rows = [(1, "a", "one two three four"), (2, "a", "one two three four"), (3, None, "one two three four"), (4, None, "one two three four"), (5, "a", ""), (6, "b", "x y z")]
+    df = spark.createDataFrame(rows, "id long, g string, text string")
+    members, heads, classes, keyed = S.fold_copies(S.word_shingles(df, "id", "g", "text"))
+    key = {r.id: r.key for r in members.collect()}
+    assert key[1] == key[2] and key[3] == key[4] and len(set(key.values())) == 4
+    assert {r.key: r.copies for r in heads.collect()} == {key[1]: 2, key[3]: 2, key[5]: 1, key[6]: 1}
+    assert sorted(r.key for r in classes.collect()) == sorted(set(key.values()))
+    assert "Exchange hashpartitioning" not in classes._jdf.queryExecution().executedPlan().toString()
+    folder = os.path.dirname(keyed.inputFiles()[0].removeprefix("file://"))
+    storage.drop_scratch(keyed)
+    assert not os.path.exists(folder) and members.count() == 6
